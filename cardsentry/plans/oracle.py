@@ -210,6 +210,84 @@ def _diff_sql(kind: str) -> str:
     return _with(_base_e() + [_days_cte()], body)
 
 
+# The daily cycle: one load per cut day holding the transactions up to the
+# next cut; each load sees the dimension built from the cuts so far and the
+# previous load's last hour as context; the report time is the load day.
+_LOADS = """SELECT as_of AS load_as_of, lead(as_of) OVER (ORDER BY as_of) AS next_as_of,
+  row_number() OVER (ORDER BY as_of) AS load_no
+FROM (SELECT DISTINCT as_of FROM snapshots) d"""
+
+_LHIST = f"""SELECT load_as_of, terminal_id, terminal_type, terminal_city, terminal_address, deleted_flg,
+  as_of AS effective_from,
+  coalesce(lead(as_of) OVER (PARTITION BY load_as_of, terminal_id ORDER BY as_of) - INTERVAL 1 SECOND,
+           TIMESTAMP '{OPEN_END}') AS effective_to
+FROM (
+  SELECT load_as_of, terminal_id, as_of,
+    CASE WHEN present THEN terminal_type ELSE p_type END AS terminal_type,
+    CASE WHEN present THEN terminal_city ELSE p_city END AS terminal_city,
+    CASE WHEN present THEN terminal_address ELSE p_addr END AS terminal_address,
+    CASE WHEN present THEN 0 ELSE 1 END AS deleted_flg
+  FROM (
+    SELECT *, lag(present) OVER w AS p_present, lag(terminal_type) OVER w AS p_type,
+      lag(terminal_city) OVER w AS p_city, lag(terminal_address) OVER w AS p_addr
+    FROM (
+      SELECT l.load_as_of, k.terminal_id, a.as_of, s.terminal_id IS NOT NULL AS present,
+        s.terminal_type, s.terminal_city, s.terminal_address
+      FROM loads l
+      JOIN (SELECT DISTINCT as_of FROM snapshots) a ON a.as_of <= l.load_as_of
+      JOIN (SELECT DISTINCT terminal_id FROM snapshots) k ON TRUE
+      LEFT JOIN snapshots s ON s.terminal_id = k.terminal_id AND s.as_of = a.as_of
+    ) grid
+    WINDOW w AS (PARTITION BY load_as_of, terminal_id ORDER BY as_of)
+  ) st
+  WHERE (present AND (NOT coalesce(p_present, FALSE)
+                      OR terminal_type IS DISTINCT FROM p_type
+                      OR terminal_city IS DISTINCT FROM p_city
+                      OR terminal_address IS DISTINCT FROM p_addr))
+     OR (NOT present AND p_present)
+) ver"""
+
+_LVERS = """SELECT h.*,
+  CASE WHEN effective_from = min(effective_from) OVER (PARTITION BY load_as_of, terminal_id)
+       THEN TIMESTAMP '0001-01-01 00:00:00' ELSE effective_from END AS lo,
+  effective_to + INTERVAL 1 SECOND AS hi
+FROM lhist h"""
+
+_LSEQ = f"""SELECT r.*, v.terminal_city, v.terminal_id IS NOT NULL AS known,
+  lag(v.terminal_city) OVER w AS city_1,
+  lag(r.transaction_date) OVER w AS ts_1,
+  lag(r.transaction_date, 3) OVER w AS ts_3,
+  lag(r.oper_result) OVER w AS res_1, lag(r.oper_result, 2) OVER w AS res_2,
+  lag(r.oper_result, 3) OVER w AS res_3,
+  lag(r.amount) OVER w AS amt_1, lag(r.amount, 2) OVER w AS amt_2, lag(r.amount, 3) OVER w AS amt_3
+FROM (
+  SELECT l.load_as_of, l.load_no > 1 AND ch.transaction_date < l.load_as_of AS is_ctx, ch.*
+  FROM chain ch JOIN loads l
+    ON (l.load_no = 1 OR ch.transaction_date >= l.load_as_of - INTERVAL {CITY_HOP_SECONDS} SECOND)
+   AND (l.next_as_of IS NULL OR ch.transaction_date < l.next_as_of)
+) r
+LEFT JOIN lvers v ON v.load_as_of = r.load_as_of AND v.terminal_id = r.terminal
+  AND r.transaction_date >= v.lo AND r.transaction_date < v.hi
+WINDOW w AS (PARTITION BY r.load_as_of, r.card_num, v.terminal_id IS NOT NULL
+             ORDER BY r.transaction_date, r.trans_id)"""
+
+
+def _accumulate_sql() -> str:
+    def rep(event_type: str, where: str) -> str:
+        return (f"SELECT transaction_date AS event_dt, passport_num, fio, phone, "
+                f"'{event_type}' AS event_type, load_as_of AS report_dt FROM lseq chain "
+                f"WHERE NOT is_ctx AND {where}")
+    body = "\nUNION ALL\n".join([
+        rep(EVENT_EXPIRED_PASSPORT, _W_EXPIRED),
+        rep(EVENT_BLOCKED_PASSPORT, _W_BLOCKED),
+        rep(EVENT_INVALID_AGREEMENT, _W_AGREEMENT),
+        rep(EVENT_CITY_HOP, "known AND " + _W_CITY),
+        rep(EVENT_AMOUNT_PROBE, "known AND " + _W_PROBE),
+    ])
+    return _with(_base_e() + [("loads", _LOADS), ("lhist", _LHIST), ("lvers", _LVERS),
+                              ("lseq", _LSEQ)], body)
+
+
 # --- set L ------------------------------------------------------------------
 
 _ACCOUNTS_L = """SELECT 'A' || o_orderkey AS account, 'C' || o_custkey AS client,
@@ -265,6 +343,7 @@ def oracle_queries() -> dict[str, str]:
             "v.effective_from, v.terminal_id IS NOT NULL AS known FROM transactions t "
             "LEFT JOIN vers v ON v.terminal_id = t.terminal AND t.transaction_date >= v.lo "
             "AND t.transaction_date < v.hi")),
+        "report_accumulate": _accumulate_sql(),
         "volume_expired_passport": _with(l_, _report(EVENT_EXPIRED_PASSPORT, ldt, _W_EXPIRED)),
         "volume_blocked_passport": _with(l_, _report(EVENT_BLOCKED_PASSPORT, ldt, _W_BLOCKED)),
         "volume_invalid_agreement": _with(l_, _report(EVENT_INVALID_AGREEMENT, ldt, _W_AGREEMENT)),

@@ -24,6 +24,7 @@ from cardsentry.operators.scd2 import (
     scd2_apply,
     snapshot_diff,
 )
+from cardsentry.plans import daily
 from cardsentry.plans.testviews import Warehouse, set_e, set_l
 from cardsentry.schemas import TERMINAL_ATTRS, TERMINAL_KEY
 from cardsentry.session import shared_dir
@@ -125,6 +126,42 @@ def transactions_asof_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _load_slices(w: Warehouse):
+    """One load per cut day: the transactions from that day up to the next
+    cut (the first load also takes anything earlier, the last anything later)."""
+    ts = F.col("transaction_date")
+    days = w.snapshot_days
+    for i, d in enumerate(days):
+        cond = F.lit(True)
+        if i > 0:
+            cond = cond & (ts >= ts_literal(d))
+        if i + 1 < len(days):
+            cond = cond & (ts < ts_literal(days[i + 1]))
+        cut = w.snapshots.where(F.col("as_of") == ts_literal(d)).drop("as_of")
+        yield d, w.transactions.where(cond), cut
+
+
+def run_cycle(spark: SparkSession, w: Warehouse, store: daily.Store | None = None) -> daily.Store:
+    """Run the daily cycle over every load of the fixture."""
+    store = store or daily.Store.fresh(spark, "cycle")
+    for d, tx, cut in _load_slices(w):
+        daily.run_day(spark, store, d, tx, w.blacklist, cut, w.cards, w.accounts, w.clients)
+    return store
+
+
+def report_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accumulated report after running every daily load in order."""
+    w = set_e(spark, sf_dir)
+    return daily.report(spark, run_cycle(spark, w))
+
+
+def catalog_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog snapshots taken by each daily load (objects × columns)."""
+    w = set_e(spark, sf_dir)
+    store = run_cycle(spark, w)
+    return spark.read.parquet(store.table(daily.META)).drop("snapshot_day")
+
+
 def volume_expired_passport(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = set_l(spark, sf_dir)
     return rules.expired_passport(_chain(w), w.report_dt)
@@ -155,6 +192,8 @@ def spark_queries() -> dict[str, Query]:
         "terminals_deleted": terminals_deleted,
         "terminals_changed": terminals_changed,
         "transactions_asof_terminal": transactions_asof_terminal,
+        "report_accumulate": report_accumulate,
+        "catalog_snapshot": catalog_snapshot,
         "volume_expired_passport": volume_expired_passport,
         "volume_blocked_passport": volume_blocked_passport,
         "volume_invalid_agreement": volume_invalid_agreement,
