@@ -344,6 +344,14 @@ def oracle_queries() -> dict[str, str]:
             "LEFT JOIN vers v ON v.terminal_id = t.terminal AND t.transaction_date >= v.lo "
             "AND t.transaction_date < v.hi")),
         "report_accumulate": _accumulate_sql(),
+        "ingest_delimited": _with(e, (
+            "SELECT trans_id, transaction_date, card_num, "
+            "CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, oper_type, oper_result, "
+            "terminal, strftime(transaction_date, '%Y-%m-%d') AS load_day FROM transactions")),
+        "ingest_workbook": _with(e, "SELECT * FROM snapshots"),
+        "ingest_blacklist_workbook": _with(e + [("cut_days", "SELECT DISTINCT as_of FROM snapshots")], (
+            "SELECT d.as_of, b.\"date\", b.passport FROM blacklist b "
+            "JOIN cut_days d ON b.\"date\" <= d.as_of")),
         "volume_expired_passport": _with(l_, _report(EVENT_EXPIRED_PASSPORT, ldt, _W_EXPIRED)),
         "volume_blocked_passport": _with(l_, _report(EVENT_BLOCKED_PASSPORT, ldt, _W_BLOCKED)),
         "volume_invalid_agreement": _with(l_, _report(EVENT_INVALID_AGREEMENT, ldt, _W_AGREEMENT)),

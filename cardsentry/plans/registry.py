@@ -26,8 +26,9 @@ from cardsentry.operators.scd2 import (
 )
 from cardsentry.plans import daily
 from cardsentry.plans.testviews import Warehouse, set_e, set_l
-from cardsentry.schemas import TERMINAL_ATTRS, TERMINAL_KEY
-from cardsentry.session import shared_dir
+from cardsentry.schemas import BLACKLIST, TERMINAL_ATTRS, TERMINAL_KEY, TERMINALS
+from cardsentry.session import scratch_path, shared_dir
+from cardsentry.sources import delimited, workbook
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,6 +163,57 @@ def catalog_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(store.table(daily.META)).drop("snapshot_day")
 
 
+def ingest_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Round trip of the daily transaction files: Spark writes one ``;`` file
+    set per calendar day (half the amounts with a decimal comma), the reader
+    types them back with the load day taken from the file name."""
+    w = set_e(spark, sf_dir)
+    landing = scratch_path(spark, "landing-tx")
+    tx = w.transactions.withColumn("load_date", F.to_date("transaction_date"))
+    delimited.write_transactions(tx, landing, comma_decimal=F.xxhash64("trans_id") % 2 == 0)
+    parsed = delimited.read_transactions(spark, landing)
+    return parsed.good.select(
+        "trans_id", "transaction_date", "card_num", F.col("amount").cast("double").alias("amount"),
+        "oper_type", "oper_result", "terminal",
+        F.date_format("load_date", "yyyy-MM-dd").alias("load_day"),
+    )
+
+
+def ingest_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Round trip of the terminal cuts as workbooks, one per cut day."""
+    w = set_e(spark, sf_dir)
+    landing = scratch_path(spark, "landing-terminals")
+    name = F.concat(F.lit("terminals_"), F.date_format("as_of", "ddMMyyyy"), F.lit(".xlsx"))
+    workbook.write_workbooks(w.snapshots, name, landing,
+                             columns=[TERMINAL_KEY, *TERMINAL_ATTRS]).count()
+    raw = workbook.read_workbooks(spark, landing, [TERMINAL_KEY, *TERMINAL_ATTRS])
+    typed = workbook.typed_columns(raw, TERMINALS)
+    return typed.select(
+        delimited.file_day(F.col("source_file")).cast("timestamp_ntz").alias("as_of"),
+        TERMINAL_KEY, *TERMINAL_ATTRS,
+    )
+
+
+def ingest_blacklist_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Round trip of the cumulative blacklist workbooks (date cells as serial
+    numbers): on each cut day, every entry dated up to that day."""
+    w = set_e(spark, sf_dir)
+    landing = scratch_path(spark, "landing-blacklist")
+    days = reduce(DataFrame.unionByName, [
+        w.blacklist.where(F.col("date") <= ts_literal(d)).withColumn("_day", ts_literal(d))
+        for d in w.snapshot_days
+    ])
+    name = F.concat(F.lit("passport_blacklist_"), F.date_format("_day", "ddMMyyyy"), F.lit(".xlsx"))
+    workbook.write_workbooks(days, name, landing, columns=["date", "passport"],
+                             serial_columns=["date"]).count()
+    raw = workbook.read_workbooks(spark, landing, ["date", "passport"])
+    typed = workbook.typed_columns(raw, BLACKLIST)
+    return typed.select(
+        delimited.file_day(F.col("source_file")).cast("timestamp_ntz").alias("as_of"),
+        "date", "passport",
+    )
+
+
 def volume_expired_passport(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = set_l(spark, sf_dir)
     return rules.expired_passport(_chain(w), w.report_dt)
@@ -194,6 +246,9 @@ def spark_queries() -> dict[str, Query]:
         "transactions_asof_terminal": transactions_asof_terminal,
         "report_accumulate": report_accumulate,
         "catalog_snapshot": catalog_snapshot,
+        "ingest_delimited": ingest_delimited,
+        "ingest_workbook": ingest_workbook,
+        "ingest_blacklist_workbook": ingest_blacklist_workbook,
         "volume_expired_passport": volume_expired_passport,
         "volume_blocked_passport": volume_blocked_passport,
         "volume_invalid_agreement": volume_invalid_agreement,

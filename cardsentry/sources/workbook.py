@@ -1,0 +1,283 @@
+"""Daily workbooks (terminal cuts, passport blacklist): first sheet, header row.
+
+Reading is a Spark job with one task per workbook: ``binaryFile`` lists and
+loads the files, ``mapInPandas`` unzips each one and walks the first sheet
+with a streaming XML parser (shared strings, inline strings, numbers,
+booleans, missing cells — cells are placed by their reference, not by
+position).  Values come out as text; typing happens JVM-side
+(:func:`typed_columns`), including date cells stored as serial numbers.
+
+A sheet holds at most 1,048,576 rows (format limit), which bounds the work of
+one task; many workbooks spread over many tasks.
+
+:func:`write_workbooks` is the inverse for fixtures and exports: one workbook
+per group of a key, written by ``applyInPandas`` into shared storage.
+
+The per-file helpers below use only the standard library and pandas and are
+shipped to the workers by value, so executors need no extra package.
+"""
+
+from __future__ import annotations
+
+import io
+import re
+import zipfile
+from collections.abc import Iterator, Sequence
+from xml.etree import ElementTree as ET
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# ---------------------------------------------------------------------------
+# Fixed values of the workbook format (Office Open XML spreadsheet).
+NS_MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+NS_REL = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+NS_PKG_REL = "http://schemas.openxmlformats.org/package/2006/relationships"
+MAX_ROWS = 1_048_576
+SERIAL_EPOCH = "1899-12-30 00:00:00"  # day 0 of the 1900 date system as used in practice
+# ---------------------------------------------------------------------------
+
+_CELL_REF = re.compile(r"([A-Z]+)(\d+)")
+
+
+def _col_index(letters: str) -> int:
+    n = 0
+    for ch in letters:
+        n = n * 26 + (ord(ch) - 64)
+    return n - 1
+
+
+def _text(el: ET.Element) -> str:
+    """All ``t`` text below an element (plain or rich-text runs)."""
+    return "".join(t.text or "" for t in el.iter(f"{{{NS_MAIN}}}t"))
+
+
+def _first_sheet_path(z: zipfile.ZipFile) -> str:
+    wb = ET.fromstring(z.read("xl/workbook.xml"))
+    sheet = wb.find(f"{{{NS_MAIN}}}sheets/{{{NS_MAIN}}}sheet")
+    rid = sheet.get(f"{{{NS_REL}}}id")
+    rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
+    for rel in rels.iter(f"{{{NS_PKG_REL}}}Relationship"):
+        if rel.get("Id") == rid:
+            target = rel.get("Target").lstrip("/")
+            return target if target.startswith("xl/") else f"xl/{target}"
+    raise ValueError("workbook without a first sheet")
+
+
+def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
+    """Rows of the first sheet as lists of text (None for empty cells)."""
+    z = zipfile.ZipFile(io.BytesIO(content))
+    shared: list[str] = []
+    if "xl/sharedStrings.xml" in z.namelist():
+        for _, el in ET.iterparse(z.open("xl/sharedStrings.xml")):
+            if el.tag == f"{{{NS_MAIN}}}si":
+                shared.append(_text(el))
+                el.clear()
+    for _, el in ET.iterparse(z.open(_first_sheet_path(z))):
+        if el.tag != f"{{{NS_MAIN}}}row":
+            continue
+        cells: dict[int, str | None] = {}
+        for pos, c in enumerate(el.iter(f"{{{NS_MAIN}}}c")):
+            m = _CELL_REF.match(c.get("r") or "")
+            idx = _col_index(m.group(1)) if m else pos
+            kind = c.get("t", "n")
+            v = c.find(f"{{{NS_MAIN}}}v")
+            if kind == "s":
+                val = shared[int(v.text)] if v is not None and v.text else None
+            elif kind == "inlineStr":
+                is_ = c.find(f"{{{NS_MAIN}}}is")
+                val = _text(is_) if is_ is not None else None
+            elif kind == "b":
+                val = None if v is None else ("TRUE" if v.text == "1" else "FALSE")
+            else:
+                val = v.text if v is not None else None
+            cells[idx] = val
+        el.clear()
+        width = max(cells) + 1 if cells else 0
+        yield [cells.get(i) for i in range(width)]
+
+
+def parse_batches(batches: Iterator[pd.DataFrame], columns: Sequence[str]) -> Iterator[pd.DataFrame]:
+    """``mapInPandas`` body: (path, content) rows → one text row per sheet row."""
+    for batch in batches:
+        for path, content in zip(batch["path"], batch["content"]):
+            rows = sheet_rows(bytes(content))
+            header = next(rows, None)
+            if header is None:
+                continue
+            pos = {str(h).strip().lower(): i for i, h in enumerate(header) if h is not None}
+            out: dict[str, list] = {c: [] for c in columns}
+            out["source_file"] = []
+            for r in rows:
+                if not any(x not in (None, "") for x in r):
+                    continue
+                for c in columns:
+                    i = pos.get(c.lower())
+                    out[c].append(r[i] if i is not None and i < len(r) else None)
+                out["source_file"].append(path)
+            yield pd.DataFrame(out)
+
+
+def read_workbooks(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Text columns ``columns`` (matched to the header, case-insensitive) of
+    the first sheet of every workbook under ``paths``, plus ``source_file``."""
+    schema = T.StructType(
+        [T.StructField(c, T.StringType()) for c in columns]
+        + [T.StructField("source_file", T.StringType())]
+    )
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.xlsx")
+        .option("recursiveFileLookup", True)
+        .load(paths if isinstance(paths, str) else list(paths))
+        .select("path", "content")
+    )
+    cols = list(columns)
+    # No shuffle of the bytes: the scan already spreads whole files over tasks.
+    return files.mapInPandas(lambda it: parse_batches(it, cols), schema)
+
+
+def typed_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast text columns to ``schema``; date/time cells may be serial numbers."""
+    out = []
+    for f in schema.fields:
+        c = F.trim(F.col(f.name))
+        if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+            serial = c.try_cast("double")
+            from_serial = F.lit(SERIAL_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
+                secs=F.round(serial * 86400, 6).cast("decimal(18,6)"))
+            ts = F.when(serial.isNotNull(), from_serial).otherwise(c.try_cast("timestamp_ntz"))
+            out.append(ts.cast(f.dataType).alias(f.name))
+        else:
+            out.append(c.try_cast(f.dataType).alias(f.name))
+    rest = [x for x in df.columns if x not in schema.fieldNames()]
+    return df.select(*out, *rest)
+
+
+# --- writer -------------------------------------------------------------------
+
+_CONTENT_TYPES = (
+    '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+    '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
+    '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+    '<Default Extension="xml" ContentType="application/xml"/>'
+    '<Override PartName="/xl/workbook.xml" '
+    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+    '<Override PartName="/xl/worksheets/sheet1.xml" '
+    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
+    '<Override PartName="/xl/styles.xml" '
+    'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>'
+    '</Types>'
+)
+_ROOT_RELS = (
+    f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><Relationships xmlns="{NS_PKG_REL}">'
+    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/'
+    'relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>'
+)
+_WORKBOOK = (
+    f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><workbook xmlns="{NS_MAIN}" '
+    f'xmlns:r="{NS_REL}"><sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>'
+)
+_WORKBOOK_RELS = (
+    f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><Relationships xmlns="{NS_PKG_REL}">'
+    '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/'
+    'relationships/worksheet" Target="worksheets/sheet1.xml"/>'
+    '<Relationship Id="rId2" Type="http://schemas.openxmlformats.org/officeDocument/2006/'
+    'relationships/styles" Target="styles.xml"/></Relationships>'
+)
+# Style 1 = date-time number format (built-in id 22).
+_STYLES = (
+    f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><styleSheet xmlns="{NS_MAIN}">'
+    '<fonts count="1"><font/></fonts><fills count="1"><fill/></fills>'
+    '<borders count="1"><border/></borders><cellStyleXfs count="1"><xf/></cellStyleXfs>'
+    '<cellXfs count="2"><xf/><xf numFmtId="22" applyNumberFormat="1"/></cellXfs></styleSheet>'
+)
+
+
+def _letters(i: int) -> str:
+    s = ""
+    i += 1
+    while i:
+        i, r = divmod(i - 1, 26)
+        s = chr(65 + r) + s
+    return s
+
+
+def _esc(s: str) -> str:
+    return s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+
+
+def workbook_bytes(pdf: pd.DataFrame, serial_columns: Sequence[str] = ()) -> bytes:
+    """A one-sheet workbook: header row, text as inline strings, numbers as
+    numbers, ``serial_columns`` (datetimes) as date serials."""
+    if len(pdf) + 1 > MAX_ROWS:
+        raise ValueError("a sheet holds at most 1,048,576 rows; split the group")
+    epoch = pd.Timestamp(SERIAL_EPOCH)
+    cols = list(pdf.columns)
+    out = io.StringIO()
+    out.write(f'<?xml version="1.0" encoding="UTF-8" standalone="yes"?><worksheet xmlns="{NS_MAIN}"><sheetData>')
+
+    def cell(ref: str, v, is_serial: bool) -> str:
+        if v is None or (isinstance(v, float) and pd.isna(v)) or v is pd.NaT:
+            return ""
+        if is_serial:
+            days = (pd.Timestamp(v) - epoch) / pd.Timedelta(days=1)
+            return f'<c r="{ref}" s="1"><v>{days!r}</v></c>'
+        if isinstance(v, (int, float)) and not isinstance(v, bool):
+            return f'<c r="{ref}"><v>{v!r}</v></c>'
+        return f'<c r="{ref}" t="inlineStr"><is><t>{_esc(str(v))}</t></is></c>'
+
+    out.write('<row r="1">' + "".join(cell(f"{_letters(i)}1", c, False) for i, c in enumerate(cols)) + "</row>")
+    serial = set(serial_columns)
+    for n, rec in enumerate(pdf.itertuples(index=False, name=None), start=2):
+        out.write(f'<row r="{n}">')
+        out.write("".join(cell(f"{_letters(i)}{n}", v, cols[i] in serial) for i, v in enumerate(rec)))
+        out.write("</row>")
+    out.write("</sheetData></worksheet>")
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("[Content_Types].xml", _CONTENT_TYPES)
+        z.writestr("_rels/.rels", _ROOT_RELS)
+        z.writestr("xl/workbook.xml", _WORKBOOK)
+        z.writestr("xl/_rels/workbook.xml.rels", _WORKBOOK_RELS)
+        z.writestr("xl/styles.xml", _STYLES)
+        z.writestr("xl/worksheets/sheet1.xml", out.getvalue())
+    return buf.getvalue()
+
+
+def _write_group(pdf: pd.DataFrame, out_dir: str, columns: Sequence[str],
+                 serial_columns: Sequence[str]) -> pd.DataFrame:
+    import os
+
+    name = str(pdf["_file"].iloc[0])
+    path = f"{out_dir.rstrip('/')}/{name}"
+    local = path[len("file:"):] if path.startswith("file:") else path
+    os.makedirs(os.path.dirname(local), exist_ok=True)
+    data = workbook_bytes(pdf[list(columns)], serial_columns)
+    tmp = f"{local}.tmp"
+    with open(tmp, "wb") as fh:
+        fh.write(data)
+    os.replace(tmp, local)
+    return pd.DataFrame({"file": [path], "rows": [len(pdf)]})
+
+
+def write_workbooks(df: DataFrame, file_name: Column, out_dir: str,
+                    columns: Sequence[str] | None = None,
+                    serial_columns: Sequence[str] = ()) -> DataFrame:
+    """Write ``columns`` (default: all) as one workbook per distinct
+    ``file_name``; returns (file, rows).
+
+    ``out_dir`` must be a folder every executor can write (shared storage
+    mounted as a file system).  Lazy: run an action on the result.
+    """
+    columns = list(columns or df.columns)
+    sc = list(serial_columns)
+    return df.select(*columns, file_name.alias("_file")).groupBy("_file").applyInPandas(
+        lambda pdf: _write_group(pdf, out_dir, columns, sc), "file string, rows long"
+    )
+
+
+cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["_"]))
