@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 
 from cardsentry.functions import seconds, ts_literal
 from cardsentry.operators.enrich import enrich
+from cardsentry.plans.catalog import warehouse_catalog
 from cardsentry.operators.rules import LOOKBACK_SECS, flagged_sequence, report_from_flags
 from cardsentry.operators.scd2 import empty_history, scd2_apply
 from cardsentry.operators.sequence import DEFAULT_SLOT_HOURS
@@ -120,8 +121,14 @@ def run_day(
     report_dt: dt.datetime | None = None,
     slot_hours: int = DEFAULT_SLOT_HOURS,
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+    lookback: bool = True,
 ) -> None:
-    """Load day ``day`` and publish its report partition (idempotent)."""
+    """Load day ``day`` and publish its report partition (idempotent).
+
+    ``lookback=False`` runs the window rules over the day's rows only, as a
+    cycle that replaces the fact table daily would (misses sequences that
+    cross the load boundary).
+    """
     as_of = dt.datetime.combine(day, dt.time())
     report_dt = report_dt or as_of
     published = published_days(spark, store)
@@ -148,7 +155,7 @@ def run_day(
     # 3. fraud mart over the day plus the previous load's last hour as context
     tx_day = spark.read.parquet(store.day(FACT_TX, "load_date", day)).withColumn("_ctx", F.lit(False))
     rows = tx_day
-    if prev is not None:
+    if prev is not None and lookback:
         ctx = (spark.read.parquet(store.day(FACT_TX, "load_date", prev))
                .where(F.col("transaction_date") >= ts_literal(as_of) - seconds(LOOKBACK_SECS))
                .withColumn("_ctx", F.lit(True)))
@@ -160,8 +167,6 @@ def run_day(
     report.write.mode("overwrite").parquet(store.day(REPORT, "load_date", day))
 
     # 4. catalog snapshot of the warehouse after this load
-    from cardsentry.plans.catalog import warehouse_catalog
-
     warehouse_catalog(spark, store, as_of).write.mode("overwrite").parquet(
         store.day(META, "snapshot_day", day))
 

@@ -44,18 +44,14 @@ def parse_time(text: Column, fmt: str | None = None) -> Column:
     return F.try_to_timestamp(F.trim(text), F.lit(fmt)).cast("timestamp_ntz")
 
 
-def read_transactions(spark: SparkSession, paths: str | Sequence[str], sep: str = ";",
-                      ts_format: str | None = None) -> Parsed:
-    """Typed transactions (+ ``load_date`` from the file name) and quarantine."""
-    raw = (
-        spark.read.schema(TRANSACTIONS_RAW)
-        .option("header", True)
-        .option("sep", sep)
-        .option("mode", "PERMISSIVE")
-        .option("recursiveFileLookup", True)
-        .csv(paths if isinstance(paths, str) else list(paths))
-        .withColumn("source_file", F.col("_metadata.file_path"))
-    )
+def raw_reader(reader, sep: str = ";"):
+    """CSV options shared by the batch and the streaming reads."""
+    return (reader.schema(TRANSACTIONS_RAW).option("header", True).option("sep", sep)
+            .option("mode", "PERMISSIVE"))
+
+
+def type_transactions(raw: DataFrame, ts_format: str | None = None) -> Parsed:
+    """Type raw text rows (with ``source_file``); split off what does not parse."""
     typed = raw.select(
         F.trim("transaction_id").alias("trans_id"),
         parse_time(F.col("transaction_date"), ts_format).alias("transaction_date"),
@@ -73,12 +69,24 @@ def read_transactions(spark: SparkSession, paths: str | Sequence[str], sep: str
           & F.col("card_num").isNotNull() & F.col("load_date").isNotNull())
     good = typed.where(ok).drop("_amount_text", "_time_text")
     bad = typed.where(~ok).select(
-        "source_file", "trans_id", "card_num",
+        "source_file", "load_date", "trans_id", "card_num",
         F.col("_amount_text").alias("amount_text"), F.col("_time_text").alias("time_text"),
     )
     return Parsed(good, bad)
 
 
+def read_transactions(spark: SparkSession, paths: str | Sequence[str], sep: str = ";",
+                      ts_format: str | None = None) -> Parsed:
+    """Typed transactions (+ ``load_date`` from the file name) and quarantine."""
+    raw = (
+        raw_reader(spark.read, sep)
+        .option("recursiveFileLookup", True)
+        .csv(paths if isinstance(paths, str) else list(paths))
+        .withColumn("source_file", F.col("_metadata.file_path"))
+    )
+    return type_transactions(raw, ts_format)
+
+
 def write_transactions(df: DataFrame, out_dir: str, sep: str = ";",
                        comma_decimal: Column | None = None) -> None:
     """Write one delimited file set per load day, named ``transactions_ddmmyyyy.txt``.
