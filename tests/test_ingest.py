@@ -1,0 +1,115 @@
+"""Readers: amounts with a decimal comma, quarantine, workbook cells."""
+
+import datetime as dt
+import io
+import os
+import zipfile
+from decimal import Decimal
+
+import pandas as pd
+import pytest
+
+from cardsentry.schemas import BLACKLIST, TERMINALS
+from cardsentry.session import scratch_path
+from cardsentry.sources import delimited, workbook
+
+
+def _local(path: str) -> str:
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+@pytest.fixture(scope="module")
+def tx_file(spark):
+    folder = _local(scratch_path(spark, "ingest-unit"))
+    os.makedirs(folder)
+    text = (
+        "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
+        "1;2021-03-01 10:00:00;12.5;K1;payment;SUCCESS;T1\n"
+        "2;2021-03-01 10:01:00;12,5;K1;payment;reject ;T1\n"
+        "3;2021-03-01 10:02:00;abc;K1;payment;SUCCESS;T1\n"
+        "4;2021-03-01 10:03:00;1.234,50;K1;payment;SUCCESS;T1\n"
+        "5;not a time;7;K1;payment;SUCCESS;T1\n"
+    )
+    path = os.path.join(folder, "transactions_01032021.txt")
+    with open(path, "w") as fh:
+        fh.write(text)
+    return path
+
+
+def test_amounts_and_quarantine(spark, tx_file):
+    parsed = delimited.read_transactions(spark, tx_file)
+    good = {r.trans_id: (r.amount, r.oper_result, r.load_date) for r in parsed.good.collect()}
+    assert good == {
+        "1": (Decimal("12.50"), "SUCCESS", dt.date(2021, 3, 1)),
+        "2": (Decimal("12.50"), "REJECT", dt.date(2021, 3, 1)),
+    }
+    bad = sorted(r.trans_id for r in parsed.quarantine.collect())
+    assert bad == ["3", "4", "5"]
+
+
+def test_file_day_token(spark):
+    df = spark.createDataFrame(
+        [("file:/x/transactions_01032021.txt",), ("file:/x/file=terminals_15122024.xlsx/part-1.csv",),
+         ("file:/x/part-12345678-c000.csv",)], "p string")
+    got = [r[0] for r in df.select(delimited.file_day(df.p)).collect()]
+    assert got == [dt.date(2021, 3, 1), dt.date(2024, 12, 15), None]
+
+
+def _handmade_workbook() -> bytes:
+    """Shared strings, a missing cell, a boolean and a date serial, with the
+    columns in another order than the reader asks for."""
+    ns = workbook.NS_MAIN
+    sheet = (
+        f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{ns}"><sheetData>'
+        '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c>'
+        '<c r="C1" t="inlineStr"><is><t>terminal_city</t></is></c>'
+        '<c r="D1" t="inlineStr"><is><t>TERMINAL_ADDRESS</t></is></c></row>'
+        '<row r="2"><c r="A2" t="s"><v>2</v></c><c r="B2" t="s"><v>3</v></c>'
+        '<c r="D2" t="inlineStr"><is><r><t>Main </t></r><r><t>st. 1</t></r></is></c></row>'
+        '<row r="3"><c r="A3" t="inlineStr"><is><t>T2</t></is></c><c r="C3" t="b"><v>1</v></c></row>'
+        '</sheetData></worksheet>'
+    )
+    shared = (
+        f'<?xml version="1.0" encoding="UTF-8"?><sst xmlns="{ns}">'
+        '<si><t>terminal_id</t></si><si><t>terminal_type</t></si><si><t>T1</t></si><si><t>ATM</t></si></sst>'
+    )
+    buf = io.BytesIO()
+    base = workbook.workbook_bytes(pd.DataFrame({"x": [1]}))
+    with zipfile.ZipFile(io.BytesIO(base)) as src, zipfile.ZipFile(buf, "w") as z:
+        for name in src.namelist():
+            if name != "xl/worksheets/sheet1.xml":
+                z.writestr(name, src.read(name))
+        z.writestr("xl/worksheets/sheet1.xml", sheet)
+        z.writestr("xl/sharedStrings.xml", shared)
+    return buf.getvalue()
+
+
+def test_workbook_cells(spark):
+    folder = _local(scratch_path(spark, "wb-unit"))
+    os.makedirs(folder)
+    with open(os.path.join(folder, "terminals_01032021.xlsx"), "wb") as fh:
+        fh.write(_handmade_workbook())
+    raw = workbook.read_workbooks(spark, folder, ["terminal_id", "terminal_type", "terminal_city",
+                                                  "terminal_address"])
+    rows = sorted(tuple(r)[:4] for r in workbook.typed_columns(raw, TERMINALS).collect())
+    assert rows == [("T1", "ATM", None, "Main st. 1"), ("T2", None, "TRUE", None)]
+
+
+def test_workbook_date_serials_round_trip(spark):
+    folder = scratch_path(spark, "wb-dates")
+    df = spark.createDataFrame(
+        [(dt.datetime(2021, 3, 1, 0, 0), "P1"), (dt.datetime(2021, 3, 2, 13, 30, 15), "P2")],
+        "date timestamp_ntz, passport string")
+    from pyspark.sql import functions as F
+
+    workbook.write_workbooks(df, F.lit("passport_blacklist_02032021.xlsx"), folder,
+                             serial_columns=["date"]).collect()
+    back = workbook.typed_columns(workbook.read_workbooks(spark, folder, ["date", "passport"]),
+                                  BLACKLIST)
+    assert sorted((r.date, r.passport) for r in back.collect()) == [
+        (dt.datetime(2021, 3, 1, 0, 0), "P1"), (dt.datetime(2021, 3, 2, 13, 30, 15), "P2")]
+
+
+def test_sheet_row_limit():
+    with pytest.raises(ValueError):
+        workbook.workbook_bytes(pd.DataFrame({"x": range(workbook.MAX_ROWS)}))

@@ -1,0 +1,43 @@
+"""The incremental driver over a landing folder equals the batch cycle, and a
+second run finds nothing new."""
+
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from cardsentry.plans import daily
+from cardsentry.plans.registry import _load_slices, run_cycle
+from cardsentry.plans.testviews import set_e
+from cardsentry.schemas import TERMINAL_ATTRS, TERMINAL_KEY
+from cardsentry.session import scratch_path
+from cardsentry.sources import delimited, workbook
+from cardsentry.sources.masters import Masters
+from cardsentry.streaming.daily_stream import run_available
+from conftest import SF_SMALL
+
+
+def test_stream_equals_batch_cycle(spark):
+    w = set_e(spark, SF_SMALL)
+    landing = scratch_path(spark, "landing")
+    tx = reduce(lambda a, b: a.unionByName(b),
+                [t.withColumn("load_date", F.lit(d)) for d, t, _ in _load_slices(w)])
+    delimited.write_transactions(tx, f"{landing}/transactions",
+                                 comma_decimal=F.xxhash64("trans_id") % 2 == 0)
+    name = F.concat(F.lit("terminals_"), F.date_format("as_of", "ddMMyyyy"), F.lit(".xlsx"))
+    workbook.write_workbooks(w.snapshots, name, f"{landing}/terminals",
+                             columns=[TERMINAL_KEY, *TERMINAL_ATTRS]).collect()
+    bl = reduce(lambda a, b: a.unionByName(b),
+                [w.blacklist.withColumn("_d", F.lit(d).cast("timestamp_ntz")) for d in w.snapshot_days])
+    workbook.write_workbooks(
+        bl, F.concat(F.lit("passport_blacklist_"), F.date_format("_d", "ddMMyyyy"), F.lit(".xlsx")),
+        f"{landing}/blacklist", columns=["date", "passport"], serial_columns=["date"]).collect()
+
+    store = daily.Store.fresh(spark, "stream")
+    masters = Masters(w.cards, w.accounts, w.clients)
+    archive = scratch_path(spark, "archive")
+    days = run_available(spark, landing, store, masters, archive_dir=archive)
+    assert days == list(w.snapshot_days)
+    got = sorted(map(tuple, daily.report(spark, store).collect()), key=repr)
+    want = sorted(map(tuple, daily.report(spark, run_cycle(spark, w)).collect()), key=repr)
+    assert got == want
+    assert run_available(spark, landing, store, masters, archive_dir=archive) == []
