@@ -23,8 +23,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardsentry.functions import attrs_changed, seconds, ts_literal
@@ -121,6 +122,59 @@ def scd2_apply(hist: DataFrame, snapshot: DataFrame, as_of, key: str = TERMINAL_
     return closed.select(*cols).unionByName(fresh.select(*cols))
 
 
+def history_from_cuts(snapshots: DataFrame, key: str = TERMINAL_KEY,
+                      attrs: Iterable[str] = TERMINAL_ATTRS,
+                      days: Iterable[dt.date | dt.datetime] | None = None) -> DataFrame:
+    """The history that folding every cut in ``as_of`` order would give, in
+    one pass (backfill): one shuffle by key and two windows, no key × day grid.
+
+    Per key and cut, the previous and next cut *days* come from the list of
+    cut days (one row per day, broadcast: it grows by one row a day).  A key
+    present on a cut opens a version when it was not present on the previous
+    cut day or its attributes changed; it leaves a tombstone on the next cut
+    day when it is missing there.  ``effective_to`` is the next version's
+    start minus one second.
+    """
+    attrs = tuple(attrs)
+    spark = snapshots.sparkSession
+    if days is None:
+        days = [r[0] for r in snapshots.select("as_of").distinct().collect()]
+    day_list = sorted(d if isinstance(d, dt.datetime) else dt.datetime.combine(d, dt.time())
+                      for d in days)
+    nxt = day_list[1:] + [None]
+    prv = [None] + day_list[:-1]
+    calendar = spark.createDataFrame(
+        list(zip(day_list, prv, nxt)),
+        "as_of timestamp_ntz, prev_cut timestamp_ntz, next_cut timestamp_ntz")
+    cuts = snapshots.select("as_of", key, *attrs).join(F.broadcast(calendar), "as_of")
+
+    w = Window.partitionBy(key).orderBy("as_of")
+    seq = cuts.select(
+        "*",
+        F.lag("as_of").over(w).alias("_p_as_of"),
+        F.lead("as_of").over(w).alias("_n_as_of"),
+        *[F.lag(a).over(w).alias(f"_p_{a}") for a in attrs],
+    )
+    changed = reduce(lambda acc, a: acc | ~F.col(a).eqNullSafe(F.col(f"_p_{a}")), attrs, F.lit(False))
+    starts = F.col("_p_as_of").isNull() | (F.col("_p_as_of") != F.col("prev_cut")) | changed
+    leaves = F.col("next_cut").isNotNull() & (
+        F.col("_n_as_of").isNull() | (F.col("_n_as_of") != F.col("next_cut")))
+
+    def version(flag: int, frm: str) -> Column:
+        return F.struct(F.col(key).alias(key), *[F.col(a).alias(a) for a in attrs],
+                        F.lit(flag).alias("deleted_flg"), F.col(frm).alias("effective_from"))
+
+    versions = seq.select(F.explode(F.array(
+        F.when(starts, version(0, "as_of")), F.when(leaves, version(1, "next_cut")),
+    )).alias("v")).where(F.col("v").isNotNull()).select("v.*")
+    w2 = Window.partitionBy(key).orderBy("effective_from")
+    return versions.select(
+        key, *attrs, "deleted_flg", "effective_from",
+        F.coalesce(F.lead("effective_from").over(w2) - seconds(1), ts_literal(OPEN_END))
+        .alias("effective_to"),
+    )
+
+
 def build_history(spark: SparkSession, snapshots: DataFrame, days: Iterable[dt.date | dt.datetime],
                   hist: DataFrame | None = None, cut_lineage: bool = True) -> DataFrame:
     """Fold the daily cuts (``as_of`` column) into the history, day by day.

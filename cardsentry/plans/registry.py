@@ -18,9 +18,9 @@ from cardsentry.operators.scd2 import (
     CHANGED,
     DELETED,
     NEW,
-    build_history,
     current,
     empty_history,
+    history_from_cuts,
     scd2_apply,
     snapshot_diff,
 )
@@ -38,7 +38,7 @@ def _chain(w: Warehouse) -> DataFrame:
 
 
 def _history(spark: SparkSession, w: Warehouse) -> DataFrame:
-    return build_history(spark, w.snapshots, w.snapshot_days)
+    return history_from_cuts(w.snapshots, days=w.snapshot_days)
 
 
 def enriched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

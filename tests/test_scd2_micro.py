@@ -107,3 +107,24 @@ def test_reapplying_the_same_cut_changes_nothing(spark, hist):
     cut = current(hist, dt.date(2021, 3, 3))
     again = scd2_apply(hist, cut, day)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, hist.collect()))
+
+
+def test_closed_form_equals_the_fold(spark, hist):
+    from cardsentry.operators.scd2 import history_from_cuts
+
+    rows = [(dt.datetime.combine(DAYS[i], dt.time()), t, "POS", c, f"addr {t}")
+            for i, cut in CUTS.items() for t, c in cut]
+    closed = history_from_cuts(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(map(tuple, closed.collect())) == sorted(map(tuple, hist.collect()))
+
+
+def test_closed_form_equals_the_fold_on_test_tables(spark):
+    from conftest import SF_MID
+    from cardsentry.operators.scd2 import history_from_cuts
+    from cardsentry.plans.testviews import set_e
+
+    w = set_e(spark, SF_MID)
+    fold = build_history(spark, w.snapshots, w.snapshot_days)
+    closed = history_from_cuts(w.snapshots)
+    assert fold.count() == 142
+    assert sorted(map(tuple, closed.collect())) == sorted(map(tuple, fold.collect()))
