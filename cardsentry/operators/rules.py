@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cardsentry.functions import is_expired, ts_literal, within
 from cardsentry.operators.asof import join_terminal_asof
-from cardsentry.operators.sequence import DEFAULT_SLOT_HOURS, with_lags
+from cardsentry.operators.sequence import DEFAULT_HOT_ROWS, DEFAULT_SLOT_HOURS, with_lags
 from cardsentry.schemas import (
     CITY_HOP_SECONDS,
     EVENT_AMOUNT_PROBE,
@@ -130,22 +130,25 @@ def invalid_agreement(enriched: DataFrame, report_dt) -> DataFrame:
 
 
 def _known_sequence(enriched: DataFrame, hist: DataFrame, slot_hours: int,
-                    broadcast_rows: int | None) -> DataFrame:
+                    broadcast_rows: int | None, hot_rows: int | None) -> DataFrame:
     joined = join_terminal_asof(enriched, hist, how="inner", broadcast_rows=broadcast_rows)
-    return with_lags(joined, SEQUENCE_LAGS, LOOKBACK_SECS, slot_hours=slot_hours)
+    return with_lags(joined, SEQUENCE_LAGS, LOOKBACK_SECS, slot_hours=slot_hours,
+                     hot_rows=hot_rows)
 
 
 def city_hop(enriched: DataFrame, hist: DataFrame, report_dt,
              slot_hours: int = DEFAULT_SLOT_HOURS,
-             broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    seq = _known_sequence(enriched, hist, slot_hours, broadcast_rows)
+             broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+             hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    seq = _known_sequence(enriched, hist, slot_hours, broadcast_rows, hot_rows)
     return report_rows(seq.where(city_hop_flag()), EVENT_CITY_HOP, report_dt)
 
 
 def amount_probe(enriched: DataFrame, hist: DataFrame, report_dt,
                  slot_hours: int = DEFAULT_SLOT_HOURS,
-                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    seq = _known_sequence(enriched, hist, slot_hours, broadcast_rows)
+                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                 hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    seq = _known_sequence(enriched, hist, slot_hours, broadcast_rows, hot_rows)
     return report_rows(seq.where(amount_probe_flag()), EVENT_AMOUNT_PROBE, report_dt)
 
 
@@ -153,7 +156,8 @@ def amount_probe(enriched: DataFrame, hist: DataFrame, report_dt,
 
 def flagged_sequence(enriched: DataFrame, blacklist: DataFrame, hist: DataFrame,
                      slot_hours: int = DEFAULT_SLOT_HOURS,
-                     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                     hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Every enriched transaction with five rule flags, in one pass.
 
     Unknown terminals stay in (left point-in-time join, ``known`` = false) and
@@ -164,7 +168,7 @@ def flagged_sequence(enriched: DataFrame, blacklist: DataFrame, hist: DataFrame,
     with_bl = enriched.join(bl, F.col("passport_num") == F.col("bl_passport"), "left")
     joined = join_terminal_asof(with_bl, hist, how="left", broadcast_rows=broadcast_rows)
     seq = with_lags(joined, SEQUENCE_LAGS, LOOKBACK_SECS,
-                    partition_by=("card_num", "known"), slot_hours=slot_hours)
+                    partition_by=("card_num", "known"), slot_hours=slot_hours, hot_rows=hot_rows)
     known = F.col("known")
     return seq.select(
         "*",
@@ -195,7 +199,8 @@ def report_from_flags(flagged: DataFrame, report_dt, extra: tuple[str, ...] = ()
 
 def fraud_mart(enriched: DataFrame, blacklist: DataFrame, hist: DataFrame, report_dt,
                slot_hours: int = DEFAULT_SLOT_HOURS,
-               broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+               hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """All five rules in one distributed pass (one Exchange for the window)."""
-    flagged = flagged_sequence(enriched, blacklist, hist, slot_hours, broadcast_rows)
+    flagged = flagged_sequence(enriched, blacklist, hist, slot_hours, broadcast_rows, hot_rows)
     return report_from_flags(flagged, report_dt)

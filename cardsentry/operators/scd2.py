@@ -161,12 +161,13 @@ def history_from_cuts(snapshots: DataFrame, key: str = TERMINAL_KEY,
         F.col("_n_as_of").isNull() | (F.col("_n_as_of") != F.col("next_cut")))
 
     def version(flag: int, frm: str) -> Column:
-        return F.struct(F.col(key).alias(key), *[F.col(a).alias(a) for a in attrs],
+        return F.struct(*[F.col(a).alias(a) for a in attrs],
                         F.lit(flag).alias("deleted_flg"), F.col(frm).alias("effective_from"))
 
-    versions = seq.select(F.explode(F.array(
+    # The key stays a plain column so the second window reuses the shuffle.
+    versions = seq.select(key, F.explode(F.array(
         F.when(starts, version(0, "as_of")), F.when(leaves, version(1, "next_cut")),
-    )).alias("v")).where(F.col("v").isNotNull()).select("v.*")
+    )).alias("v")).where(F.col("v").isNotNull()).select(key, "v.*")
     w2 = Window.partitionBy(key).orderBy("effective_from")
     return versions.select(
         key, *attrs, "deleted_flg", "effective_from",

@@ -41,14 +41,14 @@ def register_warehouse(spark: SparkSession, store) -> str:
                  daily.LOAD_LOG):
         full = f"{db}.{name}"
         if spark.catalog.tableExists(full):
-            spark.catalog.refreshTable(full)
-            continue
+            continue  # columns are fixed; new day folders need no re-registration
         try:
             spark.catalog.createTable(full, path=store.table(name), source="parquet")
         except AnalysisException:
             continue  # folder not written yet
-    if spark.catalog.tableExists(f"{db}.{daily.DIM}") and spark.catalog.tableExists(
-            f"{db}.{daily.LOAD_LOG}"):
+    if (not spark.catalog.tableExists(f"{db}.v_terminals")
+            and spark.catalog.tableExists(f"{db}.{daily.DIM}")
+            and spark.catalog.tableExists(f"{db}.{daily.LOAD_LOG}")):
         spark.sql(
             f"CREATE OR REPLACE VIEW {db}.v_terminals AS "
             f"SELECT terminal_id, terminal_type, terminal_city, terminal_address "

@@ -39,7 +39,7 @@ from cardsentry.operators.enrich import enrich
 from cardsentry.plans.catalog import warehouse_catalog
 from cardsentry.operators.rules import LOOKBACK_SECS, flagged_sequence, report_from_flags
 from cardsentry.operators.scd2 import empty_history, scd2_apply
-from cardsentry.operators.sequence import DEFAULT_SLOT_HOURS
+from cardsentry.operators.sequence import DEFAULT_HOT_ROWS, DEFAULT_SLOT_HOURS
 from cardsentry.schemas import OPEN_END, TERMINALS_HIST
 from cardsentry.session import DEFAULT_BROADCAST_ROWS, scratch_path
 
@@ -122,6 +122,7 @@ def run_day(
     slot_hours: int = DEFAULT_SLOT_HOURS,
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
     lookback: bool = True,
+    hot_rows: int | None = DEFAULT_HOT_ROWS,
 ) -> None:
     """Load day ``day`` and publish its report partition (idempotent).
 
@@ -162,7 +163,7 @@ def run_day(
         rows = tx_day.unionByName(ctx)
     bl = spark.read.parquet(store.day(FACT_BLACKLIST, "load_date", day))
     enriched = enrich(rows, cards, accounts, clients, broadcast_rows)
-    flagged = flagged_sequence(enriched, bl, hist, slot_hours, broadcast_rows)
+    flagged = flagged_sequence(enriched, bl, hist, slot_hours, broadcast_rows, hot_rows)
     report = report_from_flags(flagged.where(~F.col("_ctx")), report_dt)
     report.write.mode("overwrite").parquet(store.day(REPORT, "load_date", day))
 
