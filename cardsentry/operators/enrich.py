@@ -26,22 +26,43 @@ OWNER_COLUMNS = (
 )
 
 
-def card_owners(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
-    """One row per card with its account and client (inner joins upward)."""
+def blocked_since(blacklist: DataFrame) -> DataFrame:
+    """First blacklisting time per passport (pre-aggregated, unique key).
+
+    Being later than any entry equals being later than the first, and the
+    unique key keeps a passport listed twice from repeating reports.
+    """
+    return blacklist.groupBy(F.col("passport").alias("bl_passport")).agg(
+        F.min("date").alias("blocked_since")
+    )
+
+
+def card_owners(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+                blacklist: DataFrame | None = None) -> DataFrame:
+    """One row per card with its account and client (inner joins upward).
+
+    With ``blacklist``, also the passport's ``blocked_since`` (null when not
+    listed), so the fact needs no join of its own for the blacklist rule.
+    """
     acc = accounts.select("account", F.col("valid_to").alias("account_valid_to"), "client")
     cl = clients.select(
         "client_id", "passport_num", "passport_valid_to", fio().alias("fio"), "phone"
     )
-    return (
+    owners = (
         cards.select("card_num", "account")
         .join(acc, "account")
         .join(cl, F.col("client") == F.col("client_id"))
         .select(*OWNER_COLUMNS)
     )
+    if blacklist is None:
+        return owners
+    bl = blocked_since(blacklist)
+    return owners.join(bl, F.col("passport_num") == F.col("bl_passport"), "left").drop("bl_passport")
 
 
 def enrich(transactions: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+           blacklist: DataFrame | None = None) -> DataFrame:
     """Transactions with their card owner; transactions of unknown cards drop out."""
-    owners = broadcast_if_small(card_owners(cards, accounts, clients), broadcast_rows)
+    owners = broadcast_if_small(card_owners(cards, accounts, clients, blacklist), broadcast_rows)
     return transactions.join(owners, "card_num")

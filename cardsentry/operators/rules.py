@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from cardsentry.functions import is_expired, ts_literal, within
 from cardsentry.operators.asof import join_terminal_asof
+from cardsentry.operators.enrich import blocked_since
 from cardsentry.operators.sequence import DEFAULT_HOT_ROWS, DEFAULT_SLOT_HOURS, with_lags
 from cardsentry.schemas import (
     CITY_HOP_SECONDS,
@@ -58,17 +59,6 @@ def report_rows(df: DataFrame, event_type: str | Column, report_dt,
     )
 
 
-def blocked_since(blacklist: DataFrame) -> DataFrame:
-    """First blacklisting time per passport (pre-aggregated, unique key).
-
-    Being later than any entry equals being later than the first, and the
-    unique key keeps a passport listed twice from repeating reports.
-    """
-    return blacklist.groupBy(F.col("passport").alias("bl_passport")).agg(
-        F.min("date").alias("blocked_since")
-    )
-
-
 # --- flag expressions -------------------------------------------------------
 
 def expired_passport_flag() -> Column:
@@ -118,10 +108,19 @@ def expired_passport(enriched: DataFrame, report_dt) -> DataFrame:
     return report_rows(enriched.where(expired_passport_flag()), EVENT_EXPIRED_PASSPORT, report_dt)
 
 
-def blocked_passport(enriched: DataFrame, blacklist: DataFrame, report_dt,
-                     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def _with_blocked_since(enriched: DataFrame, blacklist: DataFrame | None,
+                        broadcast_rows: int | None) -> DataFrame:
+    """``blocked_since`` on every row: already there when the chain was built
+    with the blacklist (preferred), else one left join on the passport."""
+    if "blocked_since" in enriched.columns:
+        return enriched
     bl = broadcast_if_small(blocked_since(blacklist), broadcast_rows)
-    hits = enriched.join(bl, F.col("passport_num") == F.col("bl_passport")).where(blocked_flag())
+    return enriched.join(bl, F.col("passport_num") == F.col("bl_passport"), "left")
+
+
+def blocked_passport(enriched: DataFrame, blacklist: DataFrame | None, report_dt,
+                     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    hits = _with_blocked_since(enriched, blacklist, broadcast_rows).where(blocked_flag())
     return report_rows(hits, EVENT_BLOCKED_PASSPORT, report_dt)
 
 
@@ -154,7 +153,7 @@ def amount_probe(enriched: DataFrame, hist: DataFrame, report_dt,
 
 # --- fused mart ---------------------------------------------------------------
 
-def flagged_sequence(enriched: DataFrame, blacklist: DataFrame, hist: DataFrame,
+def flagged_sequence(enriched: DataFrame, blacklist: DataFrame | None, hist: DataFrame,
                      slot_hours: int = DEFAULT_SLOT_HOURS,
                      broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                      hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
@@ -164,8 +163,7 @@ def flagged_sequence(enriched: DataFrame, blacklist: DataFrame, hist: DataFrame,
     form their own sequence, so the lags of known rows equal those after an
     inner join; rules 3 and 4 require ``known``.
     """
-    bl = broadcast_if_small(blocked_since(blacklist), broadcast_rows)
-    with_bl = enriched.join(bl, F.col("passport_num") == F.col("bl_passport"), "left")
+    with_bl = _with_blocked_since(enriched, blacklist, broadcast_rows)
     joined = join_terminal_asof(with_bl, hist, how="left", broadcast_rows=broadcast_rows)
     seq = with_lags(joined, SEQUENCE_LAGS, LOOKBACK_SECS,
                     partition_by=("card_num", "known"), slot_hours=slot_hours, hot_rows=hot_rows)
@@ -197,7 +195,7 @@ def report_from_flags(flagged: DataFrame, report_dt, extra: tuple[str, ...] = ()
     return report_rows(exploded, F.col("_event"), report_dt, extra)
 
 
-def fraud_mart(enriched: DataFrame, blacklist: DataFrame, hist: DataFrame, report_dt,
+def fraud_mart(enriched: DataFrame, blacklist: DataFrame | None, hist: DataFrame, report_dt,
                slot_hours: int = DEFAULT_SLOT_HOURS,
                broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:

@@ -162,8 +162,8 @@ def run_day(
                .withColumn("_ctx", F.lit(True)))
         rows = tx_day.unionByName(ctx)
     bl = spark.read.parquet(store.day(FACT_BLACKLIST, "load_date", day))
-    enriched = enrich(rows, cards, accounts, clients, broadcast_rows)
-    flagged = flagged_sequence(enriched, bl, hist, slot_hours, broadcast_rows, hot_rows)
+    enriched = enrich(rows, cards, accounts, clients, broadcast_rows, blacklist=bl)
+    flagged = flagged_sequence(enriched, None, hist, slot_hours, broadcast_rows, hot_rows)
     report = report_from_flags(flagged.where(~F.col("_ctx")), report_dt)
     report.write.mode("overwrite").parquet(store.day(REPORT, "load_date", day))
 

@@ -33,8 +33,9 @@ from cardsentry.sources import delimited, workbook
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _chain(w: Warehouse) -> DataFrame:
-    return enrich(w.transactions, w.cards, w.accounts, w.clients)
+def _chain(w: Warehouse, with_blacklist: bool = False) -> DataFrame:
+    return enrich(w.transactions, w.cards, w.accounts, w.clients,
+                  blacklist=w.blacklist if with_blacklist else None)
 
 
 def _history(spark: SparkSession, w: Warehouse) -> DataFrame:
@@ -55,7 +56,7 @@ def fraud_expired_passport(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fraud_blocked_passport(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = set_e(spark, sf_dir)
-    return rules.blocked_passport(_chain(w), w.blacklist, w.report_dt)
+    return rules.blocked_passport(_chain(w, with_blacklist=True), None, w.report_dt)
 
 
 def fraud_invalid_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,7 @@ def fraud_amount_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fraud_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = set_e(spark, sf_dir)
-    return rules.fraud_mart(_chain(w), w.blacklist, _history(spark, w), w.report_dt)
+    return rules.fraud_mart(_chain(w, with_blacklist=True), None, _history(spark, w), w.report_dt)
 
 
 def terminals_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,7 +222,7 @@ def volume_expired_passport(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def volume_blocked_passport(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = set_l(spark, sf_dir)
-    return rules.blocked_passport(_chain(w), w.blacklist, w.report_dt)
+    return rules.blocked_passport(_chain(w, with_blacklist=True), None, w.report_dt)
 
 
 def volume_invalid_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
