@@ -129,25 +129,36 @@ def invalid_agreement(enriched: DataFrame, report_dt) -> DataFrame:
 
 
 def _known_sequence(enriched: DataFrame, hist: DataFrame, slot_hours: int,
-                    broadcast_rows: int | None, hot_rows: int | None) -> DataFrame:
-    joined = join_terminal_asof(enriched, hist, how="inner", broadcast_rows=broadcast_rows)
+                    broadcast_rows: int | None, hot_rows: int | None,
+                    dim_mode: str = "point_in_time") -> DataFrame:
+    """Transactions of known terminals with their sequence lags.
+
+    ``dim_mode='all_versions'`` reproduces the original statements literally:
+    every version of the terminal joins, so a transaction repeats once per
+    version (ordered by version start among equal times).
+    """
+    joined = join_terminal_asof(enriched, hist, how="inner", mode=dim_mode,
+                                broadcast_rows=broadcast_rows)
+    ties = ("trans_id",) if dim_mode == "point_in_time" else ("trans_id", "effective_from")
     return with_lags(joined, SEQUENCE_LAGS, LOOKBACK_SECS, slot_hours=slot_hours,
-                     hot_rows=hot_rows)
+                     hot_rows=hot_rows, hot_source=enriched, tiebreak=ties)
 
 
 def city_hop(enriched: DataFrame, hist: DataFrame, report_dt,
              slot_hours: int = DEFAULT_SLOT_HOURS,
              broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-             hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
-    seq = _known_sequence(enriched, hist, slot_hours, broadcast_rows, hot_rows)
+             hot_rows: int | None = DEFAULT_HOT_ROWS,
+             dim_mode: str = "point_in_time") -> DataFrame:
+    seq = _known_sequence(enriched, hist, slot_hours, broadcast_rows, hot_rows, dim_mode)
     return report_rows(seq.where(city_hop_flag()), EVENT_CITY_HOP, report_dt)
 
 
 def amount_probe(enriched: DataFrame, hist: DataFrame, report_dt,
                  slot_hours: int = DEFAULT_SLOT_HOURS,
                  broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                 hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
-    seq = _known_sequence(enriched, hist, slot_hours, broadcast_rows, hot_rows)
+                 hot_rows: int | None = DEFAULT_HOT_ROWS,
+                 dim_mode: str = "point_in_time") -> DataFrame:
+    seq = _known_sequence(enriched, hist, slot_hours, broadcast_rows, hot_rows, dim_mode)
     return report_rows(seq.where(amount_probe_flag()), EVENT_AMOUNT_PROBE, report_dt)
 
 
@@ -166,7 +177,8 @@ def flagged_sequence(enriched: DataFrame, blacklist: DataFrame | None, hist: Dat
     with_bl = _with_blocked_since(enriched, blacklist, broadcast_rows)
     joined = join_terminal_asof(with_bl, hist, how="left", broadcast_rows=broadcast_rows)
     seq = with_lags(joined, SEQUENCE_LAGS, LOOKBACK_SECS,
-                    partition_by=("card_num", "known"), slot_hours=slot_hours, hot_rows=hot_rows)
+                    partition_by=("card_num", "known"), slot_hours=slot_hours, hot_rows=hot_rows,
+                    hot_source=enriched)
     known = F.col("known")
     return seq.select(
         "*",

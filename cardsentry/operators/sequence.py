@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardsentry.functions import hour_bucket, seconds
-from cardsentry.session import broadcast_if_small
+from cardsentry.session import broadcast_if_small, shared_dir
 
 DEFAULT_SLOT_HOURS = 24
 DEFAULT_HOT_SLOT_HOURS = 1
@@ -69,17 +69,20 @@ def with_lags(
     lookback_secs: int,
     partition_by: Sequence[str] = ("card_num",),
     ts_col: str = "transaction_date",
-    tiebreak: str = "trans_id",
+    tiebreak: str | Sequence[str] = "trans_id",
     slot_hours: int = DEFAULT_SLOT_HOURS,
     hot_rows: int | None = None,
     hot_slot_hours: int = DEFAULT_HOT_SLOT_HOURS,
+    hot_source: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``<col>_lag<k>`` for each requested column and offset.
 
     Ordering is (``ts_col``, ``tiebreak``) so equal times give a stable order.
     Lags are exact whenever the lagged row lies less than ``lookback_secs``
     before the current row; farther lags may come back null.
-    ``hot_rows`` (None = off) turns on finer slots for hot (card, day) pairs.
+    ``hot_rows`` (None = off) turns on finer slots for hot (card, day) pairs;
+    ``hot_source`` is a cheaper DataFrame with the same (or more) rows per
+    (card, day) to count them on, e.g. the input before a dimension join.
     """
     if min(slot_hours, hot_slot_hours) * 3600 < lookback_secs:
         raise ValueError("slots must cover the lookback")
@@ -91,8 +94,11 @@ def with_lags(
     base = F.lit(slot_hours)
     home_len, reach_len = base, base
     if hot_rows:
-        hot = hot_days(df, key, ts_col, hot_rows)
-        hot = broadcast_if_small(hot, HOT_LIST_MAX_ROWS)
+        # Counted once on the cheapest input that has every row, materialised
+        # in the shared folder (tiny: ≤ total/hot_rows rows), then probed.
+        shared_dir(df.sparkSession)
+        hot = hot_days(hot_source if hot_source is not None else df, key, ts_col, hot_rows)
+        hot = broadcast_if_small(hot.checkpoint(eager=True), HOT_LIST_MAX_ROWS)
         h1 = hot.select(F.col("_hk").alias("_h1k"), F.col("_hd").alias("_h1d"))
         h2 = hot.select(F.col("_hk").alias("_h2k"), F.col("_hd").alias("_h2d"))
         df = (df.join(h1, (F.col(key) == F.col("_h1k")) & (F.to_date(ts) == F.col("_h1d")), "left")
@@ -109,7 +115,8 @@ def with_lags(
     if hot_rows:
         slotted = slotted.drop("_h1k", "_h1d", "_h2k", "_h2d")
     slotted = slotted.repartition(*partition_by, "_slot")
-    w = Window.partitionBy(*partition_by, "_slot").orderBy(ts, F.col(tiebreak))
+    ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
+    w = Window.partitionBy(*partition_by, "_slot").orderBy(ts, *[F.col(c) for c in ties])
     lag_cols = [
         F.lag(c, k).over(w).alias(f"{c}_lag{k}") for c, ks in lags.items() for k in ks
     ]

@@ -139,6 +139,19 @@ JOIN vers v ON v.terminal_id = ch.terminal AND ch.transaction_date >= v.lo AND c
 WINDOW w AS (PARTITION BY ch.card_num ORDER BY ch.transaction_date, ch.trans_id)"""
 
 
+# The original's literal join: every version of the terminal, no time test.
+_SEQ_ALL = """SELECT ch.*, h.terminal_city,
+  lag(h.terminal_city) OVER w AS city_1,
+  lag(ch.transaction_date) OVER w AS ts_1,
+  lag(ch.transaction_date, 3) OVER w AS ts_3,
+  lag(ch.oper_result) OVER w AS res_1, lag(ch.oper_result, 2) OVER w AS res_2,
+  lag(ch.oper_result, 3) OVER w AS res_3,
+  lag(ch.amount) OVER w AS amt_1, lag(ch.amount, 2) OVER w AS amt_2, lag(ch.amount, 3) OVER w AS amt_3
+FROM chain ch
+JOIN hist h ON h.terminal_id = ch.terminal
+WINDOW w AS (PARTITION BY ch.card_num ORDER BY ch.transaction_date, ch.trans_id, h.effective_from)"""
+
+
 def _base_e() -> list[tuple[str, str]]:
     return [
         ("params", _PARAMS_E),
@@ -332,6 +345,10 @@ def oracle_queries() -> dict[str, str]:
         "fraud_invalid_agreement": _with(e, _report(EVENT_INVALID_AGREEMENT, rdt, _W_AGREEMENT)),
         "fraud_city_hop": _with(e + [("seq", _SEQ)], _report(EVENT_CITY_HOP, rdt, _W_CITY, "seq")),
         "fraud_amount_probe": _with(e + [("seq", _SEQ)], _report(EVENT_AMOUNT_PROBE, rdt, _W_PROBE, "seq")),
+        "fraud_city_hop_all_versions": _with(e + [("seq", _SEQ_ALL)],
+                                             _report(EVENT_CITY_HOP, rdt, _W_CITY, "seq")),
+        "fraud_amount_probe_all_versions": _with(e + [("seq", _SEQ_ALL)],
+                                                 _report(EVENT_AMOUNT_PROBE, rdt, _W_PROBE, "seq")),
         "fraud_mart": _with(e + [("seq", _SEQ)], _mart_e()),
         "terminals_history": _with(e, "SELECT * FROM hist"),
         "terminals_current": _with(e, "SELECT * FROM snapshots"),

@@ -39,7 +39,10 @@ def _chain(w: Warehouse, with_blacklist: bool = False) -> DataFrame:
 
 
 def _history(spark: SparkSession, w: Warehouse) -> DataFrame:
-    return history_from_cuts(w.snapshots, days=w.snapshot_days)
+    """The dimension of the fixture, built once and stored in the shared
+    folder (it feeds the broadcast probe and the query plan alike)."""
+    shared_dir(spark)
+    return history_from_cuts(w.snapshots, days=w.snapshot_days).checkpoint(eager=True)
 
 
 def enriched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +77,18 @@ def fraud_amount_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.amount_probe(_chain(w), _history(spark, w), w.report_dt)
 
 
+def fraud_city_hop_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule 3 with the original's literal join to every terminal version."""
+    w = set_e(spark, sf_dir)
+    return rules.city_hop(_chain(w), _history(spark, w), w.report_dt, dim_mode="all_versions")
+
+
+def fraud_amount_probe_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule 4 with the original's literal join to every terminal version."""
+    w = set_e(spark, sf_dir)
+    return rules.amount_probe(_chain(w), _history(spark, w), w.report_dt, dim_mode="all_versions")
+
+
 def fraud_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = set_e(spark, sf_dir)
     return rules.fraud_mart(_chain(w, with_blacklist=True), None, _history(spark, w), w.report_dt)
@@ -238,6 +253,8 @@ def spark_queries() -> dict[str, Query]:
         "fraud_invalid_agreement": fraud_invalid_agreement,
         "fraud_city_hop": fraud_city_hop,
         "fraud_amount_probe": fraud_amount_probe,
+        "fraud_city_hop_all_versions": fraud_city_hop_all_versions,
+        "fraud_amount_probe_all_versions": fraud_amount_probe_all_versions,
         "fraud_mart": fraud_mart,
         "terminals_history": terminals_history,
         "terminals_current": terminals_current,

@@ -113,3 +113,30 @@ def test_workbook_date_serials_round_trip(spark):
 def test_sheet_row_limit():
     with pytest.raises(ValueError):
         workbook.workbook_bytes(pd.DataFrame({"x": range(workbook.MAX_ROWS)}))
+
+
+def test_masters_keep_text_ids(spark):
+    from cardsentry.sources.masters import read_masters
+
+    folder = _local(scratch_path(spark, "masters"))
+    os.makedirs(folder)
+    files = {
+        "cards.csv": "card_num,account,create_dt,update_dt\n1111 2222 3333 4444,40817810000000000001,2021-01-01,\n",
+        "accounts.csv": "account,valid_to,client,create_dt,update_dt\n40817810000000000001,2021-03-02,VIP-0001,2020-01-01,\n",
+        "clients.csv": ("client_id,last_name,first_name,patronymic,date_of_birth,passport_num,"
+                        "passport_valid_to,phone,create_dt,update_dt\n"
+                        "VIP-0001,A,B,,1980-05-05,1234 567890,,+7 900 000-00-00,2020-01-01,\n"),
+    }
+    for name, text in files.items():
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write(text)
+    m = read_masters(spark, f"{folder}/cards.csv", f"{folder}/accounts.csv", f"{folder}/clients.csv",
+                     fmt="csv", header="true")
+    acc = m.accounts.collect()[0]
+    assert (acc.client, acc.valid_to) == ("VIP-0001", dt.date(2021, 3, 2))
+    cl = m.clients.collect()[0]
+    assert (cl.client_id, cl.passport_valid_to, cl.patronymic) == ("VIP-0001", None, None)
+    from cardsentry.operators.enrich import card_owners
+
+    owner = card_owners(*m).collect()[0]
+    assert (owner.card_num, owner.client_id, owner.fio) == ("1111 2222 3333 4444", "VIP-0001", None)
