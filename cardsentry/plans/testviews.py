@@ -95,9 +95,9 @@ def set_e(spark: SparkSession, sf_dir: str) -> Warehouse:
     events = _read(spark, sf_dir, "events")
     supplier = _read(spark, sf_dir, "supplier")
 
-    # Two scalars of the mapping (one aggregate each, nothing else leaves Spark).
-    n_cards = int(events.agg(F.max("user_id")).first()[0]) + 1
-    n_terminals = supplier.count() + 1
+    # Two scalars of the mapping, as scalar subqueries inside the plan.
+    n_cards = events.agg(F.max("user_id") + 1).scalar()
+    n_terminals = supplier.agg(F.count(F.lit(1)) + 1).scalar()
 
     k = F.col("c_custkey")
     clients = _clients(customer, E_START, 45)

@@ -59,8 +59,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows, at bounded cost.
+
+    Planned as an incremental take (``CollectLimit``): Spark scans 1, then 4,
+    16 ... partitions until it holds ``max_rows + 1`` rows, so a large input
+    stops early.  Only a constant column is kept, so at most ``max_rows + 1``
+    tiny rows move.  (``limit(n).count()`` would instead run a local limit in
+    every partition, i.e. a full pass over a large input.)
+    """
+    return df.select(F.lit(1).alias("_")).offset(max_rows).isEmpty()
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
