@@ -7,7 +7,9 @@ Warehouse layout under one root folder (in the cluster's shared storage):
 * ``dim_terminals_hist/v=D/part=open|closed`` the dimension after load D:
   every open row (live or tombstone), and the rows closed by load D.
   The history as of D is ``closed`` of every published version ≤ D plus
-  ``open`` of D, so a day costs the open rows and the cut, not the history.
+  ``open`` of D.  A day reads only ``open`` of the previous version (for the
+  SCD2 apply) and version D (for the rules: the lookback hour starts after
+  every older close), so it costs the open rows and the cut, not the history.
 * ``rep_fraud/load_date=D``           report rows produced by load D
 * ``meta_catalog/snapshot_day=D``      catalog snapshot after load D
 * ``load_log/load_date=D``            publish marker, written last
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardsentry.functions import seconds, ts_literal
+from cardsentry.functions import ts_literal
 from cardsentry.operators.enrich import enrich
 from cardsentry.plans.catalog import warehouse_catalog
 from cardsentry.operators.rules import LOOKBACK_SECS, flagged_sequence, report_from_flags
@@ -95,11 +97,22 @@ def published_days(spark: SparkSession, store: Store) -> list[dt.date]:
 
 
 def history(spark: SparkSession, store: Store, day: dt.date,
-            published: list[dt.date] | None = None) -> DataFrame:
-    """The dimension history as of load ``day`` (open rows of ``day`` plus
-    the rows closed by every published load up to it)."""
+            published: list[dt.date] | None = None,
+            since: dt.datetime | None = None) -> DataFrame:
+    """The dimension history as of load ``day``: open rows of ``day`` plus the
+    rows closed by every published load up to it.
+
+    ``since`` keeps only the versions a transaction at or after that time can
+    match: rows closed by loads at or after ``since`` (closing sets
+    ``effective_to`` to the load time minus one second), which prunes the read
+    to a few version folders.  Every key keeps its open row, so which version
+    such a transaction matches does not change.
+    """
     published = published_days(spark, store) if published is None else published
-    keep = sorted({d.isoformat() for d in published if d <= day} | {day.isoformat()})
+    closers = {d for d in published if d <= day} | {day}
+    if since is not None:
+        closers = {d for d in closers if dt.datetime.combine(d, dt.time()) >= since}
+    keep = sorted(d.isoformat() for d in closers)
     stored = _read(spark, store.table(DIM), DIM_STORED)
     if stored is None:
         return empty_history(spark)
@@ -108,6 +121,15 @@ def history(spark: SparkSession, store: Store, day: dt.date,
     return stored.where(sel).select(*[f.name for f in TERMINALS_HIST.fields])
 
 
+def open_rows(spark: SparkSession, store: Store, day: dt.date) -> DataFrame:
+    """Open rows (live and tombstones) of version ``day``: one folder."""
+    stored = _read(spark, store.table(DIM), DIM_STORED)
+    if stored is None:
+        return empty_history(spark)
+    return stored.where((F.col("part") == "open") & (F.col("v") == day.isoformat())).select(
+        *[f.name for f in TERMINALS_HIST.fields])
+
+
 def run_day(
     spark: SparkSession,
     store: Store,
@@ -137,28 +159,27 @@ def run_day(
         raise ValueError(f"{day} is before the newest published load {max(published)}")
     prev = max((d for d in published if d < day), default=None)
 
-    # 1. facts of the day
-    transactions.write.mode("overwrite").parquet(store.day(FACT_TX, "load_date", day))
+    # 1. facts of the day, time-sorted within each file so that a time filter
+    #    (the next load's lookback) skips row groups
+    (transactions.sortWithinPartitions("transaction_date")
+     .write.mode("overwrite").parquet(store.day(FACT_TX, "load_date", day)))
     blacklist.write.mode("overwrite").parquet(store.day(FACT_BLACKLIST, "load_date", day))
 
     # 2. dimension: apply the cut to the previous version's open rows
-    if prev is None:
-        open_prev = empty_history(spark)
-    else:
-        open_prev = history(spark, store, prev, published).where(
-            F.col("effective_to") == ts_literal(OPEN_END))
+    open_prev = empty_history(spark) if prev is None else open_rows(spark, store, prev)
     applied = scd2_apply(open_prev, terminals, as_of)
     (applied.withColumn("part", F.when(F.col("effective_to") == ts_literal(OPEN_END), "open")
                         .otherwise("closed"))
      .write.mode("overwrite").partitionBy("part").parquet(f"{store.table(DIM)}/v={day.isoformat()}"))
-    hist = history(spark, store, day, published)
+    window_start = as_of - dt.timedelta(seconds=LOOKBACK_SECS)
+    hist = history(spark, store, day, published, since=window_start)
 
     # 3. fraud mart over the day plus the previous load's last hour as context
     tx_day = spark.read.parquet(store.day(FACT_TX, "load_date", day)).withColumn("_ctx", F.lit(False))
     rows = tx_day
     if prev is not None and lookback:
         ctx = (spark.read.parquet(store.day(FACT_TX, "load_date", prev))
-               .where(F.col("transaction_date") >= ts_literal(as_of) - seconds(LOOKBACK_SECS))
+               .where(F.col("transaction_date") >= ts_literal(window_start))
                .withColumn("_ctx", F.lit(True)))
         rows = tx_day.unionByName(ctx)
     bl = spark.read.parquet(store.day(FACT_BLACKLIST, "load_date", day))
