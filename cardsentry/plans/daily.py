@@ -202,3 +202,11 @@ def report(spark: SparkSession, store: Store) -> DataFrame:
     days = [d.isoformat() for d in published_days(spark, store)]
     rep = spark.read.parquet(store.table(REPORT))
     return rep.where(F.col("load_date").cast("string").isin(days)).drop("load_date")
+
+
+def show_table(spark: SparkSession, store: Store, name: str, n: int = 20,
+               order_by: tuple[str, ...] = ()) -> None:
+    """Print the first ``n`` rows of a warehouse table (bounded; the table is
+    never fetched whole)."""
+    df = spark.read.parquet(store.table(name))
+    (df.orderBy(*order_by) if order_by else df).show(n, truncate=False)
