@@ -275,7 +275,13 @@ def write_workbooks(df: DataFrame, file_name: Column, out_dir: str,
     """
     columns = list(columns or df.columns)
     sc = list(serial_columns)
-    return df.select(*columns, file_name.alias("_file")).groupBy("_file").applyInPandas(
+    rows = df.select(*columns, file_name.alias("_file"))
+    # A workbook is written by one task: refuse groups beyond the sheet limit
+    # before any group is collected (counts are pre-aggregated map-side).
+    too_big = rows.groupBy("_file").count().where(F.col("count") >= MAX_ROWS).limit(1).collect()
+    if too_big:
+        raise ValueError(f"{too_big[0]['_file']}: more rows than one sheet holds; split the key")
+    return rows.groupBy("_file").applyInPandas(
         lambda pdf: _write_group(pdf, out_dir, columns, sc), "file string, rows long"
     )
 
