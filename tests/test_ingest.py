@@ -140,3 +140,15 @@ def test_masters_keep_text_ids(spark):
 
     owner = card_owners(*m).collect()[0]
     assert (owner.card_num, owner.client_id, owner.fio) == ("1111 2222 3333 4444", "VIP-0001", None)
+
+
+def test_two_files_of_one_day(spark):
+    folder = _local(scratch_path(spark, "two-files"))
+    header = "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
+    for sub, tid in (("morning", "1"), ("evening", "2")):
+        os.makedirs(os.path.join(folder, sub))
+        with open(os.path.join(folder, sub, "transactions_02032021.txt"), "w") as fh:
+            fh.write(header + f"{tid};2021-03-02 0{tid}:00:00;5,00;K1;payment;SUCCESS;T1\n")
+    good = delimited.read_transactions(spark, folder).good.collect()
+    assert sorted((r.trans_id, r.load_date, r.amount) for r in good) == [
+        ("1", dt.date(2021, 3, 2), Decimal("5.00")), ("2", dt.date(2021, 3, 2), Decimal("5.00"))]
