@@ -27,3 +27,33 @@ def test_fused_mart_plan(spark):
     assert schemas, plan
     assert all("props" not in s for s in schemas)
     assert "struct<event_id:bigint,ts:timestamp_ntz,value:double>" in schemas
+
+
+def test_shuffle_join_fallback_gives_the_same_rows(spark):
+    """Beyond the broadcast bound every join is a sort-merge join; the rows
+    must not change (AQE may still re-plan, so the threshold is off too)."""
+    from cardsentry.operators import rules
+    from cardsentry.operators.enrich import enrich
+    from cardsentry.operators.scd2 import history_from_cuts
+    from cardsentry.plans.testviews import set_e
+
+    w = set_e(spark, SF_SMALL)
+    hist = history_from_cuts(w.snapshots)
+    want = sorted(map(tuple, fraud_mart(spark, SF_SMALL).collect()), key=repr)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        chain = enrich(w.transactions, w.cards, w.accounts, w.clients, broadcast_rows=None,
+                       blacklist=w.blacklist)
+        df = rules.fraud_mart(chain, None, hist, w.report_dt, broadcast_rows=None)
+        assert "SortMergeJoin" in _formatted_plan(df)
+        got = sorted(map(tuple, df.collect()), key=repr)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == want
