@@ -356,7 +356,8 @@ def oracle_queries() -> dict[str, str]:
         "terminals_deleted": _diff_sql("deleted"),
         "terminals_changed": _diff_sql("changed"),
         "transactions_asof_terminal": _with(e, (
-            "SELECT t.trans_id, t.transaction_date, t.terminal, v.terminal_city, v.deleted_flg, "
+            "SELECT t.trans_id, t.transaction_date, t.terminal, v.terminal_city, "
+            "coalesce(v.deleted_flg = 1, FALSE) AS tombstone, "
             "v.effective_from, v.terminal_id IS NOT NULL AS known FROM transactions t "
             "LEFT JOIN vers v ON v.terminal_id = t.terminal AND t.transaction_date >= v.lo "
             "AND t.transaction_date < v.hi")),

@@ -138,7 +138,8 @@ def terminals_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transactions_asof_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = set_e(spark, sf_dir)
     return join_terminal_asof(w.transactions, _history(spark, w), how="left").select(
-        "trans_id", "transaction_date", "terminal", "terminal_city", "deleted_flg",
+        "trans_id", "transaction_date", "terminal", "terminal_city",
+        F.coalesce(F.col("deleted_flg") == 1, F.lit(False)).alias("tombstone"),
         "effective_from", "known",
     )
 
