@@ -350,7 +350,9 @@ def oracle_queries() -> dict[str, str]:
         "fraud_amount_probe_all_versions": _with(e + [("seq", _SEQ_ALL)],
                                                  _report(EVENT_AMOUNT_PROBE, rdt, _W_PROBE, "seq")),
         "fraud_mart": _with(e + [("seq", _SEQ)], _mart_e()),
-        "terminals_history": _with(e, "SELECT * FROM hist"),
+        "terminals_history": _with(e, (
+            "SELECT terminal_id, terminal_type, terminal_city, terminal_address, deleted_flg, "
+            "effective_from, strftime(effective_to, '%Y-%m-%d %H:%M:%S') AS effective_to FROM hist")),
         "terminals_current": _with(e, "SELECT * FROM snapshots"),
         "terminals_new": _diff_sql("new"),
         "terminals_deleted": _diff_sql("deleted"),

@@ -95,7 +95,10 @@ def fraud_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def terminals_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _history(spark, set_e(spark, sf_dir))
+    """The full history; ``effective_to`` is shown as text because the open
+    end (year 2999) is beyond what pandas timestamps can hold."""
+    hist = _history(spark, set_e(spark, sf_dir))
+    return hist.withColumn("effective_to", F.date_format("effective_to", "yyyy-MM-dd HH:mm:ss"))
 
 
 def terminals_current(spark: SparkSession, sf_dir: str) -> DataFrame:
