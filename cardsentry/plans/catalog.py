@@ -31,14 +31,19 @@ def database_for(store) -> str:
     return "cardsentry_" + hashlib.sha1(store.root.encode()).hexdigest()[:10]
 
 
-def register_warehouse(spark: SparkSession, store) -> str:
-    """Register the store's tables (those that exist) and the current view."""
+def register_warehouse(spark: SparkSession, store, tables: set[str] | None = None) -> str:
+    """Register the store's tables and the current view.
+
+    ``tables``: the tables known to hold data (default: all of them).
+    """
     from cardsentry.plans import daily
 
     db = database_for(store)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     for name in (daily.FACT_TX, daily.FACT_BLACKLIST, daily.DIM, daily.REPORT, daily.META,
                  daily.LOAD_LOG):
+        if tables is not None and name not in tables:
+            continue
         full = f"{db}.{name}"
         if spark.catalog.tableExists(full):
             continue  # columns are fixed; new day folders need no re-registration
@@ -67,6 +72,7 @@ def catalog_rows(spark: SparkSession, db: str, snapshot_dt: dt.datetime) -> Data
     return spark.createDataFrame(rows, META_SCHEMA)
 
 
-def warehouse_catalog(spark: SparkSession, store, snapshot_dt: dt.datetime) -> DataFrame:
+def warehouse_catalog(spark: SparkSession, store, snapshot_dt: dt.datetime,
+                      tables: set[str] | None = None) -> DataFrame:
     """Register the warehouse and list its objects and columns."""
-    return catalog_rows(spark, register_warehouse(spark, store), snapshot_dt)
+    return catalog_rows(spark, register_warehouse(spark, store, tables), snapshot_dt)

@@ -79,6 +79,12 @@ class Store:
     def day(self, name: str, col: str, day: dt.date) -> str:
         return f"{self.table(name)}/{col}={day.isoformat()}"
 
+    def ensure(self, spark: SparkSession) -> None:
+        """Create the publish log folder if missing (an empty partitioned
+        write leaves only the folder), so that reading it never fails."""
+        spark.createDataFrame([], LOAD_LOG_SCHEMA).write.mode("ignore") \
+            .partitionBy("load_date").parquet(self.table(LOAD_LOG))
+
 
 def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     try:
@@ -154,6 +160,7 @@ def run_day(
     """
     as_of = dt.datetime.combine(day, dt.time())
     report_dt = report_dt or as_of
+    store.ensure(spark)
     published = published_days(spark, store)
     if any(d > day for d in published):
         raise ValueError(f"{day} is before the newest published load {max(published)}")
@@ -189,7 +196,8 @@ def run_day(
     report.write.mode("overwrite").parquet(store.day(REPORT, "load_date", day))
 
     # 4. catalog snapshot of the warehouse after this load
-    warehouse_catalog(spark, store, as_of).write.mode("overwrite").parquet(
+    written = {FACT_TX, FACT_BLACKLIST, DIM, REPORT} | ({META, LOAD_LOG} if published else set())
+    warehouse_catalog(spark, store, as_of, written).write.mode("overwrite").parquet(
         store.day(META, "snapshot_day", day))
 
     # 5. publish
