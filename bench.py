@@ -59,6 +59,7 @@ HEADLINE = {
     "volume_invalid_agreement": registry.volume_invalid_agreement,
     "volume_expired_passport": registry.volume_expired_passport,
     "volume_blocked_passport": registry.volume_blocked_passport,
+    "volume_fraud_mart": registry.volume_fraud_mart,
 }
 ONCE = {
     "report_accumulate": registry.report_accumulate,

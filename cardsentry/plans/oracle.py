@@ -320,6 +320,11 @@ _BLACKLIST_L = """SELECT TIMESTAMP '1998-06-01' + to_days(CAST(c_custkey % 300 A
 FROM customer WHERE c_custkey % 11 = 0"""
 
 
+_SNAPSHOTS_L = """SELECT TIMESTAMP '1995-01-01 00:00:00' AS as_of, 'T' || s_suppkey AS terminal_id,
+  'POS' AS terminal_type, 'N' || s_nationkey AS terminal_city, s_name AS terminal_address
+FROM supplier"""
+
+
 def _base_l() -> list[tuple[str, str]]:
     return [
         ("clients", _clients("1997-01-01", 1500)),
@@ -327,6 +332,9 @@ def _base_l() -> list[tuple[str, str]]:
         ("cards", _CARDS_L),
         ("transactions", _TRANSACTIONS_L),
         ("blacklist", _BLACKLIST_L),
+        ("snapshots", _SNAPSHOTS_L),
+        ("hist", _HIST),
+        ("vers", _VERS),
         ("chain", _CHAIN),
     ]
 
@@ -375,4 +383,5 @@ def oracle_queries() -> dict[str, str]:
         "volume_expired_passport": _with(l_, _report(EVENT_EXPIRED_PASSPORT, ldt, _W_EXPIRED)),
         "volume_blocked_passport": _with(l_, _report(EVENT_BLOCKED_PASSPORT, ldt, _W_BLOCKED)),
         "volume_invalid_agreement": _with(l_, _report(EVENT_INVALID_AGREEMENT, ldt, _W_AGREEMENT)),
+        "volume_fraud_mart": _with(l_ + [("seq", _SEQ)], _mart_e(ldt)),
     }

@@ -249,6 +249,12 @@ def volume_invalid_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.invalid_agreement(_chain(w), w.report_dt)
 
 
+def volume_fraud_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five rules in one pass over the lineitem-sized set."""
+    w = set_l(spark, sf_dir)
+    return rules.fraud_mart(_chain(w, with_blacklist=True), None, _history(spark, w), w.report_dt)
+
+
 def spark_queries() -> dict[str, Query]:
     return {
         "enriched_transactions": enriched_transactions,
@@ -274,4 +280,5 @@ def spark_queries() -> dict[str, Query]:
         "volume_expired_passport": volume_expired_passport,
         "volume_blocked_passport": volume_blocked_passport,
         "volume_invalid_agreement": volume_invalid_agreement,
+        "volume_fraud_mart": volume_fraud_mart,
     }

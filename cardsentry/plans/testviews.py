@@ -9,8 +9,10 @@ work grows with the scale factor:
   events per card, every fourth one a success); ``supplier`` gives three full
   terminal snapshots, ten days apart, with deletions, moves and returns.
 * **set L** (``lineitem``-driven, volume): ``customer`` → clients, ``orders``
-  → accounts (two cards each), ``lineitem`` → transactions.  Ship dates have
-  day resolution, so only the three date rules apply.
+  → accounts (two cards each), ``lineitem`` → transactions, ``supplier`` → one
+  terminal cut.  Ship dates have day resolution, so a card's transactions of
+  one day are zero apart (city hops between suppliers of different nations);
+  every transaction succeeds, so amount probing never fires.
 
 The DuckDB twin of every view lives in :mod:`cardsentry.plans.oracle`.
 """
@@ -36,6 +38,8 @@ E_REPORT_DT = dt.datetime(2024, 2, 1, 0, 0, 0)
 L_PASSPORT_BASE = dt.date(1997, 1, 1)
 L_BLACKLIST_BASE = dt.date(1998, 6, 1)
 L_REPORT_DT = dt.datetime(2002, 1, 1, 0, 0, 0)
+# Set L has one terminal cut (every supplier, city = nation), before all ship dates.
+L_CUT_DAY = dt.date(1995, 1, 1)
 # ---------------------------------------------------------------------------
 
 
@@ -182,4 +186,12 @@ def set_l(spark: SparkSession, sf_dir: str) -> Warehouse:
         _s("T", F.col("l_suppkey")).alias("terminal"),
     )
     blacklist = _blacklist(customer, L_BLACKLIST_BASE, 300)
-    return Warehouse(transactions, cards, accounts, clients, blacklist, None, (), L_REPORT_DT)
+    snapshots = _read(spark, sf_dir, "supplier").select(
+        ts_literal(L_CUT_DAY).alias("as_of"),
+        _s("T", F.col("s_suppkey")).alias("terminal_id"),
+        F.lit("POS").alias("terminal_type"),
+        _s("N", F.col("s_nationkey")).alias("terminal_city"),
+        F.col("s_name").alias("terminal_address"),
+    )
+    return Warehouse(transactions, cards, accounts, clients, blacklist, snapshots,
+                     (L_CUT_DAY,), L_REPORT_DT)
