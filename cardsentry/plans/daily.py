@@ -55,6 +55,7 @@ LOAD_LOG = "load_log"
 LOAD_LOG_SCHEMA = T.StructType([
     T.StructField("as_of", T.TimestampNTZType()),
     T.StructField("report_dt", T.TimestampNTZType()),
+    T.StructField("source", T.StringType()),
     T.StructField("load_date", T.StringType()),
 ])
 DIM_STORED = T.StructType(
@@ -94,12 +95,18 @@ def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) ->
         return None
 
 
-def published_days(spark: SparkSession, store: Store) -> list[dt.date]:
-    """Days with a publish marker (one tiny row per load)."""
+def published(spark: SparkSession, store: Store) -> dict[dt.date, str | None]:
+    """Published days with the source tag of the run that published them
+    (one tiny row per load)."""
     log = _read(spark, store.table(LOAD_LOG), LOAD_LOG_SCHEMA)
     if log is None:
-        return []
-    return sorted(dt.date.fromisoformat(r[0]) for r in log.select("load_date").distinct().collect())
+        return {}
+    return {dt.date.fromisoformat(r[0]): r[1] for r in log.select("load_date", "source").collect()}
+
+
+def published_days(spark: SparkSession, store: Store) -> list[dt.date]:
+    """Days with a publish marker."""
+    return sorted(published(spark, store))
 
 
 def history(spark: SparkSession, store: Store, day: dt.date,
@@ -151,9 +158,13 @@ def run_day(
     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
     lookback: bool = True,
     hot_rows: int | None = DEFAULT_HOT_ROWS,
+    source: str | None = None,
 ) -> None:
     """Load day ``day`` and publish its report partition (idempotent).
 
+    ``source`` tags the publish marker (the stream driver records its batch,
+    so a replayed batch can tell its own finished days apart).
+
     ``lookback=False`` runs the window rules over the day's rows only, as a
     cycle that replaces the fact table daily would (misses sequences that
     cross the load boundary).
@@ -201,7 +212,8 @@ def run_day(
         store.day(META, "snapshot_day", day))
 
     # 5. publish
-    spark.createDataFrame([(as_of, report_dt)], "as_of timestamp_ntz, report_dt timestamp_ntz") \
+    spark.createDataFrame([(as_of, report_dt, source)],
+                          "as_of timestamp_ntz, report_dt timestamp_ntz, source string") \
         .write.mode("overwrite").parquet(store.day(LOAD_LOG, "load_date", day))
 
 

@@ -39,11 +39,22 @@ def _day_workbook(spark: SparkSession, folder: str, prefix: str, day: dt.date,
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, landing: str, store: daily.Store,
-                  masters: Masters) -> list[dt.date]:
-    """Load every day present in one micro-batch of raw transaction rows."""
+                  masters: Masters, tag: str | None = None) -> list[dt.date]:
+    """Load every day present in one micro-batch of raw transaction rows.
+
+    A batch replayed after a crash skips the days it already published
+    (same ``tag``) and re-runs the rest; a day published by another run and
+    older than the newest load is refused by ``run_day`` (late data needs
+    that day and the following ones re-run), never silently dropped.
+    """
     parsed = delimited.type_transactions(batch)
     days = sorted(r[0] for r in parsed.good.select("load_date").distinct().collect())
+    store.ensure(spark)
+    done = daily.published(spark, store)
+    newest = max(done, default=None)
     for day in days:
+        if tag is not None and done.get(day) == tag and day < newest:
+            continue
         parsed.quarantine.where(F.col("load_date") == F.lit(day)).write.mode("overwrite").parquet(
             store.day("quarantine_transactions", "load_date", day))
         tx = parsed.good.where(F.col("load_date") == F.lit(day)).drop("load_date", "source_file")
@@ -51,7 +62,7 @@ def process_batch(spark: SparkSession, batch: DataFrame, landing: str, store: da
                                   [TERMINAL_KEY, *TERMINAL_ATTRS], TERMINALS)
         blacklist = _day_workbook(spark, f"{landing}/blacklist", "passport_blacklist", day,
                                   ["date", "passport"], BLACKLIST)
-        daily.run_day(spark, store, day, tx, blacklist, terminals, *masters)
+        daily.run_day(spark, store, day, tx, blacklist, terminals, *masters, source=tag)
     return days
 
 
@@ -68,7 +79,7 @@ def run_available(spark: SparkSession, landing: str, store: daily.Store, masters
     done: list[dt.date] = []
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        done.extend(process_batch(spark, batch, landing, store, masters))
+        done.extend(process_batch(spark, batch, landing, store, masters, tag=f"batch-{batch_id}"))
 
     query = (
         raw.writeStream.foreachBatch(on_batch)

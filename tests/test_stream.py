@@ -41,3 +41,35 @@ def test_stream_equals_batch_cycle(spark):
     want = sorted(map(tuple, daily.report(spark, run_cycle(spark, w)).collect()), key=repr)
     assert got == want
     assert run_available(spark, landing, store, masters, archive_dir=archive) == []
+
+
+def test_replayed_batch_skips_its_finished_days(spark):
+    """A batch replayed after a crash (same tag) re-runs nothing it already
+    published except the newest day, and the report does not change."""
+    from cardsentry.streaming.daily_stream import process_batch
+
+    w = set_e(spark, SF_SMALL)
+    landing = scratch_path(spark, "landing-replay")
+    tx = reduce(lambda a, b: a.unionByName(b),
+                [t.withColumn("load_date", F.lit(d)) for d, t, _ in _load_slices(w)])
+    delimited.write_transactions(tx, f"{landing}/transactions")
+    name = F.concat(F.lit("terminals_"), F.date_format("as_of", "ddMMyyyy"), F.lit(".xlsx"))
+    workbook.write_workbooks(w.snapshots, name, f"{landing}/terminals",
+                             columns=[TERMINAL_KEY, *TERMINAL_ATTRS]).collect()
+    bl = reduce(lambda a, b: a.unionByName(b),
+                [w.blacklist.withColumn("_d", F.lit(d).cast("timestamp_ntz")) for d in w.snapshot_days])
+    workbook.write_workbooks(
+        bl, F.concat(F.lit("passport_blacklist_"), F.date_format("_d", "ddMMyyyy"), F.lit(".xlsx")),
+        f"{landing}/blacklist", columns=["date", "passport"], serial_columns=["date"]).collect()
+    raw = (delimited.raw_reader(spark.read).option("recursiveFileLookup", True)
+           .csv(f"{landing}/transactions").withColumn("source_file", F.col("_metadata.file_path")))
+    store = daily.Store.fresh(spark, "replay")
+    masters = Masters(w.cards, w.accounts, w.clients)
+    process_batch(spark, raw, landing, store, masters, tag="batch-0")
+    before = sorted(map(tuple, daily.report(spark, store).collect()), key=repr)
+    process_batch(spark, raw, landing, store, masters, tag="batch-0")  # replay
+    assert sorted(map(tuple, daily.report(spark, store).collect()), key=repr) == before
+    import pytest
+
+    with pytest.raises(ValueError):  # same days from another source: refused, not dropped
+        process_batch(spark, raw, landing, store, masters, tag="batch-7")
