@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from cardsentry.functions import attrs_changed, seconds, ts_literal
 from cardsentry.schemas import OPEN_END, TERMINAL_ATTRS, TERMINAL_KEY, TERMINALS_HIST
-from cardsentry.session import shared_dir
+from cardsentry.session import materialize
 
 NEW, DELETED, CHANGED, SAME = "new", "deleted", "changed", "same"
 
@@ -180,15 +180,14 @@ def build_history(spark: SparkSession, snapshots: DataFrame, days: Iterable[dt.d
                   hist: DataFrame | None = None, cut_lineage: bool = True) -> DataFrame:
     """Fold the daily cuts (``as_of`` column) into the history, day by day.
 
-    Each day's result is checkpointed into the shared folder
-    (``spark.checkpoint.dir``) so the plan does not grow with the days.
+    Each day's result is written into the shared folder
+    (``spark.checkpoint.dir``) and read back, so the plan does not grow with
+    the days.
     """
-    if cut_lineage:
-        shared_dir(spark)
     h = hist if hist is not None else empty_history(spark)
     for d in days:
         cut = snapshots.where(F.col("as_of") == ts_literal(d)).drop("as_of")
         h = scd2_apply(h, cut, d)
         if cut_lineage:
-            h = h.checkpoint(eager=True)
+            h = materialize(h, "history-fold")
     return h

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardsentry.functions import hour_bucket, seconds
-from cardsentry.session import broadcast_if_small, has_at_most, shared_dir
+from cardsentry.session import broadcast_if_small, materialize
 
 DEFAULT_SLOT_HOURS = 24
 DEFAULT_HOT_SLOT_HOURS = 1
@@ -94,14 +94,11 @@ def with_lags(
     base = F.lit(slot_hours)
     home_len, reach_len = base, base
     source = hot_source if hot_source is not None else df
-    if hot_rows and has_at_most(source, hot_rows):
-        hot_rows = None  # no (card, day) can exceed the threshold: skip the count
     if hot_rows:
-        # Counted once on the cheapest input that has every row, materialised
-        # in the shared folder (tiny: ≤ total/hot_rows rows), then probed.
-        shared_dir(df.sparkSession)
-        hot = hot_days(source, key, ts_col, hot_rows)
-        hot = broadcast_if_small(hot.checkpoint(eager=True), HOT_LIST_MAX_ROWS)
+        # Counted once on the cheapest input that has every row, written to
+        # the shared folder (tiny: ≤ total/hot_rows rows), then probed.
+        hot = materialize(hot_days(source, key, ts_col, hot_rows), "hot-card-days")
+        hot = broadcast_if_small(hot, HOT_LIST_MAX_ROWS)
         h1 = hot.select(F.col("_hk").alias("_h1k"), F.col("_hd").alias("_h1d"))
         h2 = hot.select(F.col("_hk").alias("_h2k"), F.col("_hd").alias("_h2d"))
         df = (df.join(h1, (F.col(key) == F.col("_h1k")) & (F.to_date(ts) == F.col("_h1d")), "left")

@@ -27,7 +27,7 @@ from cardsentry.operators.scd2 import (
 from cardsentry.plans import daily
 from cardsentry.plans.testviews import Warehouse, set_e, set_l
 from cardsentry.schemas import BLACKLIST, TERMINAL_ATTRS, TERMINAL_KEY, TERMINALS
-from cardsentry.session import scratch_path, shared_dir
+from cardsentry.session import materialize, scratch_path
 from cardsentry.sources import delimited, workbook
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,8 +41,7 @@ def _chain(w: Warehouse, with_blacklist: bool = False) -> DataFrame:
 def _history(spark: SparkSession, w: Warehouse) -> DataFrame:
     """The dimension of the fixture, built once and stored in the shared
     folder (it feeds the broadcast probe and the query plan alike)."""
-    shared_dir(spark)
-    return history_from_cuts(w.snapshots, days=w.snapshot_days).checkpoint(eager=True)
+    return materialize(history_from_cuts(w.snapshots, days=w.snapshot_days), "terminals-history")
 
 
 def enriched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,14 +114,13 @@ def _daily_diffs(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """New / deleted / changed terminals of every load day, each against the
     dimension as it stood before that day's cut."""
     w = set_e(spark, sf_dir)
-    shared_dir(spark)
     hist = empty_history(spark)
     parts = []
     for d in w.snapshot_days:
         cut = w.snapshots.where(F.col("as_of") == ts_literal(d)).drop("as_of")
         diff = snapshot_diff(current(hist, d), cut).where(F.col("change_kind") == kind)
         parts.append(diff.select(ts_literal(d).alias("as_of"), TERMINAL_KEY, *TERMINAL_ATTRS))
-        hist = scd2_apply(hist, cut, d).checkpoint(eager=True)
+        hist = materialize(scd2_apply(hist, cut, d), "history-fold")
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -58,6 +58,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cardsentry/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet into a fresh folder of the shared folder
+    and read it back: cuts the lineage with a single computation (an eager
+    ``checkpoint()`` without a cache computes the plan twice), survives lost
+    executors, and gives the planner real file-size statistics."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows, at bounded cost.
 
