@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardsentry.functions import hour_bucket, seconds
-from cardsentry.session import broadcast_if_small, materialize
+from cardsentry.session import broadcast_if_small, has_at_most, materialize
 
 DEFAULT_SLOT_HOURS = 24
 DEFAULT_HOT_SLOT_HOURS = 1
@@ -94,6 +94,8 @@ def with_lags(
     base = F.lit(slot_hours)
     home_len, reach_len = base, base
     source = hot_source if hot_source is not None else df
+    if hot_rows and has_at_most(source, hot_rows):
+        hot_rows = None  # no (card, day) can exceed the threshold: skip the count
     if hot_rows:
         # Counted once on the cheapest input that has every row, written to
         # the shared folder (tiny: ≤ total/hot_rows rows), then probed.
