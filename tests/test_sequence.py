@@ -58,8 +58,6 @@ def test_slotted_lags_match_brute_force(spark, events, slot_hours, hot_rows):
 def test_hot_card_day_is_spread_over_hour_slots(spark):
     """A card-day above the threshold is windowed in hour slots: the rule
     results stay equal to the day-slot run."""
-    from pyspark.sql import functions as F
-
     from cardsentry.operators import rules
     from cardsentry.operators.enrich import enrich
     from cardsentry.operators.scd2 import history_from_cuts
