@@ -4,6 +4,7 @@ Warehouse layout under one root folder (in the cluster's shared storage):
 
 * ``fact_transactions/load_date=D``   typed transactions of load D
 * ``fact_passport_blacklist/load_date=D`` the cumulative blacklist as of D
+* ``stg_terminals/load_date=D``       the terminal cut of load D (for re-runs)
 * ``dim_terminals_hist/v=D/part=open|closed`` the dimension after load D:
   every open row (live or tombstone), and the rows closed by load D.
   The history as of D is ``closed`` of every published version ≤ D plus
@@ -17,8 +18,9 @@ Warehouse layout under one root folder (in the cluster's shared storage):
 Every table of a day is written by overwriting exactly that day's folder, so
 re-running a day replaces its output and leaves other days alone; a run that
 dies before its marker is simply re-run.  Loads must come in day order: a day
-before the newest published one is refused (the dimension would need
-rebuilding from there on).
+before the newest published one is refused; a late file for such a day goes
+through :func:`rerun_from`, which re-runs that day and every later one from
+the stored inputs (the dimension versions after it depend on it).
 
 Window rules (city hop, probing) need the card's transactions of the hour
 before the load: the previous load's rows from that hour are read as context
@@ -43,10 +45,11 @@ from cardsentry.operators.rules import LOOKBACK_SECS, flagged_sequence, report_f
 from cardsentry.operators.scd2 import empty_history, scd2_apply
 from cardsentry.operators.sequence import DEFAULT_HOT_ROWS, DEFAULT_SLOT_HOURS
 from cardsentry.schemas import OPEN_END, TERMINALS_HIST
-from cardsentry.session import DEFAULT_BROADCAST_ROWS, scratch_path
+from cardsentry.session import DEFAULT_BROADCAST_ROWS, materialize, scratch_path
 
 FACT_TX = "fact_transactions"
 FACT_BLACKLIST = "fact_passport_blacklist"
+STG_TERMINALS = "stg_terminals"
 DIM = "dim_terminals_hist"
 REPORT = "rep_fraud"
 META = "meta_catalog"
@@ -159,6 +162,7 @@ def run_day(
     lookback: bool = True,
     hot_rows: int | None = DEFAULT_HOT_ROWS,
     source: str | None = None,
+    allow_rerun: bool = False,
 ) -> None:
     """Load day ``day`` and publish its report partition (idempotent).
 
@@ -173,8 +177,9 @@ def run_day(
     report_dt = report_dt or as_of
     store.ensure(spark)
     published = published_days(spark, store)
-    if any(d > day for d in published):
-        raise ValueError(f"{day} is before the newest published load {max(published)}")
+    if not allow_rerun and any(d > day for d in published):
+        raise ValueError(f"{day} is before the newest published load {max(published)}; "
+                         "use rerun_from() to re-run it and the loads after it")
     prev = max((d for d in published if d < day), default=None)
 
     # 1. facts of the day, time-sorted within each file so that a time filter
@@ -182,6 +187,7 @@ def run_day(
     (transactions.sortWithinPartitions("transaction_date")
      .write.mode("overwrite").parquet(store.day(FACT_TX, "load_date", day)))
     blacklist.write.mode("overwrite").parquet(store.day(FACT_BLACKLIST, "load_date", day))
+    terminals.write.mode("overwrite").parquet(store.day(STG_TERMINALS, "load_date", day))
 
     # 2. dimension: apply the cut to the previous version's open rows
     open_prev = empty_history(spark) if prev is None else open_rows(spark, store, prev)
@@ -230,3 +236,22 @@ def show_table(spark: SparkSession, store: Store, name: str, n: int = 20,
     never fetched whole)."""
     df = spark.read.parquet(store.table(name))
     (df.orderBy(*order_by) if order_by else df).show(n, truncate=False)
+
+
+def rerun_from(spark: SparkSession, store: Store, day: dt.date, cards: DataFrame,
+               accounts: DataFrame, clients: DataFrame,
+               late_transactions: DataFrame | None = None, **options) -> list[dt.date]:
+    """Re-run load ``day`` (adding ``late_transactions`` to it) and every
+    published load after it, in order, from the warehouse's own stored
+    inputs.  Each day's inputs are first copied to a scratch folder, since
+    the re-run overwrites the very folders they are stored in."""
+    days = sorted({d for d in published_days(spark, store) if d >= day} | {day})
+    for d in days:
+        tx = spark.read.parquet(store.day(FACT_TX, "load_date", d))
+        if d == day and late_transactions is not None:
+            tx = tx.unionByName(late_transactions.select(*tx.columns))
+        tx = materialize(tx, "rerun-tx")
+        bl = materialize(spark.read.parquet(store.day(FACT_BLACKLIST, "load_date", d)), "rerun-bl")
+        cut = materialize(spark.read.parquet(store.day(STG_TERMINALS, "load_date", d)), "rerun-cut")
+        run_day(spark, store, d, tx, bl, cut, cards, accounts, clients, allow_rerun=True, **options)
+    return days
