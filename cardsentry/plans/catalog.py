@@ -40,8 +40,8 @@ def register_warehouse(spark: SparkSession, store, tables: set[str] | None = Non
 
     db = database_for(store)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    for name in (daily.FACT_TX, daily.FACT_BLACKLIST, daily.DIM, daily.REPORT, daily.META,
-                 daily.LOAD_LOG):
+    for name in (daily.FACT_TX, daily.FACT_BLACKLIST, daily.STG_TERMINALS, daily.DIM,
+                 daily.REPORT, daily.META, daily.LOAD_LOG):
         if tables is not None and name not in tables:
             continue
         full = f"{db}.{name}"

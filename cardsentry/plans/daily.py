@@ -213,7 +213,8 @@ def run_day(
     report.write.mode("overwrite").parquet(store.day(REPORT, "load_date", day))
 
     # 4. catalog snapshot of the warehouse after this load
-    written = {FACT_TX, FACT_BLACKLIST, DIM, REPORT} | ({META, LOAD_LOG} if published else set())
+    written = ({FACT_TX, FACT_BLACKLIST, STG_TERMINALS, DIM, REPORT}
+               | ({META, LOAD_LOG} if published else set()))
     warehouse_catalog(spark, store, as_of, written).write.mode("overwrite").parquet(
         store.day(META, "snapshot_day", day))
 
