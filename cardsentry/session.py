@@ -45,12 +45,14 @@ def shared_dir(spark: SparkSession) -> str:
     system temp dir is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="cardsentry-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d.rstrip("/")
+    if d:
+        return d.rstrip("/")
+    # Unset: the context may still have one (setCheckpointDir); else make a
+    # private one.  (The conf itself cannot be changed on a running session.)
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cardsentry-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

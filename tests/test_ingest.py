@@ -152,3 +152,21 @@ def test_two_files_of_one_day(spark):
     good = delimited.read_transactions(spark, folder).good.collect()
     assert sorted((r.trans_id, r.load_date, r.amount) for r in good) == [
         ("1", dt.date(2021, 3, 2), Decimal("5.00")), ("2", dt.date(2021, 3, 2), Decimal("5.00"))]
+
+
+def test_shared_dir_without_the_setting(spark):
+    """A session that names no checkpoint dir still gets a usable folder, and
+    the running session's config is never modified."""
+    from cardsentry.session import shared_dir
+
+    class Conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class NoSetting:
+        conf = Conf()
+        sparkContext = spark.sparkContext
+
+    d = shared_dir(NoSetting())
+    assert d and d == spark.sparkContext.getCheckpointDir().rstrip("/")
