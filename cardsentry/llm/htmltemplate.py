@@ -5,7 +5,7 @@ path (tags with id and class), and, outside articles, whole text nodes with
 their path.  Over the distinct pages of a host each token has an occurrence
 vector (how often it occurs in each page).  Tokens with the same vector form an
 equivalence class.  A class is valid if it occurs in at least half of the
-host's pages, has more than one token, and its tokens come in the same order in
+host's pages and in two, has more than one token, and its tokens come in the same order in
 every page.  The valid classes, nested by their paths, are the host's template:
 its text tokens are constant page furniture, its elements bound the slots.
 
@@ -88,6 +88,14 @@ def in_content(path: str) -> bool:
     return any(part.split(".")[0] in CONTENT for part in path.split("/"))
 
 
+def folded(path: str) -> str:
+    """A very deep path as its hash, with what its names said."""
+    if len(path) < 2000:
+        return path
+    said = ["nav"] * furniture(path) + ["article"] * in_content(path)
+    return "/".join([*said, f"~{xxhash.xxh64_hexdigest(path)}"])
+
+
 def read_page(html: str | None) -> tuple[list[str], list[tuple[str, str, bool]]]:
     """Paths of the structural elements in order, and the text nodes as
     (path, raw text, whether a link holds it); a node ``("", "\\n", False)``
@@ -133,7 +141,7 @@ def read_page(html: str | None) -> tuple[list[str], list[tuple[str, str, bool]]]
         if tag in BLOCKS:
             nodes.append(border)
             if tag in STRUCTURE:
-                path = f"{path}/{signature(tag, m[3])}" if path else signature(tag, m[3])
+                path = f"{folded(path)}/{signature(tag, m[3])}" if path else signature(tag, m[3])
                 stack.append((tag, path))
                 starts.append(path)
     return starts, nodes
@@ -256,7 +264,7 @@ def templates(pages: DataFrame, *, url: str = "url", html: str = "html") -> Data
     vectors = seen.groupBy("host", "token").agg(
         F.count("*").alias("support"), F.sum(F.xxhash64("page", "n").cast("decimal(38,0)")).alias("vector"),
         F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars"))
-    frequent = vectors.join(sizes, "host").where((F.col("pages") > 1) & (F.col("support") >= F.col("pages") * SUPPORT))
+    frequent = vectors.join(sizes, "host").where((F.col("support") > 1) & (F.col("support") >= F.col("pages") * SUPPORT))
     frequent = materialize(frequent.drop("pages", "support"), "html-vectors")
     # A class is valid if its tokens come in one order in all pages.
     ordered = (

@@ -250,6 +250,6 @@ def replace(docs: DataFrame, key: str, *, text: str = "text", count: str | None
 
     def columns(changed: bool) -> list[Column]:
         out = [(new_text if changed and c == text else F.col(f"d.`{c}`")).alias(c) for c in docs.columns]
-        return out + [F.size("m").alias(count)] * (count is not None)
+        return out if count is None else [*out, F.size("m").alias(count)]
 
     return found.where(F.size("m") == 0).select(*columns(False)).unionByName(rebuilt.select(*columns(True)))

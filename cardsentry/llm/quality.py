@@ -51,7 +51,7 @@ MIN_ROWS = 50
 TAIL = 1e-8
 STEPS = 12
 # Names of the transformed statistics with their least standard deviations.
-FLOORS = {"x_words": 0.75, "x_length": 0.1, "x_symbols": 0.5, "x_lines": 0.5, "x_repeats": 0.5}
+FLOORS = {"x_words": 1.0, "x_length": 0.1, "x_symbols": 0.5, "x_lines": 1.5, "x_repeats": 1.0}
 NAMES = list(FLOORS)
 P = len(NAMES)
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]

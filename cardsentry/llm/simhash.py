@@ -187,8 +187,9 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root of every node of ``edges`` (a, b), root the smallest node
-    of its component: alternating stars until nothing changes."""
+    """node, root of every node of ``edges`` (a, b) that is not a root itself,
+    root the smallest node of its component: alternating stars until nothing
+    changes."""
     ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     current, before = materialize(ordered, "stars"), None
     while True:
