@@ -22,7 +22,7 @@ sys.path.insert(0, ROOT)
 from cardsentry.plans import registry  # noqa: E402
 from cardsentry.plans.testviews import set_e  # noqa: E402
 from cardsentry.operators import rules  # noqa: E402
-from cardsentry.operators.enrich import enrich  # noqa: E402
+from cardsentry.operators.enrich import enrich, owners_of  # noqa: E402
 from cardsentry.operators.scd2 import build_history  # noqa: E402
 from cardsentry.session import build_session  # noqa: E402
 
@@ -39,12 +39,13 @@ def five_separate(spark, sf_dir):
     w = set_e(spark, sf_dir)
     hist = build_history(spark, w.snapshots, w.snapshot_days)
     chain = enrich(w.transactions, w.cards, w.accounts, w.clients)
+    owners = owners_of(w.cards, w.accounts, w.clients)
     return [
         rules.expired_passport(chain, w.report_dt),
         rules.blocked_passport(chain, w.blacklist, w.report_dt),
         rules.invalid_agreement(chain, w.report_dt),
-        rules.city_hop(chain, hist, w.report_dt),
-        rules.amount_probe(chain, hist, w.report_dt),
+        rules.city_hop(w.transactions, owners, hist, w.report_dt),
+        rules.amount_probe(w.transactions, owners, hist, w.report_dt),
     ]
 
 

@@ -7,9 +7,9 @@ reaches back without bound, so every transaction of a known terminal matches
 exactly one version; tombstones match too (they carry the last known city).
 
 Equi-join on the terminal id plus a range residual: the fan-out before the
-residual is the number of versions per terminal.  The dimension is broadcast
-only behind a row bound; beyond it this is a sort-merge join where AQE splits
-a hot terminal's partition.
+residual is the number of versions per terminal.  The dimension is a stored
+table of known bytes: Spark broadcasts it below its threshold; beyond it this
+is a sort-merge join where AQE splits a hot terminal's partition.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from cardsentry.functions import seconds, ts_literal
 from cardsentry.schemas import TERMINAL_ATTRS, TERMINAL_KEY
-from cardsentry.session import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 _FAR_PAST = "0001-01-01 00:00:00"
 
@@ -45,7 +44,6 @@ def join_terminal_asof(
     ts_col: str = "transaction_date",
     terminal_col: str = "terminal",
     mode: str = "point_in_time",
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Transactions with the terminal version valid at their time.
 
@@ -61,7 +59,7 @@ def join_terminal_asof(
         v = hist.select(TERMINAL_KEY, *VERSION_COLUMNS)
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    v = broadcast_if_small(v.withColumnRenamed(TERMINAL_KEY, "_tid"), broadcast_rows)
+    v = v.withColumnRenamed(TERMINAL_KEY, "_tid")
     cond = F.col(terminal_col) == F.col("_tid")
     if mode == "point_in_time":
         cond = cond & (F.col(ts_col) >= F.col("_lo")) & (F.col(ts_col) < F.col("_hi"))

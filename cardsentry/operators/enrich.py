@@ -1,9 +1,10 @@
 """The client → account → card → transaction chain (one shared plan).
 
 The three masters are joined among themselves first, giving one owner row per
-card; the large fact then takes part in a single join on ``card_num``.  The
-owner table is broadcast only behind a row bound, otherwise it is a shuffle
-join (AQE splits a hot card's partition).
+card; the large fact then takes part in a single join on ``card_num``.  Store
+the owner table (``owners_of``) before it meets the fact: Spark then knows its
+bytes, broadcasts it below its threshold and otherwise sorts and merges (AQE
+splits a hot card's partition).
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardsentry.functions import fio
-from cardsentry.session import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from cardsentry.session import materialize
 
 OWNER_COLUMNS = (
     "card_num",
@@ -60,9 +61,13 @@ def card_owners(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
     return owners.join(bl, F.col("passport_num") == F.col("bl_passport"), "left").drop("bl_passport")
 
 
+def owners_of(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+              blacklist: DataFrame | None = None) -> DataFrame:
+    """The owner table, computed once and stored in the shared folder."""
+    return materialize(card_owners(cards, accounts, clients, blacklist), "card-owners")
+
+
 def enrich(transactions: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-           broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
            blacklist: DataFrame | None = None) -> DataFrame:
     """Transactions with their card owner; transactions of unknown cards drop out."""
-    owners = broadcast_if_small(card_owners(cards, accounts, clients, blacklist), broadcast_rows)
-    return transactions.join(owners, "card_num")
+    return transactions.join(owners_of(cards, accounts, clients, blacklist), "card_num")

@@ -1,8 +1,10 @@
 """The five fraud rules, one by one and fused into one pass.
 
-Every rule takes the enriched chain (:func:`cardsentry.operators.enrich.enrich`)
-and returns report rows ``(event_dt, passport_num, fio, phone, event_type,
-report_dt)``.  Same-day duplicates across rules are kept: a transaction is
+Rules 1_1, 1_2 and 2 test single rows of the enriched chain
+(:func:`cardsentry.operators.enrich.enrich`).  Rules 3 and 4 need a card's
+sequence: it is built from the few columns that they compare, and the owner's
+columns are joined to the hits alone.  All return report rows ``(event_dt,
+passport_num, fio, phone, event_type, report_dt)``.  Same-day duplicates across rules are kept: a transaction is
 reported once per rule it breaks.
 
 * 1_1 expired passport: on or after midnight of ``passport_valid_to``.
@@ -14,7 +16,8 @@ reported once per rule it breaks.
   then a success, the first attempt less than twenty minutes before it.
 
 Rules 3 and 4 see only transactions whose terminal the dimension knows, so
-their sequences are built over known rows only.
+their sequences are built over known rows only.  A card without an owner is a
+sequence of its own, so owners joined afterwards give the same rows.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import functions as F
 from cardsentry.functions import is_expired, ts_literal, within
 from cardsentry.operators.asof import join_terminal_asof
 from cardsentry.operators.enrich import blocked_since
-from cardsentry.operators.sequence import DEFAULT_HOT_ROWS, DEFAULT_SLOT_HOURS, with_lags
+from cardsentry.operators.sequence import with_lags
 from cardsentry.schemas import (
     CITY_HOP_SECONDS,
     EVENT_AMOUNT_PROBE,
@@ -38,7 +41,6 @@ from cardsentry.schemas import (
     RESULT_REJECT,
     RESULT_SUCCESS,
 )
-from cardsentry.session import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 TS = "transaction_date"
 
@@ -108,19 +110,16 @@ def expired_passport(enriched: DataFrame, report_dt) -> DataFrame:
     return report_rows(enriched.where(expired_passport_flag()), EVENT_EXPIRED_PASSPORT, report_dt)
 
 
-def _with_blocked_since(enriched: DataFrame, blacklist: DataFrame | None,
-                        broadcast_rows: int | None) -> DataFrame:
+def _with_blocked_since(enriched: DataFrame, blacklist: DataFrame | None) -> DataFrame:
     """``blocked_since`` on every row: already there when the chain was built
     with the blacklist (preferred), else one left join on the passport."""
     if "blocked_since" in enriched.columns:
         return enriched
-    bl = broadcast_if_small(blocked_since(blacklist), broadcast_rows)
-    return enriched.join(bl, F.col("passport_num") == F.col("bl_passport"), "left")
+    return enriched.join(blocked_since(blacklist), F.col("passport_num") == F.col("bl_passport"), "left")
 
 
-def blocked_passport(enriched: DataFrame, blacklist: DataFrame | None, report_dt,
-                     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    hits = _with_blocked_since(enriched, blacklist, broadcast_rows).where(blocked_flag())
+def blocked_passport(enriched: DataFrame, blacklist: DataFrame | None, report_dt) -> DataFrame:
+    hits = _with_blocked_since(enriched, blacklist).where(blocked_flag())
     return report_rows(hits, EVENT_BLOCKED_PASSPORT, report_dt)
 
 
@@ -128,89 +127,75 @@ def invalid_agreement(enriched: DataFrame, report_dt) -> DataFrame:
     return report_rows(enriched.where(invalid_agreement_flag()), EVENT_INVALID_AGREEMENT, report_dt)
 
 
-def _known_sequence(enriched: DataFrame, hist: DataFrame, slot_hours: int,
-                    broadcast_rows: int | None, hot_rows: int | None,
-                    dim_mode: str = "point_in_time") -> DataFrame:
-    """Transactions of known terminals with their sequence lags.
+def _exploded(flagged: DataFrame, events: dict[str, Column], report_dt) -> DataFrame:
+    """One report row per (row, flag that holds): explode, no union."""
+    named = F.array(*[F.when(_true(flag), F.lit(e)) for e, flag in events.items()])
+    hits = flagged.withColumn("_event", F.explode(F.filter(named, lambda e: e.isNotNull())))
+    return report_rows(hits, F.col("_event"), report_dt)
+
+
+def row_rules(enriched: DataFrame, blacklist: DataFrame | None, report_dt) -> DataFrame:
+    """Rules 1_1, 1_2 and 2 in one pass over the enriched rows."""
+    return _exploded(_with_blocked_since(enriched, blacklist), {
+        EVENT_EXPIRED_PASSPORT: expired_passport_flag(),
+        EVENT_BLOCKED_PASSPORT: blocked_flag(),
+        EVENT_INVALID_AGREEMENT: invalid_agreement_flag(),
+    }, report_dt)
+
+
+def known_sequence(transactions: DataFrame, hist: DataFrame, dim_mode: str = "point_in_time",
+                   carry: tuple[str, ...] = ()) -> DataFrame:
+    """Transactions of known terminals with their sequence lags, in the few
+    columns that the rules compare (plus ``carry``).
 
     ``dim_mode='all_versions'`` reproduces the original statements literally:
     every version of the terminal joins, so a transaction repeats once per
     version (ordered by version start among equal times).
     """
-    joined = join_terminal_asof(enriched, hist, how="inner", mode=dim_mode,
-                                broadcast_rows=broadcast_rows)
+    narrow = transactions.select("card_num", TS, "trans_id", "terminal", "amount", "oper_result", *carry)
+    joined = join_terminal_asof(narrow, hist, how="inner", mode=dim_mode)
     ties = ("trans_id",) if dim_mode == "point_in_time" else ("trans_id", "effective_from")
-    return with_lags(joined, SEQUENCE_LAGS, LOOKBACK_SECS, slot_hours=slot_hours,
-                     hot_rows=hot_rows, hot_source=enriched, tiebreak=ties)
+    return with_lags(
+        joined.select("card_num", TS, *ties, "terminal_city", "amount", "oper_result", *carry),
+        SEQUENCE_LAGS, tiebreak=ties)
 
 
-def city_hop(enriched: DataFrame, hist: DataFrame, report_dt,
-             slot_hours: int = DEFAULT_SLOT_HOURS,
-             broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-             hot_rows: int | None = DEFAULT_HOT_ROWS,
-             dim_mode: str = "point_in_time") -> DataFrame:
-    seq = _known_sequence(enriched, hist, slot_hours, broadcast_rows, hot_rows, dim_mode)
-    return report_rows(seq.where(city_hop_flag()), EVENT_CITY_HOP, report_dt)
-
+SEQUENCE_EVENTS = {EVENT_CITY_HOP: city_hop_flag, EVENT_AMOUNT_PROBE: amount_probe_flag}
 
-def amount_probe(enriched: DataFrame, hist: DataFrame, report_dt,
-                 slot_hours: int = DEFAULT_SLOT_HOURS,
-                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                 hot_rows: int | None = DEFAULT_HOT_ROWS,
-                 dim_mode: str = "point_in_time") -> DataFrame:
-    seq = _known_sequence(enriched, hist, slot_hours, broadcast_rows, hot_rows, dim_mode)
-    return report_rows(seq.where(amount_probe_flag()), EVENT_AMOUNT_PROBE, report_dt)
 
+def sequence_rules(transactions: DataFrame, owners: DataFrame, hist: DataFrame, report_dt,
+                   events: tuple[str, ...] = tuple(SEQUENCE_EVENTS),
+                   dim_mode: str = "point_in_time", context: str | None = None) -> DataFrame:
+    """Rules 3 and 4 over one sequence.  ``context`` names a boolean column of
+    rows that take part in the sequences and are not reported themselves."""
+    carry = (context,) if context else ()
+    seq = known_sequence(transactions, hist, dim_mode, carry)
+    if context:
+        seq = seq.where(~F.col(context))
+    named = F.array(*[F.when(_true(SEQUENCE_EVENTS[e]()), F.lit(e)) for e in events])
+    hits = seq.select("card_num", TS, F.explode(F.filter(named, lambda e: e.isNotNull())).alias("_event"))
+    return report_rows(hits.join(owners, "card_num"), F.col("_event"), report_dt)
 
-# --- fused mart ---------------------------------------------------------------
 
-def flagged_sequence(enriched: DataFrame, blacklist: DataFrame | None, hist: DataFrame,
-                     slot_hours: int = DEFAULT_SLOT_HOURS,
-                     broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-                     hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Every enriched transaction with five rule flags, in one pass.
-
-    Unknown terminals stay in (left point-in-time join, ``known`` = false) and
-    form their own sequence, so the lags of known rows equal those after an
-    inner join; rules 3 and 4 require ``known``.
-    """
-    with_bl = _with_blocked_since(enriched, blacklist, broadcast_rows)
-    joined = join_terminal_asof(with_bl, hist, how="left", broadcast_rows=broadcast_rows)
-    seq = with_lags(joined, SEQUENCE_LAGS, LOOKBACK_SECS,
-                    partition_by=("card_num", "known"), slot_hours=slot_hours, hot_rows=hot_rows,
-                    hot_source=enriched)
-    known = F.col("known")
-    return seq.select(
-        "*",
-        _true(expired_passport_flag()).alias("f_expired"),
-        _true(blocked_flag()).alias("f_blocked"),
-        _true(invalid_agreement_flag()).alias("f_agreement"),
-        _true(known & city_hop_flag()).alias("f_city"),
-        _true(known & amount_probe_flag()).alias("f_probe"),
-    )
+def city_hop(transactions: DataFrame, owners: DataFrame, hist: DataFrame, report_dt,
+             dim_mode: str = "point_in_time") -> DataFrame:
+    return sequence_rules(transactions, owners, hist, report_dt, (EVENT_CITY_HOP,), dim_mode)
 
 
-_FLAG_EVENTS = (
-    ("f_expired", EVENT_EXPIRED_PASSPORT),
-    ("f_blocked", EVENT_BLOCKED_PASSPORT),
-    ("f_agreement", EVENT_INVALID_AGREEMENT),
-    ("f_city", EVENT_CITY_HOP),
-    ("f_probe", EVENT_AMOUNT_PROBE),
-)
+def amount_probe(transactions: DataFrame, owners: DataFrame, hist: DataFrame, report_dt,
+                 dim_mode: str = "point_in_time") -> DataFrame:
+    return sequence_rules(transactions, owners, hist, report_dt, (EVENT_AMOUNT_PROBE,), dim_mode)
 
 
-def report_from_flags(flagged: DataFrame, report_dt, extra: tuple[str, ...] = ()) -> DataFrame:
-    """One report row per (transaction, broken rule): explode, no union."""
-    events = F.array(*[F.when(F.col(f), F.lit(e)) for f, e in _FLAG_EVENTS])
-    rows = flagged.where(F.greatest(*[F.col(f) for f, _ in _FLAG_EVENTS]))
-    exploded = rows.select("*", F.explode(events).alias("_event")).where(F.col("_event").isNotNull())
-    return report_rows(exploded, F.col("_event"), report_dt, extra)
+# --- all five -----------------------------------------------------------------
 
+def fraud_mart(transactions: DataFrame, owners: DataFrame, hist: DataFrame, report_dt,
+               blacklist: DataFrame | None = None, context: str | None = None) -> DataFrame:
+    """All five rules: the row rules over the fact joined to its owners, the
+    sequence rules over the narrow sequence; two legs that share no shuffle.
 
-def fraud_mart(enriched: DataFrame, blacklist: DataFrame | None, hist: DataFrame, report_dt,
-               slot_hours: int = DEFAULT_SLOT_HOURS,
-               broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-               hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
-    """All five rules in one distributed pass (one Exchange for the window)."""
-    flagged = flagged_sequence(enriched, blacklist, hist, slot_hours, broadcast_rows, hot_rows)
-    return report_from_flags(flagged, report_dt)
+    ``owners`` is the stored owner table, with ``blocked_since`` or else with
+    ``blacklist`` given beside it."""
+    own = transactions.where(~F.col(context)) if context else transactions
+    return row_rules(own.join(owners, "card_num"), blacklist, report_dt).unionByName(
+        sequence_rules(transactions, owners, hist, report_dt, context=context))

@@ -176,6 +176,35 @@ def history_from_cuts(snapshots: DataFrame, key: str = TERMINAL_KEY,
     )
 
 
+def changes_from_cuts(snapshots: DataFrame, days: Iterable[dt.date | dt.datetime], key: str = TERMINAL_KEY,
+                      attrs: Iterable[str] = TERMINAL_ATTRS) -> DataFrame:
+    """Every new, deleted and changed key of every cut against the cut before
+    it (``as_of``, ``change_kind``, key, attributes; the last known ones for a
+    deleted key), in one window over the cuts.  On the first cut every key is
+    new."""
+    attrs = tuple(attrs)
+    day_list = sorted(d if isinstance(d, dt.datetime) else dt.datetime.combine(d, dt.time()) for d in days)
+    calendar = snapshots.sparkSession.createDataFrame(
+        list(zip(day_list, [None, *day_list[:-1]], [*day_list[1:], None])),
+        "as_of timestamp_ntz, prev_cut timestamp_ntz, next_cut timestamp_ntz")
+    # One row per cut day.
+    cuts = snapshots.select("as_of", key, *attrs).join(F.broadcast(calendar), "as_of")
+    w = Window.partitionBy(key).orderBy("as_of")
+    seq = cuts.select("*", F.lag("as_of").over(w).alias("_p"), F.lead("as_of").over(w).alias("_n"),
+                      *[F.lag(a).over(w).alias(f"_p_{a}") for a in attrs])
+    differs = reduce(lambda acc, a: acc | ~F.col(a).eqNullSafe(F.col(f"_p_{a}")), attrs, F.lit(False))
+    follows = F.col("_p").eqNullSafe(F.col("prev_cut")) & F.col("prev_cut").isNotNull()
+    leaves = F.col("next_cut").isNotNull() & ~F.col("_n").eqNullSafe(F.col("next_cut"))
+
+    def change(kind: str, at: str) -> Column:
+        return F.struct(F.lit(kind).alias("change_kind"), F.col(at).alias("as_of"))
+
+    events = F.array(F.when(~follows, change(NEW, "as_of")).when(differs, change(CHANGED, "as_of")),
+                     F.when(leaves, change(DELETED, "next_cut")))
+    return seq.select(F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e"), key, *attrs).select(
+        "e.as_of", "e.change_kind", key, *attrs)
+
+
 def build_history(spark: SparkSession, snapshots: DataFrame, days: Iterable[dt.date | dt.datetime],
                   hist: DataFrame | None = None, cut_lineage: bool = True) -> DataFrame:
     """Fold the daily cuts (``as_of`` column) into the history, day by day.

@@ -1,129 +1,59 @@
 """Per-card transaction sequences: ``lag`` columns without one task per card.
 
 A plain ``Window.partitionBy('card_num')`` puts every transaction of a card
-into one task; a card holding a third of the data would stall the job.  The
-rules only ever look back a bounded time (``lookback_secs``: one hour for the
-city rule, twenty minutes for the probing rule), so the sequence is cut into
-time slots and each row is also copied, as context, into the next slot when
-it lies within ``lookback_secs`` of that slot's start.  The window then
-partitions by (card, slot), behind an explicit exchange on exactly those keys
-(a hash partitioning on the card alone, left by an earlier join, would
-otherwise satisfy the window and undo the split).
-
-Slots are ``slot_hours`` long (a day by default).  A (card, day) with more
-than ``hot_rows`` transactions — found by a pre-aggregated count, and listed
-in a table of at most total/hot_rows rows — gets ``hot_slot_hours`` slots
-instead, so even a card holding a third of one day's rows spreads over many
-tasks.
-
-This is exact for any predicate of the form "lag k exists and is less than
-``lookback_secs`` earlier": every slot plus its context holds all rows of the
-``lookback_secs`` before each of its own rows, contiguously; a lag that falls
-outside is either null or the true lag, and in both cases the predicate is
-false, as it would be on the whole sequence.  Context rows are dropped after
-the window.  Copies: lookback/slot of the rows (≈ 4 % for a day slot and a
-one-hour lookback; one copy per row in hot one-hour slots).
+into one task; a card holding a third of the data would stall the job, and no
+time slot helps when its rows lie in one hour.  Here the rows are range
+partitioned on the whole sort order (card, time, tie-break), so a hot card
+simply covers many partitions, all of one size.  A lag reaches back a fixed
+number of rows, so a partition needs only the last few rows of the ones before
+it: these tails, a few rows per partition, are handed on as context, and the
+window runs per card *and* partition.  The lags are exact, whatever the skew,
+without a count, a threshold or a time limit on the lookback.
+
+The ranges are drawn from a sample, so the sorted rows are written once to the
+shared folder before anything depends on where they fell.  Keep ``df`` narrow:
+it crosses two exchanges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardsentry.functions import hour_bucket, seconds
-from cardsentry.session import broadcast_if_small, has_at_most, materialize
-
-DEFAULT_SLOT_HOURS = 24
-DEFAULT_HOT_SLOT_HOURS = 1
-# (card, day) pairs above this many rows are cut into hot slots.
-DEFAULT_HOT_ROWS = 2_000_000
-# Hot-pair list: at most total rows / hot_rows entries; broadcast below this.
-HOT_LIST_MAX_ROWS = 1_000_000
-
-
-def hot_days(df: DataFrame, key: str, ts_col: str, hot_rows: int) -> DataFrame:
-    """(key, day) pairs with more than ``hot_rows`` rows (partial aggregation
-    map-side, so only counts are shuffled)."""
-    return (
-        df.groupBy(F.col(key).alias("_hk"), F.to_date(ts_col).alias("_hd"))
-        .count()
-        .where(F.col("count") > hot_rows)
-        .select("_hk", "_hd")
-    )
-
-
-def _slot(ts: Column, hours: Column, slot_hours: int, hot_slot_hours: int) -> Column:
-    """Slot id as (slot length, index); the length keeps the two grids apart."""
-    return F.struct(
-        hours.alias("len"),
-        F.when(hours == hot_slot_hours, hour_bucket(ts, hot_slot_hours))
-        .otherwise(hour_bucket(ts, slot_hours)).alias("idx"),
-    )
+from cardsentry.session import materialize
 
 
 def with_lags(
     df: DataFrame,
     lags: Mapping[str, Iterable[int]],
-    lookback_secs: int,
     partition_by: Sequence[str] = ("card_num",),
     ts_col: str = "transaction_date",
     tiebreak: str | Sequence[str] = "trans_id",
-    slot_hours: int = DEFAULT_SLOT_HOURS,
-    hot_rows: int | None = None,
-    hot_slot_hours: int = DEFAULT_HOT_SLOT_HOURS,
-    hot_source: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``<col>_lag<k>`` for each requested column and offset.
-
-    Ordering is (``ts_col``, ``tiebreak``) so equal times give a stable order.
-    Lags are exact whenever the lagged row lies less than ``lookback_secs``
-    before the current row; farther lags may come back null.
-    ``hot_rows`` (None = off) turns on finer slots for hot (card, day) pairs;
-    ``hot_source`` is a cheaper DataFrame with the same (or more) rows per
-    (card, day) to count them on, e.g. the input before a dimension join.
-    """
-    if min(slot_hours, hot_slot_hours) * 3600 < lookback_secs:
-        raise ValueError("slots must cover the lookback")
-    if 24 % hot_slot_hours or slot_hours % 24 and 24 % slot_hours:
-        raise ValueError("slot lengths must tile a day")
-    ts = F.col(ts_col)
-    reach_ts = ts + seconds(lookback_secs)
-    key = partition_by[0]
-    base = F.lit(slot_hours)
-    home_len, reach_len = base, base
-    source = hot_source if hot_source is not None else df
-    if hot_rows and has_at_most(source, hot_rows):
-        hot_rows = None  # no (card, day) can exceed the threshold: skip the count
-    if hot_rows:
-        # Counted once on the cheapest input that has every row, written to
-        # the shared folder (tiny: ≤ total/hot_rows rows), then probed.
-        hot = materialize(hot_days(source, key, ts_col, hot_rows), "hot-card-days")
-        hot = broadcast_if_small(hot, HOT_LIST_MAX_ROWS)
-        h1 = hot.select(F.col("_hk").alias("_h1k"), F.col("_hd").alias("_h1d"))
-        h2 = hot.select(F.col("_hk").alias("_h2k"), F.col("_hd").alias("_h2d"))
-        df = (df.join(h1, (F.col(key) == F.col("_h1k")) & (F.to_date(ts) == F.col("_h1d")), "left")
-                .join(h2, (F.col(key) == F.col("_h2k")) & (F.to_date(reach_ts) == F.col("_h2d")), "left"))
-        home_len = F.when(F.col("_h1k").isNotNull(), F.lit(hot_slot_hours)).otherwise(base)
-        reach_len = F.when(F.col("_h2k").isNotNull(), F.lit(hot_slot_hours)).otherwise(base)
-    home = _slot(ts, home_len, slot_hours, hot_slot_hours)
-    reach = _slot(reach_ts, reach_len, slot_hours, hot_slot_hours)
-    slotted = df.select(
-        "*",
-        home.alias("_home_slot"),
-        F.explode(F.when(reach != home, F.array(home, reach)).otherwise(F.array(home))).alias("_slot"),
-    )
-    if hot_rows:
-        slotted = slotted.drop("_h1k", "_h1d", "_h2k", "_h2d")
-    slotted = slotted.repartition(*partition_by, "_slot")
-    ties = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
-    w = Window.partitionBy(*partition_by, "_slot").orderBy(ts, *[F.col(c) for c in ties])
-    lag_cols = [
-        F.lag(c, k).over(w).alias(f"{c}_lag{k}") for c, ks in lags.items() for k in ks
-    ]
-    return (
-        slotted.select("*", *lag_cols)
-        .where(F.col("_slot") == F.col("_home_slot"))
-        .drop("_slot", "_home_slot")
-    )
+    """Add ``<col>_lag<k>`` for each requested column and offset, over the
+    rows of equal ``partition_by`` ordered by (``ts_col``, ``tiebreak``)."""
+    spark = df.sparkSession
+    order = [ts_col, *([tiebreak] if isinstance(tiebreak, str) else tiebreak)]
+    keys = [*partition_by, *order]
+    depth = max((k for ks in lags.values() for k in ks), default=1)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialize(
+        df.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id()), "sequence-rows")
+
+    last = Window.partitionBy("_part").orderBy(*[F.desc(k) for k in keys])
+    tails = materialize(
+        placed.withColumn("_nth", F.row_number().over(last)).where(F.col("_nth") <= depth).drop("_nth"),
+        "sequence-tails")
+    # Partitions that hold rows, in order: one number per partition.
+    parts = sorted(r[0] for r in tails.select("_part").distinct().collect())
+    handed = [(p, q) for i, p in enumerate(parts) for q in parts[i + 1:i + 1 + depth]]
+    after = F.broadcast(spark.createDataFrame(handed, "_part int, _next int"))
+    context = tails.join(after, "_part").drop("_part").withColumnRenamed("_next", "_part")
+
+    rows = placed.withColumn("_own", F.lit(True)).unionByName(context.withColumn("_own", F.lit(False)))
+    w = Window.partitionBy(*partition_by, "_part").orderBy(*order)
+    lag_cols = [F.lag(c, k).over(w).alias(f"{c}_lag{k}") for c, ks in lags.items() for k in ks]
+    return rows.select("*", *lag_cols).where("_own").drop("_own", "_part")

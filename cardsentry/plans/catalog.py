@@ -1,78 +1,27 @@
-"""Catalog snapshot: every warehouse object with its columns.
+"""Listing of a warehouse: its tables and columns, for people to read.
 
-The warehouse folders are registered as external Parquet tables of one
-database in the session catalog (plus the ``v_terminals`` view of the live
-dimension); the snapshot is then ``spark.catalog.listTables`` ×
-``listColumns``.  This is metadata only — a few rows per table — built on
-the driver from the catalog and handed to Spark as a small DataFrame.
+Metadata only: one small row per column, from the schemas of the newest
+load's folders; nothing is registered in a metastore, so nothing goes stale
+and nothing needs dropping.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import hashlib
+from pyspark.sql import SparkSession
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from cardsentry.plans import daily
 
-META_SCHEMA = T.StructType([
-    T.StructField("table_name", T.StringType()),
-    T.StructField("column_name", T.StringType()),
-    T.StructField("object_type", T.StringType()),
-    T.StructField("data_type", T.StringType()),
-    T.StructField("ordinal", T.IntegerType()),
-    T.StructField("is_partition", T.BooleanType()),
-    T.StructField("snapshot_dt", T.TimestampNTZType()),
-])
 
-
-def database_for(store) -> str:
-    return "cardsentry_" + hashlib.sha1(store.root.encode()).hexdigest()[:10]
-
-
-def register_warehouse(spark: SparkSession, store, tables: set[str] | None = None) -> str:
-    """Register the store's tables and the current view.
-
-    ``tables``: the tables known to hold data (default: all of them).
-    """
-    from cardsentry.plans import daily
-
-    db = database_for(store)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-    for name in (daily.FACT_TX, daily.FACT_BLACKLIST, daily.STG_TERMINALS, daily.DIM,
-                 daily.REPORT, daily.META, daily.LOAD_LOG):
-        if tables is not None and name not in tables:
-            continue
-        full = f"{db}.{name}"
-        if spark.catalog.tableExists(full):
-            continue  # columns are fixed; new day folders need no re-registration
-        try:
-            spark.catalog.createTable(full, path=store.table(name), source="parquet")
-        except AnalysisException:
-            continue  # folder not written yet
-    if (not spark.catalog.tableExists(f"{db}.v_terminals")
-            and spark.catalog.tableExists(f"{db}.{daily.DIM}")
-            and spark.catalog.tableExists(f"{db}.{daily.LOAD_LOG}")):
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {db}.v_terminals AS "
-            f"SELECT terminal_id, terminal_type, terminal_city, terminal_address "
-            f"FROM {db}.{daily.DIM} WHERE part = 'open' AND deleted_flg = 0 "
-            f"AND CAST(v AS STRING) = (SELECT max(CAST(load_date AS STRING)) FROM {db}.{daily.LOAD_LOG})"
-        )
-    return db
-
-
-def catalog_rows(spark: SparkSession, db: str, snapshot_dt: dt.datetime) -> DataFrame:
-    rows = []
-    for t in sorted(spark.catalog.listTables(db), key=lambda t: t.name):
-        kind = "view" if (t.tableType or "").upper() == "VIEW" else "table"
-        for i, c in enumerate(spark.catalog.listColumns(f"{db}.{t.name}")):
-            rows.append((t.name, c.name, kind, c.dataType, i, bool(c.isPartition), snapshot_dt))
-    return spark.createDataFrame(rows, META_SCHEMA)
-
-
-def warehouse_catalog(spark: SparkSession, store, snapshot_dt: dt.datetime,
-                      tables: set[str] | None = None) -> DataFrame:
-    """Register the warehouse and list its objects and columns."""
-    return catalog_rows(spark, register_warehouse(spark, store, tables), snapshot_dt)
+def list_columns(spark: SparkSession, store: daily.Store) -> list[tuple[str, int, str, str]]:
+    """(table, position, column, type) of every published table."""
+    state = daily.loads(spark, store)
+    if not state:
+        return []
+    last = state[max(state)]
+    runs = {daily.FACT_TX: (last.facts or (None,))[-1], daily.FACT_BLACKLIST: last.blacklist, daily.STG_TERMINALS: last.terminals,
+            daily.OWNERS: last.owners, daily.DIM: last.dim, daily.REPORT: last.report}
+    return [
+        (name, i, f.name, f.dataType.simpleString())
+        for name, run in sorted(runs.items()) if run
+        for i, f in enumerate(spark.read.parquet(store.folder(name, run, last.day)).schema)
+    ]

@@ -1,70 +1,82 @@
-"""The daily cycle: load a day's drops, update the dimension, run the mart.
-
-Warehouse layout under one root folder (in the cluster's shared storage):
-
-* ``fact_transactions/load_date=D``   typed transactions of load D
-* ``fact_passport_blacklist/load_date=D`` the cumulative blacklist as of D
-* ``stg_terminals/load_date=D``       the terminal cut of load D (for re-runs)
-* ``dim_terminals_hist/v=D/part=open|closed`` the dimension after load D:
-  every open row (live or tombstone), and the rows closed by load D.
-  The history as of D is ``closed`` of every published version ≤ D plus
-  ``open`` of D.  A day reads only ``open`` of the previous version (for the
-  SCD2 apply) and version D (for the rules: the lookback hour starts after
-  every older close), so it costs the open rows and the cut, not the history.
-* ``rep_fraud/load_date=D``           report rows produced by load D
-* ``meta_catalog/snapshot_day=D``      catalog snapshot after load D
-* ``load_log/load_date=D``            publish marker, written last
-
-Every table of a day is written by overwriting exactly that day's folder, so
-re-running a day replaces its output and leaves other days alone; a run that
-dies before its marker is simply re-run.  Loads must come in day order: a day
-before the newest published one is refused; a late file for such a day goes
-through :func:`rerun_from`, which re-runs that day and every later one from
-the stored inputs (the dimension versions after it depend on it).
-
-Window rules (city hop, probing) need the card's transactions of the hour
-before the load: the previous load's rows from that hour are read as context
-(partition pruning on ``load_date``, a pushed filter on the time), take part
-in the sequences, and are not reported again.
+"""The daily cycle: take in a day's drops, update the dimension, run the mart.
+
+Warehouse layout under one root folder (in the cluster's shared storage)::
+
+    <table>/run=R/load_date=D/
+
+Every delivery writes into folders of its own run and never touches another
+run's.  ``load_log`` is append-only: one row per load and publication says
+which run holds each of the load's tables, and the newest row of a load
+counts.  A delivery appends the rows of all loads that it changed as one file,
+last.  So it is published whole or not at all: readers go through the log, a
+crash at any step leaves the state before it, and no result depends on how a
+session overwrites partitions.
+
+A transaction belongs to the latest load whose day has begun at its time (to
+the first load if it is older).  A second file of a day, or late rows in a
+later file, are added to the load they belong to as another part, and the
+reports of that load and of the one after it (which reads its last hour as
+context) are made anew.  A corrected terminal cut makes the dimension and the
+reports anew from its day on.
+
+Per load the store keeps the typed masters and the owner table as of that
+load, so a load made anew uses the masters of its own day.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+import uuid
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardsentry.functions import ts_literal
-from cardsentry.operators.enrich import enrich
-from cardsentry.plans.catalog import warehouse_catalog
-from cardsentry.operators.rules import LOOKBACK_SECS, flagged_sequence, report_from_flags
-from cardsentry.operators.scd2 import empty_history, scd2_apply
-from cardsentry.operators.sequence import DEFAULT_HOT_ROWS, DEFAULT_SLOT_HOURS
-from cardsentry.schemas import OPEN_END, TERMINALS_HIST
-from cardsentry.session import DEFAULT_BROADCAST_ROWS, materialize, scratch_path
+from cardsentry.operators.enrich import card_owners
+from cardsentry.operators.rules import LOOKBACK_SECS, fraud_mart
+from cardsentry.operators.scd2 import current, empty_history, scd2_apply
+from cardsentry.schemas import OPEN_END, REPORT as REPORT_SCHEMA, TERMINAL_KEY, TERMINALS_HIST
+from cardsentry.session import scratch_path
+from cardsentry.sources.masters import Masters, read_masters, write_masters
 
 FACT_TX = "fact_transactions"
 FACT_BLACKLIST = "fact_passport_blacklist"
 STG_TERMINALS = "stg_terminals"
+STG_MASTERS = "stg_masters"
+OWNERS = "card_owners"
 DIM = "dim_terminals_hist"
 REPORT = "rep_fraud"
-META = "meta_catalog"
+QUARANTINE = "quarantine"
 LOAD_LOG = "load_log"
 
-LOAD_LOG_SCHEMA = T.StructType([
-    T.StructField("as_of", T.TimestampNTZType()),
-    T.StructField("report_dt", T.TimestampNTZType()),
-    T.StructField("source", T.StringType()),
-    T.StructField("load_date", T.StringType()),
-])
-DIM_STORED = T.StructType(
-    TERMINALS_HIST.fields
-    + [T.StructField("v", T.StringType()), T.StructField("part", T.StringType())]
-)
+TX_COLUMNS = ("trans_id", "transaction_date", "card_num", "amount", "oper_type", "oper_result", "terminal")
+DIM_STORED = T.StructType([*TERMINALS_HIST.fields, T.StructField("part", T.StringType())])
+LOG_DDL = ("seq long, load_date string, report_dt timestamp_ntz, source string, facts array<string>, "
+           "blacklist string, terminals string, masters string, owners string, dim string, report string")
+
+
+@dataclass(frozen=True)
+class Load:
+    """One published load: the run that holds each of its tables."""
+
+    load_date: str
+    report_dt: dt.datetime | None = None
+    source: str | None = None
+    facts: tuple[str, ...] = ()
+    blacklist: str | None = None
+    terminals: str | None = None
+    masters: str | None = None
+    owners: str | None = None
+    dim: str | None = None
+    report: str | None = None
+
+    @property
+    def day(self) -> dt.date:
+        return dt.date.fromisoformat(self.load_date)
 
 
 @dataclass(frozen=True)
@@ -80,179 +92,263 @@ class Store:
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
-    def day(self, name: str, col: str, day: dt.date) -> str:
-        return f"{self.table(name)}/{col}={day.isoformat()}"
+    def folder(self, name: str, run: str, day: dt.date) -> str:
+        return f"{self.table(name)}/run={run}/load_date={day.isoformat()}"
 
-    def ensure(self, spark: SparkSession) -> None:
-        """Create the publish log folder if missing (an empty partitioned
-        write leaves only the folder), so that reading it never fails."""
-        spark.createDataFrame([], LOAD_LOG_SCHEMA).write.mode("ignore") \
-            .partitionBy("load_date").parquet(self.table(LOAD_LOG))
 
-
-def _read(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+def _log(spark: SparkSession, store: Store) -> list:
     try:
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        return reader.parquet(path)
+        return spark.read.schema(LOG_DDL).parquet(store.table(LOAD_LOG)).collect()  # one row per publication
     except AnalysisException:
-        return None
+        return []
+
+
+def loads(spark: SparkSession, store: Store) -> dict[dt.date, Load]:
+    """The published state: the newest log row of every load, by day."""
+    newest: dict[str, tuple[int, Load]] = {}
+    for r in _log(spark, store):
+        row = r.asDict()
+        seq = row.pop("seq")
+        if seq > newest.get(r.load_date, (-1, None))[0]:
+            newest[r.load_date] = seq, Load(**row | {"facts": tuple(row["facts"] or ())})
+    return {load.day: load for _, (_, load) in sorted(newest.items())}
 
 
-def published(spark: SparkSession, store: Store) -> dict[dt.date, str | None]:
-    """Published days with the source tag of the run that published them
-    (one tiny row per load)."""
-    log = _read(spark, store.table(LOAD_LOG), LOAD_LOG_SCHEMA)
-    if log is None:
-        return {}
-    return {dt.date.fromisoformat(r[0]): r[1] for r in log.select("load_date", "source").collect()}
+def _publish(spark: SparkSession, store: Store, changed: Iterable[Load]) -> None:
+    seq = max((r.seq for r in _log(spark, store)), default=-1) + 1
+    rows = [(seq, *[list(v) if isinstance(v, tuple) else v for v in asdict(x).values()]) for x in changed]
+    spark.createDataFrame(rows, LOG_DDL).coalesce(1).write.mode("append").parquet(store.table(LOAD_LOG))
 
 
 def published_days(spark: SparkSession, store: Store) -> list[dt.date]:
-    """Days with a publish marker."""
-    return sorted(published(spark, store))
+    return list(loads(spark, store))
 
 
-def history(spark: SparkSession, store: Store, day: dt.date,
-            published: list[dt.date] | None = None,
-            since: dt.datetime | None = None) -> DataFrame:
-    """The dimension history as of load ``day``: open rows of ``day`` plus the
-    rows closed by every published load up to it.
-
-    ``since`` keeps only the versions a transaction at or after that time can
-    match: rows closed by loads at or after ``since`` (closing sets
-    ``effective_to`` to the load time minus one second), which prunes the read
-    to a few version folders.  Every key keeps its open row, so which version
-    such a transaction matches does not change.
-    """
-    published = published_days(spark, store) if published is None else published
-    closers = {d for d in published if d <= day} | {day}
-    if since is not None:
-        closers = {d for d in closers if dt.datetime.combine(d, dt.time()) >= since}
-    keep = sorted(d.isoformat() for d in closers)
-    stored = _read(spark, store.table(DIM), DIM_STORED)
-    if stored is None:
-        return empty_history(spark)
-    v, part = F.col("v"), F.col("part")
-    sel = ((part == "closed") & v.isin(keep)) | ((part == "open") & (v == day.isoformat()))
-    return stored.where(sel).select(*[f.name for f in TERMINALS_HIST.fields])
+def published_sources(spark: SparkSession, store: Store) -> set[str]:
+    """Tags of every delivery ever published."""
+    return {r.source for r in _log(spark, store) if r.source}
+
+
+# --- reading one load's tables -------------------------------------------------
+
+def _read(spark: SparkSession, paths: list[str], schema) -> DataFrame:
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
 
 
-def open_rows(spark: SparkSession, store: Store, day: dt.date) -> DataFrame:
-    """Open rows (live and tombstones) of version ``day``: one folder."""
-    stored = _read(spark, store.table(DIM), DIM_STORED)
-    if stored is None:
+def facts(spark: SparkSession, store: Store, some: Iterable[Load], schema: T.StructType | None = None) -> DataFrame:
+    """Transactions of the given loads, all parts."""
+    paths = [store.folder(FACT_TX, run, x.day) for x in some for run in x.facts]
+    if not paths:
+        return spark.createDataFrame([], schema or "trans_id string, transaction_date timestamp_ntz, card_num string, "
+                                     "amount double, oper_type string, oper_result string, terminal string")
+    return spark.read.parquet(*paths)
+
+
+def history(spark: SparkSession, store: Store, some: Mapping[dt.date, Load], day: dt.date,
+            since: dt.datetime | None = None) -> DataFrame:
+    """The dimension as of load ``day``: its open rows and the rows closed by
+    every load up to it.
+
+    ``since`` leaves out rows closed by loads before that time: a transaction
+    from then on cannot match them."""
+    upto = [x for d, x in some.items() if d <= day and x.dim]
+    if not upto:
         return empty_history(spark)
-    return stored.where((F.col("part") == "open") & (F.col("v") == day.isoformat())).select(
-        *[f.name for f in TERMINALS_HIST.fields])
+    closers = [x for x in upto if since is None or dt.datetime.combine(x.day, dt.time()) >= since or x.day == day]
+    names = [f.name for f in TERMINALS_HIST.fields]
+    closed = _read(spark, [store.folder(DIM, x.dim, x.day) for x in closers], DIM_STORED).where("part = 'closed'")
+    last = upto[-1]
+    opened = _read(spark, [store.folder(DIM, last.dim, last.day)], DIM_STORED).where("part = 'open'")
+    return closed.select(*names).unionByName(opened.select(*names))
 
 
-def run_day(
-    spark: SparkSession,
-    store: Store,
-    day: dt.date,
-    transactions: DataFrame,
-    blacklist: DataFrame,
-    terminals: DataFrame,
-    cards: DataFrame,
-    accounts: DataFrame,
-    clients: DataFrame,
-    report_dt: dt.datetime | None = None,
-    slot_hours: int = DEFAULT_SLOT_HOURS,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-    lookback: bool = True,
-    hot_rows: int | None = DEFAULT_HOT_ROWS,
-    source: str | None = None,
-    allow_rerun: bool = False,
-) -> None:
-    """Load day ``day`` and publish its report partition (idempotent).
+def current_terminals(spark: SparkSession, store: Store) -> DataFrame:
+    """The live terminals after the newest load."""
+    some = loads(spark, store)
+    if not some:
+        return current(empty_history(spark), dt.datetime.max.replace(year=2900))
+    day = max(some)
+    return current(history(spark, store, some, day), dt.datetime.combine(day, dt.time()))
 
-    ``source`` tags the publish marker (the stream driver records its batch,
-    so a replayed batch can tell its own finished days apart).
 
-    ``lookback=False`` runs the window rules over the day's rows only, as a
-    cycle that replaces the fact table daily would (misses sequences that
-    cross the load boundary).
-    """
-    as_of = dt.datetime.combine(day, dt.time())
-    report_dt = report_dt or as_of
-    store.ensure(spark)
-    published = published_days(spark, store)
-    if not allow_rerun and any(d > day for d in published):
-        raise ValueError(f"{day} is before the newest published load {max(published)}; "
-                         "use rerun_from() to re-run it and the loads after it")
-    prev = max((d for d in published if d < day), default=None)
-
-    # 1. facts of the day, time-sorted within each file so that a time filter
-    #    (the next load's lookback) skips row groups
-    (transactions.sortWithinPartitions("transaction_date")
-     .write.mode("overwrite").parquet(store.day(FACT_TX, "load_date", day)))
-    blacklist.write.mode("overwrite").parquet(store.day(FACT_BLACKLIST, "load_date", day))
-    terminals.write.mode("overwrite").parquet(store.day(STG_TERMINALS, "load_date", day))
-
-    # 2. dimension: apply the cut to the previous version's open rows
-    open_prev = empty_history(spark) if prev is None else open_rows(spark, store, prev)
-    applied = scd2_apply(open_prev, terminals, as_of)
-    (applied.withColumn("part", F.when(F.col("effective_to") == ts_literal(OPEN_END), "open")
-                        .otherwise("closed"))
-     .write.mode("overwrite").partitionBy("part").parquet(f"{store.table(DIM)}/v={day.isoformat()}"))
-    window_start = as_of - dt.timedelta(seconds=LOOKBACK_SECS)
-    hist = history(spark, store, day, published, since=window_start)
-
-    # 3. fraud mart over the day plus the previous load's last hour as context
-    tx_day = spark.read.parquet(store.day(FACT_TX, "load_date", day)).withColumn("_ctx", F.lit(False))
-    rows = tx_day
-    if prev is not None and lookback:
-        ctx = (spark.read.parquet(store.day(FACT_TX, "load_date", prev))
-               .where(F.col("transaction_date") >= ts_literal(window_start))
-               .withColumn("_ctx", F.lit(True)))
-        rows = tx_day.unionByName(ctx)
-    bl = spark.read.parquet(store.day(FACT_BLACKLIST, "load_date", day))
-    enriched = enrich(rows, cards, accounts, clients, broadcast_rows, blacklist=bl)
-    flagged = flagged_sequence(enriched, None, hist, slot_hours, broadcast_rows, hot_rows)
-    report = report_from_flags(flagged.where(~F.col("_ctx")), report_dt)
-    report.write.mode("overwrite").parquet(store.day(REPORT, "load_date", day))
-
-    # 4. catalog snapshot of the warehouse after this load
-    written = ({FACT_TX, FACT_BLACKLIST, STG_TERMINALS, DIM, REPORT}
-               | ({META, LOAD_LOG} if published else set()))
-    warehouse_catalog(spark, store, as_of, written).write.mode("overwrite").parquet(
-        store.day(META, "snapshot_day", day))
-
-    # 5. publish
-    spark.createDataFrame([(as_of, report_dt, source)],
-                          "as_of timestamp_ntz, report_dt timestamp_ntz, source string") \
-        .write.mode("overwrite").parquet(store.day(LOAD_LOG, "load_date", day))
+def masters_of(spark: SparkSession, store: Store, load: Load) -> Masters:
+    root = store.folder(STG_MASTERS, load.masters, load.day)
+    return read_masters(spark, f"{root}/cards", f"{root}/accounts", f"{root}/clients")
 
 
 def report(spark: SparkSession, store: Store) -> DataFrame:
     """The accumulated report of every published load."""
-    days = [d.isoformat() for d in published_days(spark, store)]
-    rep = spark.read.parquet(store.table(REPORT))
-    return rep.where(F.col("load_date").cast("string").isin(days)).drop("load_date")
+    paths = [store.folder(REPORT, x.report, x.day) for x in loads(spark, store).values() if x.report]
+    return _read(spark, paths, REPORT_SCHEMA)
 
 
-def show_table(spark: SparkSession, store: Store, name: str, n: int = 20,
-               order_by: tuple[str, ...] = ()) -> None:
-    """Print the first ``n`` rows of a warehouse table (bounded; the table is
-    never fetched whole)."""
-    df = spark.read.parquet(store.table(name))
+def show_table(spark: SparkSession, store: Store, name: str, n: int = 20, order_by: tuple[str, ...] = ()) -> None:
+    """Print the first ``n`` published rows of a table (never fetched whole)."""
+    column = {FACT_TX: "facts", FACT_BLACKLIST: "blacklist", STG_TERMINALS: "terminals", OWNERS: "owners",
+              DIM: "dim", REPORT: "report"}[name]
+    runs = [(x, getattr(x, column)) for x in loads(spark, store).values()]
+    paths = [store.folder(name, run, x.day) for x, r in runs if r for run in (r if isinstance(r, tuple) else (r,))]
+    df = spark.read.parquet(*paths)
     (df.orderBy(*order_by) if order_by else df).show(n, truncate=False)
 
 
-def rerun_from(spark: SparkSession, store: Store, day: dt.date, cards: DataFrame,
-               accounts: DataFrame, clients: DataFrame,
-               late_transactions: DataFrame | None = None, **options) -> list[dt.date]:
-    """Re-run load ``day`` (adding ``late_transactions`` to it) and every
-    published load after it, in order, from the warehouse's own stored
-    inputs.  Each day's inputs are first copied to a scratch folder, since
-    the re-run overwrites the very folders they are stored in."""
-    days = sorted({d for d in published_days(spark, store) if d >= day} | {day})
+# --- taking in a delivery ----------------------------------------------------
+
+def _owner_load(ts: Column, days: list[dt.date]) -> Column:
+    """Day (as text) of the load a transaction belongs to."""
+    texts = F.array(*[F.lit(d.isoformat()) for d in sorted(days)])
+    begun = F.filter(texts, lambda d: d <= F.date_format(ts, "yyyy-MM-dd"))
+    return F.when(F.size(begun) > 0, F.element_at(begun, -1)).otherwise(texts[0])
+
+
+def require_unique(df: DataFrame, key: str, what: str) -> None:
+    """Fail on a null or repeated key (a few examples in the message)."""
+    bad = df.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull()).limit(5).collect()
+    if bad:
+        raise ValueError(f"{what}: null or repeated {key}: {[r[0] for r in bad]}")
+
+
+def deliver(
+    spark: SparkSession,
+    store: Store,
+    days: Iterable[dt.date],
+    transactions: DataFrame | None = None,
+    terminals: Mapping[dt.date, DataFrame] | None = None,
+    blacklist: Mapping[dt.date, DataFrame] | None = None,
+    masters: Masters | None = None,
+    report_dt: dt.datetime | Callable[[dt.date], dt.datetime] | None = None,
+    source: str | None = None,
+    lookback: bool = True,
+    replace_facts: bool = False,
+) -> list[dt.date]:
+    """Take in a delivery for ``days`` and publish it as one step; returns the
+    days whose report was made anew.
+
+    ``transactions`` are the rows of all days together, each goes to the load
+    it belongs to.  A day without its own cut, blacklist or masters takes
+    those of the load before it.  ``replace_facts`` drops the rows that
+    ``days`` held before (a corrected re-run); otherwise rows are added.
+    ``report_dt`` defaults to the time of the run; a function gives it per
+    load.  ``lookback=False`` runs the window rules over each load's rows alone.
+    """
+    terminals, blacklist = dict(terminals or {}), dict(blacklist or {})
+    run = uuid.uuid4().hex[:12]
+    report_dt = report_dt or dt.datetime.now().replace(microsecond=0)
+    state = loads(spark, store)
+    days = sorted(set(days))
     for d in days:
-        tx = spark.read.parquet(store.day(FACT_TX, "load_date", d))
-        if d == day and late_transactions is not None:
-            tx = tx.unionByName(late_transactions.select(*tx.columns))
-        tx = materialize(tx, "rerun-tx")
-        bl = materialize(spark.read.parquet(store.day(FACT_BLACKLIST, "load_date", d)), "rerun-bl")
-        cut = materialize(spark.read.parquet(store.day(STG_TERMINALS, "load_date", d)), "rerun-cut")
-        run_day(spark, store, d, tx, bl, cut, cards, accounts, clients, allow_rerun=True, **options)
-    return days
+        state.setdefault(d, Load(d.isoformat()))
+    state = dict(sorted(state.items()))
+    redo_dim = min(terminals, default=None)
+    redo = set(days)
+
+    # 1. the drops, each in this run's folder
+    if replace_facts:
+        state |= {d: replace(state[d], facts=()) for d in days}
+    if transactions is not None:
+        rows = transactions.select(*TX_COLUMNS).withColumn("load_date", _owner_load(F.col("transaction_date"), list(state)))
+        root = f"{store.table(FACT_TX)}/run={run}"
+        (rows.sortWithinPartitions("load_date", "transaction_date")
+         .write.partitionBy("load_date").parquet(root))
+        try:
+            got = spark.read.parquet(root).select(F.col("load_date").cast("string")).distinct().collect()
+        except AnalysisException:  # no rows at all
+            got = []
+        for (text,) in got:  # one row per load
+            d = dt.date.fromisoformat(text)
+            state[d] = replace(state[d], facts=(*state[d].facts, run))
+            redo.add(d)
+    for d, cut in terminals.items():
+        require_unique(cut, TERMINAL_KEY, f"terminal cut of {d}")
+        cut.write.parquet(store.folder(STG_TERMINALS, run, d))
+        state[d] = replace(state[d], terminals=run)
+    for d, entries in blacklist.items():
+        entries.write.parquet(store.folder(FACT_BLACKLIST, run, d))
+        state[d] = replace(state[d], blacklist=run)
+    if masters is not None:
+        for d in days:
+            write_masters(masters, store.folder(STG_MASTERS, run, d))
+            state[d] = replace(state[d], masters=run)
+
+    # 2. what must be made anew: context of the next load, a later dimension
+    order = list(state)
+    redo |= {order[i + 1] for i, d in enumerate(order[:-1]) if d in redo}
+    if redo_dim is not None:
+        redo |= {d for d in order if d >= redo_dim}
+
+    before: Load | None = None
+    for d in order:
+        load = state[d]
+        # 3. the dimension
+        if load.dim is None or (redo_dim is not None and d >= redo_dim):
+            load = replace(load, dim=_apply_cut(spark, store, load, before, run))
+        if d in redo:
+            load = replace(load, report_dt=report_dt(d) if callable(report_dt) else report_dt, source=source, owners=run, report=run)
+            load = _inherit(spark, store, load, before, run)
+            state[d] = load
+            _make_report(spark, store, state, load, lookback)
+        state[d] = before = load
+
+    # 4. publish
+    _publish(spark, store, [state[d] for d in order if d in redo or (redo_dim is not None and d >= redo_dim)])
+    return sorted(redo)
+
+
+def _apply_cut(spark: SparkSession, store: Store, load: Load, before: Load | None, run: str) -> str:
+    """The load's dimension: its cut applied to the open rows before it (no
+    cut: the open rows as they are)."""
+    as_of = dt.datetime.combine(load.day, dt.time())
+    opened = empty_history(spark) if before is None else (
+        _read(spark, [store.folder(DIM, before.dim, before.day)], DIM_STORED).where("part = 'open'").drop("part"))
+    if load.terminals:
+        opened = scd2_apply(opened, spark.read.parquet(store.folder(STG_TERMINALS, load.terminals, load.day)), as_of)
+    part = F.when(F.col("effective_to") == ts_literal(OPEN_END), "open").otherwise("closed")
+    opened.withColumn("part", part).sortWithinPartitions("part").write.parquet(store.folder(DIM, run, load.day))
+    return run
+
+
+def _inherit(spark: SparkSession, store: Store, load: Load, before: Load | None, run: str) -> Load:
+    """Masters and blacklist of the load before, copied, where it has none."""
+    if load.masters is None:
+        if before is None:
+            raise ValueError(f"{load.day}: the first load needs masters")
+        write_masters(masters_of(spark, store, before), store.folder(STG_MASTERS, run, load.day))
+        load = replace(load, masters=run)
+    if load.blacklist is None and before is not None and before.blacklist:
+        old = spark.read.parquet(store.folder(FACT_BLACKLIST, before.blacklist, before.day))
+        old.write.parquet(store.folder(FACT_BLACKLIST, run, load.day))
+        load = replace(load, blacklist=run)
+    return load
+
+
+def _make_report(spark: SparkSession, store: Store, state: Mapping[dt.date, Load], load: Load, lookback: bool) -> None:
+    day = load.day
+    start = dt.datetime.combine(day, dt.time()) - dt.timedelta(seconds=LOOKBACK_SECS)
+    listed = None if load.blacklist is None else spark.read.parquet(store.folder(FACT_BLACKLIST, load.blacklist, day))
+    if listed is None:
+        listed = spark.createDataFrame([], "date timestamp_ntz, passport string")
+    card_owners(*masters_of(spark, store, load), listed).write.parquet(store.folder(OWNERS, load.owners, day))
+    owners = spark.read.parquet(store.folder(OWNERS, load.owners, day))
+
+    rows = facts(spark, store, [load]).withColumn("_ctx", F.lit(False))
+    earlier = [x for d, x in state.items() if d < day]
+    if earlier and lookback:
+        # Only the loads whose time reaches into the hour before this one.
+        near = [x for x, nxt in zip(earlier, [*earlier[1:], None], strict=True)
+                if nxt is None or dt.datetime.combine(nxt.day, dt.time()) > start]
+        ctx = facts(spark, store, near).where(F.col("transaction_date") >= ts_literal(start)).withColumn("_ctx", F.lit(True))
+        rows = rows.unionByName(ctx)
+    # The first load may hold rows of any age, the others none before their day.
+    hist = history(spark, store, state, day, since=start if earlier else None)
+    fraud_mart(rows, owners, hist, load.report_dt, context="_ctx").write.parquet(store.folder(REPORT, load.report, day))
+
+
+def run_day(spark: SparkSession, store: Store, day: dt.date, transactions: DataFrame, blacklist: DataFrame,
+            terminals: DataFrame, cards: DataFrame, accounts: DataFrame, clients: DataFrame,
+            report_dt: dt.datetime | Callable[[dt.date], dt.datetime] | None = None, lookback: bool = True,
+            source: str | None = None) -> list[dt.date]:
+    """Load (or load again, corrected) one day with all its drops."""
+    return deliver(spark, store, [day], transactions, {day: terminals}, {day: blacklist}, Masters(cards, accounts, clients),
+                   report_dt, source, lookback, replace_facts=True)

@@ -12,6 +12,7 @@ from cardsentry.plans.testviews import (
     E_REPORT_DT,
     E_SNAPSHOT_DAYS,
     E_SNAPSHOT_RULES,
+    HOT_START,
     L_REPORT_DT,
 )
 from cardsentry.schemas import (
@@ -285,7 +286,30 @@ WINDOW w AS (PARTITION BY r.load_as_of, r.card_num, v.terminal_id IS NOT NULL
              ORDER BY r.transaction_date, r.trans_id)"""
 
 
-def _accumulate_sql() -> str:
+# The hot card: nine tenths of set E on one card within an hour.
+_TRANSACTIONS_HOT = f"""SELECT trans_id,
+  CASE WHEN e % 10 <> 0 THEN {_ts(HOT_START)} + to_milliseconds((e * 7919) % 3600000) ELSE transaction_date END AS transaction_date,
+  CASE WHEN e % 10 <> 0 THEN 'K1' ELSE card_num END AS card_num, amount, oper_type, oper_result, terminal
+FROM (SELECT *, CAST(trans_id AS BIGINT) AS e FROM ({_TRANSACTIONS_E}) x) t"""
+
+
+def _base_hot() -> list[tuple[str, str]]:
+    return [(n, _TRANSACTIONS_HOT if n == "transactions" else q) for n, q in _base_e()]
+
+
+_BAD_ROWS = """SELECT 'transactions' AS drop_name, strftime(transaction_date, '%Y-%m-%d') AS load_day, trans_id AS field
+FROM transactions WHERE CAST(trans_id AS BIGINT) % 10 IN (3, 7, 9)
+UNION ALL
+SELECT 'terminals', strftime(as_of, '%Y-%m-%d'), terminal_city FROM snapshots
+WHERE CAST(substr(terminal_id, 2) AS BIGINT) % 9 = 0
+UNION ALL
+SELECT 'blacklist', (SELECT strftime(min(as_of), '%Y-%m-%d') FROM snapshots), passport FROM blacklist
+WHERE CAST(substr(passport, 2) AS BIGINT) % 2 = 0"""
+
+
+def _accumulate_sql(lookback: bool = True) -> str:
+    lseq = _LSEQ if lookback else _LSEQ.replace(f"l.load_as_of - INTERVAL {CITY_HOP_SECONDS} SECOND", "l.load_as_of")
+
     def rep(event_type: str, where: str) -> str:
         return (f"SELECT transaction_date AS event_dt, passport_num, fio, phone, "
                 f"'{event_type}' AS event_type, load_as_of AS report_dt FROM lseq chain "
@@ -298,7 +322,7 @@ def _accumulate_sql() -> str:
         rep(EVENT_AMOUNT_PROBE, "known AND " + _W_PROBE),
     ])
     return _with(_base_e() + [("loads", _LOADS), ("lhist", _LHIST), ("lvers", _LVERS),
-                              ("lseq", _LSEQ)], body)
+                              ("lseq", lseq)], body)
 
 
 # --- set L ------------------------------------------------------------------
@@ -358,9 +382,13 @@ def oracle_queries() -> dict[str, str]:
         "fraud_amount_probe_all_versions": _with(e + [("seq", _SEQ_ALL)],
                                                  _report(EVENT_AMOUNT_PROBE, rdt, _W_PROBE, "seq")),
         "fraud_mart": _with(e + [("seq", _SEQ)], _mart_e()),
+        "fraud_mart_hot_card": _with(_base_hot() + [("seq", _SEQ)], _mart_e()),
         "terminals_history": _with(e, (
             "SELECT terminal_id, terminal_type, terminal_city, terminal_address, deleted_flg, "
             "effective_from, strftime(effective_to, '%Y-%m-%d %H:%M:%S') AS effective_to FROM hist")),
+        "terminals_history_daily": _with(e, (
+            "SELECT terminal_id, terminal_type, terminal_city, terminal_address, deleted_flg, "
+            "effective_from, strftime(effective_to, '%Y-%m-%d %H:%M:%S') AS effective_to FROM hist")),
         "terminals_current": _with(e, "SELECT * FROM snapshots"),
         "terminals_new": _diff_sql("new"),
         "terminals_deleted": _diff_sql("deleted"),
@@ -376,8 +404,16 @@ def oracle_queries() -> dict[str, str]:
             "SELECT trans_id, transaction_date, card_num, "
             "CAST(CAST(amount AS DECIMAL(18,2)) AS DOUBLE) AS amount, oper_type, oper_result, "
             "terminal, strftime(transaction_date, '%Y-%m-%d') AS load_day FROM transactions")),
-        "ingest_workbook": _with(e, "SELECT * FROM snapshots"),
-        "ingest_blacklist_workbook": _with(e + [("cut_days", "SELECT DISTINCT as_of FROM snapshots")], (
+        "report_day_only": _accumulate_sql(lookback=False),
+        "report_two_files_one_day": _accumulate_sql(),
+        "report_late_rows": _accumulate_sql(),
+        "masters_loaded": _with(e + [("cut_days", "SELECT DISTINCT as_of FROM snapshots")], (
+            "SELECT strftime(d.as_of, '%Y-%m-%d') AS load_day, k.card_num, k.account, c.client_id, c.passport_num, c.phone "
+            "FROM cards k JOIN accounts a ON a.account = k.account JOIN clients c ON c.client_id = a.client "
+            "JOIN cut_days d ON TRUE")),
+        "ingest_terminals": _with(e, "SELECT * FROM snapshots"),
+        "ingest_quarantine": _with(e, _BAD_ROWS),
+        "ingest_blacklist": _with(e + [("cut_days", "SELECT DISTINCT as_of FROM snapshots")], (
             "SELECT d.as_of, b.\"date\", b.passport FROM blacklist b "
             "JOIN cut_days d ON b.\"date\" <= d.as_of")),
         "volume_expired_passport": _with(l_, _report(EVENT_EXPIRED_PASSPORT, ldt, _W_EXPIRED)),

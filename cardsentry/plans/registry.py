@@ -4,31 +4,24 @@ operator, each over the whole fixture tables.  Their DuckDB twins are in
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.functions import ts_literal
 from cardsentry.operators import rules
 from cardsentry.operators.asof import join_terminal_asof
-from cardsentry.operators.enrich import enrich
-from cardsentry.operators.scd2 import (
-    CHANGED,
-    DELETED,
-    NEW,
-    current,
-    empty_history,
-    history_from_cuts,
-    scd2_apply,
-    snapshot_diff,
-)
+from cardsentry.operators.enrich import enrich, owners_of
+from cardsentry.operators.scd2 import CHANGED, DELETED, NEW, build_history, changes_from_cuts, current, history_from_cuts
 from cardsentry.plans import daily
-from cardsentry.plans.testviews import Warehouse, set_e, set_l
-from cardsentry.schemas import BLACKLIST, TERMINAL_ATTRS, TERMINAL_KEY, TERMINALS
+from cardsentry.plans.testviews import Warehouse, hot_card, set_e, set_l
+from cardsentry.schemas import TERMINAL_ATTRS, TERMINAL_KEY
 from cardsentry.session import materialize, scratch_path
-from cardsentry.sources import delimited, workbook
+from cardsentry.sources import delimited
+from cardsentry.sources.masters import Masters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,12 +31,19 @@ def _chain(w: Warehouse, with_blacklist: bool = False) -> DataFrame:
                   blacklist=w.blacklist if with_blacklist else None)
 
 
+def _owners(w: Warehouse, with_blacklist: bool = False) -> DataFrame:
+    return owners_of(w.cards, w.accounts, w.clients, w.blacklist if with_blacklist else None)
+
+
 def _history(spark: SparkSession, w: Warehouse) -> DataFrame:
-    """The dimension of the fixture, built once and stored in the shared
-    folder (it feeds the broadcast probe and the query plan alike)."""
+    """The dimension of the fixture, built once and stored in the shared folder."""
     return materialize(history_from_cuts(w.snapshots, days=w.snapshot_days), "terminals-history")
 
 
+def _mart(spark: SparkSession, w: Warehouse) -> DataFrame:
+    return rules.fraud_mart(w.transactions, _owners(w, with_blacklist=True), _history(spark, w), w.report_dt)
+
+
 def enriched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chain(set_e(spark, sf_dir)).select(
         "trans_id", "transaction_date", "card_num", "amount", "oper_result", "terminal",
@@ -68,38 +68,51 @@ def fraud_invalid_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fraud_city_hop(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = set_e(spark, sf_dir)
-    return rules.city_hop(_chain(w), _history(spark, w), w.report_dt)
+    return rules.city_hop(w.transactions, _owners(w), _history(spark, w), w.report_dt)
 
 
 def fraud_amount_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = set_e(spark, sf_dir)
-    return rules.amount_probe(_chain(w), _history(spark, w), w.report_dt)
+    return rules.amount_probe(w.transactions, _owners(w), _history(spark, w), w.report_dt)
 
 
 def fraud_city_hop_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule 3 with the original's literal join to every terminal version."""
     w = set_e(spark, sf_dir)
-    return rules.city_hop(_chain(w), _history(spark, w), w.report_dt, dim_mode="all_versions")
+    return rules.city_hop(w.transactions, _owners(w), _history(spark, w), w.report_dt, dim_mode="all_versions")
 
 
 def fraud_amount_probe_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule 4 with the original's literal join to every terminal version."""
     w = set_e(spark, sf_dir)
-    return rules.amount_probe(_chain(w), _history(spark, w), w.report_dt, dim_mode="all_versions")
+    return rules.amount_probe(w.transactions, _owners(w), _history(spark, w), w.report_dt, dim_mode="all_versions")
 
 
 def fraud_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = set_e(spark, sf_dir)
-    return rules.fraud_mart(_chain(w, with_blacklist=True), None, _history(spark, w), w.report_dt)
+    return _mart(spark, set_e(spark, sf_dir))
+
+
+def fraud_mart_hot_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rules with nine tenths of all rows on one card in one hour."""
+    return _mart(spark, hot_card(spark, sf_dir))
 
 
 def terminals_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full history; ``effective_to`` is shown as text because the open
     end (year 2999) is beyond what pandas timestamps can hold."""
-    hist = _history(spark, set_e(spark, sf_dir))
+    return _open_end_as_text(_history(spark, set_e(spark, sf_dir)))
+
+
+def _open_end_as_text(hist: DataFrame) -> DataFrame:
     return hist.withColumn("effective_to", F.date_format("effective_to", "yyyy-MM-dd HH:mm:ss"))
 
 
+def terminals_history_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same history by applying one cut after the other."""
+    w = set_e(spark, sf_dir)
+    return _open_end_as_text(build_history(spark, w.snapshots, w.snapshot_days))
+
+
 def terminals_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live dimension at every load day (must equal that day's cut)."""
     w = set_e(spark, sf_dir)
@@ -111,17 +124,10 @@ def terminals_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _daily_diffs(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """New / deleted / changed terminals of every load day, each against the
-    dimension as it stood before that day's cut."""
+    """New / deleted / changed terminals of every load day against the cut before."""
     w = set_e(spark, sf_dir)
-    hist = empty_history(spark)
-    parts = []
-    for d in w.snapshot_days:
-        cut = w.snapshots.where(F.col("as_of") == ts_literal(d)).drop("as_of")
-        diff = snapshot_diff(current(hist, d), cut).where(F.col("change_kind") == kind)
-        parts.append(diff.select(ts_literal(d).alias("as_of"), TERMINAL_KEY, *TERMINAL_ATTRS))
-        hist = materialize(scd2_apply(hist, cut, d), "history-fold")
-    return reduce(DataFrame.unionByName, parts)
+    changes = changes_from_cuts(w.snapshots, w.snapshot_days)
+    return changes.where(F.col("change_kind") == kind).select("as_of", TERMINAL_KEY, *TERMINAL_ATTRS)
 
 
 def terminals_new(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,25 +166,64 @@ def _load_slices(w: Warehouse):
         yield d, w.transactions.where(cond), cut
 
 
-def run_cycle(spark: SparkSession, w: Warehouse, store: daily.Store | None = None) -> daily.Store:
-    """Run the daily cycle over every load of the fixture."""
+def _midnight(day: dt.date) -> dt.datetime:
+    return dt.datetime.combine(day, dt.time())
+
+
+def run_cycle(spark: SparkSession, w: Warehouse, store: daily.Store | None = None, lookback: bool = True) -> daily.Store:
+    """Run the daily cycle over every load of the fixture, reports dated by load day."""
     store = store or daily.Store.fresh(spark, "cycle")
     for d, tx, cut in _load_slices(w):
-        daily.run_day(spark, store, d, tx, w.blacklist, cut, w.cards, w.accounts, w.clients)
+        daily.run_day(spark, store, d, tx, w.blacklist, cut, w.cards, w.accounts, w.clients, _midnight, lookback)
     return store
 
 
 def report_accumulate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The accumulated report after running every daily load in order."""
-    w = set_e(spark, sf_dir)
-    return daily.report(spark, run_cycle(spark, w))
+    return daily.report(spark, run_cycle(spark, set_e(spark, sf_dir)))
+
 
+def report_day_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with window rules over each load's own rows alone."""
+    return daily.report(spark, run_cycle(spark, set_e(spark, sf_dir), lookback=False))
 
-def catalog_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalog snapshots taken by each daily load (objects × columns)."""
+
+def _cycle_in_two(spark: SparkSession, w: Warehouse, held: Column, late: bool) -> DataFrame:
+    """Loads without the ``held`` rows; these come as a second file of each
+    day, or (``late``) all together with the last load."""
+    store = daily.Store.fresh(spark, "cycle")
+    slices = list(_load_slices(w))
+    for i, (d, tx, cut) in enumerate(slices):
+        rows = tx.where(~held)
+        if late and i + 1 == len(slices):
+            rows = rows.unionByName(w.transactions.where(held))
+        daily.deliver(spark, store, [d], rows, {d: cut}, {d: w.blacklist}, Masters(w.cards, w.accounts, w.clients), _midnight)
+    if not late:
+        for d, tx, _ in slices:
+            daily.deliver(spark, store, [d], tx.where(held), report_dt=_midnight)
+    return daily.report(spark, store)
+
+
+def report_two_files_one_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day's transactions in two files, the second after all first ones."""
+    return _cycle_in_two(spark, set_e(spark, sf_dir), F.col("trans_id").cast("long") % 2 == 1, late=False)
+
+
+def report_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of all transactions arrives with the last load."""
+    return _cycle_in_two(spark, set_e(spark, sf_dir), F.col("trans_id").cast("long") % 5 == 0, late=True)
+
+
+def masters_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every load's stored masters, as the owner of each card."""
     w = set_e(spark, sf_dir)
     store = run_cycle(spark, w)
-    return spark.read.parquet(store.table(daily.META)).drop("snapshot_day")
+    parts = []
+    for d, load in daily.loads(spark, store).items():
+        m = daily.masters_of(spark, store, load)
+        owners = m.cards.join(m.accounts, "account").join(m.clients, F.col("client") == F.col("client_id"))
+        parts.append(owners.select(F.lit(d.isoformat()).alias("load_day"), "card_num", "account", "client_id", "passport_num", "phone"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def ingest_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,39 +242,60 @@ def ingest_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ingest_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Round trip of the terminal cuts as workbooks, one per cut day."""
+def _as_of(day: Column) -> Column:
+    return day.cast("timestamp_ntz").alias("as_of")
+
+
+def ingest_terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Round trip of the terminal cuts, columns in another order than asked for."""
     w = set_e(spark, sf_dir)
     landing = scratch_path(spark, "landing-terminals")
-    name = F.concat(F.lit("terminals_"), F.date_format("as_of", "ddMMyyyy"), F.lit(".xlsx"))
-    workbook.write_workbooks(w.snapshots, name, landing,
-                             columns=[TERMINAL_KEY, *TERMINAL_ATTRS]).count()
-    raw = workbook.read_workbooks(spark, landing, [TERMINAL_KEY, *TERMINAL_ATTRS])
-    typed = workbook.typed_columns(raw, TERMINALS)
-    return typed.select(
-        delimited.file_day(F.col("source_file")).cast("timestamp_ntz").alias("as_of"),
-        TERMINAL_KEY, *TERMINAL_ATTRS,
-    )
+    cut = w.snapshots.select(*reversed(TERMINAL_ATTRS), TERMINAL_KEY, F.col("as_of").alias("_day"))
+    delimited.write_drop(cut, landing, "terminals", F.col("_day"))
+    return delimited.read_terminals(spark, landing).good.select(_as_of(F.col("load_date")), TERMINAL_KEY, *TERMINAL_ATTRS)
 
 
-def ingest_blacklist_workbook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Round trip of the cumulative blacklist workbooks (date cells as serial
-    numbers): on each cut day, every entry dated up to that day."""
+def ingest_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Round trip of the cumulative blacklists (dates as ``dd.mm.yyyy``): on
+    each cut day, every entry dated up to that day."""
     w = set_e(spark, sf_dir)
     landing = scratch_path(spark, "landing-blacklist")
-    days = reduce(DataFrame.unionByName, [
-        w.blacklist.where(F.col("date") <= ts_literal(d)).withColumn("_day", ts_literal(d))
-        for d in w.snapshot_days
+    days = w.snapshots.select(F.col("as_of").alias("_day")).distinct()
+    listed = w.blacklist.join(days, F.col("date") <= F.col("_day"))
+    delimited.write_drop(listed.select("passport", F.date_format("date", "dd.MM.yyyy").alias("date"), "_day"),
+                         landing, "passport_blacklist", F.col("_day"))
+    return delimited.read_blacklist(spark, landing).good.select(_as_of(F.col("load_date")), "date", "passport")
+
+
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What does not parse in any of the three drops, with the text it had:
+    amounts, times, dates and keys spoilt by a rule on their ids."""
+    w = set_e(spark, sf_dir)
+    landing = scratch_path(spark, "landing-bad")
+    k = F.col("transaction_id").cast("long")
+    text = delimited.transaction_text(w.transactions.withColumn("load_date", F.to_date("transaction_date")))
+    text = text.withColumns({
+        "amount": F.when(k % 10 == 3, F.lit("abc")).otherwise(F.col("amount")),
+        "transaction_date": F.when(k % 10 == 7, F.lit("not a time")).otherwise(F.col("transaction_date")),
+        "card_num": F.when(k % 10 == 9, F.lit("")).otherwise(F.col("card_num"))})
+    delimited.write_drop(text, f"{landing}/tx", "transactions", F.col("_day"))
+    n = F.substring(TERMINAL_KEY, 2, 20).cast("long")
+    cut = w.snapshots.withColumn(TERMINAL_KEY, F.when(n % 9 == 0, F.lit(None)).otherwise(F.col(TERMINAL_KEY)))
+    delimited.write_drop(cut.select(TERMINAL_KEY, *TERMINAL_ATTRS, F.col("as_of").alias("_day")), f"{landing}/cut", "terminals", F.col("_day"))
+    p = F.substring("passport", 2, 20).cast("long")
+    listed = w.blacklist.select(F.when(p % 2 == 0, F.lit("32.13.2024")).otherwise(F.date_format("date", "yyyy-MM-dd")).alias("date"),
+                                "passport", ts_literal(w.snapshot_days[0]).alias("_day"))
+    delimited.write_drop(listed, f"{landing}/list", "passport_blacklist", F.col("_day"))
+    drops = {"transactions": delimited.read_transactions(spark, f"{landing}/tx"),
+             "terminals": delimited.read_terminals(spark, f"{landing}/cut"),
+             "blacklist": delimited.read_blacklist(spark, f"{landing}/list")}
+    fields = {"transactions": 0, "terminals": 2, "blacklist": 1}
+    return reduce(DataFrame.unionByName, [
+        parsed.quarantine.select(
+            F.lit(name).alias("drop_name"), F.date_format("load_date", "yyyy-MM-dd").alias("load_day"),
+            F.element_at(F.split("row_text", ";"), fields[name] + 1).alias("field"))
+        for name, parsed in drops.items()
     ])
-    name = F.concat(F.lit("passport_blacklist_"), F.date_format("_day", "ddMMyyyy"), F.lit(".xlsx"))
-    workbook.write_workbooks(days, name, landing, columns=["date", "passport"],
-                             serial_columns=["date"]).count()
-    raw = workbook.read_workbooks(spark, landing, ["date", "passport"])
-    typed = workbook.typed_columns(raw, BLACKLIST)
-    return typed.select(
-        delimited.file_day(F.col("source_file")).cast("timestamp_ntz").alias("as_of"),
-        "date", "passport",
-    )
 
 
 def volume_expired_passport(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,8 +315,7 @@ def volume_invalid_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def volume_fraud_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five rules in one pass over the lineitem-sized set."""
-    w = set_l(spark, sf_dir)
-    return rules.fraud_mart(_chain(w, with_blacklist=True), None, _history(spark, w), w.report_dt)
+    return _mart(spark, set_l(spark, sf_dir))
 
 
 def spark_queries() -> dict[str, Query]:
@@ -264,17 +329,23 @@ def spark_queries() -> dict[str, Query]:
         "fraud_city_hop_all_versions": fraud_city_hop_all_versions,
         "fraud_amount_probe_all_versions": fraud_amount_probe_all_versions,
         "fraud_mart": fraud_mart,
+        "fraud_mart_hot_card": fraud_mart_hot_card,
         "terminals_history": terminals_history,
+        "terminals_history_daily": terminals_history_daily,
         "terminals_current": terminals_current,
         "terminals_new": terminals_new,
         "terminals_deleted": terminals_deleted,
         "terminals_changed": terminals_changed,
         "transactions_asof_terminal": transactions_asof_terminal,
         "report_accumulate": report_accumulate,
-        "catalog_snapshot": catalog_snapshot,
+        "report_day_only": report_day_only,
+        "report_two_files_one_day": report_two_files_one_day,
+        "report_late_rows": report_late_rows,
+        "masters_loaded": masters_loaded,
         "ingest_delimited": ingest_delimited,
-        "ingest_workbook": ingest_workbook,
-        "ingest_blacklist_workbook": ingest_blacklist_workbook,
+        "ingest_terminals": ingest_terminals,
+        "ingest_blacklist": ingest_blacklist,
+        "ingest_quarantine": ingest_quarantine,
         "volume_expired_passport": volume_expired_passport,
         "volume_blocked_passport": volume_blocked_passport,
         "volume_invalid_agreement": volume_invalid_agreement,

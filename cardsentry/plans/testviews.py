@@ -35,6 +35,7 @@ E_START = dt.date(2024, 1, 1)
 E_SNAPSHOT_DAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 11), dt.date(2024, 1, 21))
 E_SNAPSHOT_RULES = ((10, 0, 0), (10, 1, 7), (13, 0, 14))
 E_REPORT_DT = dt.datetime(2024, 2, 1, 0, 0, 0)
+HOT_START = dt.datetime(2024, 1, 15, 10, 0, 0)
 L_PASSPORT_BASE = dt.date(1997, 1, 1)
 L_BLACKLIST_BASE = dt.date(1998, 6, 1)
 L_REPORT_DT = dt.datetime(2002, 1, 1, 0, 0, 0)
@@ -155,6 +156,18 @@ def set_e(spark: SparkSession, sf_dir: str) -> Warehouse:
                      E_SNAPSHOT_DAYS, E_REPORT_DT)
 
 
+def hot_card(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Set E with nine tenths of the transactions on one card within an hour."""
+    w = set_e(spark, sf_dir)
+    e = F.col("trans_id").cast("long")
+    hot = e % 10 != 0
+    ms = F.make_dt_interval(secs=((e * 7919) % 3_600_000 / 1000).cast("decimal(18,6)"))
+    return w._replace(transactions=w.transactions.withColumns({
+        "card_num": F.when(hot, F.lit("K1")).otherwise(F.col("card_num")),
+        "transaction_date": F.when(hot, ts_literal(HOT_START) + ms).otherwise(F.col("transaction_date")),
+    }))
+
+
 def set_l(spark: SparkSession, sf_dir: str) -> Warehouse:
     customer = _read(spark, sf_dir, "customer")
     orders = _read(spark, sf_dir, "orders")

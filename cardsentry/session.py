@@ -1,5 +1,10 @@
-"""Session helpers: building a session for local runs, shared-folder lookup,
-and a size-checked broadcast."""
+"""Session helpers: building a session for local runs, the shared folder and
+the intermediates written there.
+
+No join carries a broadcast hint on data that grows: the sides are stored
+tables or intermediates, so Spark knows their bytes and broadcasts below
+``spark.sql.autoBroadcastJoinThreshold``; beyond it the join is a sort-merge
+join that AQE splits where a key is hot."""
 
 from __future__ import annotations
 
@@ -8,11 +13,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Largest side, in rows, that the jobs broadcast on their own.  Beyond it the
-# join stays a shuffle join (sort-merge, with AQE skew splitting).
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Folder of the intermediates inside the shared folder.
+SCRATCH = "cardsentry"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -41,8 +44,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) a private folder under the
-    system temp dir is created and registered.
+    Only a local session (tests, bench) may leave it unset and gets a private
+    folder under the system temp dir; on a cluster that folder would be local
+    to one machine, so an unset setting is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
@@ -51,13 +55,15 @@ def shared_dir(spark: SparkSession) -> str:
     # private one.  (The conf itself cannot be changed on a running session.)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cardsentry-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder inside the shared folder."""
-    return f"{shared_dir(spark)}/cardsentry/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/{SCRATCH}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -70,21 +76,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows, at bounded cost.
-
-    Planned as an incremental take (``CollectLimit``): Spark scans 1, then 4,
-    16 ... partitions until it holds ``max_rows + 1`` rows, so a large input
-    stops early.  Only a constant column is kept, so at most ``max_rows + 1``
-    tiny rows move.  (``limit(n).count()`` would instead run a local limit in
-    every partition, i.e. a full pass over a large input.)
-    """
-    return df.select(F.lit(1).alias("_")).offset(max_rows).isEmpty()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; otherwise leave the
-    choice to the planner (size statistics + AQE at runtime)."""
-    if max_rows is None or max_rows <= 0:
-        return df
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove every scratch folder below the shared folder.  Call it when no
+    DataFrame that reads from them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{SCRATCH}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

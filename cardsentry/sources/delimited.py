@@ -1,16 +1,22 @@
-"""Daily transaction files: delimited text with a header (``;`` by default).
+"""Daily drops as delimited text with a header (``;`` by default): the
+transactions, the terminal cut and the passport blacklist.
 
-Everything is read as text with an explicit schema, then typed JVM-side:
-amounts accept a decimal comma or point (``parse_amount``); times parse as
-TIMESTAMP_NTZ.  Rows whose amount or time does not parse go to a quarantine
-DataFrame with the raw text, instead of failing the job (ANSI mode) or being
-misread (a locale-aware DECIMAL schema reads ``12,5`` as 125).
+Columns bind by the name in each file's own header, in whatever order, and a
+file without all the columns asked for is an error.  The header is found by
+its content, so a folder of Spark part files, each with its header, reads like
+one file.  Everything is text at first and typed JVM-side; a row whose key,
+amount or time does not parse goes to a quarantine DataFrame with its text
+instead of failing the job (ANSI mode), being misread, or silently becoming
+null.
 
 The load day comes from the ``ddmmyyyy`` token of the file (or folder) name.
+A field may stand in quotes; a separator or line break inside them is not
+supported.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -18,12 +24,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.functions import parse_amount
-from cardsentry.schemas import TRANSACTIONS_RAW
+from cardsentry.schemas import TERMINAL_ATTRS, TERMINAL_KEY, TRANSACTIONS_RAW
+from cardsentry.session import materialize
 
 # Fixed value: daily files carry their date as ddmmyyyy in the name,
-# e.g. transactions_01032021.txt, terminals_01032021.xlsx.
+# e.g. transactions_01032021.txt, terminals_01032021.txt.
 DATE_TOKEN = r"_(\d{8})\.[A-Za-z]+(?:/|$)"
 DATE_TOKEN_FORMAT = "ddMMyyyy"
+TX_NAMES = tuple(f.name for f in TRANSACTIONS_RAW.fields)
 
 
 class Parsed(NamedTuple):
@@ -38,80 +46,117 @@ def file_day(path: Column) -> Column:
 
 
 def parse_time(text: Column, fmt: str | None = None) -> Column:
-    """Text to TIMESTAMP_NTZ; null when it does not parse."""
-    if fmt is None:
-        return F.trim(text).try_cast("timestamp_ntz")
-    return F.try_to_timestamp(F.trim(text), F.lit(fmt)).cast("timestamp_ntz")
-
-
-def raw_reader(reader, sep: str = ";"):
-    """CSV options shared by the batch and the streaming reads."""
-    return (reader.schema(TRANSACTIONS_RAW).option("header", True).option("sep", sep)
-            .option("mode", "PERMISSIVE"))
-
-
-def type_transactions(raw: DataFrame, ts_format: str | None = None) -> Parsed:
-    """Type raw text rows (with ``source_file``); split off what does not parse."""
-    typed = raw.select(
-        F.trim("transaction_id").alias("trans_id"),
+    """Text to TIMESTAMP_NTZ; null when it does not parse.  Without a format
+    ISO times and ``dd.mm.yyyy`` dates are taken."""
+    if fmt is not None:
+        return F.try_to_timestamp(F.trim(text), F.lit(fmt)).cast("timestamp_ntz")
+    return F.coalesce(F.trim(text).try_cast("timestamp_ntz"),
+                      F.try_to_timestamp(F.trim(text), F.lit("dd.MM.yyyy")).cast("timestamp_ntz"))
+
+
+def bind_columns(lines: DataFrame, columns: Sequence[str], sep: str = ";") -> DataFrame:
+    """``columns`` as text, by name, with ``source_file`` and ``row_text``,
+    from raw lines (``value``, ``source_file``)."""
+    cells = F.transform(F.split("value", re.escape(sep)), lambda c: F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"))
+    parsed = lines.where(F.trim("value") != "").select("source_file", "value", cells.alias("cells"))
+    is_header = F.lit(True)
+    for c in columns:
+        is_header = is_header & F.array_contains("cells", c)
+    # One row per file.
+    headers = materialize(
+        parsed.groupBy("source_file").agg(F.min(F.when(is_header, F.col("cells"))).alias("header"),
+                                          F.max(F.when(is_header, F.col("cells"))).alias("other")), "headers")
+    bad = headers.where(F.col("header").isNull() | ~F.col("header").eqNullSafe(F.col("other"))).limit(5).collect()
+    if bad:
+        raise ValueError(f"no single header with the columns {list(columns)} in {[r.source_file for r in bad]}")
+    body = parsed.where(~F.coalesce(is_header, F.lit(False))).join(headers.drop("other"), "source_file")
+    return body.select(
+        *[F.get(F.col("cells"), F.array_position("header", c).cast("int") - 1).alias(c) for c in columns],
+        "source_file", F.col("value").alias("row_text"))
+
+
+def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Raw lines of files or folders with the file they stand in."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    return reader.text(paths if isinstance(paths, str) else list(paths)).select("value", F.col("_metadata.file_path").alias("source_file"))
+
+
+def _blank_to_null(name: str) -> Column:
+    return F.when(F.trim(name) != "", F.trim(name))
+
+
+def type_transactions(named: DataFrame, ts_format: str | None = None) -> DataFrame:
+    """Typed transactions with ``load_date``, ``source_file``, ``row_text`` and
+    ``ok`` (every column that the rules need has parsed)."""
+    typed = named.select(
+        _blank_to_null("transaction_id").alias("trans_id"),
         parse_time(F.col("transaction_date"), ts_format).alias("transaction_date"),
-        F.trim("card_num").alias("card_num"),
+        _blank_to_null("card_num").alias("card_num"),
         parse_amount(F.col("amount")).alias("amount"),
         F.trim("oper_type").alias("oper_type"),
         F.upper(F.trim("oper_result")).alias("oper_result"),
         F.trim("terminal").alias("terminal"),
         file_day(F.col("source_file")).alias("load_date"),
-        "source_file",
-        F.col("amount").alias("_amount_text"),
-        F.col("transaction_date").alias("_time_text"),
+        "source_file", "row_text",
     )
-    ok = (F.col("amount").isNotNull() & F.col("transaction_date").isNotNull()
-          & F.col("card_num").isNotNull() & F.col("load_date").isNotNull())
-    good = typed.where(ok).drop("_amount_text", "_time_text")
-    bad = typed.where(~ok).select(
-        "source_file", "load_date", "trans_id", "card_num",
-        F.col("_amount_text").alias("amount_text"), F.col("_time_text").alias("time_text"),
-    )
-    return Parsed(good, bad)
+    needed = ("trans_id", "transaction_date", "card_num", "amount", "load_date")
+    ok = F.lit(True)
+    for c in needed:
+        ok = ok & F.col(c).isNotNull()
+    return typed.withColumn("ok", ok)
+
+
+def _split(typed: DataFrame) -> Parsed:
+    good = typed.where("ok").drop("ok", "row_text")
+    return Parsed(good, typed.where(~F.col("ok")).select("source_file", "load_date", "row_text"))
 
 
 def read_transactions(spark: SparkSession, paths: str | Sequence[str], sep: str = ";",
                       ts_format: str | None = None) -> Parsed:
     """Typed transactions (+ ``load_date`` from the file name) and quarantine."""
-    raw = (
-        raw_reader(spark.read, sep)
-        .option("recursiveFileLookup", True)
-        .csv(paths if isinstance(paths, str) else list(paths))
-        .withColumn("source_file", F.col("_metadata.file_path"))
-    )
-    return type_transactions(raw, ts_format)
+    return _split(type_transactions(bind_columns(read_lines(spark, paths), TX_NAMES, sep), ts_format))
 
 
-def write_transactions(df: DataFrame, out_dir: str, sep: str = ";",
-                       comma_decimal: Column | None = None) -> None:
-    """Write one delimited file set per load day, named ``transactions_ddmmyyyy.txt``.
+def read_terminals(spark: SparkSession, paths: str | Sequence[str], sep: str = ";") -> Parsed:
+    """Terminal cuts; a row without a key goes to quarantine."""
+    named = bind_columns(read_lines(spark, paths), (TERMINAL_KEY, *TERMINAL_ATTRS), sep)
+    typed = named.select(_blank_to_null(TERMINAL_KEY).alias(TERMINAL_KEY), *TERMINAL_ATTRS,
+                         file_day(F.col("source_file")).alias("load_date"), "source_file", "row_text")
+    return _split(typed.withColumn("ok", F.col(TERMINAL_KEY).isNotNull() & F.col("load_date").isNotNull()))
 
-    ``comma_decimal`` (a boolean column) selects rows whose amount is written
-    with a decimal comma, as some drops do.
-    """
+
+def read_blacklist(spark: SparkSession, paths: str | Sequence[str], sep: str = ";", fmt: str | None = None) -> Parsed:
+    """Passport blacklists; a row without a passport or a date that parses
+    goes to quarantine."""
+    named = bind_columns(read_lines(spark, paths), ("date", "passport"), sep)
+    typed = named.select(parse_time(F.col("date"), fmt).alias("date"), _blank_to_null("passport").alias("passport"),
+                         file_day(F.col("source_file")).alias("load_date"), "source_file", "row_text")
+    return _split(typed.withColumn("ok", F.col("date").isNotNull() & F.col("passport").isNotNull() & F.col("load_date").isNotNull()))
+
+
+def write_drop(df: DataFrame, out_dir: str, prefix: str, day: Column, sep: str = ";") -> None:
+    """Write text columns as one delimited file set per day, named
+    ``<prefix>_ddmmyyyy.txt``."""
+    name = F.concat(F.lit(f"{prefix}_"), F.date_format(day, DATE_TOKEN_FORMAT), F.lit(".txt"))
+    columns = [c for c in df.columns if not c.startswith("_")]
+    (df.select(*columns, name.alias("file")).write.mode("append").partitionBy("file")
+     .option("header", True).option("sep", sep).option("emptyValue", "").csv(out_dir))
+
+
+def transaction_text(df: DataFrame, comma_decimal: Column | None = None) -> DataFrame:
+    """Typed transactions as the text columns of a drop.  ``comma_decimal`` (a
+    boolean column) selects amounts written with a decimal comma."""
     amount = F.col("amount").cast("decimal(18,2)").cast("string")
     if comma_decimal is not None:
         amount = F.when(comma_decimal, F.regexp_replace(amount, r"\.", ",")).otherwise(amount)
-    (
-        df.select(
-            F.col("trans_id").alias("transaction_id"),
-            F.date_format("transaction_date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("transaction_date"),
-            amount.alias("amount"),
-            "card_num",
-            "oper_type",
-            "oper_result",
-            "terminal",
-            F.concat(F.lit("transactions_"), F.date_format("load_date", DATE_TOKEN_FORMAT),
-                     F.lit(".txt")).alias("file"),
-        )
-        .write.mode("overwrite")
-        .partitionBy("file")
-        .option("header", True)
-        .option("sep", sep)
-        .csv(out_dir)
+    return df.select(
+        F.col("trans_id").alias("transaction_id"),
+        F.date_format("transaction_date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("transaction_date"),
+        amount.alias("amount"), "card_num", "oper_type", "oper_result", "terminal",
+        F.col("load_date").alias("_day"),
     )
+
+
+def write_transactions(df: DataFrame, out_dir: str, sep: str = ";", comma_decimal: Column | None = None) -> None:
+    """Write one file set per load day, named ``transactions_ddmmyyyy.txt``."""
+    write_drop(transaction_text(df, comma_decimal), out_dir, "transactions", F.col("_day"), sep)

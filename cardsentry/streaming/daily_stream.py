@@ -1,88 +1,90 @@
 """The daily cycle as an incremental job over a landing folder.
 
-Landing layout::
+Landing layout, all delimited text with a header::
 
-    <landing>/transactions/   transactions_ddmmyyyy.txt  (delimited, one or more per day)
-    <landing>/terminals/      terminals_ddmmyyyy.xlsx    (full cut)
-    <landing>/blacklist/      passport_blacklist_ddmmyyyy.xlsx (cumulative)
+    <landing>/transactions/   transactions_ddmmyyyy.txt        (one or more per day)
+    <landing>/terminals/      terminals_ddmmyyyy.txt           (full cut)
+    <landing>/blacklist/      passport_blacklist_ddmmyyyy.txt  (cumulative)
 
-A Structured Streaming CSV source watches ``transactions/`` with
+A Structured Streaming text source watches ``transactions/`` with
 ``Trigger.AvailableNow``: each run processes every file not yet seen (the
-checkpoint remembers them, so a restart never loads a file twice), then
-stops.  ``foreachBatch`` types the batch, finds its load days and runs
-:func:`cardsentry.plans.daily.run_day` for each, in day order, with that
-day's workbooks.  ``run_day`` overwrites whole day folders, so a batch that
-fails half way is simply replayed.  Consumed transaction files are moved to
-``archive_dir`` by the source itself (``cleanSource=archive``); Spark does
-this when a later batch starts, so the newest files may stay in the landing
-folder until the next run.
+checkpoint remembers them), then stops.  ``foreachBatch`` reads the batch
+twice whatever the number of days, once for the headers and once to type the
+rows into a staging folder, and hands the whole batch to
+:func:`cardsentry.plans.daily.deliver`, which publishes it in one step.  A
+batch replayed after a crash is skipped if it was published and done again
+whole if it was not.  No row is consumed without a trace: what does not parse,
+or stands in a file without a date in its name, is in the quarantine table.
+
+Consumed transaction files are moved to ``archive_dir`` by the source itself
+(``cleanSource=archive``); Spark does this when a later batch starts, so the
+newest files may stay in the landing folder until the next run.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.plans import daily
-from cardsentry.schemas import BLACKLIST, TERMINAL_ATTRS, TERMINAL_KEY, TERMINALS
-from cardsentry.sources import delimited, workbook
+from cardsentry.session import materialize
+from cardsentry.sources import delimited
 from cardsentry.sources.masters import Masters
 
 
-def _day_workbook(spark: SparkSession, folder: str, prefix: str, day: dt.date,
-                  columns: list[str], schema) -> DataFrame:
-    path = f"{folder}/{prefix}_{day:%d%m%Y}.xlsx"
-    return workbook.typed_columns(workbook.read_workbooks(spark, path, columns), schema).drop(
-        "source_file")
+def _quarantine(store: daily.Store, drop: str, tag: str, rows: DataFrame) -> None:
+    rows.write.mode("overwrite").parquet(f"{store.table(daily.QUARANTINE)}/{drop}/batch={tag}")
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, landing: str, store: daily.Store,
-                  masters: Masters, tag: str | None = None) -> list[dt.date]:
-    """Load every day present in one micro-batch of raw transaction rows.
-
-    A batch replayed after a crash skips the days it already published
-    (same ``tag``) and re-runs the rest; a day published by another run and
-    older than the newest load is refused by ``run_day`` (late data needs
-    that day and the following ones re-run), never silently dropped.
-    """
-    parsed = delimited.type_transactions(batch)
-    days = sorted(r[0] for r in parsed.good.select("load_date").distinct().collect())
-    store.ensure(spark)
-    done = daily.published(spark, store)
-    newest = max(done, default=None)
-    for day in days:
-        if tag is not None and done.get(day) == tag and day < newest:
-            continue
-        parsed.quarantine.where(F.col("load_date") == F.lit(day)).write.mode("overwrite").parquet(
-            store.day("quarantine_transactions", "load_date", day))
-        tx = parsed.good.where(F.col("load_date") == F.lit(day)).drop("load_date", "source_file")
-        terminals = _day_workbook(spark, f"{landing}/terminals", "terminals", day,
-                                  [TERMINAL_KEY, *TERMINAL_ATTRS], TERMINALS)
-        blacklist = _day_workbook(spark, f"{landing}/blacklist", "passport_blacklist", day,
-                                  ["date", "passport"], BLACKLIST)
-        daily.run_day(spark, store, day, tx, blacklist, terminals, *masters, source=tag)
-    return days
+                  masters: Masters, tag: str, sep: str = ";", report_dt: dt.datetime | Callable[[dt.date], dt.datetime] | None = None) -> list[dt.date]:
+    """Take in one micro-batch of raw transaction lines (``value``,
+    ``source_file``); returns the days whose report was made anew."""
+    if tag in daily.published_sources(spark, store):
+        return []
+    typed = materialize(delimited.type_transactions(delimited.bind_columns(batch, delimited.TX_NAMES, sep)), "batch")
+    _quarantine(store, "transactions", tag, typed.where(~F.col("ok")).select("source_file", "load_date", "row_text"))
+    # Every day that has a file in the batch, even if no row of it parsed.
+    days = sorted(r[0] for r in typed.select("load_date").where("load_date is not null").distinct().collect())
+    if not days:
+        return []
+
+    def files(folder: str, prefix: str) -> list[str]:
+        return [f"{landing}/{folder}/{prefix}_{d:%d%m%Y}.txt" for d in days]
+
+    cuts = delimited.read_terminals(spark, files("terminals", "terminals"), sep)
+    listed = delimited.read_blacklist(spark, files("blacklist", "passport_blacklist"), sep)
+    _quarantine(store, "terminals", tag, cuts.quarantine)
+    _quarantine(store, "blacklist", tag, listed.quarantine)
+    cut_rows, listed_rows = materialize(cuts.good, "cuts"), materialize(listed.good, "listed")
+
+    def of(rows: DataFrame, d: dt.date) -> DataFrame:
+        return rows.where(F.col("load_date") == F.lit(d)).drop("load_date", "source_file")
+
+    return daily.deliver(
+        spark, store, days, typed.where("ok").drop("ok", "row_text", "source_file", "load_date"),
+        {d: of(cut_rows, d) for d in days}, {d: of(listed_rows, d) for d in days}, masters, report_dt, tag)
 
 
 def run_available(spark: SparkSession, landing: str, store: daily.Store, masters: Masters,
                   archive_dir: str | None = None, checkpoint: str | None = None,
-                  sep: str = ";") -> list[dt.date]:
+                  sep: str = ";", report_dt: dt.datetime | Callable[[dt.date], dt.datetime] | None = None) -> list[dt.date]:
     """Process every transaction file that arrived since the last run; returns
-    the load days processed (in order)."""
-    source = delimited.raw_reader(spark.readStream, sep)
+    the load days whose report was made anew (in order)."""
+    source = spark.readStream.format("text")
     if archive_dir:
         source = source.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    raw = source.csv(f"{landing}/transactions").withColumn(
-        "source_file", F.col("_metadata.file_path"))
+    lines = source.load(f"{landing}/transactions").select("value", F.col("_metadata.file_path").alias("source_file"))
     done: list[dt.date] = []
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        done.extend(process_batch(spark, batch, landing, store, masters, tag=f"batch-{batch_id}"))
+        done.extend(process_batch(spark, batch, landing, store, masters, f"batch-{batch_id}", sep, report_dt))
 
     query = (
-        raw.writeStream.foreachBatch(on_batch)
+        lines.writeStream.foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint or f"{store.root}/_checkpoints/transactions")
         .trigger(availableNow=True)
         .start()

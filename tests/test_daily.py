@@ -1,19 +1,24 @@
-"""Daily cycle: re-runs are no-ops, loads come in order, and the lookback
-into the previous load finds sequences that cross the boundary."""
+"""Daily cycle: deliveries add up to one load of all rows, are published whole
+or not at all, and never depend on the session's overwrite mode."""
 
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
-from cardsentry.operators.rules import fraud_mart
-from cardsentry.operators.enrich import enrich
-from cardsentry.operators.scd2 import build_history
 from cardsentry.plans import daily
-from cardsentry.plans.registry import _load_slices, run_cycle
-from cardsentry.plans.testviews import set_e
-from cardsentry.schemas import ACCOUNTS, BLACKLIST, CARDS, CLIENTS, EVENT_CITY_HOP
-from conftest import SF_SMALL, ts
+from cardsentry.schemas import ACCOUNTS, BLACKLIST, CARDS, CLIENTS, EVENT_BLOCKED_PASSPORT, EVENT_CITY_HOP
+from cardsentry.sources.masters import Masters
+from conftest import ts
+
+D1, D2, D3 = (dt.date(2021, 3, i) for i in (1, 2, 3))
+TX = ("trans_id string, transaction_date timestamp_ntz, card_num string, amount double, "
+      "oper_type string, oper_result string, terminal string")
+CUT = "terminal_id string, terminal_type string, terminal_city string, terminal_address string"
+
+
+def _midnight(d):
+    return dt.datetime.combine(d, dt.time())
 
 
 def _rows(df):
@@ -21,125 +26,176 @@ def _rows(df):
 
 
 @pytest.fixture(scope="module")
-def cycle(spark):
-    w = set_e(spark, SF_SMALL)
-    return w, run_cycle(spark, w)
-
-
-def test_rerun_of_the_last_day_changes_nothing(spark, cycle):
-    w, store = cycle
-    before_rep = _rows(daily.report(spark, store))
-    last = w.snapshot_days[-1]
-    before_hist = _rows(daily.history(spark, store, last))
-    d, tx, cut = list(_load_slices(w))[-1]
-    daily.run_day(spark, store, d, tx, w.blacklist, cut, w.cards, w.accounts, w.clients)
-    assert _rows(daily.report(spark, store)) == before_rep
-    assert _rows(daily.history(spark, store, last)) == before_hist
-
-
-def test_history_of_the_cycle_equals_the_fold(spark, cycle):
-    w, store = cycle
-    fold = build_history(spark, w.snapshots, w.snapshot_days)
-    assert _rows(daily.history(spark, store, w.snapshot_days[-1])) == _rows(fold)
-
-
-def test_a_day_before_the_newest_load_is_refused(spark, cycle):
-    w, store = cycle
-    d, tx, cut = list(_load_slices(w))[0]
-    with pytest.raises(ValueError):
-        daily.run_day(spark, store, d, tx, w.blacklist, cut, w.cards, w.accounts, w.clients)
-
-
-def test_cycle_report_has_one_report_dt_per_load(spark, cycle):
-    w, store = cycle
-    dts = {r[0] for r in daily.report(spark, store).select("report_dt").distinct().collect()}
-    assert dts == {dt.datetime.combine(d, dt.time()) for d in w.snapshot_days}
-
-
-def _micro(spark):
-    clients = spark.createDataFrame(
-        [("C3", "S", "S", "S", None, "P3", None, "+7 3", None, None)], CLIENTS)
-    accounts = spark.createDataFrame([("A3", dt.date(2030, 1, 1), "C3", None, None)], ACCOUNTS)
-    cards = spark.createDataFrame([("K3", "A3", None, None)], CARDS)
-    bl = spark.createDataFrame([], BLACKLIST)
-    cut = spark.createDataFrame([("T1", "POS", "Moscow", "a"), ("T2", "POS", "Kazan", "b")],
-                                "terminal_id string, terminal_type string, terminal_city string, "
-                                "terminal_address string")
-    schema = ("trans_id string, transaction_date timestamp_ntz, card_num string, amount double, "
-              "oper_type string, oper_result string, terminal string")
-    day1 = spark.createDataFrame([("1", ts("2021-03-01 23:45:00"), "K3", 1.0, "p", "SUCCESS", "T1")], schema)
-    day2 = spark.createDataFrame([("2", ts("2021-03-02 00:15:00"), "K3", 1.0, "p", "SUCCESS", "T2")], schema)
-    return clients, accounts, cards, bl, cut, day1, day2
-
-
-@pytest.mark.parametrize("lookback, expected", [(True, 1), (False, 0)])
-def test_city_hop_across_midnight(spark, lookback, expected):
-    clients, accounts, cards, bl, cut, day1, day2 = _micro(spark)
+def masters(spark):
+    return Masters(
+        spark.createDataFrame([("K3", "A3", None, None)], CARDS),
+        spark.createDataFrame([("A3", dt.date(2030, 1, 1), "C3", None, None)], ACCOUNTS),
+        spark.createDataFrame([("C3", "S", "S", "S", None, "P3", None, "+7 3", None, None)], CLIENTS))
+
+
+@pytest.fixture
+def cut(spark):
+    return spark.createDataFrame([("T1", "POS", "Moscow", "a"), ("T2", "POS", "Kazan", "b")], CUT)
+
+
+@pytest.fixture
+def none_listed(spark):
+    return spark.createDataFrame([], BLACKLIST)
+
+
+def _tx(spark, *rows):
+    return spark.createDataFrame([(i, ts(t), "K3", 1.0, "p", "SUCCESS", term) for i, t, term in rows], TX)
+
+
+A = ("a", "2021-03-01 10:00:00", "T1")
+B = ("b", "2021-03-01 10:20:00", "T2")
+C = ("c", "2021-03-02 00:10:00", "T1")
+LATE = ("z", "2021-03-01 23:50:00", "T2")
+
+
+def _load(spark, store, masters, cut, listed, day, *rows, **kw):
+    return daily.deliver(spark, store, [day], _tx(spark, *rows), {day: cut}, {day: listed}, masters, report_dt=_midnight, **kw)
+
+
+def _hops(spark, store):
+    rep = daily.report(spark, store).where(F.col("event_type") == EVENT_CITY_HOP)
+    return sorted(r.event_dt.isoformat(sep=" ") for r in rep.collect())
+
+
+@pytest.mark.parametrize("lookback, expected", [(True, ["2021-03-02 00:10:00"]), (False, [])])
+def test_city_hop_across_midnight(spark, masters, cut, none_listed, lookback, expected):
     store = daily.Store.fresh(spark, "midnight")
-    daily.run_day(spark, store, dt.date(2021, 3, 1), day1, bl, cut, cards, accounts, clients)
-    daily.run_day(spark, store, dt.date(2021, 3, 2), day2, bl, cut, cards, accounts, clients,
-                  lookback=lookback)
-    hops = daily.report(spark, store).where(F.col("event_type") == EVENT_CITY_HOP)
-    assert hops.count() == expected
-
-
-def test_split_by_day_with_lookback_equals_one_load(spark):
-    """Loading set E one calendar day at a time gives the same window-rule
-    rows as one load of everything (the dimension is fixed to the final one
-    so that only the split differs)."""
-    w = set_e(spark, SF_SMALL)
-    hist = build_history(spark, w.snapshots, w.snapshot_days)
-    enriched = enrich(w.transactions, w.cards, w.accounts, w.clients)
-    whole = fraud_mart(enriched, w.blacklist, hist, w.report_dt)
-    whole = whole.where(F.col("event_type") == EVENT_CITY_HOP)
-    from cardsentry.operators.rules import flagged_sequence, report_from_flags
-
-    days = sorted(r[0] for r in w.transactions.select(F.to_date("transaction_date")).distinct().collect())
-    parts = []
-    for d in days[:8]:
-        start = dt.datetime.combine(d, dt.time())
-        t = F.col("transaction_date")
-        rows = w.transactions.where((t >= F.lit(start - dt.timedelta(hours=1)))
-                                    & (t < F.lit(start + dt.timedelta(days=1))))
-        rows = rows.withColumn("_ctx", t < F.lit(start))
-        flagged = flagged_sequence(enrich(rows, w.cards, w.accounts, w.clients), w.blacklist, hist)
-        parts.append(report_from_flags(flagged.where(~F.col("_ctx")), w.report_dt))
-    split = parts[0]
-    for p in parts[1:]:
-        split = split.unionByName(p)
-    split = split.where(F.col("event_type") == EVENT_CITY_HOP)
-    cutoff = dt.datetime.combine(days[8], dt.time())
-    assert _rows(split) == _rows(whole.where(F.col("event_dt") < F.lit(cutoff)))
-
-
-def test_late_file_rerun_equals_loading_it_on_time(spark):
-    """Rows that arrive after later loads were published: re-running from
-    their day gives the report of a cycle that had them from the start."""
-    w = set_e(spark, SF_SMALL)
-    slices = list(_load_slices(w))
-    d2, tx2, _ = slices[1]
-    # late rows for load 2: copies of a card's transactions there, shifted
-    # ten minutes and moved to another terminal (new ids), so the city rule
-    # can fire on them
-    late = (tx2.where(F.col("card_num") == "K3")
-            .withColumn("trans_id", F.concat(F.lit("late-"), F.col("trans_id")))
-            .withColumn("transaction_date", F.col("transaction_date") + F.expr("INTERVAL 10 MINUTES"))
-            .withColumn("terminal", F.lit("T5")))
-    assert late.count() > 0
-
-    store = daily.Store.fresh(spark, "late")
-    for d, tx, cut in slices:
-        daily.run_day(spark, store, d, tx, w.blacklist, cut, w.cards, w.accounts, w.clients)
-    with pytest.raises(ValueError):
-        daily.run_day(spark, store, d2, tx2.unionByName(late), w.blacklist, slices[1][2],
-                      w.cards, w.accounts, w.clients)
-    rerun = daily.rerun_from(spark, store, d2, w.cards, w.accounts, w.clients,
-                             late_transactions=late)
-    assert rerun == [d2, slices[2][0]]
-
-    on_time = daily.Store.fresh(spark, "on-time")
-    for d, tx, cut in slices:
-        if d == d2:
-            tx = tx.unionByName(late)
-        daily.run_day(spark, on_time, d, tx, w.blacklist, cut, w.cards, w.accounts, w.clients)
-    assert _rows(daily.report(spark, store)) == _rows(daily.report(spark, on_time))
+    _load(spark, store, masters, cut, none_listed, D1, LATE, lookback=lookback)
+    _load(spark, store, masters, cut, none_listed, D2, C, lookback=lookback)
+    assert _hops(spark, store) == expected
+
+
+def test_second_file_of_a_day_adds_rows(spark, masters, cut, none_listed):
+    store = daily.Store.fresh(spark, "two-files")
+    _load(spark, store, masters, cut, none_listed, D1, A)
+    assert daily.deliver(spark, store, [D1], _tx(spark, B), report_dt=_midnight) == [D1]
+    assert daily.facts(spark, store, daily.loads(spark, store).values()).count() == 2
+    assert _hops(spark, store) == ["2021-03-01 10:20:00"]
+
+
+def test_late_rows_equal_rows_on_time(spark, masters, cut, none_listed):
+    """A row for day 1 that comes with day 3 changes day 1 and the first hour of day 2."""
+    late, on_time = daily.Store.fresh(spark, "late"), daily.Store.fresh(spark, "on-time")
+    _load(spark, late, masters, cut, none_listed, D1, A)
+    _load(spark, late, masters, cut, none_listed, D2, C)
+    assert _load(spark, late, masters, cut, none_listed, D3, B, LATE) == [D1, D2, D3]
+    _load(spark, on_time, masters, cut, none_listed, D1, A, B, LATE)
+    _load(spark, on_time, masters, cut, none_listed, D2, C)
+    _load(spark, on_time, masters, cut, none_listed, D3)
+    assert _rows(daily.report(spark, late)) == _rows(daily.report(spark, on_time))
+    assert _hops(spark, late) == ["2021-03-01 10:20:00", "2021-03-02 00:10:00"]
+
+
+def test_late_rows_see_the_city_of_their_time(spark, masters, cut, none_listed):
+    """A terminal that moved later stays where it was for the rows before."""
+    moved = cut.replace({"Kazan": "Moscow"})
+    store = daily.Store.fresh(spark, "moved")
+    _load(spark, store, masters, cut, none_listed, D1)
+    _load(spark, store, masters, moved, none_listed, D2)
+    _load(spark, store, masters, moved, none_listed, D3, A, B, ("d", "2021-03-03 10:00:00", "T1"), ("e", "2021-03-03 10:20:00", "T2"))
+    assert _hops(spark, store) == ["2021-03-01 10:20:00"]
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_corrected_run_equals_a_fresh_one(spark, masters, cut, none_listed, mode):
+    """A first run that closes a row, then a corrected cut that closes none."""
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    fresh, again = daily.Store.fresh(spark, "fresh"), daily.Store.fresh(spark, "again")
+    for store in (fresh, again):
+        _load(spark, store, masters, cut, none_listed, D1, A)
+    _load(spark, again, masters, cut.where("terminal_id = 'T1'"), none_listed, D2, C, LATE)
+    daily.run_day(spark, again, D2, _tx(spark, C), none_listed, cut, *masters, _midnight)
+    daily.run_day(spark, fresh, D2, _tx(spark, C), none_listed, cut, *masters, _midnight)
+    # The late row was added to day 1 and stays there.
+    daily.deliver(spark, fresh, [D1], _tx(spark, LATE), report_dt=_midnight)
+    for read in (lambda s: daily.report(spark, s), lambda s: daily.history(spark, s, daily.loads(spark, s), D2),
+                 lambda s: daily.facts(spark, s, daily.loads(spark, s).values())):
+        assert _rows(read(again)) == _rows(read(fresh))
+    assert daily.history(spark, again, daily.loads(spark, again), D2).count() == 2
+
+
+@pytest.mark.parametrize("step", ["require_unique", "_apply_cut", "_inherit", "_make_report", "_publish"])
+def test_a_crash_leaves_the_state_before(spark, masters, cut, none_listed, monkeypatch, step):
+    store = daily.Store.fresh(spark, "crash")
+    _load(spark, store, masters, cut, none_listed, D1, A)
+    before, state = _rows(daily.report(spark, store)), daily.loads(spark, store)
+
+    def dies(*args, **kw):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(daily, step, dies)
+        with pytest.raises(RuntimeError):
+            _load(spark, store, masters, cut.where("terminal_id = 'T2'"), none_listed, D1, B)
+    assert daily.loads(spark, store) == state and _rows(daily.report(spark, store)) == before
+    assert daily.facts(spark, store, state.values()).count() == 1
+    _load(spark, store, masters, cut, none_listed, D1, B)
+    assert _hops(spark, store) == ["2021-03-01 10:20:00"]
+
+
+def test_a_key_listed_twice_fails_the_load(spark, masters, cut, none_listed):
+    store = daily.Store.fresh(spark, "twice")
+    with pytest.raises(ValueError, match="T1"):
+        _load(spark, store, masters, cut.unionByName(cut.limit(1)), none_listed, D1, A)
+    assert daily.loads(spark, store) == {}
+
+
+def test_a_day_takes_the_drops_it_lacks_from_the_day_before(spark, masters, cut):
+    listed = spark.createDataFrame([(ts("2021-02-01 00:00:00"), "P3")], BLACKLIST)
+    store = daily.Store.fresh(spark, "lacking")
+    _load(spark, store, masters, cut, listed, D1, A)
+    daily.deliver(spark, store, [D2], _tx(spark, C))
+    events = [(r.event_type, r.event_dt.day, r.phone) for r in daily.report(spark, store).collect()]
+    assert sorted(events) == [(EVENT_BLOCKED_PASSPORT, 1, "+7 3"), (EVENT_BLOCKED_PASSPORT, 2, "+7 3")]
+    # The report's time is that of the run unless it is given.
+    newest = daily.loads(spark, store)[D2].report_dt
+    assert abs(newest - dt.datetime.now()) < dt.timedelta(hours=1)
+
+
+def test_masters_of_the_day_are_used_again(spark, masters, cut, none_listed):
+    store = daily.Store.fresh(spark, "masters")
+    _load(spark, store, masters, cut, none_listed, D1, A)
+    moved = masters._replace(clients=masters.clients.replace({"+7 3": "+7 9"}))
+    _load(spark, store, moved, cut, none_listed, D2, C, B)
+    assert {(r.event_dt.day, r.phone) for r in daily.report(spark, store).collect()} == {(1, "+7 3")}
+
+
+def test_listing_and_show(spark, masters, cut, none_listed, capsys):
+    from cardsentry.plans.catalog import list_columns
+
+    store = daily.Store.fresh(spark, "listing")
+    assert list_columns(spark, store) == []
+    _load(spark, store, masters, cut, none_listed, D1, A, B)
+    found = {(t, c) for t, _, c, _ in list_columns(spark, store)}
+    assert {("fact_transactions", "amount"), ("dim_terminals_hist", "effective_to"), ("rep_fraud", "event_type")} <= found
+    daily.show_table(spark, store, daily.REPORT)
+    assert EVENT_CITY_HOP in capsys.readouterr().out
+    assert sorted(r.terminal_id for r in daily.current_terminals(spark, store).collect()) == ["T1", "T2"]
+
+
+def test_dropping_scratch(spark):
+    from cardsentry.session import drop_scratch, materialize, shared_dir
+
+    class Private:
+        """A session whose shared folder is its own."""
+
+        _jvm, _jsc = spark._jvm, spark._jsc
+        sparkContext = spark.sparkContext
+
+        class conf:
+            get = staticmethod(lambda key, default=None: f"{shared_dir(spark)}/private")
+
+    path = f"{shared_dir(Private)}/cardsentry/x"
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    drop_scratch(Private)
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+    assert materialize(spark.range(2), "after").count() == 2

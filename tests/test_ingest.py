@@ -1,17 +1,13 @@
-"""Readers: amounts with a decimal comma, quarantine, workbook cells."""
+"""Readers: columns by name, amounts with a decimal comma, quarantine."""
 
 import datetime as dt
-import io
 import os
-import zipfile
 from decimal import Decimal
 
-import pandas as pd
 import pytest
 
-from cardsentry.schemas import BLACKLIST, TERMINALS
 from cardsentry.session import scratch_path
-from cardsentry.sources import delimited, workbook
+from cardsentry.sources import delimited
 
 
 def _local(path: str) -> str:
@@ -43,76 +39,61 @@ def test_amounts_and_quarantine(spark, tx_file):
         "1": (Decimal("12.50"), "SUCCESS", dt.date(2021, 3, 1)),
         "2": (Decimal("12.50"), "REJECT", dt.date(2021, 3, 1)),
     }
-    bad = sorted(r.trans_id for r in parsed.quarantine.collect())
+    bad = sorted(r.row_text.split(";")[0] for r in parsed.quarantine.collect())
     assert bad == ["3", "4", "5"]
 
 
-def test_file_day_token(spark):
-    df = spark.createDataFrame(
-        [("file:/x/transactions_01032021.txt",), ("file:/x/file=terminals_15122024.xlsx/part-1.csv",),
-         ("file:/x/part-12345678-c000.csv",)], "p string")
-    got = [r[0] for r in df.select(delimited.file_day(df.p)).collect()]
-    assert got == [dt.date(2021, 3, 1), dt.date(2024, 12, 15), None]
+def _write(spark, name, text):
+    folder = _local(scratch_path(spark, "drop"))
+    os.makedirs(folder)
+    with open(os.path.join(folder, name), "w") as fh:
+        fh.write(text)
+    return folder
 
 
-def _handmade_workbook() -> bytes:
-    """Shared strings, a missing cell, a boolean and a date serial, with the
-    columns in another order than the reader asks for."""
-    ns = workbook.NS_MAIN
-    sheet = (
-        f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{ns}"><sheetData>'
-        '<row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s"><v>1</v></c>'
-        '<c r="C1" t="inlineStr"><is><t>terminal_city</t></is></c>'
-        '<c r="D1" t="inlineStr"><is><t>TERMINAL_ADDRESS</t></is></c></row>'
-        '<row r="2"><c r="A2" t="s"><v>2</v></c><c r="B2" t="s"><v>3</v></c>'
-        '<c r="D2" t="inlineStr"><is><r><t>Main </t></r><r><t>st. 1</t></r></is></c></row>'
-        '<row r="3"><c r="A3" t="inlineStr"><is><t>T2</t></is></c><c r="C3" t="b"><v>1</v></c></row>'
-        '</sheetData></worksheet>'
-    )
-    shared = (
-        f'<?xml version="1.0" encoding="UTF-8"?><sst xmlns="{ns}">'
-        '<si><t>terminal_id</t></si><si><t>terminal_type</t></si><si><t>T1</t></si><si><t>ATM</t></si></sst>'
-    )
-    buf = io.BytesIO()
-    base = workbook.workbook_bytes(pd.DataFrame({"x": [1]}))
-    with zipfile.ZipFile(io.BytesIO(base)) as src, zipfile.ZipFile(buf, "w") as z:
-        for name in src.namelist():
-            if name != "xl/worksheets/sheet1.xml":
-                z.writestr(name, src.read(name))
-        z.writestr("xl/worksheets/sheet1.xml", sheet)
-        z.writestr("xl/sharedStrings.xml", shared)
-    return buf.getvalue()
-
-
-def test_workbook_cells(spark):
-    folder = _local(scratch_path(spark, "wb-unit"))
-    os.makedirs(folder)
-    with open(os.path.join(folder, "terminals_01032021.xlsx"), "wb") as fh:
-        fh.write(_handmade_workbook())
-    raw = workbook.read_workbooks(spark, folder, ["terminal_id", "terminal_type", "terminal_city",
-                                                  "terminal_address"])
-    rows = sorted(tuple(r)[:4] for r in workbook.typed_columns(raw, TERMINALS).collect())
-    assert rows == [("T1", "ATM", None, "Main st. 1"), ("T2", None, "TRUE", None)]
+def test_columns_bind_by_name(spark):
+    folder = _write(spark, "transactions_01032021.txt", (
+        "amount;terminal;card_num;oper_result;extra;transaction_date;transaction_id;oper_type\n"
+        "7,50;T9;K9;SUCCESS;x;2021-03-01 10:00:00;1;payment\n"))
+    (r,) = delimited.read_transactions(spark, folder).good.collect()
+    assert (r.trans_id, r.card_num, r.amount, r.oper_type, r.terminal) == ("1", "K9", Decimal("7.50"), "payment", "T9")
 
 
-def test_workbook_date_serials_round_trip(spark):
-    folder = scratch_path(spark, "wb-dates")
-    df = spark.createDataFrame(
-        [(dt.datetime(2021, 3, 1, 0, 0), "P1"), (dt.datetime(2021, 3, 2, 13, 30, 15), "P2")],
-        "date timestamp_ntz, passport string")
-    from pyspark.sql import functions as F
+def test_a_missing_column_is_an_error(spark):
+    cut = _write(spark, "terminals_01032021.txt", "terminal;terminal_type;terminal_city;terminal_address\nT1;POS;Moscow;a\n")
+    with pytest.raises(ValueError, match="terminal_id"):
+        delimited.read_terminals(spark, cut)
+    tx = _write(spark, "transactions_01032021.txt", "1;2021-03-01 10:00:00;7;K1;payment;SUCCESS;T1\n")
+    with pytest.raises(ValueError, match="header"):
+        delimited.read_transactions(spark, tx)
 
-    workbook.write_workbooks(df, F.lit("passport_blacklist_02032021.xlsx"), folder,
-                             serial_columns=["date"]).collect()
-    back = workbook.typed_columns(workbook.read_workbooks(spark, folder, ["date", "passport"]),
-                                  BLACKLIST)
-    assert sorted((r.date, r.passport) for r in back.collect()) == [
-        (dt.datetime(2021, 3, 1, 0, 0), "P1"), (dt.datetime(2021, 3, 2, 13, 30, 15), "P2")]
 
+def test_bad_keys_and_dates_go_to_quarantine(spark):
+    cut = _write(spark, "terminals_01032021.txt", (
+        "terminal_id;terminal_type;terminal_city;terminal_address\nT1;POS;Moscow;a\n;POS;Kazan;b\n"))
+    parsed = delimited.read_terminals(spark, cut)
+    assert [r.terminal_id for r in parsed.good.collect()] == ["T1"]
+    assert [r.row_text for r in parsed.quarantine.collect()] == [";POS;Kazan;b"]
+    listed = _write(spark, "passport_blacklist_01032021.txt", "passport;date\nP1;01.03.2021\nP2;2021-03-02\nP3;99.99.2021\n;01.03.2021\n")
+    parsed = delimited.read_blacklist(spark, listed)
+    assert sorted((r.passport, r.date) for r in parsed.good.collect()) == [
+        ("P1", dt.datetime(2021, 3, 1)), ("P2", dt.datetime(2021, 3, 2))]
+    assert parsed.quarantine.count() == 2
 
-def test_sheet_row_limit():
-    with pytest.raises(ValueError):
-        workbook.workbook_bytes(pd.DataFrame({"x": range(workbook.MAX_ROWS)}))
+
+def test_a_file_without_a_date_is_quarantined(spark):
+    folder = _write(spark, "transactions.txt", (
+        "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n1;2021-03-01 10:00:00;7;K1;p;SUCCESS;T1\n"))
+    parsed = delimited.read_transactions(spark, folder)
+    assert parsed.good.count() == 0 and parsed.quarantine.count() == 1
+
+
+def test_file_day_token(spark):
+    df = spark.createDataFrame(
+        [("file:/x/transactions_01032021.txt",), ("file:/x/file=terminals_15122024.xlsx/part-1.csv",),
+         ("file:/x/part-12345678-c000.csv",)], "p string")
+    got = [r[0] for r in df.select(delimited.file_day(df.p)).collect()]
+    assert got == [dt.date(2021, 3, 1), dt.date(2024, 12, 15), None]
 
 
 def test_masters_keep_text_ids(spark):
@@ -170,3 +151,26 @@ def test_shared_dir_without_the_setting(spark):
 
     d = shared_dir(NoSetting())
     assert d and d == spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from cardsentry.session import shared_dir
+
+    class Conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_dir(Session())

@@ -1,10 +1,14 @@
-"""Plan shape of the fused mart: the properties the design relies on."""
+"""Plan shape of the mart: the properties the design relies on."""
 
 import contextlib
 import io
 import re
 
+from cardsentry.operators import rules
+from cardsentry.operators.enrich import owners_of
+from cardsentry.operators.scd2 import history_from_cuts
 from cardsentry.plans.registry import fraud_mart
+from cardsentry.plans.testviews import set_e
 from conftest import SF_SMALL
 
 
@@ -15,39 +19,43 @@ def _formatted_plan(df) -> str:
     return buf.getvalue()
 
 
-def test_fused_mart_plan(spark):
+def test_mart_plan(spark):
     plan = _formatted_plan(fraud_mart(spark, SF_SMALL))
-    # one exchange for the card window, on (card, known, slot)
-    assert len(re.findall(r"hashpartitioning\(card_num#\d+, known#\d+, _slot#\d+", plan)) == 1
-    # the small sides are broadcast, nothing of the fact is sort-merge joined
-    assert "BroadcastHashJoin" in plan
-    assert "SortMergeJoin" not in plan
-    # the fact scan reads only the columns the rules use
+    # the row rules scan the fact once and read only the columns they use
     schemas = re.findall(r"events\.parquet\]\s*\nReadSchema: (struct<[^\n]*>)", plan)
-    assert schemas, plan
-    assert all("props" not in s for s in schemas)
-    assert "struct<event_id:bigint,ts:timestamp_ntz,value:double>" in schemas
+    assert schemas and all("props" not in s for s in schemas)
+    assert "SortMergeJoin" not in plan
 
 
-def test_shuffle_join_fallback_gives_the_same_rows(spark):
-    """Beyond the broadcast bound every join is a sort-merge join; the rows
-    must not change (AQE may still re-plan, so the threshold is off too)."""
-    from cardsentry.operators import rules
-    from cardsentry.operators.enrich import enrich
-    from cardsentry.operators.scd2 import history_from_cuts
-    from cardsentry.plans.testviews import set_e
+def test_window_carries_only_what_the_rules_compare(spark):
+    w = set_e(spark, SF_SMALL)
+    plan = _formatted_plan(rules.known_sequence(w.transactions, history_from_cuts(w.snapshots)))
+    exchanges = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
+    window = [e for e in exchanges if "_part" in e and "_own" in e]
+    assert window and all(not re.search("fio|phone|passport|valid_to|effective", e) for e in window)
+    # no probe sits above the fact
+    assert "CollectLimit" not in plan
+
 
+def test_sequences_run_before_any_owner_is_joined(spark):
+    """The stored sequence rows hold no owner column."""
+    w = set_e(spark, SF_SMALL)
+    seq = rules.known_sequence(w.transactions, history_from_cuts(w.snapshots))
+    assert not {"fio", "phone", "passport_num"} & set(seq.columns)
+
+
+def test_shuffle_join_fallback_gives_the_same_rows(spark):
+    """Beyond the broadcast threshold every join is a sort-merge join; the rows
+    must not change."""
     w = set_e(spark, SF_SMALL)
-    hist = history_from_cuts(w.snapshots)
     want = sorted(map(tuple, fraud_mart(spark, SF_SMALL).collect()), key=repr)
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in keys}
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        chain = enrich(w.transactions, w.cards, w.accounts, w.clients, broadcast_rows=None,
-                       blacklist=w.blacklist)
-        df = rules.fraud_mart(chain, None, hist, w.report_dt, broadcast_rows=None)
+        owners = owners_of(w.cards, w.accounts, w.clients, w.blacklist)
+        df = rules.fraud_mart(w.transactions, owners, history_from_cuts(w.snapshots), w.report_dt)
         assert "SortMergeJoin" in _formatted_plan(df)
         got = sorted(map(tuple, df.collect()), key=repr)
     finally:

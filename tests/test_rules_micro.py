@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardsentry.operators import rules
-from cardsentry.operators.enrich import enrich
+from cardsentry.operators.enrich import owners_of
 from cardsentry.operators.scd2 import build_history
 from cardsentry.schemas import (
     ACCOUNTS,
@@ -89,7 +89,8 @@ def case(spark):
         "terminal_address string",
     )
     hist = build_history(spark, snaps, [D(2021, 3, 1)])
-    return enrich(tx, cards, accounts, clients), blacklist, hist
+    owners = owners_of(cards, accounts, clients)
+    return tx.join(owners, "card_num"), tx, owners, blacklist, hist
 
 
 def _ids(df):
@@ -97,45 +98,45 @@ def _ids(df):
 
 
 def test_expired_passport_counts_expiry_midnight(case):
-    enriched, _, _ = case
+    enriched, *_ = case
     got = _ids(rules.expired_passport(enriched, REPORT_DT))
     assert got == [("2021-03-02 00:00:00", "P1"), ("2021-03-02 10:00:00", "P1")]
 
 
 def test_invalid_agreement(case):
-    enriched, _, _ = case
+    enriched, *_ = case
     got = _ids(rules.invalid_agreement(enriched, REPORT_DT))
     assert got == [("2021-03-02 00:00:00", "P1"), ("2021-03-02 10:00:00", "P1")]
 
 
 def test_blocked_passport_strictly_after(case):
-    enriched, bl, _ = case
+    enriched, _, _, bl, _ = case
     assert _ids(rules.blocked_passport(enriched, bl, REPORT_DT)) == [("2021-03-01 00:00:01", "P2")]
 
 
 def test_blocked_passport_listed_twice_reports_once(spark, case):
-    enriched, bl, _ = case
+    enriched, _, _, bl, _ = case
     twice = bl.unionByName(bl.withColumn("date", F.col("date") - F.expr("INTERVAL 1 DAY")))
     assert _ids(rules.blocked_passport(enriched, twice, REPORT_DT)) == [
         ("2021-03-01 00:00:00", "P2"), ("2021-03-01 00:00:01", "P2")]
 
 
 def test_city_hop_exact_hour_not_flagged_and_fio_null(case):
-    enriched, _, hist = case
-    rows = rules.city_hop(enriched, hist, REPORT_DT).collect()
+    _, tx, owners, _, hist = case
+    rows = rules.city_hop(tx, owners, hist, REPORT_DT).collect()
     assert [(r.event_dt.isoformat(sep=" "), r.passport_num, r.fio) for r in rows] == [
         ("2021-03-01 09:59:59", "P3", None)]
 
 
 def test_amount_probe_only_strict_inside_20_minutes(case):
-    enriched, _, hist = case
-    assert _ids(rules.amount_probe(enriched, hist, REPORT_DT)) == [("2021-03-01 12:19:59", "P4")]
+    _, tx, owners, _, hist = case
+    assert _ids(rules.amount_probe(tx, owners, hist, REPORT_DT)) == [("2021-03-01 12:19:59", "P4")]
 
 
 def test_fused_mart_equals_rules(case):
-    enriched, bl, hist = case
+    _, tx, owners, bl, hist = case
     got = sorted((r.event_dt.isoformat(sep=" "), r.event_type)
-                 for r in rules.fraud_mart(enriched, bl, hist, REPORT_DT).collect())
+                 for r in rules.fraud_mart(tx, owners, hist, REPORT_DT, blacklist=bl).collect())
     assert got == sorted([
         ("2021-03-02 00:00:00", EVENT_EXPIRED_PASSPORT),
         ("2021-03-02 10:00:00", EVENT_EXPIRED_PASSPORT),
@@ -148,8 +149,8 @@ def test_fused_mart_equals_rules(case):
 
 
 def test_report_dt_is_the_given_literal(case):
-    enriched, bl, hist = case
-    dts = {r.report_dt for r in rules.fraud_mart(enriched, bl, hist, REPORT_DT).collect()}
+    _, tx, owners, bl, hist = case
+    dts = {r.report_dt for r in rules.fraud_mart(tx, owners, hist, REPORT_DT, blacklist=bl).collect()}
     assert dts == {REPORT_DT}
 
 
@@ -163,5 +164,5 @@ def test_equal_times_are_ordered_by_transaction_id(spark):
          ("a", ts("2021-03-01 10:00:00"), "K", "Moscow")],
         "trans_id string, transaction_date timestamp_ntz, card_num string, terminal_city string")
     got = {r.trans_id: r.terminal_city_lag1
-           for r in with_lags(df, {"terminal_city": (1,)}, 3600).collect()}
+           for r in with_lags(df, {"terminal_city": (1,)}).collect()}
     assert got == {"a": None, "b": "Moscow"}

@@ -1,72 +1,72 @@
-"""The slotted card window equals a plain per-card window for every lag
-that lies inside the lookback (property test against a pandas brute force)."""
+"""The range-partitioned card window equals a plain per-card window (property
+test against a loop), however the rows are spread."""
 
 import datetime as dt
 
-import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cardsentry.operators.sequence import with_lags
 
 BASE = dt.datetime(2021, 3, 1, 22, 0, 0)
-LOOKBACK = 3600
 
 
 def brute(rows):
-    pdf = pd.DataFrame(rows, columns=["trans_id", "transaction_date", "card_num", "v"])
-    pdf = pdf.sort_values(["card_num", "transaction_date", "trans_id"])
     out = {}
-    for _, g in pdf.groupby("card_num"):
-        g = g.reset_index(drop=True)
-        for i, r in g.iterrows():
-            lags = {}
-            for k in (1, 3):
-                if i - k >= 0 and r.transaction_date - g.transaction_date[i - k] < dt.timedelta(seconds=LOOKBACK):
-                    lags[k] = g.v[i - k]
-                else:
-                    lags[k] = None
-            out[r.trans_id] = lags
+    for card in {r[2] for r in rows}:
+        own = sorted((r for r in rows if r[2] == card), key=lambda r: (r[1], r[0]))
+        for i, r in enumerate(own):
+            out[r[0]] = {k: own[i - k][3] if i >= k else None for k in (1, 3)}
     return out
 
 
 events = st.lists(
-    st.tuples(st.sampled_from(["K1", "K2"]), st.integers(0, 4 * 3600 * 1000), st.integers(0, 99)),
-    min_size=1, max_size=40,
+    st.tuples(st.sampled_from(["K1", "K1", "K1", "K2", "K3"]), st.integers(0, 20), st.integers(0, 99)),
+    min_size=1, max_size=60,
 )
 
 
-@settings(max_examples=15, deadline=None)
-@given(events=events, slot_hours=st.sampled_from([1, 2, 24]), hot_rows=st.sampled_from([None, 3]))
-def test_slotted_lags_match_brute_force(spark, events, slot_hours, hot_rows):
-    rows = [(f"t{i:03d}", BASE + dt.timedelta(milliseconds=ms), card, v)
-            for i, (card, ms, v) in enumerate(events)]
-    df = spark.createDataFrame(
-        rows, "trans_id string, transaction_date timestamp_ntz, card_num string, v int")
-    got = with_lags(df.withColumn("ts_copy", df.transaction_date),
-                    {"v": (1, 3), "ts_copy": (1, 3)}, LOOKBACK, slot_hours=slot_hours,
-                    hot_rows=hot_rows).collect()
-    want = brute(rows)
-    assert len(got) == len(rows)
-    for r in got:
-        for k in (1, 3):
-            lag_ts = r[f"ts_copy_lag{k}"]
-            inside = lag_ts is not None and r.transaction_date - lag_ts < dt.timedelta(seconds=LOOKBACK)
-            assert (r[f"v_lag{k}"] if inside else None) == want[r.trans_id][k]
-
-
-def test_hot_card_day_is_spread_over_hour_slots(spark):
-    """A card-day above the threshold is windowed in hour slots: the rule
-    results stay equal to the day-slot run."""
+@settings(max_examples=12, deadline=None)
+@given(events=events, partitions=st.sampled_from([1, 3, 16]))
+def test_lags_match_brute_force(spark, events, partitions):
+    rows = [(f"t{i:03d}", BASE + dt.timedelta(seconds=s), card, v) for i, (card, s, v) in enumerate(events)]
+    df = spark.createDataFrame(rows, "trans_id string, transaction_date timestamp_ntz, card_num string, v int")
+    got = with_lags(df, {"v": (1, 3)}, partitions=partitions).collect()
+    assert {r.trans_id: {1: r.v_lag1, 3: r.v_lag3} for r in got} == brute(rows) and len(got) == len(rows)
+
+
+def test_one_hot_card_is_spread(spark):
+    """All rows on one card at one minute: many partitions, none with more
+    than its share, and the lags stay right."""
+    rows = [(f"t{i:05d}", BASE, "K", i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "trans_id string, transaction_date timestamp_ntz, card_num string, v int")
+    got = with_lags(df, {"v": (1, 3)}, partitions=8)
+    assert sorted((r.v, r.v_lag1, r.v_lag3) for r in got.collect()) == [
+        (i, i - 1 if i else None, i - 3 if i >= 3 else None) for i in range(4000)]
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "trans_id string, transaction_date timestamp_ntz, card_num string, v int")
+    assert with_lags(df, {"v": (1,)}).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_mart_does_not_depend_on_the_partitions(spark, partitions):
     from cardsentry.operators import rules
-    from cardsentry.operators.enrich import enrich
+    from cardsentry.operators.enrich import owners_of
     from cardsentry.operators.scd2 import history_from_cuts
-    from cardsentry.plans.testviews import set_e
-    from conftest import SF_MID
+    from cardsentry.plans.testviews import hot_card
+    from conftest import SF_SMALL
 
-    w = set_e(spark, SF_MID)
+    w = hot_card(spark, SF_SMALL)
+    owners = owners_of(w.cards, w.accounts, w.clients, w.blacklist)
     hist = history_from_cuts(w.snapshots)
-    chain = enrich(w.transactions, w.cards, w.accounts, w.clients)
-    plain = rules.fraud_mart(chain, w.blacklist, hist, w.report_dt, hot_rows=None)
-    hot = rules.fraud_mart(chain, w.blacklist, hist, w.report_dt, hot_rows=2)
-    assert sorted(map(tuple, hot.collect())) == sorted(map(tuple, plain.collect()))
+    want = sorted(map(tuple, rules.fraud_mart(w.transactions, owners, hist, w.report_dt).collect()), key=repr)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = sorted(map(tuple, rules.fraud_mart(w.transactions, owners, hist, w.report_dt).collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == want

@@ -1,75 +1,97 @@
-"""The incremental driver over a landing folder equals the batch cycle, and a
-second run finds nothing new."""
+"""The incremental driver over a landing folder equals the batch cycle; no
+file is consumed without a trace."""
 
+import glob
+import os
 from functools import reduce
 
+import pytest
 from pyspark.sql import functions as F
 
 from cardsentry.plans import daily
-from cardsentry.plans.registry import _load_slices, run_cycle
+from cardsentry.plans.registry import _load_slices, _midnight, run_cycle
 from cardsentry.plans.testviews import set_e
 from cardsentry.schemas import TERMINAL_ATTRS, TERMINAL_KEY
 from cardsentry.session import scratch_path
-from cardsentry.sources import delimited, workbook
+from cardsentry.sources import delimited
 from cardsentry.sources.masters import Masters
-from cardsentry.streaming.daily_stream import run_available
+from cardsentry.streaming.daily_stream import process_batch, run_available
 from conftest import SF_SMALL
 
 
-def test_stream_equals_batch_cycle(spark):
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def _local(path):
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+@pytest.fixture(scope="module")
+def landing(spark):
     w = set_e(spark, SF_SMALL)
-    landing = scratch_path(spark, "landing")
-    tx = reduce(lambda a, b: a.unionByName(b),
-                [t.withColumn("load_date", F.lit(d)) for d, t, _ in _load_slices(w)])
-    delimited.write_transactions(tx, f"{landing}/transactions",
-                                 comma_decimal=F.xxhash64("trans_id") % 2 == 0)
-    name = F.concat(F.lit("terminals_"), F.date_format("as_of", "ddMMyyyy"), F.lit(".xlsx"))
-    workbook.write_workbooks(w.snapshots, name, f"{landing}/terminals",
-                             columns=[TERMINAL_KEY, *TERMINAL_ATTRS]).collect()
-    bl = reduce(lambda a, b: a.unionByName(b),
-                [w.blacklist.withColumn("_d", F.lit(d).cast("timestamp_ntz")) for d in w.snapshot_days])
-    workbook.write_workbooks(
-        bl, F.concat(F.lit("passport_blacklist_"), F.date_format("_d", "ddMMyyyy"), F.lit(".xlsx")),
-        f"{landing}/blacklist", columns=["date", "passport"], serial_columns=["date"]).collect()
+    root = scratch_path(spark, "landing")
+    tx = reduce(lambda a, b: a.unionByName(b), [t.withColumn("load_date", F.lit(d)) for d, t, _ in _load_slices(w)])
+    delimited.write_transactions(tx, f"{root}/transactions", comma_decimal=F.xxhash64("trans_id") % 2 == 0)
+    delimited.write_drop(w.snapshots.select(TERMINAL_KEY, *TERMINAL_ATTRS, F.col("as_of").alias("_day")),
+                         f"{root}/terminals", "terminals", F.col("_day"))
+    listed = w.blacklist.join(w.snapshots.select(F.col("as_of").alias("_day")).distinct())
+    delimited.write_drop(listed.select(F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"), "passport", "_day"),
+                         f"{root}/blacklist", "passport_blacklist", F.col("_day"))
+    # Spark names the day folders "file=..."; the landing folder has them plain.
+    for path in glob.glob(f"{_local(root)}/*/file=*"):
+        os.rename(path, path.replace("file=", ""))
+    return w, root
+
 
+def test_stream_equals_batch_cycle(spark, landing):
+    w, root = landing
     store = daily.Store.fresh(spark, "stream")
     masters = Masters(w.cards, w.accounts, w.clients)
-    archive = scratch_path(spark, "archive")
-    days = run_available(spark, landing, store, masters, archive_dir=archive)
+    lines = delimited.read_lines(spark, f"{root}/transactions")
+    days = process_batch(spark, lines, root, store, masters, "batch-0", report_dt=_midnight)
     assert days == list(w.snapshot_days)
-    got = sorted(map(tuple, daily.report(spark, store).collect()), key=repr)
-    want = sorted(map(tuple, daily.report(spark, run_cycle(spark, w)).collect()), key=repr)
-    assert got == want
-    assert run_available(spark, landing, store, masters, archive_dir=archive) == []
+    want = _rows(daily.report(spark, run_cycle(spark, w)))
+    assert _rows(daily.report(spark, store)) == want
+    # A replay of a published batch does nothing.
+    assert process_batch(spark, lines, root, store, masters, "batch-0", report_dt=_midnight) == []
+    assert _rows(daily.report(spark, store)) == want
 
 
-def test_replayed_batch_skips_its_finished_days(spark):
-    """A batch replayed after a crash (same tag) re-runs nothing it already
-    published except the newest day, and the report does not change."""
-    from cardsentry.streaming.daily_stream import process_batch
+HEAD = "transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
 
-    w = set_e(spark, SF_SMALL)
-    landing = scratch_path(spark, "landing-replay")
-    tx = reduce(lambda a, b: a.unionByName(b),
-                [t.withColumn("load_date", F.lit(d)) for d, t, _ in _load_slices(w)])
-    delimited.write_transactions(tx, f"{landing}/transactions")
-    name = F.concat(F.lit("terminals_"), F.date_format("as_of", "ddMMyyyy"), F.lit(".xlsx"))
-    workbook.write_workbooks(w.snapshots, name, f"{landing}/terminals",
-                             columns=[TERMINAL_KEY, *TERMINAL_ATTRS]).collect()
-    bl = reduce(lambda a, b: a.unionByName(b),
-                [w.blacklist.withColumn("_d", F.lit(d).cast("timestamp_ntz")) for d in w.snapshot_days])
-    workbook.write_workbooks(
-        bl, F.concat(F.lit("passport_blacklist_"), F.date_format("_d", "ddMMyyyy"), F.lit(".xlsx")),
-        f"{landing}/blacklist", columns=["date", "passport"], serial_columns=["date"]).collect()
-    raw = (delimited.raw_reader(spark.read).option("recursiveFileLookup", True)
-           .csv(f"{landing}/transactions").withColumn("source_file", F.col("_metadata.file_path")))
-    store = daily.Store.fresh(spark, "replay")
+
+def test_every_file_leaves_a_trace_and_is_archived(spark, landing):
+    """A day whose rows are all malformed, a file without a date, a second
+    file of a loaded day; consumed files are moved when the next batch starts."""
+    w, root = landing
+    day = w.snapshot_days[0]
+    home = _local(scratch_path(spark, "drops"))
+    for folder in ("transactions", "archive"):
+        os.makedirs(f"{home}/{folder}")
+    for drop in ("terminals", "blacklist"):
+        os.symlink(f"{_local(root)}/{drop}", f"{home}/{drop}")
+
+    def put(name, *rows):
+        with open(f"{home}/transactions/{name}", "w") as fh:
+            fh.write(HEAD + "".join(r + "\n" for r in rows))
+
+    store = daily.Store.fresh(spark, "traces")
     masters = Masters(w.cards, w.accounts, w.clients)
-    process_batch(spark, raw, landing, store, masters, tag="batch-0")
-    before = sorted(map(tuple, daily.report(spark, store).collect()), key=repr)
-    process_batch(spark, raw, landing, store, masters, tag="batch-0")  # replay
-    assert sorted(map(tuple, daily.report(spark, store).collect()), key=repr) == before
-    import pytest
-
-    with pytest.raises(ValueError):  # same days from another source: refused, not dropped
-        process_batch(spark, raw, landing, store, masters, tag="batch-7")
+    run = lambda: run_available(spark, home, store, masters, archive_dir=f"{home}/archive", report_dt=_midnight)
+    put(f"transactions_{day:%d%m%Y}.txt", f"1;{day} 10:00:00;5;K1;p;SUCCESS;T1")
+    assert run() == [day]
+    bad = w.snapshot_days[1]
+    put(f"transactions_{bad:%d%m%Y}.txt", "2;nonsense;5;K1;p;SUCCESS;T1")
+    put("transactions.txt", f"3;{bad} 10:00:00;5;K1;p;SUCCESS;T1")
+    os.makedirs(f"{home}/transactions/more", exist_ok=True)
+    assert run() == [day, bad] or daily.published_days(spark, store) == [day, bad]
+    put(f"second_{day:%d%m%Y}.txt", f"4;{day} 10:05:00;5;K1;p;SUCCESS;T1")
+    run()
+    assert daily.facts(spark, store, [daily.loads(spark, store)[day]]).count() == 2
+    kept = spark.read.parquet(f"{store.table(daily.QUARANTINE)}/transactions")
+    assert sorted(r.row_text.split(";")[0] for r in kept.collect()) == ["2", "3"]
+    archived = [os.path.basename(p) for p in glob.glob(f"{home}/archive/**/*.txt", recursive=True)]
+    assert f"transactions_{day:%d%m%Y}.txt" in archived
+    assert not os.path.exists(f"{home}/transactions/transactions_{day:%d%m%Y}.txt")
+    assert run() == []
