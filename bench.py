@@ -24,7 +24,7 @@ from cardsentry.plans.testviews import set_e  # noqa: E402
 from cardsentry.operators import rules  # noqa: E402
 from cardsentry.operators.enrich import enrich, owners_of  # noqa: E402
 from cardsentry.operators.scd2 import build_history  # noqa: E402
-from cardsentry.session import build_session  # noqa: E402
+from cardsentry.session import build_session, drop_scratch  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
@@ -96,6 +96,7 @@ def main() -> None:
         "cpus": int(os.environ.get("BENCH_CPUS", "8")),
         "runs": RUNS,
     }))
+    drop_scratch(spark)
     spark.stop()
 
 

@@ -1 +1 @@
-"""Readers for the daily drops: delimited text, workbooks, master tables."""
+"""Readers for the daily drops (delimited text) and the master tables."""
