@@ -9,13 +9,12 @@ from cardsentry.functions.columns import (
     seconds,
     within,
 )
-from cardsentry.functions.timeparts import hour_bucket, ts_literal
+from cardsentry.functions.timeparts import ts_literal
 
 __all__ = [
     "attrs_changed",
     "day_start",
     "fio",
-    "hour_bucket",
     "is_expired",
     "parse_amount",
     "seconds",

@@ -7,8 +7,6 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = dt.date(1970, 1, 1)
-
 
 def ts_literal(value: str | dt.datetime | dt.date) -> Column:
     """A TIMESTAMP_NTZ literal from text, ``datetime`` or ``date``."""
@@ -17,12 +15,3 @@ def ts_literal(value: str | dt.datetime | dt.date) -> Column:
     elif isinstance(value, dt.date):
         value = f"{value.isoformat()} 00:00:00"
     return F.lit(value).cast("timestamp_ntz")
-
-
-def hour_bucket(ts: Column, bucket_hours: int) -> Column:
-    """Index of the ``bucket_hours``-long slot holding ``ts`` (NTZ, no zone math).
-
-    Slots are aligned to 1970-01-01 00:00; a slot of 24 is a calendar day.
-    """
-    hours = F.datediff(F.to_date(ts), F.lit(_EPOCH)).cast("long") * 24 + F.hour(ts)
-    return F.floor(hours / F.lit(bucket_hours)).cast("long")
