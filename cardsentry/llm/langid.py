@@ -35,10 +35,11 @@ UNDETERMINED = "und"
 TRAIN_ROWS = 1000
 EM_STEPS = 3
 SMOOTHING = 0.05
-# Words kept per worker, longest word for the vectorised pass, characters scored at a time.
+# Words kept per worker, longest word for the vectorised pass, characters scored and words in one lattice at a time.
 CACHE_WORDS = 300_000
 SHORT = 24
 BLOCK_CHARS = 1_000_000
+LATTICE_WORDS = 5_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 SPACE = "▁"
@@ -143,8 +144,8 @@ class Scorer:
     def _new(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.prob.shape[1]))
         short = [k for k, w in enumerate(words) if len(w) <= SHORT]
-        for lo in range(0, len(short), 20_000):
-            part = short[lo:lo + 20_000]
+        for lo in range(0, len(short), LATTICE_WORDS):
+            part = short[lo:lo + LATTICE_WORDS]
             lattice = Lattice([words[k] for k in part], self.path)
             out[part] = np.log(lattice.forward(self.prob)[np.arange(len(part)), lattice.lengths])
         for k, w in enumerate(words):
@@ -202,8 +203,8 @@ def _expected(langs: list[str], prob: np.ndarray, path: str):
         for frame in frames:
             for lang, part in frame.groupby("lang"):
                 k = langs.index(lang)
-                for lo in range(0, len(part), 20_000):
-                    some = part[lo:lo + 20_000]
+                for lo in range(0, len(part), LATTICE_WORDS):
+                    some = part[lo:lo + LATTICE_WORDS]
                     lattice = Lattice(some["word"].tolist(), path)
                     total[k] += lattice.expected(prob[:, k:k + 1], some["n"].to_numpy(float))
         k, p = np.nonzero(total)
