@@ -10,9 +10,10 @@ every page.  The valid classes, nested by their paths, are the host's template:
 its text tokens are constant page furniture, its elements bound the slots.
 
 A slot is judged once per host: furniture by element or class name, or mostly
-links, is dropped; if the template has an article or main element only the
-slots in it are extracted.  A slot the template does not know (a host with one
-page, a page unlike the others) is judged by the same rule on its page alone.
+links, is dropped.  Of a page that has an article or main element with text,
+only the slots in it are extracted, whatever layout the host's other pages
+have.  A slot the template does not know (a host with one page, a page unlike
+the others) is judged by the same rule on its page alone.
 
 Occurrence vectors are compared by an order-free sum of hashes, so they are
 plain aggregates per host and token: no host is gathered anywhere.  What is
@@ -174,22 +175,18 @@ def page_tokens(html: str | None) -> dict[str, list[int]]:
     return out
 
 
-def deduce(tokens: list[tuple[str, int, int]]) -> tuple[list[str], list[str], bool]:
+def deduce(tokens: list[tuple[str, int, int]]) -> tuple[list[str], list[str]]:
     """Template of a host from its valid tokens (token, characters, link
-    characters): constant text tokens, slots to drop, and whether it has an
-    article or main element."""
+    characters): constant text tokens and slots of links."""
     constants = [t for t, _, _ in tokens if "|" in t]
-    slots = [(t, c, a) for t, c, a in tokens if "|" not in t]
-    has_content = any(in_content(t) and not furniture(t) for t, _, _ in slots)
-    dropped = [t for t, c, a in slots if furniture(t) or (has_content and not in_content(t))
-               or (not has_content and c and a > LINK_SHARE * c)]
-    return constants, dropped, has_content
+    dropped = [t for t, c, a in tokens if "|" not in t and not in_content(t) and c and a > LINK_SHARE * c]
+    return constants, dropped
 
 
-def extract(html: str | None, constants: frozenset[str], dropped: frozenset[str], has_content: bool) -> str:
+def extract(html: str | None, constants: frozenset[str], dropped: frozenset[str]) -> str:
     """Text of the page's remaining slots, one block a line."""
-    starts, nodes = read_page(html)
-    own_content = has_content or any(in_content(p) and not furniture(p) for p in starts)
+    _, nodes = read_page(html)
+    own_content = any(raw.strip() and in_content(p) and not furniture(p) for p, raw, _ in nodes)
     # The page's own slots that its host's template does not have.
     verdict: dict[str, bool] = {}
     share: dict[str, list[int]] = {}
@@ -247,13 +244,12 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _templates(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         found = [deduce([(t["token"], t["chars"], t["link_chars"]) for t in tokens]) for tokens in frame["tokens"]]
-        yield pd.DataFrame({"host": frame["host"], "constants": [f[0] for f in found], "dropped": [f[1] for f in found],
-                            "has_content": [f[2] for f in found]})
+        yield pd.DataFrame({"host": frame["host"], "constants": [f[0] for f in found], "dropped": [f[1] for f in found]})
 
 
 def templates(pages: DataFrame, *, url: str = "url", html: str = "html") -> DataFrame:
-    """host, constants, dropped, has_content: the template of every host with
-    at least two distinct pages."""
+    """host, constants, dropped: the template of every host with at least two
+    distinct pages."""
     rows = pages.select(page_host(F.col(url).cast("string")).alias("host"), F.xxhash64(F.col(html).cast("string")).alias("page"),
                         F.col(html).cast("string").alias("html")).where("html is not null")
     # One row per distinct page and token.
@@ -276,21 +272,21 @@ def templates(pages: DataFrame, *, url: str = "url", html: str = "html") -> Data
     )
     valid = frequent.join(materialize(ordered, "html-classes"), ["host", "vector"], "left_semi")
     grouped = valid.groupBy("host").agg(F.collect_list(F.struct("token", "chars", "link_chars")).alias("tokens"))
-    out = grouped.mapInPandas(_templates, "host string, constants array<string>, dropped array<string>, has_content boolean")
+    out = grouped.mapInPandas(_templates, "host string, constants array<string>, dropped array<string>")
     return materialize(out, "html-templates")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sets: dict[str, tuple[frozenset, frozenset, bool]] = {}
+    sets: dict[str, tuple[frozenset, frozenset]] = {}
     for b in batches:
         texts = []
-        columns = [b.column(n) for n in ("host", "html", "constants", "dropped", "has_content")]
-        for host, html, constants, dropped, has_content in zip(*columns, strict=True):
+        columns = [b.column(n) for n in ("host", "html", "constants", "dropped")]
+        for host, html, constants, dropped in zip(*columns, strict=True):
             key = host.as_py()
             if key not in sets:
                 if len(sets) > 10_000:
                     sets.clear()
-                sets[key] = frozenset(constants.as_py() or ()), frozenset(dropped.as_py() or ()), bool(has_content.as_py())
+                sets[key] = frozenset(constants.as_py() or ()), frozenset(dropped.as_py() or ())
             texts.append(extract(html.as_py(), *sets[key]))
         yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), pa.array(texts, pa.string())], names=["id", "url", "text"])
 

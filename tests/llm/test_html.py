@@ -35,6 +35,18 @@ def test_template_without_article_names(spark):
     assert alone[1] == "Daily Planet\nStory number 1 begins here.\nAll rights reserved by us.\nIt ends with 7."
 
 
+def test_host_with_two_layouts(spark):
+    """Pages without an article keep their text on a host whose template has one."""
+    def new(i):
+        return f"<html><body><div id=w><article><h1>New {i}</h1><p>Story {i} of the new layout.</p></article></div></body></html>"
+
+    def old(i):
+        return f"<html><body><div id=c><p>Story {i} of the old layout.</p><p>Its end {i}.</p></div></body></html>"
+
+    got = _texts(spark, [(i, f"http://m.example/{i}", new(i) if i < 4 else old(i)) for i in range(7)])
+    assert got == {i: f"New {i}\nStory {i} of the new layout." if i < 4 else f"Story {i} of the old layout.\nIts end {i}." for i in range(7)}
+
+
 def test_copies_are_no_template(spark):
     page = "<html><body><div><p>The only text.</p><p>And more of it.</p></div></body></html>"
     got = _texts(spark, [(i, "http://c.example/", page) for i in range(20)])
