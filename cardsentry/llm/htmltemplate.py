@@ -13,7 +13,9 @@ A slot is judged once per host: furniture by element or class name, or mostly
 links, is dropped.  Of a page that has an article or main element with text,
 only the slots in it are extracted, whatever layout the host's other pages
 have.  A slot the template does not know (a host with one page, a page unlike
-the others) is judged by the same rule on its page alone.
+the others) is judged by the same rule on its page alone.  Names say nothing of
+html, body, article and main, nor of an element that holds most of its page's
+text: a class such as ``no-sidebar`` there tells of the layout.
 
 Occurrence vectors are compared by an order-free sum of hashes, so they are
 plain aggregates per host and token: no host is gathered anywhere.  What is
@@ -59,6 +61,8 @@ FURNITURE_NAMES = frozenset([
     "sponsor", "sponsored", "login", "signup", "pagination", "widget", "disclaimer", "gdpr",
 ])
 CONTENT = frozenset(["article", "main"])
+# Elements whose names tell of the whole page.
+UNNAMED = CONTENT | frozenset(["html", "body"])
 # Least share of a host's pages, and most link text in a slot.
 SUPPORT = 0.5
 LINK_SHARE = 0.5
@@ -71,49 +75,34 @@ def signature(tag: str, attributes: str) -> str:
 
 
 @lru_cache(maxsize=100_000)
-def furniture(path: str) -> bool:
-    """Whether an element on the path is page furniture by its name."""
-    inside = False
-    for part in path.split("/"):
-        tag, *names = part.split(".")
-        if tag in FURNITURE_TAGS or (tag == "header" and not inside):
-            return True
-        if any(w in FURNITURE_NAMES for n in names for w in re.split(r"[-_]", n)):
-            return True
-        inside = inside or tag in CONTENT
-    return False
-
-
-@lru_cache(maxsize=100_000)
-def in_content(path: str) -> bool:
-    return any(part.split(".")[0] in CONTENT for part in path.split("/"))
+def named(part: str) -> bool:
+    """Whether the id or class of an element says that it is page furniture."""
+    return any(w in FURNITURE_NAMES for n in part.split(".")[1:] for w in re.split(r"[-_]", n))
 
 
 def folded(path: str) -> str:
-    """A very deep path as its hash, with what its names said."""
-    if len(path) < 2000:
-        return path
-    said = ["nav"] * furniture(path) + ["article"] * in_content(path)
-    return "/".join([*said, f"~{xxhash.xxh64_hexdigest(path)}"])
+    """A very deep path as its hash."""
+    return path if len(path) < 2000 else f"~{xxhash.xxh64_hexdigest(path)}"
 
 
-def read_page(html: str | None) -> tuple[list[str], list[tuple[str, str, bool]]]:
-    """Paths of the structural elements in order, and the text nodes as
-    (path, raw text, whether a link holds it); a node ``("", "\\n", False)``
-    is the border of a block."""
+def read_page(html: str | None) -> tuple[list[tuple[str, int, str]], list[tuple[int, str, bool]]]:
+    """The structural elements in order as (path, parent, own part of the
+    path), after the page itself, and the text nodes as (element, raw text,
+    whether a link holds it); a node ``(0, "\\n", False)`` is the border of a
+    block."""
     html = html or ""
-    starts: list[str] = []
-    nodes: list[tuple[str, str, bool]] = []
-    stack: list[tuple[str, str]] = []
-    path, links, at, n = "", 0, 0, len(html)
-    border = ("", "\n", False)
+    elements: list[tuple[str, int, str]] = [("", 0, "")]
+    nodes: list[tuple[int, str, bool]] = []
+    stack: list[tuple[str, int]] = []
+    own, links, at, n = 0, 0, 0, len(html)
+    border = (0, "\n", False)
     while at < n:
         m = _TAG.search(html, at)
         if m is None:
-            nodes.append((path, html[at:], links > 0))
+            nodes.append((own, html[at:], links > 0))
             break
         if m.start() > at:
-            nodes.append((path, html[at:m.start()], links > 0))
+            nodes.append((own, html[at:m.start()], links > 0))
         at = m.end()
         tag = m[2]
         if tag is None:
@@ -122,13 +111,13 @@ def read_page(html: str | None) -> tuple[list[str], list[tuple[str, str, bool]]]
         if tag == "a":
             links = max(0, links + (-1 if m[1] else 1))
         elif tag == "br":
-            nodes.append((path, " ", links > 0))
+            nodes.append((own, " ", links > 0))
         if m[1]:
             if tag in STRUCTURE:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
                         del stack[i:]
-                        path = stack[-1][1] if stack else ""
+                        own = stack[-1][1] if stack else 0
                         links = 0
                         break
             if tag in BLOCKS:
@@ -142,10 +131,30 @@ def read_page(html: str | None) -> tuple[list[str], list[tuple[str, str, bool]]]
         if tag in BLOCKS:
             nodes.append(border)
             if tag in STRUCTURE:
-                path = f"{folded(path)}/{signature(tag, m[3])}" if path else signature(tag, m[3])
-                stack.append((tag, path))
-                starts.append(path)
-    return starts, nodes
+                path, part = elements[own][0], signature(tag, m[3])
+                elements.append((f"{folded(path)}/{part}" if path else part, own, part))
+                own = len(elements) - 1
+                stack.append((tag, own))
+    return elements, nodes
+
+
+def hints(elements: list[tuple[str, int, str]], nodes: list[tuple[int, str, bool]]) -> tuple[list[bool], list[bool]]:
+    """Of every element, whether an article or main element holds it, and
+    whether it is page furniture by the names on its path."""
+    size = [0] * len(elements)
+    for e, raw, _ in nodes:
+        size[e] += len(raw.strip())
+    for e in range(len(elements) - 1, 0, -1):
+        size[elements[e][1]] += size[e]
+    inside, furniture = [False], [False]
+    for e in range(1, len(elements)):
+        _, parent, part = elements[e]
+        tag = part.split(".", 1)[0]
+        inside.append(inside[parent] or tag in CONTENT)
+        furniture.append(
+            furniture[parent] or tag in FURNITURE_TAGS or (tag == "header" and not inside[parent])
+            or (tag not in UNNAMED and 2 * size[e] <= size[0] and named(part)))
+    return inside, furniture
 
 
 def clean(raw: str) -> str:
@@ -158,20 +167,22 @@ def text_token(path: str, text: str) -> str:
 
 def page_tokens(html: str | None) -> dict[str, list[int]]:
     """token -> [occurrences, first place, characters, characters in links]."""
-    starts, nodes = read_page(html)
+    elements, nodes = read_page(html)
+    inside, _ = hints(elements, nodes)
     out: dict[str, list[int]] = {}
-    for place, path in enumerate(starts):
+    for place, (path, _, _) in enumerate(elements[1:]):
         out.setdefault(path, [0, place, 0, 0])[0] += 1
-    for place, (path, raw, link) in enumerate(nodes):
+    for place, (e, raw, link) in enumerate(nodes):
         text = clean(raw)
         if not text:
             continue
+        path = elements[e][0]
         slot = out.get(path)
-        if slot:
+        if slot and not inside[e]:
             slot[2] += len(text)
             slot[3] += len(text) * link
-        if not in_content(path):
-            out.setdefault(text_token(path, text), [0, len(starts) + place, 0, 0])[0] += 1
+        if not inside[e]:
+            out.setdefault(text_token(path, text), [0, len(elements) - 1 + place, 0, 0])[0] += 1
     return out
 
 
@@ -179,43 +190,40 @@ def deduce(tokens: list[tuple[str, int, int]]) -> tuple[list[str], list[str]]:
     """Template of a host from its valid tokens (token, characters, link
     characters): constant text tokens and slots of links."""
     constants = [t for t, _, _ in tokens if "|" in t]
-    dropped = [t for t, c, a in tokens if "|" not in t and not in_content(t) and c and a > LINK_SHARE * c]
+    dropped = [t for t, c, a in tokens if "|" not in t and c and a > LINK_SHARE * c]
     return constants, dropped
 
 
 def extract(html: str | None, constants: frozenset[str], dropped: frozenset[str]) -> str:
     """Text of the page's remaining slots, one block a line."""
-    _, nodes = read_page(html)
-    own_content = any(raw.strip() and in_content(p) and not furniture(p) for p, raw, _ in nodes)
+    elements, nodes = read_page(html)
+    inside, furniture = hints(elements, nodes)
+    own_content = any(inside[e] and not furniture[e] and raw.strip() for e, raw, _ in nodes)
     # The page's own slots that its host's template does not have.
-    verdict: dict[str, bool] = {}
     share: dict[str, list[int]] = {}
     if not own_content:
-        for path, raw, link in nodes:
-            s = share.setdefault(path, [0, 0])
+        for e, raw, link in nodes:
+            s = share.setdefault(elements[e][0], [0, 0])
             s[0] += len(raw)
             s[1] += len(raw) * link
 
-    def keep(path: str) -> bool:
-        found = verdict.get(path)
-        if found is None:
-            if path in dropped or furniture(path):
-                found = False
-            elif own_content:
-                found = in_content(path)
-            else:
-                found = share[path][1] <= LINK_SHARE * share[path][0]
-            verdict[path] = found
-        return found
+    def keep(e: int) -> bool:
+        if furniture[e]:
+            return False
+        if own_content:
+            return inside[e]
+        path = elements[e][0]
+        return path not in dropped and share[path][1] <= LINK_SHARE * share[path][0]
 
+    kept = {e: keep(e) for e in {e for e, _, _ in nodes}}
     blocks: list[str] = []
     block: list[str] = []
-    for path, raw, _ in [*nodes, ("", "\n", False)]:
-        if not path and raw == "\n":
+    for e, raw, _ in [*nodes, (0, "\n", False)]:
+        if not e and raw == "\n":
             if block and (text := " ".join("".join(block).split())):
                 blocks.append(text)
             block = []
-        elif keep(path) and not (constants and text_token(path, clean(raw)) in constants):
+        elif kept[e] and not (constants and text_token(elements[e][0], clean(raw)) in constants):
             block.append(unescape(raw))
     return "\n".join(blocks)
 

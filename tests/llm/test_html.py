@@ -47,6 +47,17 @@ def test_host_with_two_layouts(spark):
     assert got == {i: f"New {i}\nStory {i} of the new layout." if i < 4 else f"Story {i} of the old layout.\nIts end {i}." for i in range(7)}
 
 
+def test_names_of_wrappers(spark):
+    """Classes of the layout on body, wrappers and the article drop nothing; on a small element they do."""
+    def page(i):
+        return (f"<html><body class='has-sidebar menu-open'><div id=page class=no-sidebar><div class='{'x' * 2100}'><div class=ad-free>"
+                f"<article class='post no-comments'><h1>Head {i}</h1><p>A story of some length with the number {i}.</p>"
+                f"<div class=share-bar>tell {i}</div></article></div></div></div></body></html>")
+
+    got = _texts(spark, [(i, f"http://{'v' if i < 4 else i}.example/{i}", page(i)) for i in range(6)])
+    assert got == {i: f"Head {i}\nA story of some length with the number {i}." for i in range(6)}
+
+
 def test_copies_are_no_template(spark):
     page = "<html><body><div><p>The only text.</p><p>And more of it.</p></div></body></html>"
     got = _texts(spark, [(i, "http://c.example/", page) for i in range(20)])
