@@ -1,13 +1,15 @@
 """Main text of web pages by equivalence-class template deduction (operator 4).
 
 A page is a sequence of tokens: the start of a structural element, named by its
-path (tags with id and class), and, outside articles, whole text nodes with
-their path.  Over the distinct pages of a host each token has an occurrence
+path (tags with id and class), and whole text nodes with their path.  Over the distinct pages of a host each token has an occurrence
 vector (how often it occurs in each page).  Tokens with the same vector form an
 equivalence class.  A class is valid if it occurs in at least half of the
 host's pages and in two, has more than one token, and its tokens come in the same order in
-every page.  The valid classes, nested by their paths, are the host's template:
+every page; texts inside articles may change places (notices in rotation).  The valid classes, nested by their paths, are the host's template:
 its text tokens are constant page furniture, its elements bound the slots.
+Constant texts and slots of links go inside articles as outside.  A page that
+would keep less than a tenth of its article that way is a near copy of others:
+what they share is the article, and it stays.
 
 A slot is judged once per host: furniture by element or class name, or mostly
 links, is dropped.  Of a page that has an article or main element with text,
@@ -66,6 +68,8 @@ UNNAMED = CONTENT | frozenset(["html", "body"])
 # Least share of a host's pages, and most link text in a slot.
 SUPPORT = 0.5
 LINK_SHARE = 0.5
+# Least share of an article's text that its host's template leaves.
+OWN_SHARE = 0.1
 
 
 @lru_cache(maxsize=100_000)
@@ -161,8 +165,8 @@ def clean(raw: str) -> str:
     return " ".join((unescape(raw) if "&" in raw else raw).split())
 
 
-def text_token(path: str, text: str) -> str:
-    return f"{path}|{xxhash.xxh64_hexdigest(text)}"
+def text_token(path: str, text: str, inside: bool) -> str:
+    return f"{path}{'||' if inside else '|'}{xxhash.xxh64_hexdigest(text)}"
 
 
 def page_tokens(html: str | None) -> dict[str, list[int]]:
@@ -178,11 +182,10 @@ def page_tokens(html: str | None) -> dict[str, list[int]]:
             continue
         path = elements[e][0]
         slot = out.get(path)
-        if slot and not inside[e]:
+        if slot:
             slot[2] += len(text)
             slot[3] += len(text) * link
-        if not inside[e]:
-            out.setdefault(text_token(path, text), [0, len(elements) - 1 + place, 0, 0])[0] += 1
+        out.setdefault(text_token(path, text, inside[e]), [0, len(elements) - 1 + place, 0, 0])[0] += 1
     return out
 
 
@@ -216,14 +219,25 @@ def extract(html: str | None, constants: frozenset[str], dropped: frozenset[str]
         return path not in dropped and share[path][1] <= LINK_SHARE * share[path][0]
 
     kept = {e: keep(e) for e in {e for e, _, _ in nodes}}
+    texts = [clean(raw) if constants and kept[e] else "" for e, raw, _ in nodes]
+    constant = [bool(t) and text_token(elements[e][0], t, inside[e]) in constants for t, (e, _, _) in zip(texts, nodes, strict=True)]
+    if own_content:
+        # The article's own elements are slots of text by their tag.
+        linked = {e for e in kept if elements[e][0] in dropped and elements[e][2].split(".", 1)[0] not in CONTENT}
+        gone = [c or e in linked for c, (e, _, _) in zip(constant, nodes, strict=True)]
+        sizes = [len(raw.strip()) * kept[e] for e, raw, _ in nodes]
+        if sum(n for n, g in zip(sizes, gone, strict=True) if not g) >= OWN_SHARE * sum(sizes):
+            constant = gone
+        else:
+            constant = [False] * len(nodes)
     blocks: list[str] = []
     block: list[str] = []
-    for e, raw, _ in [*nodes, (0, "\n", False)]:
+    for (e, raw, _), leave in zip([*nodes, (0, "\n", False)], [*constant, False], strict=True):
         if not e and raw == "\n":
             if block and (text := " ".join("".join(block).split())):
                 blocks.append(text)
             block = []
-        elif kept[e] and not (constants and text_token(elements[e][0], clean(raw)) in constants):
+        elif kept[e] and not leave:
             block.append(unescape(raw))
     return "\n".join(blocks)
 
@@ -270,15 +284,17 @@ def templates(pages: DataFrame, *, url: str = "url", html: str = "html") -> Data
         F.sum("chars").alias("chars"), F.sum("link_chars").alias("link_chars"))
     frequent = vectors.join(sizes, "host").where((F.col("support") > 1) & (F.col("support") >= F.col("pages") * SUPPORT))
     frequent = materialize(frequent.drop("pages", "support"), "html-vectors")
-    # A class is valid if its tokens come in one order in all pages.
+    # A class is valid if its tokens, but for texts inside articles, come in one order in all pages.
+    inner = F.col("token").contains("||")
+    places = F.struct("place", "token")
     ordered = (
         seen.select("host", "page", "token", "place").join(frequent.select("host", "token", "vector"), ["host", "token"])
         .groupBy("host", "page", "vector")
-        .agg(F.count("*").alias("size"), F.xxhash64(F.array_sort(F.collect_list(F.struct("place", "token")))["token"]).alias("order"))
+        .agg(F.count("*").alias("size"), F.xxhash64(F.array_sort(F.collect_list(F.when(~inner, places)))["token"]).alias("order"))
         .groupBy("host", "vector").agg(F.max("size").alias("size"), F.min("order").alias("a"), F.max("order").alias("b"))
-        .where((F.col("size") > 1) & (F.col("a") == F.col("b"))).select("host", "vector")
+        .where(F.col("size") > 1).select("host", "vector", (F.col("a") == F.col("b")).alias("in_order"))
     )
-    valid = frequent.join(materialize(ordered, "html-classes"), ["host", "vector"], "left_semi")
+    valid = frequent.join(materialize(ordered, "html-classes"), ["host", "vector"]).where(inner | F.col("in_order"))
     grouped = valid.groupBy("host").agg(F.collect_list(F.struct("token", "chars", "link_chars")).alias("tokens"))
     out = grouped.mapInPandas(_templates, "host string, constants array<string>, dropped array<string>")
     return materialize(out, "html-templates")

@@ -58,6 +58,23 @@ def test_names_of_wrappers(spark):
     assert got == {i: f"Head {i}\nA story of some length with the number {i}." for i in range(6)}
 
 
+def test_furniture_inside_the_article(spark):
+    """Constant blocks and link slots without a telling name go inside articles too; near copies keep theirs."""
+    def page(i):
+        swap = ["<p>First offer.</p>", "<p>Second offer.</p>"]
+        return (f"<html><body><div id=top>Daily Planet</div><article><h1>Head {i}</h1><p>Story {i} begins here.</p>"
+                f"<div class=q1><p>Tell your friends about us!</p></div><p>It ends with {i * 7}.</p>"
+                f"<div class=q2><a href=1>More on {i}</a> <a href=2>And on {i + 1}</a></div><p>Get our letter.</p>"
+                f"<div class=q3>{''.join(swap if i % 2 else swap[::-1])}</div></article></body></html>")
+
+    got = _texts(spark, [(i, f"http://p.example/{i}", page(i)) for i in range(1, 7)])
+    # Two of the constant texts change places from page to page.
+    assert got == {i: f"Head {i}\nStory {i} begins here.\nIt ends with {i * 7}." for i in range(1, 7)}
+    story = "".join(f"<p>Paragraph {n} of one long story.</p>" for n in range(40))
+    near = _texts(spark, [(i, f"http://n.example/{i}", f"<html><body><article>{story}<p>Seen {i}</p></article></body></html>") for i in range(5)])
+    assert near == {i: "\n".join([*(f"Paragraph {n} of one long story." for n in range(40)), f"Seen {i}"]) for i in range(5)}
+
+
 def test_copies_are_no_template(spark):
     page = "<html><body><div><p>The only text.</p><p>And more of it.</p></div></body></html>"
     got = _texts(spark, [(i, "http://c.example/", page) for i in range(20)])
