@@ -2,16 +2,20 @@
 distinct word.
 
 A public vocabulary file is loaded once per Python worker.  A text is cut at
-single spaces.  Both vocabularies used here never merge across such a cut (the
-space belongs to the word after it, or is dropped), so the ids of a text are
+spaces.  A space after a word, or last in a run of white space before a word,
+begins a piece of the split pattern (or is dropped), so the ids of a text are
 the joined ids of its chunks, and a bounded dictionary of chunks saves the
-library calls for words already seen.  Chunks outside plain Latin letters,
-ASCII signs and line ends, and texts with runs of three or more spaces, go
-through the library's own full ``encode``.
+library calls for words already seen.  A text with a space inside a run of
+white space (white space before it, and more or the end of the text after it),
+where the byte vocabulary has merges across spaces, goes through the library's
+own full ``encode``; so do texts with a special token's string, which is that
+one token as in the library's plain call, and chunks outside plain Latin
+letters, ASCII signs and line ends.
 """
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +32,8 @@ BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _PLAIN = regex.compile("[\n -~À-ÖØ-öø-ÿ]*")
+# A space inside a run of white space: no border of a piece.
+_INNER_SPACE = re.compile(r" (?<=[\s\u180e\ufeff] )(?=[\s\u180e\ufeff]|\Z)")
 
 
 def _byte_alphabet() -> dict[int, str]:
@@ -71,8 +77,7 @@ class TextEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        # A special token's string inside a text is ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.folds = self.tokenizer.normalizer is not None
         self.find = regex.compile(WORD_PATTERN if self.folds else BYTE_PATTERN).findall
         self.pieces = _Pieces(self.tokenizer)
@@ -89,7 +94,7 @@ class TextEncoder:
         return b"".join([self.pieces[p] for p in self.find(chunk.lower() if self.folds else chunk)])
 
     def encode(self, text: str) -> bytes:
-        if not self.folds and "   " in text:
+        if any([t in text for t in self.added]) or (not self.folds and _INNER_SPACE.search(text)):
             return self.whole(text)
         parts = text.split(" ")
         head = self.first[parts[0]]

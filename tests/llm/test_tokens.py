@@ -5,12 +5,14 @@ from __future__ import annotations
 import random
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from cardsentry.llm import packing, tokenbin
 from cardsentry.llm.wordids import text_encoder
@@ -27,6 +29,23 @@ def test_chunked_ids_are_the_librarys(path, text):
     assert encoder.encode(text) == encoder.whole(text)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+@settings(max_examples=300, deadline=None)
+@given(parts=st.lists(st.sampled_from([" ", "  ", "\u00a0", "\u00a0 ", "\u3000", "\t", "\n", "\r", "\x1c", "\x85", "a", "é", "日", ".", "<|endoftext|>",
+                                       "<|ENDOFTEXT|>", "<|startoftext|>", "'s", "\u0301"]), max_size=30))
+@example(parts=["a", " ", "\u00a0 ", "\u00a0 ", "b"])
+@example(parts=["a ", "<|endoftext|>", " b"])
+def test_ids_are_those_of_an_untouched_tokenizer(path, parts):
+    text = "".join(parts)
+    want = _untouched(path).encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(text_encoder(path).encode(text), "<u4").tolist() == want
+
+
+@lru_cache
+def _untouched(path):
+    return Tokenizer.from_file(path)
+
+
 def _want(rows, path, end):
     encoder = text_encoder(path)
     return Counter((k, encoder.whole(t or "") + np.array([end], "<u4").tobytes()) for k, t in rows)
