@@ -62,14 +62,14 @@ def _hasher(ngram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             prints = [simhash(t.as_py(), ngram) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.int64())], names=[b.schema.names[0], "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, ngram: int = 3, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and fp (signed 64-bit) of every document."""
-    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("t"))
     return rows.mapInArrow(_hasher(ngram), "doc_id long, fp long")
 
 
@@ -212,26 +212,38 @@ def components(edges: DataFrame) -> DataFrame:
         current = materialize(small, "stars")
 
 
+def _rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """``nodes`` (one row per fingerprint, column fp) with the smallest
+    fingerprint of the component as root."""
+    roots = components(links(nodes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return materialize(rooted, "simhash-rooted")
+
+
 def near_duplicates(docs: DataFrame, *, ngram: int = 3, max_bits: int = 2, key: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every document."""
     prints = materialize(fingerprints(docs, ngram, key=key, text=text), "simhash-prints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
-    roots = components(links(nodes.select("fp"), max_bits)).withColumnRenamed("node", "fp")
-    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = materialize(rooted, "simhash-rooted")
+    rooted = _rooted(nodes, max_bits)
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = materialize(rooted.join(smallest, "root").select("fp", "component_id"), "simhash-components")
     return prints.join(named, "fp").select("doc_id", unsigned_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, *, ngram: int = 3, max_bits: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document of smallest id of every component, all columns as they
-    are; of rows that share an id one stays.  A row without an id can be named
-    by no component and stays."""
-    found = materialize(near_duplicates(docs, ngram=ngram, max_bits=max_bits, key=key, text=text), "simhash-found")
-    k = F.col(f"`{key}`")
-    kept = found.where("component_id is not null").select(F.col("component_id").alias(key)).distinct()
-    named = docs.where(k.isNotNull()).join(kept, key, "left_semi").dropDuplicates([key])
-    nameless = docs.where(k.isNull())
-    return named.select(*docs.columns).unionByName(nameless)
+    """One document of every component, all columns as they are: the one of
+    smallest id (one without an id only if all are), of several rows under that
+    id the one of smallest hash.  Components are those of the texts: rows that
+    share an id stay each in its own."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(whole.alias("d"), F.monotonically_increasing_id().alias("r"))
+    rows = materialize(rows, "simhash-rows")
+    prints = rows.select("r", F.col(f"d.`{text}`").cast("string").alias("t")).mapInArrow(_hasher(ngram), "r long, fp long")
+    k = F.col(f"d.`{key}`")
+    ranked = rows.select("r", F.struct(k.isNull(), k, F.xxhash64(F.col("d").cast("string")), "r").alias("rank"))
+    prints = materialize(prints.join(ranked, "r").select("fp", "rank"), "simhash-prints")
+    # The first row of a fingerprint, then of a component: one row a node, however many copies.
+    nodes = materialize(prints.groupBy("fp").agg(F.min("rank").alias("first")), "simhash-nodes")
+    kept = _rooted(nodes, max_bits).groupBy("root").agg(F.min("first").alias("first")).select("first.r")
+    return rows.join(kept, "r", "left_semi").select("d.*")

@@ -96,6 +96,20 @@ def test_one_of_each_group_stays(odd_docs, no_docs):
     assert simhash.one_of_each(no_docs).count() == 0
 
 
+def test_one_row_of_each_component_whatever_its_id(spark):
+    """Two texts under one id, a near copy of one of them under a smaller id, copies without an id."""
+    a = "the quick brown fox jumps over the lazy dog and runs on into the dark wood"
+    b = "a quite different text about the rivers of Europe and the towns on their banks"
+    rows = [(5, a, "a"), (5, b, "b"), (3, b, "copy of b"), (None, a, "nameless a"), (None, "only here , without an id", "n1"),
+            (None, "only here , without an id", "n2"), (7, a, "a under 7"), (5, a, "another a")]
+    for parts in (1, 4):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, note string").repartition(parts)
+        got = sorted((str(r.doc_id), r.text) for r in simhash.one_of_each(docs).collect())
+        assert got == [("3", b), ("5", a), ("None", "only here , without an id")]
+        again = simhash.one_of_each(docs.orderBy(F.rand())).collect()
+        assert sorted(map(str, again)) == sorted(map(str, simhash.one_of_each(docs).collect()))
+
+
 def test_too_many_bits(odd_docs):
     with pytest.raises(ValueError):
         simhash.near_duplicates(odd_docs, max_bits=3)
