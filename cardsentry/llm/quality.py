@@ -16,8 +16,13 @@ group of any size is spread over all tasks.
 
 A group of language and source with fewer than ``MIN_ROWS`` rows takes the
 estimate of its language, a small language that of the whole table, and a
-table below that many rows has no multivariate verdict.  A variance floor per
-statistic keeps an estimate regular where most texts have the same value.
+table below that many rows has no multivariate verdict.  An estimate is
+regularised by a small share of its own variances; only where a statistic
+hardly varies (most texts have the same value) does its variance rise to a
+least one.  The least ones leave every statistic able to reject by itself: in a
+group that has no duplicate lines from 9 % of them on, no repeated words from
+7 %, no symbols from 2 per 100 words, and in a group of equal texts at three
+times the words or a mean word length a quarter off.
 
 Defined cases: a null text has no words and fails the base rules; null
 language or source is a group of its own; repeated rows count as often as they
@@ -48,10 +53,12 @@ MAX_REPEAT_PERCENT = 20
 # estimate, rejected tail of the chi-square distribution, most steps.
 H = 0.75
 MIN_ROWS = 50
-TAIL = 1e-8
+TAIL = 0.001
 STEPS = 12
-# Names of the transformed statistics with their least standard deviations.
-FLOORS = {"x_words": 1.0, "x_length": 0.1, "x_symbols": 0.5, "x_lines": 1.5, "x_repeats": 1.0}
+# Names of the transformed statistics with their least standard deviations, and
+# the share of its own variances that is added to an estimate.
+FLOORS = {"x_words": 0.25, "x_length": 0.05, "x_symbols": 0.25, "x_lines": 0.5, "x_repeats": 0.45}
+RIDGE = 0.01
 NAMES = list(FLOORS)
 P = len(NAMES)
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
@@ -168,7 +175,7 @@ def _solver(share: float):
     The scatter of the innermost ``share`` of a normal sample is too small by
     a known factor, which is put right here."""
     factor = share / chi2_cdf(chi2_quantile(share, P), P + 2) if share < 1 else 1.0
-    floors = np.diag([f * f for f in FLOORS.values()])
+    least = np.array([f * f for f in FLOORS.values()])
 
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -179,7 +186,9 @@ def _solver(share: float):
                 scatter = np.zeros((P, P))
                 for i, j in PAIRS:
                     scatter[i, j] = scatter[j, i] = r[f"s{i}_{j}"] / n - mean[i] * mean[j]
-                scatter = scatter * factor + floors
+                scatter = scatter * factor
+                own = scatter.diagonal()
+                scatter = scatter + np.diag(RIDGE * own + np.maximum(least - own, 0))
                 out.append((r["g"], mean.tolist(), np.linalg.inv(scatter).ravel().tolist(), float(np.linalg.slogdet(scatter)[1])))
             yield pd.DataFrame(out, columns=["g", "centre", "precision", "log_det"])
 
@@ -216,7 +225,7 @@ def _start(rows: DataFrame) -> DataFrame:
     quartiles = [F.percentile_approx(n, [0.25, 0.5, 0.75], 10_000).alias(f"q{i}") for i, n in enumerate(NAMES)]
     q = rows.groupBy("g").agg(*quartiles)
     floors = list(FLOORS.values())
-    variance = [F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2) + floors[i] ** 2 for i in range(P)]
+    variance = [F.greatest(F.pow((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, 2), F.lit(floors[i] ** 2)) for i in range(P)]
     precision = F.array(*[1 / variance[i] if i == j else F.lit(0.0) for i in range(P) for j in range(P)])
     log_det = sum((F.log(v) for v in variance), F.lit(0.0))
     centre = F.array(*[F.col(f"q{i}")[1] for i in range(P)])

@@ -56,6 +56,31 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert all(got[i].kept for i in [*range(60, 300), *range(1002, 1008), *range(2000, 2020)])
 
 
+@pytest.mark.parametrize("statistic", q.NAMES)
+def test_each_statistic_rejects_by_itself(spark, statistic):
+    """A clean group and one text that is off in one statistic only."""
+    rng = random.Random(4)
+
+    def words(n, least=2, most=8):
+        return ["".join(rng.choice("abcdefghijkl") for _ in range(rng.randint(least, most))) for _ in range(n)]
+
+    def lines(w, per=10):
+        return "\n".join(" ".join(w[i:i + per]) for i in range(0, len(w), per))
+
+    rows = [(i, lines(words(rng.randint(150, 250))), "en", "s") for i in range(200)]
+    planted = {
+        "x_words": lambda: lines(words(6000)),
+        "x_length": lambda: lines(words(200, 14, 16)),
+        "x_symbols": lambda: lines([w + "#$" * (i % 4 == 0) for i, w in enumerate(words(200))]),
+        "x_lines": lambda: lines(words(200), 20) + "\nmenu" * 30,
+        "x_repeats": lambda: lines([*(w := words(180)), *w[:16]]),
+    }[statistic]()
+    docs = spark.createDataFrame([*rows, (1000, planted, "en", "s")], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in q.judge(docs).collect()}
+    assert not got[1000].base_failed and not got[1000].kept
+    assert sum(got[i].kept for i in range(200)) >= 198
+
+
 def test_too_few_for_an_estimate(spark):
     got = q.judge(_docs(spark, 10, 5)).collect()
     assert all(r.kept and r.distance2 is None for r in got)
