@@ -1,9 +1,12 @@
 """Personal data replaced by keyed surrogates (operator 1), DataFrame
 functions only.
 
-Detected: e-mail addresses, phone numbers with a country code, payment card
+Detected: e-mail addresses, phone numbers with a country code or in the North
+American national shapes (``(555) 201-7788``, ``555-201-7788``), payment card
 numbers, IPv4 addresses, US social security numbers, secrets that follow a
-name such as ``token =``, and names after a title.  An entity is a type and a
+name such as ``token =``, ``API_KEY=`` or ``"client_secret":`` (16 characters,
+or six with a digit or in quotes), and names after a title.  A national number
+is that of country code 1.  An entity is a type and a
 canonical value (digits only, lower case), so the same number written in two
 ways is one entity and keeps one surrogate everywhere (coreference).
 
@@ -38,7 +41,8 @@ from cardsentry.llm.common import materialize
 # Titles by gender and script.
 MALE = ["Mr", "Herr", "Monsieur", "Señor", "г-н"]
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "г-жа"]
-SECRET_NAMES = ["token", "api_key", "apikey", "api-key", "secret", "password", "passwd", "access_key"]
+SECRET_NAMES = ["token", "api_key", "apikey", "api-key", "secret", "password", "passwd", "access_key", "secret_key", "private_key",
+                "pwd", "passphrase"]
 SYLLABLES = {
     "latin": ["ba", "be", "bo", "da", "de", "do", "fa", "fe", "ga", "go", "ha", "jo", "ka", "ke", "la", "le", "li", "lo", "ma",
               "me", "mi", "mo", "na", "ne", "ni", "no", "pa", "ra", "re", "ri", "ro", "sa", "se", "si", "ta", "te", "ti", "to", "va", "vi"],
@@ -51,14 +55,22 @@ ENDINGS = {"given_f": {"latin": "na", "cyrillic": "на"}, "given_m": {"latin":
 # Possessive, and only from the start of a word: a word without an @ is read once.
 _EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
 _PHONE = r"(?<![\p{L}\d+])\+\d{1,3}(?:[ .-]?\(\d{2,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+_NATIONAL = r"(?<![\p{L}\d+(.-])(?:(?:1[ .-])?\(\d{3}\) ?\d{3}[ .-]\d{4}|(?:1[ .-])?\d{3}[.-]\d{3}[.-]\d{4})(?![\d]|[.-]\d)"
 _CARD = r"(?<![\d.-])(?:\d{4}[ -]){3}\d{4}(?!\d)|(?<![\d.-])\d{13,19}(?!\d)"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IP = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)"
-_SECRET = rf"(?<=\b(?:{'|'.join(SECRET_NAMES)})\s{{0,3}}[:=]\s{{0,3}}[\"']{{0,1}})[A-Za-z0-9+/_=-]{{16,}}"
+# After the name, perhaps with a prefix and a closing quote; four letters or digits at least, of which a surrogate is made.
+_SECRET = (
+    r"(?<=[:=]\s{0,3}[\"']{0,1})(?=(?:[^\s\"'<>]{0,40}?[A-Za-z0-9]){4})"
+    rf"(?<=(?i:{'|'.join(SECRET_NAMES)})[\"']{{0,1}}\s{{0,3}}[:=]\s{{0,3}}[\"']{{0,1}})"
+    r"(?:(?<=[\"'])[^\s\"'<>]{6,}(?=[\"'])"
+    r"|(?=[A-Za-z+/_=.!@#$%^*~-]{0,15}\d)[A-Za-z0-9+/_=.!@#$%^*~-]{5,}[A-Za-z0-9+/_=!@#$%^*~-]"
+    r"|[A-Za-z0-9+/_=-]{16,})"
+)
 _TITLE = rf"(?:{'|'.join([*MALE, *FEMALE])})\.? "
 _NAME = rf"(?<![\p{{L}}]){_TITLE}\p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?"
-PATTERN = "|".join([_EMAIL, _SECRET, _PHONE, _IP, _SSN, _CARD, _NAME])
+PATTERN = "|".join([_EMAIL, _SECRET, _PHONE, _NATIONAL, _IP, _SSN, _CARD, _NAME])
 
 # Draws per entity before a type counts as used up.
 MAX_ROUNDS = 64
@@ -68,7 +80,9 @@ def may_hold(text: Column) -> Column:
     """Whether a text has a digit, an @, a secret's name or a title: what every
     finding has, at a fraction of the pattern's cost."""
     may = text.contains("@") | text.rlike("[0-9]")
-    for word in [*SECRET_NAMES, *MALE, *FEMALE]:
+    for word in SECRET_NAMES:
+        may = may | F.lower(text).contains(word)
+    for word in [*MALE, *FEMALE]:
         may = may | text.contains(word)
     return may
 
@@ -92,9 +106,10 @@ def parts_of(match: Column) -> Column:
 
     digits = F.regexp_replace(match, r"\D", "")
     return (
-        F.when(match.contains("@"), one("email", F.lower(match)))
+        F.when(match.rlike(r"^[^@]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}$"), one("email", F.lower(match)))
         .when(match.rlike("^" + _TITLE), name)
-        .when(match.startswith("+"), one("phone", digits))
+        .when(match.rlike(r"^\+[\d .()-]+$"), one("phone", digits))
+        .when(_is(_NATIONAL, match), one("phone", F.concat(F.when(F.length(digits) == 10, "1").otherwise(""), digits)))
         .when(_is(_IP, match), one("ip", match))
         .when(_is(r"\d{3}-\d{2}-\d{4}", match), one("ssn", digits))
         .when(match.rlike(r"^\d[\d -]*$") & F.length(digits).between(13, 19), one("card", digits))
@@ -204,11 +219,14 @@ def _hex(value: Column, seed: Column) -> Column:
 
 
 def rendered(kind: Column, found: Column, value: Column) -> Column:
-    """A canonical surrogate in the form in which the original stood."""
+    """A canonical surrogate in the form in which the original stood, without
+    the country code if that had none."""
+    unsaid = F.length(value) - F.length(F.regexp_replace(found, r"\D", ""))
+
     def one(i: Column) -> Column:
         c = F.substring(found, i, F.lit(1))
         nth = F.length(F.regexp_replace(F.substring(found, F.lit(1), i), r"\D", ""))
-        return F.when(c.rlike(r"\d"), F.substring(value, nth, F.lit(1))).otherwise(c)
+        return F.when(c.rlike(r"\d"), F.substring(value, nth + unsaid, F.lit(1))).otherwise(c)
 
     shaped = F.array_join(F.transform(F.sequence(F.lit(1), F.length(found)), one), "")
     name = F.when((F.length(found) > 1) & (F.upper(found) == found), F.upper(value)).otherwise(F.initcap(value))

@@ -51,6 +51,22 @@ def test_clean_texts_stay(spark):
     assert _replaced(spark, texts) == texts
 
 
+def test_secret_names_and_national_numbers(spark):
+    hidden = ["Zq81LmPx02RtYw77KdVb", "deadbeefdeadbeefdead", "hunter2x", "P@ssw0rd!", "correcthorse", "abcdEFGH12345678wxyz"]
+    texts = [f"API_KEY={hidden[0]}", f"access_token={hidden[1]}; client_secret = '{hidden[0]}'", f"Password: {hidden[2]}.", f"PASSWORD: {hidden[3]} ok",
+             f'{{"password": "{hidden[4]}", "api_key": "{hidden[5]}"}}', f"my passwd={hidden[3]}",
+             "Call (555) 201-7788 or 555-201-7788 or 1-555-201-7788, abroad +1 (555) 201-7788."]
+    out = _replaced(spark, texts)
+    assert not any(x in t for t in out for x in hidden)
+    assert re.fullmatch(r"API_KEY=[A-Za-z0-9]{20}", out[0]) and re.fullmatch(r"Password: [a-z]{6}\d[a-z]\.", out[2])
+    assert re.fullmatch(r'\{"password": "[a-z]{12}", "api_key": "[A-Za-z0-9]{20}"\}', out[4])
+    one, two, three, four = re.fullmatch(
+        r"Call (\(\d{3}\) \d{3}-\d{4}) or (\d{3}-\d{3}-\d{4}) or 1-(\d{3}-\d{3}-\d{4}), abroad \+1 (\(\d{3}\) \d{3}-\d{4})\.", out[6]).groups()
+    assert "201-7788" not in out[6] and one == four and two == three == one.replace("(", "").replace(") ", "-")
+    blanks = ["Password: ________________", 'password = "******"', "the secret: everything we knew", "Token: none", "10-555-201-77889"]
+    assert _replaced(spark, blanks) == blanks
+
+
 def test_every_position(spark):
     one = "a.b@c.org"
     texts = [one, f"{one} x", f"x {one}", f"{one} {one}", f"{one},8.8.4.4,{one}"]
