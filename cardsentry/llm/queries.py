@@ -8,7 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardsentry.llm import decontaminate, htmltemplate, langid, packing, pii, quality, sharding, simhash, tokenbin, urlrules
+from cardsentry.llm import (
+    conversations,
+    decontaminate,
+    htmltemplate,
+    langid,
+    licenses,
+    oracles,
+    packing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    spelling,
+    tokenbin,
+    urlrules,
+)
 from cardsentry.llm.common import read_table, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +96,19 @@ def op10_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.read_records(spark, folder, manifest)
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(read_table(spark, sf_dir, "documents")))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damaged(rows), rows)
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_pii_surrogates": op1_pii_surrogates,
@@ -93,6 +121,9 @@ def llm_queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_url_rules": op9_url_rules,
         "op10_token_shards": op10_token_shards,
+        "op11_license_scan": op11_license_scan,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
@@ -120,6 +151,10 @@ FROM parts p LEFT JOIN (SELECT * FROM fits WHERE nth = 1) f
 
 
 def llm_oracles() -> dict[str, str]:
-    """Only the URL rules can be said in SQL: the others hash, tokenize,
-    verify edit distances or iterate, and are tested by brute force."""
-    return {"op9_url_rules": _url_oracle()}
+    """The others hash, tokenize, verify edit distances or iterate, and are
+    tested by brute force."""
+    return {
+        "op9_url_rules": _url_oracle(),
+        "op12_spelling_variants": oracles.spelling(),
+        "op13_conversation_repair": oracles.conversations(),
+    }
