@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from cardsentry.functions import is_expired, ts_literal, within
 from cardsentry.operators.asof import join_terminal_asof
 from cardsentry.operators.enrich import blocked_since
-from cardsentry.operators.sequence import with_lags
+from cardsentry.operators.sequence import longest_group, with_lags
 from cardsentry.schemas import (
     CITY_HOP_SECONDS,
     EVENT_AMOUNT_PROBE,
@@ -43,6 +43,8 @@ from cardsentry.schemas import (
 )
 
 TS = "transaction_date"
+# Rows of one card that a task sorts with ease; longer sequences are cut into ranges.
+LONGEST_IN_TASK = 1_000_000
 
 
 def report_rows(df: DataFrame, event_type: str | Column, report_dt,
@@ -144,7 +146,7 @@ def row_rules(enriched: DataFrame, blacklist: DataFrame | None, report_dt) -> Da
 
 
 def known_sequence(transactions: DataFrame, hist: DataFrame, dim_mode: str = "point_in_time",
-                   carry: tuple[str, ...] = ()) -> DataFrame:
+                   carry: tuple[str, ...] = (), longest: int = LONGEST_IN_TASK) -> DataFrame:
     """Transactions of known terminals with their sequence lags, in the few
     columns that the rules compare (plus ``carry``).
 
@@ -154,10 +156,11 @@ def known_sequence(transactions: DataFrame, hist: DataFrame, dim_mode: str = "po
     """
     narrow = transactions.select("card_num", TS, "trans_id", "terminal", "amount", "oper_result", *carry)
     joined = join_terminal_asof(narrow, hist, how="inner", mode=dim_mode)
-    ties = ("trans_id",) if dim_mode == "point_in_time" else ("trans_id", "effective_from")
+    exact = dim_mode == "point_in_time"  # one row per transaction at most
+    ties = ("trans_id",) if exact else ("trans_id", "effective_from")
     return with_lags(
         joined.select("card_num", TS, *ties, "terminal_city", "amount", "oper_result", *carry),
-        SEQUENCE_LAGS, tiebreak=ties)
+        SEQUENCE_LAGS, tiebreak=ties, short=exact and longest_group(transactions, ["card_num"]) <= longest)
 
 
 SEQUENCE_EVENTS = {EVENT_CITY_HOP: city_hop_flag, EVENT_AMOUNT_PROBE: amount_probe_flag}
@@ -165,11 +168,11 @@ SEQUENCE_EVENTS = {EVENT_CITY_HOP: city_hop_flag, EVENT_AMOUNT_PROBE: amount_pro
 
 def sequence_rules(transactions: DataFrame, owners: DataFrame, hist: DataFrame, report_dt,
                    events: tuple[str, ...] = tuple(SEQUENCE_EVENTS),
-                   dim_mode: str = "point_in_time", context: str | None = None) -> DataFrame:
+                   dim_mode: str = "point_in_time", context: str | None = None, longest: int = LONGEST_IN_TASK) -> DataFrame:
     """Rules 3 and 4 over one sequence.  ``context`` names a boolean column of
     rows that take part in the sequences and are not reported themselves."""
     carry = (context,) if context else ()
-    seq = known_sequence(transactions, hist, dim_mode, carry)
+    seq = known_sequence(transactions, hist, dim_mode, carry, longest)
     if context:
         seq = seq.where(~F.col(context))
     named = F.array(*[F.when(_true(SEQUENCE_EVENTS[e]()), F.lit(e)) for e in events])
@@ -190,7 +193,7 @@ def amount_probe(transactions: DataFrame, owners: DataFrame, hist: DataFrame, re
 # --- all five -----------------------------------------------------------------
 
 def fraud_mart(transactions: DataFrame, owners: DataFrame, hist: DataFrame, report_dt,
-               blacklist: DataFrame | None = None, context: str | None = None) -> DataFrame:
+               blacklist: DataFrame | None = None, context: str | None = None, longest: int = LONGEST_IN_TASK) -> DataFrame:
     """All five rules: the row rules over the fact joined to its owners, the
     sequence rules over the narrow sequence; two legs that share no shuffle.
 
@@ -198,4 +201,4 @@ def fraud_mart(transactions: DataFrame, owners: DataFrame, hist: DataFrame, repo
     ``blacklist`` given beside it."""
     own = transactions.where(~F.col(context)) if context else transactions
     return row_rules(own.join(owners, "card_num"), blacklist, report_dt).unionByName(
-        sequence_rules(transactions, owners, hist, report_dt, context=context))
+        sequence_rules(transactions, owners, hist, report_dt, context=context, longest=longest))

@@ -13,6 +13,9 @@ without a count, a threshold or a time limit on the lookback.
 The ranges are drawn from a sample, so the sorted rows are written once to the
 shared folder before anything depends on where they fell.  Keep ``df`` narrow:
 it crosses two exchanges.
+
+Where the longest sequence fits a task with ease, as one count per key says,
+the plain window needs one exchange and no file; the lags are the same.
 """
 
 from __future__ import annotations
@@ -25,6 +28,11 @@ from pyspark.sql import functions as F
 from cardsentry.session import materialize
 
 
+def longest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group of equal ``keys``."""
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
 def with_lags(
     df: DataFrame,
     lags: Mapping[str, Iterable[int]],
@@ -32,12 +40,20 @@ def with_lags(
     ts_col: str = "transaction_date",
     tiebreak: str | Sequence[str] = "trans_id",
     partitions: int | None = None,
+    short: bool = False,
 ) -> DataFrame:
     """Add ``<col>_lag<k>`` for each requested column and offset, over the
-    rows of equal ``partition_by`` ordered by (``ts_col``, ``tiebreak``)."""
+    rows of equal ``partition_by`` ordered by (``ts_col``, ``tiebreak``).
+    ``short`` says that every sequence fits a task."""
     spark = df.sparkSession
     order = [ts_col, *([tiebreak] if isinstance(tiebreak, str) else tiebreak)]
     keys = [*partition_by, *order]
+
+    def lag_columns(w) -> list:
+        return [F.lag(c, k).over(w).alias(f"{c}_lag{k}") for c, ks in lags.items() for k in ks]
+
+    if short:
+        return df.select("*", *lag_columns(Window.partitionBy(*partition_by).orderBy(*order)))
     depth = max((k for ks in lags.values() for k in ks), default=1)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = materialize(
@@ -55,5 +71,4 @@ def with_lags(
 
     rows = placed.withColumn("_own", F.lit(True)).unionByName(context.withColumn("_own", F.lit(False)))
     w = Window.partitionBy(*partition_by, "_part").orderBy(*order)
-    lag_cols = [F.lag(c, k).over(w).alias(f"{c}_lag{k}") for c, ks in lags.items() for k in ks]
-    return rows.select("*", *lag_cols).where("_own").drop("_own", "_part")
+    return rows.select("*", *lag_columns(w)).where("_own").drop("_own", "_part")

@@ -1,7 +1,7 @@
 """Listing of a warehouse: its tables and columns, for people to read.
 
-Metadata only: one small row per column, from the schemas of the newest
-load's folders; nothing is registered in a metastore, so nothing goes stale
+Metadata only: one small row per column, from the schemas of the published
+folders; nothing is registered in a metastore, so nothing goes stale
 and nothing needs dropping.
 """
 
@@ -14,14 +14,7 @@ from cardsentry.plans import daily
 
 def list_columns(spark: SparkSession, store: daily.Store) -> list[tuple[str, int, str, str]]:
     """(table, position, column, type) of every published table."""
-    state = daily.loads(spark, store)
-    if not state:
-        return []
-    last = state[max(state)]
-    runs = {daily.FACT_TX: (last.facts or (None,))[-1], daily.FACT_BLACKLIST: last.blacklist, daily.STG_TERMINALS: last.terminals,
-            daily.OWNERS: last.owners, daily.DIM: last.dim, daily.REPORT: last.report}
-    return [
-        (name, i, f.name, f.dataType.simpleString())
-        for name, run in sorted(runs.items()) if run
-        for i, f in enumerate(spark.read.parquet(store.folder(name, run, last.day)).schema)
-    ]
+    tables = (daily.FACT_TX, daily.FACT_BLACKLIST, daily.STG_TERMINALS, daily.OWNERS, daily.DIM, daily.REPORT)
+    found = {name: daily.table_rows(spark, store, name) for name in tables}
+    return [(name, i, f.name, f.dataType.simpleString())
+            for name, df in sorted(found.items()) if df is not None for i, f in enumerate(df.schema)]

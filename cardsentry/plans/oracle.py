@@ -14,6 +14,7 @@ from cardsentry.plans.testviews import (
     E_SNAPSHOT_RULES,
     HOT_START,
     L_REPORT_DT,
+    VERSION_SECONDS,
 )
 from cardsentry.schemas import (
     CITY_HOP_SECONDS,
@@ -297,6 +298,27 @@ def _base_hot() -> list[tuple[str, str]]:
     return [(n, _TRANSACTIONS_HOT if n == "transactions" else q) for n, q in _base_e()]
 
 
+# The hot terminal: nine tenths of set E at one terminal with a version per customer.
+_TRANSACTIONS_HOT_TERMINAL = f"""SELECT trans_id, transaction_date, card_num, amount, oper_type, oper_result,
+  CASE WHEN CAST(trans_id AS BIGINT) % 10 <> 0 THEN 'T1' ELSE terminal END AS terminal
+FROM ({_TRANSACTIONS_E}) t"""
+
+_MOVING_TERMINAL = f"""SELECT 'T1' AS terminal_id, 'POS' AS terminal_type, 'N' || (c_custkey % 25) AS terminal_city,
+  c_name AS terminal_address, CASE WHEN c_custkey % 50 = 0 THEN 1 ELSE 0 END AS deleted_flg,
+  {_ts(E_SNAPSHOT_DAYS[0])} + to_seconds(c_custkey * {VERSION_SECONDS}) AS effective_from,
+  {_ts(E_SNAPSHOT_DAYS[0])} + to_seconds(c_custkey * {VERSION_SECONDS} + {VERSION_SECONDS - 1}) AS effective_to
+FROM customer"""
+
+
+def _base_hot_terminal() -> list[tuple[str, str]]:
+    other = {"transactions": _TRANSACTIONS_HOT_TERMINAL, "hist": _MOVING_TERMINAL}
+    return [(n, other.get(n, q)) for n, q in _base_e()]
+
+
+_ASOF = """SELECT t.trans_id, t.transaction_date, t.terminal, v.terminal_city, coalesce(v.deleted_flg = 1, FALSE) AS tombstone,
+  v.effective_from, v.terminal_id IS NOT NULL AS known
+FROM transactions t LEFT JOIN vers v ON v.terminal_id = t.terminal AND t.transaction_date >= v.lo AND t.transaction_date < v.hi"""
+
 _BAD_ROWS = """SELECT 'transactions' AS drop_name, strftime(transaction_date, '%Y-%m-%d') AS load_day, trans_id AS field
 FROM transactions WHERE CAST(trans_id AS BIGINT) % 10 IN (3, 7, 9)
 UNION ALL
@@ -393,12 +415,8 @@ def oracle_queries() -> dict[str, str]:
         "terminals_new": _diff_sql("new"),
         "terminals_deleted": _diff_sql("deleted"),
         "terminals_changed": _diff_sql("changed"),
-        "transactions_asof_terminal": _with(e, (
-            "SELECT t.trans_id, t.transaction_date, t.terminal, v.terminal_city, "
-            "coalesce(v.deleted_flg = 1, FALSE) AS tombstone, "
-            "v.effective_from, v.terminal_id IS NOT NULL AS known FROM transactions t "
-            "LEFT JOIN vers v ON v.terminal_id = t.terminal AND t.transaction_date >= v.lo "
-            "AND t.transaction_date < v.hi")),
+        "transactions_asof_terminal": _with(e, _ASOF),
+        "transactions_asof_hot_terminal": _with(_base_hot_terminal(), _ASOF),
         "report_accumulate": _accumulate_sql(),
         "ingest_delimited": _with(e, (
             "SELECT trans_id, transaction_date, card_num, "
@@ -412,6 +430,10 @@ def oracle_queries() -> dict[str, str]:
             "FROM cards k JOIN accounts a ON a.account = k.account JOIN clients c ON c.client_id = a.client "
             "JOIN cut_days d ON TRUE")),
         "ingest_terminals": _with(e, "SELECT * FROM snapshots"),
+        "ingest_quoted": _with(e, (
+            "SELECT as_of, terminal_id, CASE WHEN terminal_city = 'N1' THEN ';' ELSE terminal_type END AS terminal_type, "
+            "'\"' || terminal_city || '\" ;' AS terminal_city, "
+            "terminal_address || '; \"' || terminal_city || '\" east; 2' AS terminal_address FROM snapshots")),
         "ingest_quarantine": _with(e, _BAD_ROWS),
         "ingest_blacklist": _with(e + [("cut_days", "SELECT DISTINCT as_of FROM snapshots")], (
             "SELECT d.as_of, b.\"date\", b.passport FROM blacklist b "

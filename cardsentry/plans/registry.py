@@ -15,9 +15,9 @@ from cardsentry.functions import ts_literal
 from cardsentry.operators import rules
 from cardsentry.operators.asof import join_terminal_asof
 from cardsentry.operators.enrich import enrich, owners_of
-from cardsentry.operators.scd2 import CHANGED, DELETED, NEW, build_history, changes_from_cuts, current, history_from_cuts
-from cardsentry.plans import daily
-from cardsentry.plans.testviews import Warehouse, hot_card, set_e, set_l
+from cardsentry.operators.scd2 import CHANGED, DELETED, NEW, changes_from_cuts, current, history_from_cuts
+from cardsentry.plans import daily, dimension
+from cardsentry.plans.testviews import Warehouse, hot_card, hot_terminal, moving_terminal, set_e, set_l
 from cardsentry.schemas import TERMINAL_ATTRS, TERMINAL_KEY
 from cardsentry.session import materialize, scratch_path
 from cardsentry.sources import delimited
@@ -40,8 +40,8 @@ def _history(spark: SparkSession, w: Warehouse) -> DataFrame:
     return materialize(history_from_cuts(w.snapshots, days=w.snapshot_days), "terminals-history")
 
 
-def _mart(spark: SparkSession, w: Warehouse) -> DataFrame:
-    return rules.fraud_mart(w.transactions, _owners(w, with_blacklist=True), _history(spark, w), w.report_dt)
+def _mart(spark: SparkSession, w: Warehouse, longest: int = rules.LONGEST_IN_TASK) -> DataFrame:
+    return rules.fraud_mart(w.transactions, _owners(w, with_blacklist=True), _history(spark, w), w.report_dt, longest=longest)
 
 
 def enriched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,8 +93,9 @@ def fraud_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fraud_mart_hot_card(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five rules with nine tenths of all rows on one card in one hour."""
-    return _mart(spark, hot_card(spark, sf_dir))
+    """The five rules with nine tenths of all rows on one card in one hour, its
+    sequence cut into ranges at every size of the table."""
+    return _mart(spark, hot_card(spark, sf_dir), longest=0)
 
 
 def terminals_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,9 +109,16 @@ def _open_end_as_text(hist: DataFrame) -> DataFrame:
 
 
 def terminals_history_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same history by applying one cut after the other."""
+    """The same history by applying one cut after the other to the stored
+    dimension, touched buckets only."""
     w = set_e(spark, sf_dir)
-    return _open_end_as_text(build_history(spark, w.snapshots, w.snapshot_days))
+    table = scratch_path(spark, "dimension")
+    buckets, closed = (), []
+    for d in w.snapshot_days:
+        cut = w.snapshots.where(F.col("as_of") == ts_literal(d)).drop("as_of")
+        buckets, more = dimension.apply_cut(spark, table, f"load_date={d}", buckets, cut, _midnight(d), daily.DIM_BUCKETS)
+        closed += more
+    return _open_end_as_text(dimension.read_history(spark, table, buckets, closed))
 
 
 def terminals_current(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,15 +150,26 @@ def terminals_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily_diffs(spark, sf_dir, CHANGED)
 
 
-def transactions_asof_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = set_e(spark, sf_dir)
-    return join_terminal_asof(w.transactions, _history(spark, w), how="left").select(
+def _asof(transactions: DataFrame, hist: DataFrame) -> DataFrame:
+    return join_terminal_asof(transactions, hist, how="left", method="sweep").select(
         "trans_id", "transaction_date", "terminal", "terminal_city",
         F.coalesce(F.col("deleted_flg") == 1, F.lit(False)).alias("tombstone"),
         "effective_from", "known",
     )
 
 
+def transactions_asof_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = set_e(spark, sf_dir)
+    return _asof(w.transactions, _history(spark, w))
+
+
+def transactions_asof_hot_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine tenths of all transactions at one terminal with a version per
+    customer."""
+    w = hot_terminal(spark, sf_dir)
+    return _asof(w.transactions, materialize(moving_terminal(spark, sf_dir), "terminals-history"))
+
+
 def _load_slices(w: Warehouse):
     """One load per cut day: the transactions from that day up to the next
     cut (the first load also takes anything earlier, the last anything later)."""
@@ -267,6 +286,22 @@ def ingest_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.read_blacklist(spark, landing).good.select(_as_of(F.col("load_date")), "date", "passport")
 
 
+def ingest_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Round trip of terminal cuts whose fields hold separators, doubled quotes
+    and blanks; each day's file has its own order of columns."""
+    w = set_e(spark, sf_dir)
+    landing = scratch_path(spark, "landing-quoted")
+    cut = w.snapshots.withColumns({
+        "terminal_address": F.concat(F.col("terminal_address"), F.lit('; "'), F.col("terminal_city"), F.lit('" east; 2')),
+        "terminal_city": F.concat(F.lit('"'), F.col("terminal_city"), F.lit('" ; ')),
+        "terminal_type": F.when(F.col("terminal_city") == "N1", F.lit(";")).otherwise(F.col("terminal_type"))})
+    columns = [TERMINAL_KEY, *TERMINAL_ATTRS]
+    for i, d in enumerate(w.snapshot_days):
+        ordered = cut.where(F.col("as_of") == ts_literal(d)).select(*columns[i:], *columns[:i], F.col("as_of").alias("_day"))
+        delimited.write_drop(ordered, landing, "terminals", F.col("_day"))
+    return delimited.read_terminals(spark, landing).good.select(_as_of(F.col("load_date")), TERMINAL_KEY, *TERMINAL_ATTRS)
+
+
 def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What does not parse in any of the three drops, with the text it had:
     amounts, times, dates and keys spoilt by a rule on their ids."""
@@ -337,6 +372,7 @@ def spark_queries() -> dict[str, Query]:
         "terminals_deleted": terminals_deleted,
         "terminals_changed": terminals_changed,
         "transactions_asof_terminal": transactions_asof_terminal,
+        "transactions_asof_hot_terminal": transactions_asof_hot_terminal,
         "report_accumulate": report_accumulate,
         "report_day_only": report_day_only,
         "report_two_files_one_day": report_two_files_one_day,
@@ -345,6 +381,7 @@ def spark_queries() -> dict[str, Query]:
         "ingest_delimited": ingest_delimited,
         "ingest_terminals": ingest_terminals,
         "ingest_blacklist": ingest_blacklist,
+        "ingest_quoted": ingest_quoted,
         "ingest_quarantine": ingest_quarantine,
         "volume_expired_passport": volume_expired_passport,
         "volume_blocked_passport": volume_blocked_passport,

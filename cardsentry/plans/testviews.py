@@ -36,6 +36,7 @@ E_SNAPSHOT_DAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 11), dt.date(2024, 1, 2
 E_SNAPSHOT_RULES = ((10, 0, 0), (10, 1, 7), (13, 0, 14))
 E_REPORT_DT = dt.datetime(2024, 2, 1, 0, 0, 0)
 HOT_START = dt.datetime(2024, 1, 15, 10, 0, 0)
+VERSION_SECONDS = 1700
 L_PASSPORT_BASE = dt.date(1997, 1, 1)
 L_BLACKLIST_BASE = dt.date(1998, 6, 1)
 L_REPORT_DT = dt.datetime(2002, 1, 1, 0, 0, 0)
@@ -168,6 +169,24 @@ def hot_card(spark: SparkSession, sf_dir: str) -> Warehouse:
     }))
 
 
+def hot_terminal(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Set E with nine tenths of the transactions at one terminal."""
+    w = set_e(spark, sf_dir)
+    hot = F.col("trans_id").cast("long") % 10 != 0
+    return w._replace(transactions=w.transactions.withColumn("terminal", F.when(hot, F.lit("T1")).otherwise(F.col("terminal"))))
+
+
+def moving_terminal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history of that one terminal with a version per customer, one after
+    the other, every fiftieth a tombstone; none is open."""
+    k = F.col("c_custkey")
+    start = ts_literal(E_START) + F.make_dt_interval(secs=(k * VERSION_SECONDS).cast("decimal(18,6)"))
+    return _read(spark, sf_dir, "customer").select(
+        F.lit("T1").alias("terminal_id"), F.lit("POS").alias("terminal_type"), _s("N", k % 25).alias("terminal_city"),
+        F.col("c_name").alias("terminal_address"), (k % 50 == 0).cast("int").alias("deleted_flg"), start.alias("effective_from"),
+        (start + F.make_dt_interval(secs=F.lit(VERSION_SECONDS - 1).cast("decimal(18,6)"))).alias("effective_to"))
+
+
 def set_l(spark: SparkSession, sf_dir: str) -> Warehouse:
     customer = _read(spark, sf_dir, "customer")
     orders = _read(spark, sf_dir, "orders")

@@ -11,11 +11,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Folder of the intermediates inside the shared folder.
 SCRATCH = "cardsentry"
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -72,12 +76,38 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     ``checkpoint()`` without a cache computes the plan twice), survives lost
     executors, and gives the planner real file-size statistics."""
     path = scratch_path(df.sparkSession, name)
+    if (owned := _scope.get()) is not None:
+        owned.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the intermediates of :func:`materialize` inside it at its end.
+    For jobs that have stored their results by then."""
+    token = _scope.set([])
+    try:
+        yield
+    finally:
+        owned = _scope.get()
+        _scope.reset(token)
+        for path in owned:
+            delete_path(spark, path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop for a path in any store Spark reaches."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove every scratch folder below the shared folder.  Call it when no
     DataFrame that reads from them is needed any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{SCRATCH}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_path(spark, f"{shared_dir(spark)}/{SCRATCH}")

@@ -1,17 +1,20 @@
 """Daily drops as delimited text with a header (``;`` by default): the
 transactions, the terminal cut and the passport blacklist.
 
-Columns bind by the name in each file's own header, in whatever order, and a
-file without all the columns asked for is an error.  The header is found by
-its content, so a folder of Spark part files, each with its header, reads like
-one file.  Everything is text at first and typed JVM-side; a row whose key,
-amount or time does not parse goes to a quarantine DataFrame with its text
-instead of failing the job (ANSI mode), being misread, or silently becoming
-null.
+Records are parsed by Spark's CSV parser (``from_csv``), so a field in quotes
+may hold separators and doubled quotes.  Columns bind by the name in each file's
+own header, in whatever order.  The header is found by its content, so a folder
+of Spark part files, each with its header, reads like one file; a file without a
+header that holds all the columns asked for, or with two different ones, is an
+error (``strict``) or goes to quarantine whole.
+
+Everything is text at first and typed JVM-side.  A row with another number of
+fields than its header, with an open quote, or whose key, amount or time does
+not parse goes to a quarantine DataFrame with its text and the reason instead of
+failing the job (ANSI mode), being misread, or silently becoming null.
 
 The load day comes from the ``ddmmyyyy`` token of the file (or folder) name.
-A field may stand in quotes; a separator or line break inside them is not
-supported.
+A line break inside quotes is not supported: both halves go to quarantine.
 """
 
 from __future__ import annotations
@@ -32,6 +35,11 @@ from cardsentry.session import materialize
 DATE_TOKEN = r"_(\d{8})\.[A-Za-z]+(?:/|$)"
 DATE_TOKEN_FORMAT = "ddMMyyyy"
 TX_NAMES = tuple(f.name for f in TRANSACTIONS_RAW.fields)
+# A wider line is not a header.
+MAX_COLUMNS = 1000
+# Why a row is in quarantine.
+FAULT_HEADER, FAULT_QUOTES, FAULT_FIELDS, FAULT_VALUES = "header", "quotes", "fields", "values"
+QUARANTINE_COLUMNS = ("source_file", "load_date", "row_text", "reason")
 
 
 class Parsed(NamedTuple):
@@ -54,25 +62,56 @@ def parse_time(text: Column, fmt: str | None = None) -> Column:
                       F.try_to_timestamp(F.trim(text), F.lit("dd.MM.yyyy")).cast("timestamp_ntz"))
 
 
-def bind_columns(lines: DataFrame, columns: Sequence[str], sep: str = ";") -> DataFrame:
-    """``columns`` as text, by name, with ``source_file`` and ``row_text``,
-    from raw lines (``value``, ``source_file``)."""
-    cells = F.transform(F.split("value", re.escape(sep)), lambda c: F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"))
-    parsed = lines.where(F.trim("value") != "").select("source_file", "value", cells.alias("cells"))
-    is_header = F.lit(True)
+def _outside_quotes(value: Column) -> Column:
+    """The text without its quoted stretches; what is left of a well-formed
+    record holds a separator per border of two fields."""
+    return F.when(F.contains(value, F.lit('"')), F.regexp_replace(value, '"[^"]*"', "")).otherwise(value)
+
+
+def _n_fields(bare: Column, sep: str) -> Column:
+    return ((F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit("")))) / len(sep)).cast("int") + 1
+
+
+def _cells(value: Column, sep: str, width: int) -> Column:
+    """The first ``width`` fields of a record, trimmed outside their quotes."""
+    options = {"sep": sep, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
+               "maxCharsPerColumn": "-1", "maxColumns": str(width + 1)}
+    record = F.from_csv(value, ", ".join(f"c{i} string" for i in range(width)), options)
+    return F.transform(F.array(*[record[f"c{i}"] for i in range(width)]), lambda c: F.coalesce(c, F.lit("")))
+
+
+def bind_columns(lines: DataFrame, columns: Sequence[str], sep: str = ";", strict: bool = True) -> DataFrame:
+    """``columns`` as text, by name, with ``source_file``, ``row_text`` and
+    ``fault`` (why a row is not bound, or null), from raw lines (``value``,
+    ``source_file``)."""
+    lines = lines.where(F.trim("value") != "")
+    names_it = F.lit(True)
+    for c in columns:
+        names_it = names_it & F.contains("value", F.lit(c))
+    width = _n_fields(_outside_quotes(F.col("value")), sep)
+    # One row per file and text that may be its header.
+    files = materialize(lines.select("source_file", F.when(names_it & (width <= MAX_COLUMNS), F.col("value")).alias("head")).distinct(), "files")
+    heads = files.where("head is not null")
+    widest = heads.agg(F.max(_n_fields(_outside_quotes(F.col("head")), sep))).first()[0] or 1
+    heads = heads.select("source_file", F.slice(_cells(F.col("head"), sep, widest), 1, _n_fields(_outside_quotes(F.col("head")), sep)).alias("header"))
     for c in columns:
-        is_header = is_header & F.array_contains("cells", c)
-    # One row per file.
-    headers = materialize(
-        parsed.groupBy("source_file").agg(F.min(F.when(is_header, F.col("cells"))).alias("header"),
-                                          F.max(F.when(is_header, F.col("cells"))).alias("other")), "headers")
-    bad = headers.where(F.col("header").isNull() | ~F.col("header").eqNullSafe(F.col("other"))).limit(5).collect()
-    if bad:
-        raise ValueError(f"no single header with the columns {list(columns)} in {[r.source_file for r in bad]}")
-    body = parsed.where(~F.coalesce(is_header, F.lit(False))).join(headers.drop("other"), "source_file")
+        heads = heads.where(F.array_contains("header", c))
+    headers = heads.groupBy("source_file").agg(F.collect_set("header").alias("found")).where(F.size("found") == 1).select(
+        "source_file", F.col("found")[0].alias("header"))
+    if strict:
+        bad = files.join(headers, "source_file", "left_anti").select("source_file").distinct().limit(5).collect()
+        if bad:
+            raise ValueError(f"no single header with the columns {list(columns)} in {[r.source_file for r in bad]}")
+    bare = _outside_quotes(F.col("value"))
+    parsed = lines.join(headers, "source_file", "left").select(
+        "source_file", "value", "header", _cells(F.col("value"), sep, widest).alias("cells"), bare.alias("bare"))
+    fault = (F.when(F.col("header").isNull(), FAULT_HEADER)
+             .when(F.col("bare").rlike('(^|' + re.escape(sep) + r')\s*"'), FAULT_QUOTES)
+             .when(_n_fields(F.col("bare"), sep) != F.size("header"), FAULT_FIELDS))
+    body = parsed.where(F.col("header").isNull() | (F.slice("cells", 1, F.size("header")) != F.col("header")))
     return body.select(
         *[F.get(F.col("cells"), F.array_position("header", c).cast("int") - 1).alias(c) for c in columns],
-        "source_file", F.col("value").alias("row_text"))
+        "source_file", F.col("value").alias("row_text"), fault.alias("fault"))
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -87,7 +126,7 @@ def _blank_to_null(name: str) -> Column:
 
 def type_transactions(named: DataFrame, ts_format: str | None = None) -> DataFrame:
     """Typed transactions with ``load_date``, ``source_file``, ``row_text`` and
-    ``ok`` (every column that the rules need has parsed)."""
+    ``reason`` (null if every column that the rules need has parsed)."""
     typed = named.select(
         _blank_to_null("transaction_id").alias("trans_id"),
         parse_time(F.col("transaction_date"), ts_format).alias("transaction_date"),
@@ -97,41 +136,51 @@ def type_transactions(named: DataFrame, ts_format: str | None = None) -> DataFra
         F.upper(F.trim("oper_result")).alias("oper_result"),
         F.trim("terminal").alias("terminal"),
         file_day(F.col("source_file")).alias("load_date"),
-        "source_file", "row_text",
+        "source_file", "row_text", "fault",
     )
-    needed = ("trans_id", "transaction_date", "card_num", "amount", "load_date")
-    ok = F.lit(True)
+    return _judged(typed, "trans_id", "transaction_date", "card_num", "amount", "load_date")
+
+
+def _judged(typed: DataFrame, *needed: str) -> DataFrame:
+    """With ``reason``: null for a row that is bound and has every needed column."""
+    lacks = F.lit(False)
     for c in needed:
-        ok = ok & F.col(c).isNotNull()
-    return typed.withColumn("ok", ok)
+        lacks = lacks | F.col(c).isNull()
+    return typed.withColumn("reason", F.coalesce("fault", F.when(lacks, FAULT_VALUES))).drop("fault")
 
 
-def _split(typed: DataFrame) -> Parsed:
-    good = typed.where("ok").drop("ok", "row_text")
-    return Parsed(good, typed.where(~F.col("ok")).select("source_file", "load_date", "row_text"))
+def split_typed(typed: DataFrame) -> Parsed:
+    return Parsed(typed.where("reason is null").drop("reason", "row_text"),
+                  typed.where("reason is not null").select(*QUARANTINE_COLUMNS))
 
 
 def read_transactions(spark: SparkSession, paths: str | Sequence[str], sep: str = ";",
-                      ts_format: str | None = None) -> Parsed:
+                      ts_format: str | None = None, strict: bool = True) -> Parsed:
     """Typed transactions (+ ``load_date`` from the file name) and quarantine."""
-    return _split(type_transactions(bind_columns(read_lines(spark, paths), TX_NAMES, sep), ts_format))
+    return split_typed(type_transactions(bind_columns(read_lines(spark, paths), TX_NAMES, sep, strict), ts_format))
 
 
-def read_terminals(spark: SparkSession, paths: str | Sequence[str], sep: str = ";") -> Parsed:
-    """Terminal cuts; a row without a key goes to quarantine."""
-    named = bind_columns(read_lines(spark, paths), (TERMINAL_KEY, *TERMINAL_ATTRS), sep)
+def type_terminals(named: DataFrame) -> DataFrame:
+    """Terminal cuts; a row without a key is not taken."""
     typed = named.select(_blank_to_null(TERMINAL_KEY).alias(TERMINAL_KEY), *TERMINAL_ATTRS,
-                         file_day(F.col("source_file")).alias("load_date"), "source_file", "row_text")
-    return _split(typed.withColumn("ok", F.col(TERMINAL_KEY).isNotNull() & F.col("load_date").isNotNull()))
+                         file_day(F.col("source_file")).alias("load_date"), "source_file", "row_text", "fault")
+    return _judged(typed, TERMINAL_KEY, "load_date")
+
 
+def read_terminals(spark: SparkSession, paths: str | Sequence[str], sep: str = ";", strict: bool = True) -> Parsed:
+    return split_typed(type_terminals(bind_columns(read_lines(spark, paths), (TERMINAL_KEY, *TERMINAL_ATTRS), sep, strict)))
 
-def read_blacklist(spark: SparkSession, paths: str | Sequence[str], sep: str = ";", fmt: str | None = None) -> Parsed:
-    """Passport blacklists; a row without a passport or a date that parses
-    goes to quarantine."""
-    named = bind_columns(read_lines(spark, paths), ("date", "passport"), sep)
+
+def type_blacklist(named: DataFrame, fmt: str | None = None) -> DataFrame:
+    """Passport blacklists; a row without a passport or a date that parses is
+    not taken."""
     typed = named.select(parse_time(F.col("date"), fmt).alias("date"), _blank_to_null("passport").alias("passport"),
-                         file_day(F.col("source_file")).alias("load_date"), "source_file", "row_text")
-    return _split(typed.withColumn("ok", F.col("date").isNotNull() & F.col("passport").isNotNull() & F.col("load_date").isNotNull()))
+                         file_day(F.col("source_file")).alias("load_date"), "source_file", "row_text", "fault")
+    return _judged(typed, "date", "passport", "load_date")
+
+
+def read_blacklist(spark: SparkSession, paths: str | Sequence[str], sep: str = ";", fmt: str | None = None, strict: bool = True) -> Parsed:
+    return split_typed(type_blacklist(bind_columns(read_lines(spark, paths), ("date", "passport"), sep, strict), fmt))
 
 
 def write_drop(df: DataFrame, out_dir: str, prefix: str, day: Column, sep: str = ";") -> None:
@@ -140,7 +189,7 @@ def write_drop(df: DataFrame, out_dir: str, prefix: str, day: Column, sep: str =
     name = F.concat(F.lit(f"{prefix}_"), F.date_format(day, DATE_TOKEN_FORMAT), F.lit(".txt"))
     columns = [c for c in df.columns if not c.startswith("_")]
     (df.select(*columns, name.alias("file")).write.mode("append").partitionBy("file")
-     .option("header", True).option("sep", sep).option("emptyValue", "").csv(out_dir))
+     .option("header", True).option("sep", sep).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(out_dir))
 
 
 def transaction_text(df: DataFrame, comma_decimal: Column | None = None) -> DataFrame:

@@ -174,3 +174,54 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(ValueError, match="checkpoint"):
         shared_dir(Session())
+
+
+HEAD = "terminal_id;terminal_type;terminal_city;terminal_address\n"
+
+
+def test_quoted_fields_hold_separators_and_quotes(spark):
+    folder = _write(spark, "terminals_01032021.txt", HEAD + (
+        'T1;ATM;"Nab; Chelny";Mira 5\n'
+        'T2;ATM; "The ""Old"" Town; east" ;"Lenina 1; bld 2"\n'
+        'T3;"POS";;""\n'
+        'T4;POS;5" pipe;plain\n'
+        'T5;POS;"open; never closed\n'
+        'T6;POS;one;two;three\n'
+        'T7;POS;short\n'
+        'T8;POS;back\\slash;"x\\"\n'))
+    parsed = delimited.read_terminals(spark, folder)
+    got = {r.terminal_id: (r.terminal_type, r.terminal_city, r.terminal_address) for r in parsed.good.collect()}
+    assert got == {"T1": ("ATM", "Nab; Chelny", "Mira 5"), "T2": ("ATM", 'The "Old" Town; east', "Lenina 1; bld 2"), "T3": ("POS", "", ""),
+                   "T4": ("POS", '5" pipe', "plain"), "T8": ("POS", "back\\slash", "x\\")}
+    assert sorted((r.row_text[:2], r.reason) for r in parsed.quarantine.collect()) == [
+        ("T5", delimited.FAULT_QUOTES), ("T6", delimited.FAULT_FIELDS), ("T7", delimited.FAULT_FIELDS)]
+
+
+def test_each_file_binds_by_its_own_header(spark):
+    """Other orders, other widths, a quoted name with a separator, in one folder."""
+    folder = _write(spark, "terminals_01032021.txt", HEAD + "T1;POS;A;a\n")
+    for name, text in {
+        "terminals_02032021.txt": 'terminal_city;"note; extra";terminal_id;terminal_address;terminal_type\nB;"x;y";T2;b;ATM\n',
+        "terminals_03032021.txt": "terminal_address;terminal_city;terminal_type;terminal_id;\nc;C;POS;T3;\n",
+    }.items():
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write(text)
+    got = sorted((r.terminal_id, r.terminal_type, r.terminal_city, r.terminal_address, r.load_date.day) for r in delimited.read_terminals(spark, folder).good.collect())
+    assert got == [("T1", "POS", "A", "a", 1), ("T2", "ATM", "B", "b", 2), ("T3", "POS", "C", "c", 3)]
+
+
+def test_a_file_with_a_wrong_header_goes_to_quarantine_whole(spark):
+    folder = _write(spark, "terminals_01032021.txt", HEAD + "T1;POS;A;a\n")
+    with open(os.path.join(folder, "terminals_02032021.txt"), "w") as fh:
+        fh.write("terminal;kind;city;address\nT2;POS;B;b\n")
+    parsed = delimited.read_terminals(spark, folder, strict=False)
+    assert [r.terminal_id for r in parsed.good.collect()] == ["T1"]
+    assert sorted((r.row_text[:2], r.reason, r.load_date.day) for r in parsed.quarantine.collect()) == [
+        ("T2", delimited.FAULT_HEADER, 2), ("te", delimited.FAULT_HEADER, 2)]
+
+
+def test_many_quotes_in_one_line(spark):
+    folder = _write(spark, "terminals_01032021.txt", HEAD + 'T1;POS;"' + 'a""' * 200_000 + '";a\n' + '"' * 300_001 + "\n")
+    parsed = delimited.read_terminals(spark, folder)
+    assert [len(r.terminal_city) for r in parsed.good.collect()] == [400_000]
+    assert parsed.quarantine.count() == 1
