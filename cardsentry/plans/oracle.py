@@ -9,6 +9,7 @@ day-by-day fold), interval tests as timestamp arithmetic.
 from __future__ import annotations
 
 from cardsentry.plans.testviews import (
+    EMPTY_DAY,
     E_REPORT_DT,
     E_SNAPSHOT_DAYS,
     E_SNAPSHOT_RULES,
@@ -329,7 +330,7 @@ SELECT 'blacklist', (SELECT strftime(min(as_of), '%Y-%m-%d') FROM snapshots), pa
 WHERE CAST(substr(passport, 2) AS BIGINT) % 2 = 0"""
 
 
-def _accumulate_sql(lookback: bool = True) -> str:
+def _accumulate_sql(lookback: bool = True, base: list[tuple[str, str]] | None = None, loads: str = _LOADS) -> str:
     lseq = _LSEQ if lookback else _LSEQ.replace(f"l.load_as_of - INTERVAL {CITY_HOP_SECONDS} SECOND", "l.load_as_of")
 
     def rep(event_type: str, where: str) -> str:
@@ -343,10 +344,20 @@ def _accumulate_sql(lookback: bool = True) -> str:
         rep(EVENT_CITY_HOP, "known AND " + _W_CITY),
         rep(EVENT_AMOUNT_PROBE, "known AND " + _W_PROBE),
     ])
-    return _with(_base_e() + [("loads", _LOADS), ("lhist", _LHIST), ("lvers", _LVERS),
+    return _with((base or _base_e()) + [("loads", loads), ("lhist", _LHIST), ("lvers", _LVERS),
                               ("lseq", lseq)], body)
 
 
+def _empty_day_sql() -> str:
+    """Loads of the transaction files' days, cuts of all days but the last."""
+    days = ", ".join(f"({_ts(d)})" for d in (*E_SNAPSHOT_DAYS, EMPTY_DAY))
+    cuts = f"SELECT * FROM ({_snapshots_e()}) s WHERE as_of < {_ts(E_SNAPSHOT_DAYS[-1])}"
+    loads = f"""SELECT as_of AS load_as_of, lead(as_of) OVER (ORDER BY as_of) AS next_as_of,
+  row_number() OVER (ORDER BY as_of) AS load_no
+FROM (VALUES {days}) d(as_of)"""
+    return _accumulate_sql(base=[(n, cuts if n == "snapshots" else q) for n, q in _base_e()], loads=loads)
+
+
 # --- set L ------------------------------------------------------------------
 
 _ACCOUNTS_L = """SELECT 'A' || o_orderkey AS account, 'C' || o_custkey AS client,
@@ -425,6 +436,8 @@ def oracle_queries() -> dict[str, str]:
         "report_day_only": _accumulate_sql(lookback=False),
         "report_two_files_one_day": _accumulate_sql(),
         "report_late_rows": _accumulate_sql(),
+        "report_empty_day": _empty_day_sql(),
+        "report_compacted": _accumulate_sql(),
         "masters_loaded": _with(e + [("cut_days", "SELECT DISTINCT as_of FROM snapshots")], (
             "SELECT strftime(d.as_of, '%Y-%m-%d') AS load_day, k.card_num, k.account, c.client_id, c.passport_num, c.phone "
             "FROM cards k JOIN accounts a ON a.account = k.account JOIN clients c ON c.client_id = a.client "

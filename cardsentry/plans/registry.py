@@ -17,11 +17,12 @@ from cardsentry.operators.asof import join_terminal_asof
 from cardsentry.operators.enrich import enrich, owners_of
 from cardsentry.operators.scd2 import CHANGED, DELETED, NEW, changes_from_cuts, current, history_from_cuts
 from cardsentry.plans import daily, dimension
-from cardsentry.plans.testviews import Warehouse, hot_card, hot_terminal, moving_terminal, set_e, set_l
+from cardsentry.plans.testviews import EMPTY_DAY, Warehouse, hot_card, hot_terminal, moving_terminal, set_e, set_l
 from cardsentry.schemas import TERMINAL_ATTRS, TERMINAL_KEY
 from cardsentry.session import materialize, scratch_path
 from cardsentry.sources import delimited
 from cardsentry.sources.masters import Masters
+from cardsentry.streaming import daily_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -233,6 +234,43 @@ def report_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cycle_in_two(spark, set_e(spark, sf_dir), F.col("trans_id").cast("long") % 5 == 0, late=True)
 
 
+def report_empty_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cycle from files of the landing folder: one day's transaction file
+    holds a header alone, the last day has no cut, and a day's list is missing."""
+    w = set_e(spark, sf_dir)
+    landing = scratch_path(spark, "landing")
+    days = w.snapshot_days
+    tx = reduce(DataFrame.unionByName, [t.withColumn("load_date", F.lit(d)) for d, t, _ in _load_slices(w)])
+    delimited.write_transactions(tx, f"{landing}/transactions")
+    nothing = delimited.transaction_text(tx.where("false")).drop("_day")
+    (nothing.coalesce(1).write.option("header", True).option("sep", ";")
+     .csv(f"{landing}/transactions/file=transactions_{EMPTY_DAY:%d%m%Y}.txt"))
+    cuts = w.snapshots.where(F.col("as_of") < ts_literal(days[-1]))
+    delimited.write_drop(cuts.select(TERMINAL_KEY, *TERMINAL_ATTRS, F.col("as_of").alias("_day")), f"{landing}/terminals", "terminals", F.col("_day"))
+    listed = w.blacklist.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "passport", ts_literal(days[0]).alias("_day"))
+    delimited.write_drop(listed, f"{landing}/blacklist", "passport_blacklist", F.col("_day"))
+    store = daily.Store.fresh(spark, "cycle")
+    files = [f for kind in ("transactions", "terminals", "blacklist") for f in daily_stream.listed(spark, f"{landing}/{kind}")]
+    daily_stream.process_files(spark, files, landing, store, Masters(w.cards, w.accounts, w.clients), "batch-0", report_dt=_midnight)
+    return daily.report(spark, store)
+
+
+def report_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cycle with the facts and reports of its first loads merged before
+    the last one comes, and what nothing names any more removed."""
+    w = set_e(spark, sf_dir)
+    store = daily.Store.fresh(spark, "cycle")
+    *first, last = _load_slices(w)
+    masters = Masters(w.cards, w.accounts, w.clients)
+    for d, tx, cut in first:
+        daily.deliver(spark, store, [d], tx, {d: cut}, {d: w.blacklist}, masters, _midnight)
+    daily.compact(spark, store)
+    daily.vacuum(spark, store, dt.timedelta(0))
+    d, tx, cut = last
+    daily.deliver(spark, store, [d], tx, {d: cut}, None, None, _midnight)
+    return daily.report(spark, store)
+
+
 def masters_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every load's stored masters, as the owner of each card."""
     w = set_e(spark, sf_dir)
@@ -377,6 +415,8 @@ def spark_queries() -> dict[str, Query]:
         "report_day_only": report_day_only,
         "report_two_files_one_day": report_two_files_one_day,
         "report_late_rows": report_late_rows,
+        "report_empty_day": report_empty_day,
+        "report_compacted": report_compacted,
         "masters_loaded": masters_loaded,
         "ingest_delimited": ingest_delimited,
         "ingest_terminals": ingest_terminals,

@@ -36,6 +36,8 @@ E_SNAPSHOT_DAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 11), dt.date(2024, 1, 2
 E_SNAPSHOT_RULES = ((10, 0, 0), (10, 1, 7), (13, 0, 14))
 E_REPORT_DT = dt.datetime(2024, 2, 1, 0, 0, 0)
 HOT_START = dt.datetime(2024, 1, 15, 10, 0, 0)
+# A day whose transaction file holds no row; seconds between two versions of the hot terminal.
+EMPTY_DAY = dt.date(2024, 1, 5)
 VERSION_SECONDS = 1700
 L_PASSPORT_BASE = dt.date(1997, 1, 1)
 L_BLACKLIST_BASE = dt.date(1998, 6, 1)

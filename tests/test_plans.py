@@ -4,6 +4,8 @@ import contextlib
 import io
 import re
 
+import pytest
+
 from cardsentry.operators import rules
 from cardsentry.operators.enrich import owners_of
 from cardsentry.operators.scd2 import history_from_cuts
@@ -27,11 +29,13 @@ def test_mart_plan(spark):
     assert "SortMergeJoin" not in plan
 
 
-def test_window_carries_only_what_the_rules_compare(spark):
+@pytest.mark.parametrize("longest", [0, rules.LONGEST_IN_TASK])
+def test_window_carries_only_what_the_rules_compare(spark, longest):
     w = set_e(spark, SF_SMALL)
-    plan = _formatted_plan(rules.known_sequence(w.transactions, history_from_cuts(w.snapshots)))
+    plan = _formatted_plan(rules.known_sequence(w.transactions, history_from_cuts(w.snapshots), longest=longest))
     exchanges = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
-    window = [e for e in exchanges if "_part" in e and "_own" in e]
+    window = [e for e in exchanges if ("_part" in e and "_own" in e if not longest else "card_num" in e and "amount" in e)]
+    assert len(window) == 1 or not longest
     assert window and all(not re.search("fio|phone|passport|valid_to|effective", e) for e in window)
     # no probe sits above the fact
     assert "CollectLimit" not in plan

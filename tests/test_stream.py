@@ -95,3 +95,91 @@ def test_every_file_leaves_a_trace_and_is_archived(spark, landing):
     assert f"transactions_{day:%d%m%Y}.txt" in archived
     assert not os.path.exists(f"{home}/transactions/transactions_{day:%d%m%Y}.txt")
     assert run() == []
+
+
+def _folder(spark, w, name):
+    home = _local(scratch_path(spark, name))
+    for folder in ("transactions", "terminals", "blacklist"):
+        os.makedirs(f"{home}/{folder}")
+    return home
+
+
+def _put(home, drop, name, text):
+    with open(f"{home}/{drop}/{name}", "w") as fh:
+        fh.write(text)
+
+
+CUT_HEAD = "terminal_id;terminal_type;terminal_city;terminal_address\n"
+
+
+def test_days_are_known_by_their_files(spark, landing):
+    """A header-only day, a day without a cut, an empty file, a file and a cut
+    with a wrong header: each leaves a load or quarantine rows; the second file
+    of a day makes only that day's and the next one's report anew."""
+    w, _ = landing
+    home = _folder(spark, w, "days")
+    store = daily.Store.fresh(spark, "days")
+    masters = Masters(w.cards, w.accounts, w.clients)
+    run = lambda: run_available(spark, home, store, masters, archive_dir=f"{home}/../{os.path.basename(home)}-archive", report_dt=_midnight)
+    days = [w.snapshot_days[0].replace(day=i) for i in (1, 2, 3, 4)]
+    d = [f"{x:%d%m%Y}" for x in days]
+    _put(home, "transactions", f"transactions_{d[0]}.txt", HEAD + f"1;{days[0]} 10:00:00;5;K1;p;SUCCESS;T1\n")
+    _put(home, "terminals", f"terminals_{d[0]}.txt", CUT_HEAD + 'T1;POS;"Moscow; north";a\n')
+    _put(home, "transactions", f"transactions_{d[1]}.txt", HEAD)
+    _put(home, "terminals", f"terminals_{d[1]}.txt", CUT_HEAD + "T1;POS;Kazan;a\nT2;POS;Kazan;b\n")
+    _put(home, "transactions", f"transactions_{d[2]}.txt", "")
+    _put(home, "terminals", f"terminals_{d[2]}.txt", "id;kind;city;address\nT1;POS;Kazan;a\n")
+    _put(home, "terminals", f"terminals_{d[3]}.txt", CUT_HEAD + "T9;POS;Omsk;c\n")  # its day has not come
+    assert run() == days[:3]
+    loads = daily.loads(spark, store)
+    assert [x.terminals is not None for x in loads.values()] == [True, True, False]
+    assert sorted((r.terminal_id, r.terminal_city) for r in daily.current_terminals(spark, store).collect()) == [("T1", "Kazan"), ("T2", "Kazan")]
+    hist = daily.history(spark, store, loads, days[2])
+    assert sorted(r.terminal_city for r in hist.where("terminal_id = 'T1'").collect()) == ["Kazan", "Moscow; north"]
+    bad = spark.read.parquet(f"{store.table(daily.QUARANTINE)}/terminals").collect()
+    assert [(r.row_text[:3], r.reason) for r in sorted(bad, key=lambda r: r.row_text)] == [("T1;", delimited.FAULT_HEADER), ("id;", delimited.FAULT_HEADER)]
+    assert [os.path.basename(p) for p in glob.glob(f"{home}/*/*.txt")] == [f"terminals_{d[3]}.txt"]
+
+    _put(home, "transactions", "transactions_wrong.txt", "a;b;c\n1;2;3\n")
+    _put(home, "transactions", f"second_{d[0]}.txt", HEAD + f"4;{days[0]} 10:05:00;5;K1;p;SUCCESS;T1\n")
+    _put(home, "terminals", f"terminals_{d[0]}.txt", CUT_HEAD + 'T1;POS;"Moscow; north";a\n')  # the same cut again
+    assert run() == days[:2]
+    after = daily.loads(spark, store)
+    assert after[days[2]] == loads[days[2]] and after[days[0]].dim == loads[days[0]].dim
+    assert daily.facts(spark, store, [after[days[0]]]).count() == 2
+
+    _put(home, "transactions", f"transactions_{d[3]}.txt", HEAD + f"5;{days[3]} 10:00:00;5;K1;p;SUCCESS;T9\n")
+    assert run() == days[3:]
+    assert [r.terminal_id for r in daily.current_terminals(spark, store).collect()] == ["T9"]
+
+
+def test_a_replay_after_a_crash_moves_the_rest(spark, landing, monkeypatch):
+    """Published, then lost between two moves: the replay loads nothing again
+    and moves what is left, of all three drops."""
+    from cardsentry.streaming import daily_stream
+
+    w, _ = landing
+    home = _folder(spark, w, "crash")
+    archive = f"{home}-archive"
+    store = daily.Store.fresh(spark, "crash-archive")
+    masters = Masters(w.cards, w.accounts, w.clients)
+    day = w.snapshot_days[0]
+    _put(home, "transactions", f"transactions_{day:%d%m%Y}.txt", HEAD + f"1;{day} 10:00:00;5;K1;p;SUCCESS;T1\n")
+    _put(home, "terminals", f"terminals_{day:%d%m%Y}.txt", CUT_HEAD + "T1;POS;Moscow;a\n")
+    _put(home, "blacklist", f"passport_blacklist_{day:%d%m%Y}.txt", "date;passport\n2020-01-01;P1\n")
+    real, moved = daily_stream._archive, []
+
+    def dies_after_one(spark, files, *rest):
+        real(spark, files[:1], *rest)
+        moved.append(files)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(daily_stream, "_archive", dies_after_one)
+        with pytest.raises(Exception, match="lost"):
+            run_available(spark, home, store, masters, archive_dir=archive, report_dt=_midnight)
+    state = daily.loads(spark, store)
+    assert list(state) == [day] and len(glob.glob(f"{home}/*/*.txt")) == 2
+    assert run_available(spark, home, store, masters, archive_dir=archive, report_dt=_midnight) == []
+    assert daily.loads(spark, store) == state
+    assert not glob.glob(f"{home}/*/*.txt") and len(glob.glob(f"{archive}/*/*.txt")) == 3
