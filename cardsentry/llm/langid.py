@@ -13,12 +13,14 @@ language.  Prediction covers whole texts of all rows.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 so is every row if no labelled row exists; repeated rows get equal answers; of
-equally likely languages the first by name wins; an empty table gives no rows.
+equally likely languages the first by name wins; long texts are scored in blocks
+and long words in log space; an empty table gives no rows; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import re
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -41,12 +43,23 @@ SHORT = 24
 BLOCK_CHARS = 1_000_000
 LATTICE_WORDS = 5_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
 SPACE = "▁"
 
 
+class _Spaced(dict):
+    """Translation of code points: letters (Unicode category L) stay, the rest are spaces."""
+
+    def __missing__(self, c: int) -> int:
+        self[c] = c if chr(c).isalpha() else 32
+        return self[c]
+
+
+_SPACED = _Spaced()
+
+
 def words_of(text: str | None) -> list[str]:
-    return _LETTERS.findall((text or "").lower())
+    """Runs of letters, in lower case."""
+    return (text or "").lower().translate(_SPACED).split()
 
 
 @lru_cache(maxsize=2)
@@ -59,57 +72,97 @@ def pieces(path: str) -> tuple[dict[str, int], int]:
         if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i)):
             piece = sp.id_to_piece(i)
             body = piece.removeprefix(SPACE)
-            if piece == SPACE or (body and body == body.lower() and _LETTERS.fullmatch(body)):
+            if piece == SPACE or (body and body == body.lower() and body.isalpha()):
                 found.setdefault(piece, len(found))
     return found, max(map(len, found))
 
 
+def _code_points(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+
+
+def _hashes(codes: np.ndarray, length: int) -> np.ndarray:
+    """Hash of every stretch of ``length`` code points along the rows."""
+    out = codes[:, :codes.shape[1] - length + 1].astype(np.uint64)
+    for k in range(1, length):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + codes[:, k:codes.shape[1] - length + 1 + k]
+    return out
+
+
+@lru_cache(maxsize=2)
+def _by_length(path: str) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per length of pieces: their hashes in order, numbers and code points."""
+    known, longest = pieces(path)
+    out = []
+    for length in range(1, longest + 1):
+        some = [p for p in known if len(p) == length]
+        codes = _code_points(some).reshape(-1, length)
+        hashes = _hashes(codes, length)[:, 0] if some else np.zeros(0, np.uint64)
+        order = np.argsort(hashes)
+        out.append((hashes[order], np.array([known[p] for p in some], np.int64)[order], codes[order]))
+    return out
+
+
 class Lattice:
-    """All segmentations of some words: edges word, from, to, piece."""
+    """All segmentations of some words: edges word, from, to, piece.  All
+    stretches of one length are looked up together, by hash and then exactly."""
 
     def __init__(self, words: list[str], path: str):
-        known, longest = pieces(path)
-        unknown = len(known)
-        edges: list[tuple[int, int, int, int]] = []
-        get = known.get
-        for w, word in enumerate(words):
-            s = SPACE + word
-            n = len(s)
-            for i in range(n):
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    p = get(s[i:j])
-                    if p is not None:
-                        edges.append((w, i, j, p))
-                    elif j == i + 1:
-                        edges.append((w, i, j, unknown))
+        unknown = len(pieces(path)[0])
         self.n = len(words)
         self.lengths = np.array([len(w) + 1 for w in words], np.int64)
-        e = np.array(edges, np.int64).reshape(-1, 4)
-        self.e = e[np.argsort(e[:, 2], kind="stable")]
+        width = int(self.lengths.max(initial=0))
+        codes = np.zeros((self.n, width), np.uint32)
+        codes[np.arange(width) < self.lengths[:, None]] = _code_points([SPACE + w for w in words])
+        parts = []
+        for length, (hashes, numbers, exact) in enumerate(_by_length(path), 1):
+            if length > width:
+                break
+            inside = np.arange(width - length + 1) + length <= self.lengths[:, None]
+            w, i = np.nonzero(inside)
+            h = _hashes(codes, length)[w, i]
+            at = np.minimum(np.searchsorted(hashes, h), max(0, len(hashes) - 1))
+            hit = hashes[at] == h if len(hashes) else np.zeros(len(h), bool)
+            there = np.nonzero(hit)[0]
+            same = (codes[w[there][:, None], i[there][:, None] + np.arange(length)] == exact[at[there]]).all(axis=1)
+            hit[there[~same]] = False
+            if length == 1:  # a character of no piece
+                piece = np.where(hit, numbers[at] if len(numbers) else unknown, unknown)
+            else:
+                w, i, piece = w[hit], i[hit], numbers[at[hit]]
+            parts.append(np.column_stack([w, i, i + length, piece]))
+        e = np.concatenate(parts) if parts else np.zeros((0, 4), np.int64)
+        self.e = e[np.lexsort((e[:, 1], e[:, 2]))]
+
+    @staticmethod
+    def _groups(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Borders of runs of equal pairs; in a run each word stands once."""
+        new = np.nonzero((np.diff(first) != 0) | (np.diff(second) != 0))[0] + 1
+        return np.concatenate([[0], new, [len(first)]]) if len(first) else np.zeros(1, np.int64)
 
     def forward(self, prob: np.ndarray) -> np.ndarray:
         """alpha[word, position, column] for piece probabilities prob[piece, column]."""
         top = int(self.lengths.max(initial=0))
         alpha = np.zeros((self.n, top + 1, prob.shape[1]))
         alpha[:, 0] = 1
-        ends = np.searchsorted(self.e[:, 2], np.arange(top + 2))
-        for j in range(1, top + 1):
-            w, i, _, p = self.e[ends[j]:ends[j + 1]].T
-            np.add.at(alpha[:, j], w, alpha[w, i] * prob[p])
+        borders = self._groups(self.e[:, 2], self.e[:, 1])
+        for a, b in zip(borders[:-1], borders[1:], strict=True):
+            w, p = self.e[a:b, 0], self.e[a:b, 3]
+            i, j = self.e[a, 1], self.e[a, 2]
+            alpha[w, j] += alpha[w, i] * prob[p]
         return alpha
 
     def expected(self, prob: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Expected count of every piece over all segmentations, words weighted."""
         alpha = self.forward(prob)[:, :, 0]
-        top = alpha.shape[1] - 1
         beta = np.zeros_like(alpha)
         beta[np.arange(self.n), self.lengths] = 1
-        e = self.e[np.argsort(-self.e[:, 1], kind="stable")]
-        starts = np.searchsorted(-e[:, 1], -np.arange(top, -1, -1), side="left")
-        starts = np.append(starts, len(e))
-        for k, _ in enumerate(range(top, -1, -1)):
-            w, i, j, p = e[starts[k]:starts[k + 1]].T
-            np.add.at(beta, (w, i), beta[w, j] * prob[p, 0])
+        e = self.e[np.lexsort((self.e[:, 2], -self.e[:, 1]))]
+        borders = self._groups(e[:, 1], e[:, 2])
+        for a, b in zip(borders[:-1], borders[1:], strict=True):
+            w, p = e[a:b, 0], e[a:b, 3]
+            i, j = e[a, 1], e[a, 2]
+            beta[w, i] += beta[w, j] * prob[p, 0]
         w, i, j, p = self.e.T
         total = alpha[np.arange(self.n), self.lengths]
         share = alpha[w, i] * prob[p, 0] * beta[w, j] / total[w] * weight[w]
@@ -143,7 +196,8 @@ class Scorer:
 
     def _new(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.prob.shape[1]))
-        short = [k for k, w in enumerate(words) if len(w) <= SHORT]
+        # Words of like length share a lattice.
+        short = sorted((k for k, w in enumerate(words) if len(w) <= SHORT), key=lambda k: len(words[k]))
         for lo in range(0, len(short), LATTICE_WORDS):
             part = short[lo:lo + LATTICE_WORDS]
             lattice = Lattice([words[k] for k in part], self.path)
@@ -155,17 +209,19 @@ class Scorer:
 
     def texts(self, texts: list[list[str]]) -> np.ndarray:
         """Summed log-probabilities of each list of words."""
-        fresh = list(dict.fromkeys(w for t in texts for w in t if w not in self.index))
+        index = self.index
+        fresh = list({w: None for t in texts for w in t if w not in index})
         scores = self._new(fresh)
-        free = CACHE_WORDS - len(self.index)
-        for w in fresh[:free]:
-            self.index[w] = len(self.index)
-        n = min(free, len(fresh))
-        self.table[len(self.index) - n:len(self.index)] = scores[:n]
-        table, index = self.table, self.index
-        if len(fresh) > free:
-            table = np.concatenate([self.table, scores[free:]])
-            index = self.index | {w: CACHE_WORDS + k for k, w in enumerate(fresh[free:])}
+        # Long words are not kept: they need not come again, and their size has no bound.
+        short = [k for k, w in enumerate(fresh) if len(w) <= SHORT][:CACHE_WORDS - len(index)]
+        low = len(index)
+        for k in short:
+            index[fresh[k]] = len(index)
+        self.table[low:len(index)] = scores[short]
+        table = self.table
+        if len(short) < len(fresh):
+            table = np.concatenate([self.table, scores])
+            index = index | {w: CACHE_WORDS + k for k, w in enumerate(fresh) if w not in index}
         out = np.zeros((len(texts), self.prob.shape[1]))
         for k, t in enumerate(texts):
             if t:
@@ -201,7 +257,7 @@ def _expected(langs: list[str], prob: np.ndarray, path: str):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(prob.T.shape)
         for frame in frames:
-            for lang, part in frame.groupby("lang"):
+            for lang, part in frame.assign(size=frame["word"].str.len()).sort_values("size").groupby("lang"):
                 k = langs.index(lang)
                 for lo in range(0, len(part), LATTICE_WORDS):
                     some = part[lo:lo + LATTICE_WORDS]
@@ -217,18 +273,20 @@ def fit(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text",
         train_rows: int = TRAIN_ROWS) -> Model | None:
     """Fit on labelled rows, about ``train_rows`` a language; None without any.
 
-    Rows are taken by a hash of their id, at a rate set from the language's
-    row count, so the sample is bounded at every size of the table.  Words of
-    more than SHORT letters are left out of the fit (not of prediction)."""
+    Rows are taken by a hash of id and text, at a rate set from the language's
+    count of different rows, so the sample is bounded at every size of the
+    table; a repeated row counts once, and rows that share an id are drawn each
+    by itself.  Words of more than SHORT letters are left out of the fit (not
+    of prediction)."""
     labelled = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"),
-                           F.col(lang).cast("string").alias("l")).where("l is not null and t is not null")
-    sizes = {r.l: r.n for r in labelled.groupBy("l").agg(F.count("*").alias("n")).collect()}
+                           F.col(lang).cast("string").alias("l")).where("l is not null and t is not null").withColumn("h", F.xxhash64("t"))
+    sizes = {r.l: r.n for r in labelled.select("k", "l", "h").distinct().groupBy("l").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
     langs = sorted(sizes)
     rate = F.create_map(*[F.lit(x) for c in langs for x in (c, min(1.0, train_rows / sizes[c]))])
-    drawn = F.pmod(F.xxhash64("k", F.lit("langid")), F.lit(1 << 20)) < rate[F.col("l")] * (1 << 20)
-    counts = labelled.where(drawn).select("l", "t").mapInArrow(_word_rows, "lang string, word string, n long")
+    drawn = F.pmod(F.xxhash64("k", "h", F.lit("langid")), F.lit(1 << 20)) < rate[F.col("l")] * (1 << 20)
+    counts = labelled.where(drawn).dropDuplicates(["k", "l", "h"]).select("l", "t").mapInArrow(_word_rows, "lang string, word string, n long")
     counts = counts.where(F.length("word") <= SHORT).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = materialize(counts, "langid-words")
     n_pieces = len(pieces(path)[0]) + 1
@@ -258,9 +316,21 @@ def _identify(scorer: Scorer, langs: list[str], texts: pa.Array) -> tuple[list[s
     return [f[0] for f in found], [f[1] for f in found]
 
 
+_scorers: dict[tuple[str, bytes], Scorer] = {}
+
+
+def _scorer(model: Model) -> Scorer:
+    """The worker's scorer of a model, kept from task to task."""
+    key = model.path, hashlib.sha256(model.log_prob.tobytes()).digest()
+    if key not in _scorers:
+        _scorers.clear()
+        _scorers[key] = Scorer(model.log_prob, model.path)
+    return _scorers[key]
+
+
 def _predictor(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.log_prob, model.path)
+        scorer = _scorer(model)
         for b in batches:
             langs, scores = _identify(scorer, model.langs, b.column(1))
             yield pa.RecordBatch.from_arrays(
@@ -269,12 +339,12 @@ def _predictor(model: Model):
     return run
 
 
-def _keeper(model: Model, text: str, least: float):
+def _keeper(model: Model, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.log_prob, model.path)
+        scorer = _scorer(model)
         for b in batches:
-            langs, scores = _identify(scorer, model.langs, b.column(b.schema.get_field_index(text)))
-            yield b.filter(pa.array([c != UNDETERMINED and s >= least for c, s in zip(langs, scores, strict=True)], pa.bool_()))
+            langs, _ = _identify(scorer, model.langs, b.column(b.schema.get_field_index(text)))
+            yield b.filter(pa.array([c != UNDETERMINED for c in langs], pa.bool_()))
 
     return run
 
@@ -287,9 +357,9 @@ def predict(docs: DataFrame, model: Model | None, *, key: str = "doc_id", text:
     return rows.mapInArrow(_predictor(model), "k long, lang_pred string, score double").withColumnRenamed("k", "doc_id")
 
 
-def identified(docs: DataFrame, model: Model | None, *, text: str = "text", least: float = 0.5) -> DataFrame:
-    """The documents whose language is determined with a score of at least
-    ``least``, all columns as they are; none without a model."""
+def identified(docs: DataFrame, model: Model | None, *, text: str = "text") -> DataFrame:
+    """The documents whose language is determined, all columns as they are;
+    none without a model."""
     if model is None:
         return docs.limit(0)
-    return docs.mapInArrow(_keeper(model, text, least), docs.schema)
+    return docs.mapInArrow(_keeper(model, text), docs.schema)

@@ -16,10 +16,12 @@ letters, ASCII signs and line ends.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
+from codecs import charmap_decode
 from functools import lru_cache
 
 import numpy as np
-import regex
 from tokenizers import Tokenizer
 
 # Entries kept per worker: a memory bound, not a limit on words (a word beyond
@@ -27,21 +29,24 @@ from tokenizers import Tokenizer
 CHUNK_CACHE = 600_000
 PIECE_CACHE = 400_000
 
-# The split patterns of the two vocabularies.
-BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The split patterns of the two vocabularies, over the plain
+# characters, of which these are the letters.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+BYTE_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+"
+WORD_PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+"
 
-_PLAIN = regex.compile("[\n -~À-ÖØ-öø-ÿ]*")
+_PLAIN = re.compile(f"[\n -~{LETTERS}]*")
 # A space inside a run of white space: no border of a piece.
 _INNER_SPACE = re.compile(r" (?<=[\s\u180e\ufeff] )(?=[\s\u180e\ufeff]|\Z)")
 
 
-def _byte_alphabet() -> dict[int, str]:
-    """The printable stand-in of each byte: printable Latin-1 stands for
-    itself, the rest for code points from 256 on."""
+def _byte_alphabet() -> str:
+    """The printable stand-in of each byte, in order: printable Latin-1 stands
+    for itself, the rest for code points from 256 on."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in own]
-    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    table = {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+    return "".join(table[b] for b in range(256))
 
 
 class _Pieces(dict):
@@ -52,13 +57,20 @@ class _Pieces(dict):
         self.alphabet = _byte_alphabet()
 
     def __missing__(self, piece: str) -> bytes:
-        mapped = piece.encode().decode("latin-1").translate(self.alphabet)
-        ids = np.array([t.id for t in self.tokenize(mapped)], dtype="<u4").tobytes()
+        mapped = charmap_decode(piece.encode(), "strict", self.alphabet)[0]
+        ids = _raw([t.id for t in self.tokenize(mapped)])
         if len(self) < PIECE_CACHE:
             self[piece] = ids
         return ids
 
 
+def _raw(ids: list[int]) -> bytes:
+    """Ids as little-endian uint32 bytes."""
+    if sys.byteorder == "little" and array("I").itemsize == 4:
+        return array("I", ids).tobytes()
+    return np.array(ids, dtype="<u4").tobytes()
+
+
 class _Chunks(dict):
     """Chunk between two spaces -> ids as little-endian uint32 bytes."""
 
@@ -79,19 +91,22 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.folds = self.tokenizer.normalizer is not None
-        self.find = regex.compile(WORD_PATTERN if self.folds else BYTE_PATTERN).findall
+        self.find = re.compile(WORD_PATTERN if self.folds else BYTE_PATTERN).findall
         self.pieces = _Pieces(self.tokenizer)
         self.first = _Chunks(self, "")
         self.rest = self.first if self.folds else _Chunks(self, " ")
 
     def whole(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return _raw(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def chunk_ids(self, chunk: str) -> bytes:
         if not _PLAIN.fullmatch(chunk):
             return self.whole(chunk)
-        return b"".join([self.pieces[p] for p in self.find(chunk.lower() if self.folds else chunk)])
+        if self.folds:
+            chunk = chunk.lower()
+        if chunk.isalpha() or (chunk[:1] == " " and chunk[1:].isalpha()):  # one piece
+            return self.pieces[chunk]
+        return b"".join([self.pieces[p] for p in self.find(chunk)])
 
     def encode(self, text: str) -> bytes:
         if any([t in text for t in self.added]) or (not self.folds and _INNER_SPACE.search(text)):

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import glob
 import itertools
+import os
+import unicodedata
 
 import numpy as np
 import public_tokenizers
@@ -10,6 +13,7 @@ import pytest
 
 from cardsentry.llm import langid
 from cardsentry.llm.queries import op8_language_id
+from cardsentry.session import shared_dir
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -69,8 +73,40 @@ def test_odd_documents(spark, odd_docs, no_docs):
     und = sorted(str(r.doc_id) for r in texts if not any(c.isalpha() for c in r.text or ""))
     assert sorted(str(r.doc_id) for r in got.where("lang_pred = 'und'").collect()) == und
     assert got.where("score < 0 or score > 1 or score is null").isEmpty()
-    kept = langid.identified(odd_docs, model, least=0.0)
+    kept = langid.identified(odd_docs, model)
     assert kept.columns == odd_docs.columns and kept.count() == len(texts) - len(und)
     assert langid.fit(no_docs, PATH) is None
     assert {r.lang_pred for r in langid.predict(odd_docs, None).collect()} == {"und"}
     assert langid.predict(no_docs, model).count() == 0 and langid.identified(no_docs, None).count() == 0
+
+
+def test_letters_are_those_of_category_l():
+    assert langid.words_of("½ 12 ² ① Ⅷ x² Ünder 日本一 a1b ª") == ["x", "ünder", "日本一", "a", "b", "ª"]
+    for c in map(chr, range(0x3000)):
+        letter = unicodedata.category(c).startswith("L")
+        assert bool(langid.words_of(c)) == any(unicodedata.category(x).startswith("L") for x in c.lower()) and (not letter or langid.words_of(c))
+
+
+def test_a_repeated_id_does_not_decide_the_sample(spark):
+    """Thousands of texts under one id, and thousands of equal rows: the sample
+    is about as large as asked for."""
+    one_id = [(7, f"the word number {i} is here", "en") for i in range(4000)]
+    same = [(8, "das ist ein haus", "de")] * 4000 + [(None, f"ein satz {i}", "de") for i in range(500)]
+    df = spark.createDataFrame(one_id + same, "doc_id long, text string, lang string")
+    model = langid.fit(df, PATH, train_rows=400)
+    en = langid.predict(spark.createDataFrame([(1, "the word is here"), (2, "ein satz")], "doc_id long, text string"), model)
+    assert {r.doc_id: r.lang_pred for r in en.collect()} == {1: "en", 2: "de"}
+    drawn = {(r.lang): r.n for r in spark.read.parquet(max(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/cardsentry/langid-words-*"), key=os.path.getmtime))
+             .where("word in ('here', 'satz')").groupBy("lang").sum("n").toDF("lang", "n").collect()}
+    assert 300 < drawn["en"] < 500 and 300 < drawn["de"] < 500
+
+
+def test_long_words_and_texts(spark):
+    model = langid.fit(spark.createDataFrame([(1, "the house is big and the dog runs", "en"), (2, "das haus ist groß und der hund läuft", "de")],
+                                             "doc_id long, text string, lang string"), PATH)
+    long = ["x" * 200_000, "the house " * 100_000, "日本" * 30_000, "haus" * 5]
+    got = langid.predict(spark.createDataFrame(list(enumerate(long)), "doc_id long, text string"), model).collect()
+    assert {r.doc_id: r.lang_pred for r in got}[1] == "en" and all(0 <= r.score <= 1 for r in got)
+    scorer = langid.Scorer(model.log_prob, PATH)
+    scorer.texts([langid.words_of(t) for t in long])
+    assert max(map(len, scorer.index)) <= langid.SHORT
