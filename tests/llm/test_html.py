@@ -92,3 +92,51 @@ def test_odd_pages(spark):
     assert got[9] == ("long " * 50_000).strip()
     empty = spark.createDataFrame([], "page_id long, url string, html string, host string, text string, id int")
     assert h.main_text(empty).count() == 0
+
+
+def _of_pages(spark, *pages):
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(pages)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in h.main_text(df).collect()}
+
+
+def test_paragraphs_that_pages_share_stay(spark):
+    """Two pages of one host with eight of ten paragraphs in common, in the
+    article itself or in an element of it; a fixed line of its own goes."""
+    shared = [f"This paragraph {i} is common to the corrected editions." for i in range(8)]
+    for wrap in ("{}", "<div class='x7'>{}</div>"):
+        pages, want = [], []
+        for k in range(2):
+            lines = ["One headline", *shared, f"An own paragraph of edition {k}.", f"Another one that only {k} has."]
+            body = "<h1>One headline</h1>" + "".join(f"<p>{x}</p>" for x in lines[1:])
+            pages.append(("http://h.example/" + str(k), f"<html><body><nav><ul><li>Home</li></ul></nav><article>{wrap.format(body)}"
+                          "<div class='q9'>Write to us now</div></article><footer>Foot</footer></body></html>"))
+            want.append("\n".join(lines))
+        assert list(_of_pages(spark, *pages).values()) == want
+
+
+def test_names_inside_an_article(spark):
+    html = ("<body><article><h1>Title of it</h1><section id='related-work'><p>Related work is here</p></section><blockquote class=reply>A quotation</blockquote>"
+            "<p>one <b>a</b>\n<b>b</b> two</p><div class='comments'><p>Nice post</p></div><div class='share'>Share it</div></article></body>")
+    assert _of_pages(spark, ("http://a.example/", html))[0] == "Title of it\nRelated work is here\nA quotation\none a b two"
+
+
+def test_line_breaks_outside_body_and_stray_quotes(spark):
+    pages = [("http://a.example/", "<p>one <b>a</b>\n<b>b</b> two</p>"),
+             ("http://b.example/", "<article><p title='it's'>Don't stop</p><p>It's here</p></article>"),
+             ("http://c.example/", "<article><p class=\"x>still a tag</p><p>shown</p></article>"),
+             ("http://d.example/", "<article><p>1 < 2 and 3 > 2</p><p>a <b</p></article>")]
+    got = _of_pages(spark, *pages)
+    assert (got[0], got[1], got[2]) == ("one a b two", "Don't stop\nIt's here", "still a tag\nshown")
+    assert got[3].startswith("1 < 2 and 3 > 2")
+
+
+def test_broken_markup_is_read_in_linear_time():
+    import time
+
+    hostile = ["<a " * 300_000, "<a " * 300_000 + ">", "<" * 500_000, "<!--" * 200_000, "<a x=\"" * 200_000 + ">", "<a x='\"" * 200_000 + ">", "</div" * 200_000 + ">",
+               "<script>" + "</script " * 200_000, "<div>" * 100_000 + "</p>" * 100_000, "<div>" * 50_000 + "</section>" * 100_000, "a='b" * 300_000, "&" * 500_000,
+               "<p " + "class='a' " * 100_000 + ">x"]
+    for html in hostile:
+        began = time.time()
+        h.read_page(html)
+        assert time.time() - began < 5, html[:30]
