@@ -13,9 +13,13 @@ Items go to the tasks in blocks of bounded bytes, one pass over the documents
 per block, so any number of items works in bounded memory.
 
 Defined cases: a null or empty text has no finding; an item shorter than
-``min_chars`` after normalisation (or null) is too short to be evidence and is
-left out; items with equal text are reported each; a repeated row is reported
-as often as it occurs; empty tables give no rows.
+``min_chars`` after normalisation is found only without an edit and between
+borders of words (in scripts without spaces, anywhere); a null or blank item is
+nowhere; an item without an id is reported with a null one; items with equal
+text are reported each; a repeated row is reported as often as it occurs; of
+equally good places the first is reported; texts of any length are searched
+whole; empty tables give no rows; other columns are ignored or kept as they
+are, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,8 +34,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ERROR_RATE = 0.1
+# Shorter items are searched as they are, at borders of words.
 MIN_CHARS = 30
 BLOCK_BYTES = 16 << 20
+# Scripts from here on (kana, CJK, Hangul) are written without spaces or with few.
+UNSPACED = "\u2e80"
 
 
 def normalise(text: str | None) -> str:
@@ -96,15 +103,23 @@ def within_one(a: str, b: str) -> bool:
     return a[i + (len(a) == len(b)):] == b[i + 1:]
 
 
+def _inner(text: str, at: int) -> bool:
+    """Whether a place stands inside a word written with spaces around it."""
+    if not 0 < at < len(text):
+        return False
+    a, b = text[at - 1], text[at]
+    return a.isalnum() and b.isalnum() and max(a, b) < UNSPACED
+
+
 class Matcher:
     """Automaton over the pieces of some items."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float):
-        self.items, self.budget = items, []
+    def __init__(self, items: list[tuple[int | None, str]], error_rate: float, min_chars: int = MIN_CHARS):
+        self.items, self.budget, self.min_chars = items, [], min_chars
         # Piece -> (item, its start, start and end of its pair)
         places: dict[str, list[tuple[int, int, int, int]]] = {}
         for n, (_, text) in enumerate(items):
-            k = int(error_rate * len(text))
+            k = int(error_rate * len(text)) if len(text) >= min_chars else 0
             self.budget.append(k)
             cuts = [len(text) * i // (k + 1) for i in range(k + 2)]
             for i in range(k + 1):
@@ -134,6 +149,10 @@ class Matcher:
             for n, start, low, high in where:
                 item, k = self.items[n][1], self.budget[n]
                 begin = at - start
+                if len(item) < self.min_chars:  # one piece, found whole
+                    if not (_inner(text, begin) or _inner(text, begin + len(item))):
+                        best[n] = min(best.get(n, (0, begin, begin + len(item))), (0, begin, begin + len(item)))
+                    continue
                 seen = done.get(n)
                 # An alignment already looked at lies within the verified text.
                 if seen and seen[0] <= begin <= seen[1]:
@@ -160,9 +179,9 @@ _OUT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance",
 _DDL = "doc_id long, item_id long, distance int, start int, end int"
 
 
-def _search(items: list[tuple[int, str]], error_rate: float):
+def _search(items: list[tuple[int | None, str]], error_rate: float, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items, error_rate)
+        matcher = Matcher(items, error_rate, min_chars)
         for b in batches:
             rows = []
             for key, value in zip(b.column(0), b.column(1), strict=True):
@@ -174,9 +193,9 @@ def _search(items: list[tuple[int, str]], error_rate: float):
     return run
 
 
-def _keep_clean(items: list[tuple[int, str]], error_rate: float, text: str):
+def _keep_clean(items: list[tuple[int | None, str]], error_rate: float, text: str, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(items, error_rate)
+        matcher = Matcher(items, error_rate, min_chars)
         for b in batches:
             clean = [not matcher.find(normalise(t.as_py())) for t in b.column(b.schema.get_field_index(text))]
             yield b.filter(pa.array(clean, pa.bool_()))
@@ -184,16 +203,16 @@ def _keep_clean(items: list[tuple[int, str]], error_rate: float, text: str):
     return run
 
 
-def item_blocks(benchmark: DataFrame, *, item: str = "item_id", text: str = "text", min_chars: int = MIN_CHARS,
-                block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(benchmark: DataFrame, *, item: str = "item_id", text: str = "text",
+                block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int | None, str]]]:
     """The items, normalised, in blocks of about ``block_bytes``."""
     rows = benchmark.select(F.col(item).cast("long").alias("i"), F.col(text).cast("string").alias("t")).where("t is not null")
     total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = -(-total // block_bytes)
     for block in range(n):
         part = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == block).collect()
-        items = sorted((r.i, normalise(r.t)) for r in part if r.i is not None)
-        items = [x for x in items if len(x[1]) >= min_chars]
+        items = sorted(((r.i, normalise(r.t)) for r in part), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+        items = [x for x in items if x[1]]
         if items:
             yield items
 
@@ -204,14 +223,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id",
     the span in the document of its best occurrence."""
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("t"))
     out = docs.sparkSession.createDataFrame([], _DDL)
-    for items in item_blocks(benchmark, min_chars=min_chars, block_bytes=block_bytes):
-        out = out.unionByName(rows.mapInArrow(_search(items, error_rate), _DDL))
+    for items in item_blocks(benchmark, block_bytes=block_bytes):
+        out = out.unionByName(rows.mapInArrow(_search(items, error_rate, min_chars), _DDL))
     return out
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", error_rate: float = ERROR_RATE,
                          min_chars: int = MIN_CHARS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents in which no test item occurs, all columns as they are."""
-    for items in item_blocks(benchmark, min_chars=min_chars, block_bytes=block_bytes):
-        docs = docs.mapInArrow(_keep_clean(items, error_rate, text), docs.schema)
+    for items in item_blocks(benchmark, block_bytes=block_bytes):
+        docs = docs.mapInArrow(_keep_clean(items, error_rate, text, min_chars), docs.schema)
     return docs

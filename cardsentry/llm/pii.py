@@ -5,7 +5,7 @@ Detected: e-mail addresses, phone numbers with a country code or in the North
 American national shapes (``(555) 201-7788``, ``555-201-7788``), payment card
 numbers, IPv4 addresses, US social security numbers, secrets that follow a
 name such as ``token =``, ``API_KEY=`` or ``"client_secret":`` (16 characters,
-or six with a digit or in quotes), and names after a title.  A national number
+or six with a digit or in quotes), and names after a title (Dr and Prof tell no gender, so their surrogates have a neutral form).  A national number
 is that of country code 1.  An entity is a type and a
 canonical value (digits only, lower case), so the same number written in two
 ways is one entity and keeps one surrogate everywhere (coreference).
@@ -26,9 +26,15 @@ Only documents with a finding are rebuilt; a document's findings are its own
 row group, an entity however frequent is one row, and the join from occurrences
 to surrogates is an ordinary equi-join that AQE may split.
 
-Defined cases: null and empty texts stay as they are; repeated rows get equal
-texts; rows without an id are handled like any other; an empty table gives no
-rows; a type whose surrogates are used up raises an error.
+A bare number of 13 to 19 digits is a card only if it begins like one (2 to 6)
+and passes the Luhn check; four groups of four are one in any case.
+
+Defined cases: null and empty texts stay as they are; very long texts, of
+whatever characters, are matched without recursion; repeated rows get equal
+texts; rows without an id are handled like any other; of entities that draw one
+surrogate the smallest value keeps it; an empty table gives no rows; a type
+whose surrogates are used up raises an error; other columns stay, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -40,6 +46,7 @@ from cardsentry.llm.common import materialize
 
 # Titles by gender and script.
 MALE = ["Mr", "Herr", "Monsieur", "Señor", "г-н"]
+NEUTRAL = ["Dr", "Prof", "Mx"]
 FEMALE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "г-жа"]
 SECRET_NAMES = ["token", "api_key", "apikey", "api-key", "secret", "password", "passwd", "access_key", "secret_key", "private_key",
                 "pwd", "passphrase"]
@@ -49,17 +56,19 @@ SYLLABLES = {
     "cyrillic": ["ба", "бо", "ва", "ве", "да", "де", "до", "за", "ка", "ко", "ла", "ле", "ли", "ло", "ма", "ме", "ми", "мо", "на", "не",
                  "ни", "но", "па", "ра", "ре", "ри", "ро", "са", "се", "си", "та", "те", "ти", "то"],
 }
-ENDINGS = {"given_f": {"latin": "na", "cyrillic": "на"}, "given_m": {"latin": "r", "cyrillic": "р"},
+ENDINGS = {"given_n": {"latin": "s", "cyrillic": "с"}, "given_f": {"latin": "na", "cyrillic": "на"}, "given_m": {"latin": "r", "cyrillic": "р"},
            "family": {"latin": "lin", "cyrillic": "лин"}}
 
 # Possessive, and only from the start of a word: a word without an @ is read once.
-_EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+# The domain is one run of characters, of which DNS allows 253: a group per label would recurse in the JVM.
+_DOMAIN = r"(?![.-])[A-Za-z0-9.-]{1,250}\.[A-Za-z]{2,63}"
+_EMAIL = rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}._%+-]++@{_DOMAIN}"
 _PHONE = r"(?<![\p{L}\d+])\+\d{1,3}(?:[ .-]?\(\d{2,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
 _NATIONAL = r"(?<![\p{L}\d+(.-])(?:(?:1[ .-])?\(\d{3}\) ?\d{3}[ .-]\d{4}|(?:1[ .-])?\d{3}[.-]\d{3}[.-]\d{4})(?![\d]|[.-]\d)"
 _CARD = r"(?<![\d.-])(?:\d{4}[ -]){3}\d{4}(?!\d)|(?<![\d.-])\d{13,19}(?!\d)"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_IP = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)"
+_IP = rf"(?<![\d.]|[Vv]|[Vv]ersion )(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)"
 # After the name, perhaps with a prefix and a closing quote; four letters or digits at least, of which a surrogate is made.
 _SECRET = (
     r"(?<=[:=]\s{0,3}[\"']{0,1})(?=(?:[^\s\"'<>]{0,40}?[A-Za-z0-9]){4})"
@@ -68,10 +77,12 @@ _SECRET = (
     r"|(?=[A-Za-z+/_=.!@#$%^*~-]{0,15}\d)[A-Za-z0-9+/_=.!@#$%^*~-]{5,}[A-Za-z0-9+/_=!@#$%^*~-]"
     r"|[A-Za-z0-9+/_=-]{16,})"
 )
-_TITLE = rf"(?:{'|'.join([*MALE, *FEMALE])})\.? "
+_TITLE = rf"(?:{'|'.join([*MALE, *FEMALE, *NEUTRAL])})\.? "
 _NAME = rf"(?<![\p{{L}}]){_TITLE}\p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?"
 PATTERN = "|".join([_EMAIL, _SECRET, _PHONE, _NATIONAL, _IP, _SSN, _CARD, _NAME])
 
+# Type of a match that is no personal data after all: a long number that is no card's.
+PLAIN = "plain"
 # Draws per entity before a type counts as used up.
 MAX_ROUNDS = 64
 
@@ -82,7 +93,7 @@ def may_hold(text: Column) -> Column:
     may = text.contains("@") | text.rlike("[0-9]")
     for word in SECRET_NAMES:
         may = may | F.lower(text).contains(word)
-    for word in [*MALE, *FEMALE]:
+    for word in [*MALE, *FEMALE, *NEUTRAL]:
         may = may | text.contains(word)
     return may
 
@@ -97,7 +108,9 @@ def parts_of(match: Column) -> Column:
     A name after a title has one entity a word, so that ``Mr Ames`` and
     ``Mr Tom Ames`` share a family name."""
     words = F.split(F.regexp_replace(match, "^" + _TITLE, ""), " ")
-    gender = F.when(match.rlike("^(?:" + "|".join(FEMALE) + r")\b"), F.lit("given_f")).otherwise(F.lit("given_m"))
+    gender = (
+        F.when(match.rlike("^(?:" + "|".join(FEMALE) + r")\b"), F.lit("given_f"))
+        .when(match.rlike("^(?:" + "|".join(NEUTRAL) + r")\b"), F.lit("given_n")).otherwise(F.lit("given_m")))
     name = F.transform(words, lambda w, i: F.struct(
         F.when(i == F.size(words) - 1, F.lit("family")).otherwise(gender).alias("type"), F.lower(w).alias("value"), w.alias("found")))
 
@@ -106,13 +119,14 @@ def parts_of(match: Column) -> Column:
 
     digits = F.regexp_replace(match, r"\D", "")
     return (
-        F.when(match.rlike(r"^[^@]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}$"), one("email", F.lower(match)))
+        F.when(match.contains("@") & match.rlike(rf"^[\p{{L}}\p{{N}}._%+-]++@{_DOMAIN}$"), one("email", F.lower(match)))
         .when(match.rlike("^" + _TITLE), name)
         .when(match.rlike(r"^\+[\d .()-]+$"), one("phone", digits))
         .when(_is(_NATIONAL, match), one("phone", F.concat(F.when(F.length(digits) == 10, "1").otherwise(""), digits)))
         .when(_is(_IP, match), one("ip", match))
         .when(_is(r"\d{3}-\d{2}-\d{4}", match), one("ssn", digits))
-        .when(match.rlike(r"^\d[\d -]*$") & F.length(digits).between(13, 19), one("card", digits))
+        .when(match.rlike(r"^\d{4}[ -]\d") & match.rlike(r"^[\d -]+$"), one("card", digits))
+        .when(match.rlike(r"^\d{13,19}$"), F.when(match.rlike("^[2-6]") & (_luhn_sum(match) % 10 == 0), one("card", match)).otherwise(one(PLAIN, match)))
         .otherwise(one("secret", match))
     )
 
@@ -133,16 +147,16 @@ def _letter(i: Column, first: str) -> Column:
 
 
 def _reshaped(value: Column, seed: Column) -> Column:
-    """Digits for digits, letters for letters of the same case, the rest as it is."""
-    def one(i: Column) -> Column:
-        c = F.substring(value, i, F.lit(1))
+    """Digits for digits, letters for letters of the same case, the rest as it
+    is; cut into characters once, so the time follows the length."""
+    def one(c: Column, i: Column) -> Column:
         return (
             F.when(c.rlike(r"\d"), _draw(seed, i, 10).cast("string"))
             .when(c.rlike(r"\p{Lu}"), _letter(_draw(seed, i, 26), "A"))
             .when(c.rlike(r"\p{L}"), _letter(_draw(seed, i, 26), "a")).otherwise(c)
         )
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(value), F.lit(1))), one), "")
+    return F.array_join(F.transform(F.split(value, ""), one), "")
 
 
 def _digits(value: Column, seed: Column, keep: Column, least: int) -> Column:
@@ -230,18 +244,20 @@ def rendered(kind: Column, found: Column, value: Column) -> Column:
 
     shaped = F.array_join(F.transform(F.sequence(F.lit(1), F.length(found)), one), "")
     name = F.when((F.length(found) > 1) & (F.upper(found) == found), F.upper(value)).otherwise(F.initcap(value))
-    return F.when(kind.isin("phone", "card", "ssn"), shaped).when(kind.isin("family", "given_m", "given_f"), name).otherwise(value)
+    return F.when(kind.isin("phone", "card", "ssn"), shaped).when(kind.isin("family", "given_m", "given_f", "given_n"), name).otherwise(value)
 
 
 def resolve(entities: DataFrame, key: str) -> DataFrame:
     """type, value, surrogate of distinct entities (type, value): rounds of
     drawing and checking until every entity has a surrogate of its own."""
+    # A small file would be one task, and drawing is the work here.
+    spread = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entities = materialize(entities, "pii-entities")
     taken = entities.select("type", F.col("value").alias("surrogate"))
     pending, done = entities, None
     for rnd in range(MAX_ROUNDS):
         drawn = materialize(
-            pending.withColumn("surrogate", surrogate(key, F.col("type"), F.col("value"), F.lit(rnd)))
+            pending.repartition(spread, "type", "value").withColumn("surrogate", surrogate(key, F.col("type"), F.col("value"), F.lit(rnd)))
             .join(taken, ["type", "surrogate"], "left_anti"), "pii-drawn")
         first = drawn.groupBy("type", "surrogate").agg(F.min("value").alias("value"))
         kept = materialize(first.select("type", "value", "surrogate"), "pii-kept")
@@ -265,21 +281,24 @@ def replace(docs: DataFrame, key: str, *, text: str = "text", count: str | None
     parts = dirty.select("r", F.posexplode("m").alias("at", "match")).select(
         "r", "at", F.regexp_extract("match", "^" + _TITLE, 0).alias("title"), F.posexplode(parts_of(F.col("match"))).alias("nth", "p"))
     parts = parts.select("r", "at", "nth", "title", "p.type", "p.value", "p.found")
-    surrogates = materialize(resolve(parts.select("type", "value").distinct(), key), "pii-surrogates")
-    said = parts.join(surrogates, ["type", "value"]).withColumn("said", rendered(F.col("type"), F.col("found"), F.col("surrogate")))
+    surrogates = materialize(resolve(parts.where(F.col("type") != PLAIN).select("type", "value").distinct(), key), "pii-surrogates")
+    kept = F.col("type") == PLAIN
+    said = parts.join(surrogates, ["type", "value"], "left").withColumn(
+        "said", F.when(kept, F.col("found")).otherwise(rendered(F.col("type"), F.col("found"), F.col("surrogate"))))
     # The findings of one document, in order; words of one name with a space between.
     ordered = F.array_sort(F.collect_list(F.struct("at", "nth", "title", "said")))
-    lists = said.groupBy("r").agg(ordered.alias("s"))
+    lists = said.groupBy("r").agg(ordered.alias("s"), F.sum(((F.col("nth") == 0) & ~kept).cast("int")).cast("int").alias("n"))
     glued = F.transform(F.col("s"), lambda x: F.concat(
         F.when(x["nth"] == 0, F.concat(F.lit("\x00"), x["title"])).otherwise(F.lit(" ")), x["said"]))
     # The first element, before the first border, is empty.
     replacements = F.split(F.array_join(glued, ""), "\x00")
-    rebuilt = dirty.join(lists, "r").select("d", "m", replacements.alias("s"))
+    rebuilt = dirty.join(lists, "r").select("d", "n", replacements.alias("s"))
     literals = F.split(F.col(f"d.`{text}`").cast("string"), PATTERN, -1)
-    new_text = F.array_join(F.transform(literals, lambda x, i: F.when(i == 0, x).otherwise(F.concat(F.get(F.col("s"), i), x))), "")
+    # Both lists are made once a row: a lambda that names one would make it again for each element.
+    new_text = F.array_join(F.zip_with(literals, F.col("s"), lambda x, said: F.concat(F.coalesce(said, F.lit("")), x)), "")
 
     def columns(changed: bool) -> list[Column]:
         out = [(new_text if changed and c == text else F.col(f"d.`{c}`")).alias(c) for c in docs.columns]
-        return out if count is None else [*out, (F.size("m") if changed else F.lit(0)).alias(count)]
+        return out if count is None else [*out, (F.col("n") if changed else F.lit(0)).alias(count)]
 
     return whole.where("not _holds").select(*columns(False)).unionByName(rebuilt.select(*columns(True)))

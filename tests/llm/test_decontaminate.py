@@ -95,3 +95,15 @@ def test_documents(spark, odd_docs, no_docs):
     assert d.contaminated(odd_docs, bench).count() == 0
     clean = d.without_contaminated(odd_docs, bench)
     assert clean.columns == odd_docs.columns and clean.count() == odd_docs.count()
+
+
+def test_short_and_nameless_items(spark):
+    bench = spark.createDataFrame([(1, "What is the boiling point"), (None, "A nameless item of thirty-six letters"), (3, "首都はどこですか"), (4, "x1"), (5, "  ")],
+                                  "item_id long, text string")
+    texts = ["so: WHAT is the  boiling point?", "say a nameless item of thirty-six letters now", "日本の首都はどこですか。", "what is the boiling points", "ax1 x12",
+             "x1", "the x1, here", "clean", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = d.contaminated(docs, bench).collect()
+    assert sorted((r.doc_id, str(r.item_id), r.distance) for r in got) == [(0, "1", 0), (1, "None", 0), (2, "3", 0), (5, "4", 0), (6, "4", 0)]
+    assert {texts[r.doc_id][r.start:r.end] for r in got if r.doc_id == 0} == {"WHAT is the  boiling point?"}
+    assert sorted(r.doc_id for r in d.without_contaminated(docs, bench).collect()) == [3, 4, 7, 8]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -107,3 +108,57 @@ def test_odd_documents(odd_docs, no_docs):
     changed = [r.text for r in got.where("n_replaced > 0").collect()]
     assert len(changed) == 2 and not any("ann.lee" in t.lower() or "4111" in t or "deadbeef" in t for t in changed)
     assert pii.replace(no_docs, "k").count() == 0
+
+
+def test_long_hostile_texts_of_every_alphabet(spark):
+    """Much of what each part of the pattern repeats: no recursion, no
+    matches where there are none."""
+    n = 100_000
+    texts = ["mail x@" + "a." * (n // 2) + "com", "x@" + "a" * n, "a." * (n // 2), "x@" * (n // 2), "x@" + "-." * (n // 2), "+1 " + "555 " * (n // 4), "1" * n,
+             "1234 " * (n // 5), "1.2.3." * (n // 6), "555-" * (n // 4), "token = " + "a" * n, "token = \"" + "a" * n, "token = " * (n // 8), "Mr " + "Aa" * (n // 2),
+             "Mr A" + "' A" * (n // 3), "secret:" + " " * n, "%+-._" * (n // 5), "(" * n, "Mr " * (n // 3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r for r in pii.replace(df, "k", count="n").select("doc_id", "n", F.length("text").alias("l"), F.substring("text", 1, 8).alias("h")).collect()}
+    assert len(got) == len(texts)
+    assert all(got[i].n == 0 and got[i].l == len(texts[i]) for i in (0, 1, 2, 3, 4, 6, 15, 16, 17))
+
+
+def test_numbers_and_words_that_are_nobodys(spark):
+    texts = ["ISBN 9780306406157", "at 1700000000000 ms", "order 4111111111111112", "version 1.2.3.4", "v1.2.3.4", "no personal data", "a@b..", "a@.com"]
+    assert _replaced(spark, texts) == texts
+    out = _replaced(spark, ["card 4111111111111111", "Dr. John Brown came", "Prof Ann Brown too", "host 8.8.4.4", "4111 1111 1111 1112", "mail a.b@c-d.co.uk."])
+    assert "4111111111111111" not in out[0] and re.fullmatch(r"card 4\d{15}", out[0])
+    first, second = re.fullmatch(r"Dr\. (\w+) (\w+) came", out[1]), re.fullmatch(r"Prof (\w+) (\w+) too", out[2])
+    assert first[2] == second[2] != "Brown" and "John" not in out[1]
+    assert "8.8.4.4" not in out[3] and "1112" not in out[4] and re.fullmatch(r"mail [a-z]\.[a-z]@[a-z]{6}\.example\.", out[5])
+
+
+def _plain_entities(text):
+    """Independent scan for mail addresses, US social security numbers and
+    four-group cards, by Python."""
+    found = [("email", m[0].lower()) for m in re.finditer(r"(?<![\w.%+-])[\w.%+-]+@[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}", text)]
+    found += [("ssn", m[0].replace("-", "")) for m in re.finditer(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", text)]
+    return found + [("card", re.sub(r"\D", "", m[0])) for m in re.finditer(r"(?<![\d.-])(?:\d{4}[ -]){3}\d{4}(?!\d)", text)]
+
+
+def test_random_texts_by_a_plain_scan(spark):
+    """Every entity of the plain scan goes, one surrogate each, distinct, the
+    rest of the text stays letter for letter."""
+    rng = random.Random(11)
+    bits = ["bob@mail.example.org", "Bob@mail.example.org", "ann.x@a-b.co.uk", "123-45-6789", "987-65-4321", "4111 1111 1111 1111", "4111-1111-1111-1111", "word", "and", "12",
+            "x@", "@y", "1234 5678", "a.b", "Ünder"]
+    texts = [" , ".join(rng.choices(bits, k=rng.randint(1, 12))) for _ in range(200)]
+    out = _replaced(spark, texts)
+    said: dict[tuple[str, str], set[str]] = {}
+    for before, after in zip(texts, out, strict=True):
+        a, b = before.split(" , "), after.split(" , ")
+        assert len(a) == len(b)
+        for x, y in zip(a, b, strict=True):
+            found = _plain_entities(x)
+            if not found:
+                assert x == y
+                continue
+            kind, value = found[0]
+            said.setdefault((kind, value), set()).add(re.sub(r"\D", "", y) if kind != "email" else y)
+    assert all(len(v) == 1 for v in said.values()) and len({next(iter(v)) for v in said.values()}) == len(said) == 5
+    assert not {next(iter(v)) for v in said.values()} & {k[1] for k in said}
