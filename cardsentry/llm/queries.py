@@ -47,8 +47,9 @@ def op1_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Virtual slots weighted by bytes: the law is ``bytes``; ``slot`` is the
-    row's place in its shard."""
+    """Virtual slots weighted by bytes: the law is ``bytes``; the slots are dealt
+    (map version 1), the map is edited by the bytes found (version 2) and read
+    back; ``slot`` is the row's place in its shard."""
     placed = sharding.shard_documents(read_table(spark, sf_dir, "documents"), N_SHARDS, scratch_path(spark, "slot-map"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")

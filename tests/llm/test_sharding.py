@@ -3,25 +3,76 @@
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+
+import xxhash
 
 from cardsentry.llm import sharding
 
 
-def test_documents(spark, odd_docs, no_docs, tmp_path):
-    got = sharding.shard_documents(odd_docs, 4, f"file://{tmp_path}/map").collect()
-    rows = odd_docs.select("doc_id", "text").collect()
-    want = sorted((str(r.doc_id), len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode())) for r in rows)
-    assert sorted((str(r.doc_id), r["size"], r.text_crc32) for r in got) == want
+def _slot(doc_id, text, copy, n_slots=sharding.N_SLOTS):
+    """Spark's 64-bit hash by columns (each seeds the next, nulls pass) in plain Python."""
+    seed = 42
+    for value in (doc_id, text):
+        if value is not None:
+            seed = xxhash.xxh64_intdigest(value.encode() if isinstance(value, str) else value.to_bytes(8, "little", signed=True), seed)
+    last = xxhash.xxh64_intdigest(copy.to_bytes(8, "little"), xxhash.xxh64_intdigest(seed.to_bytes(8, "little"), 42))
+    return (last - (1 << 64 if last >> 63 else 0)) % n_slots
+
+
+def _by_hand(spark, rows, got, folder, n_shards):
+    """Every placement recomputed from the rows and the stored maps."""
+    seen, want = Counter(), []
+    for doc_id, text in rows:
+        data = (text or "").encode()
+        slot = _slot(doc_id, text, seen[doc_id, text])
+        seen[doc_id, text] += 1
+        want.append((str(doc_id), len(data) + 1, zlib.crc32(data), slot))
+    assert sorted((str(r.doc_id), r["size"], r.text_crc32, r.virtual_slot) for r in got) == sorted(want)
+    first, second = (sharding.read_map(spark, folder, v) for v in (1, 2))
+    assert first == {s: s % n_shards for s in range(sharding.N_SLOTS)}
+    assert set(second) == set(first) and set(second.values()) <= set(range(n_shards))
+    assert all(second[r.virtual_slot] == r.shard for r in got)
     places = defaultdict(list)
-    for r in got:
-        places[r.shard].append(r.slot)
-    assert all(sorted(p) == list(range(len(p))) for p in places.values())
-    stored = sharding.read_map(spark, f"file://{tmp_path}/map", 1)
-    assert len(stored) == sharding.N_SLOTS and all(stored[r.virtual_slot] == r.shard for r in got)
+    for r in sorted(got, key=lambda r: r.slot):
+        places[r.shard].append(r)
+    for placed in places.values():
+        assert [r.slot for r in placed] == list(range(len(placed)))
+        assert [r.virtual_slot for r in placed] == sorted(r.virtual_slot for r in placed)
+    loads = [sum(r["size"] for r in places[s]) for s in range(n_shards)]
+    return first, second, loads
+
+
+def test_documents(spark, odd_docs, no_docs, tmp_path):
+    folder = f"file://{tmp_path}/map"
+    got = sharding.shard_documents(odd_docs, 4, folder).collect()
+    _by_hand(spark, [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()], got, folder, 4)
     assert sharding.shard_documents(no_docs, 4, f"file://{tmp_path}/none").count() == 0
 
 
+def test_repeated_rows_are_split(spark, tmp_path, monkeypatch):
+    """Half of all rows are one row, a sixth one text; ranges of copies end in the middle."""
+    monkeypatch.setattr(sharding, "COPY_RANGE", 700)
+    rows = [(7, "one row again and again " * 8)] * 3000 + [(i, "one text of many ids " * 9) for i in range(1000)]
+    rows += [(i, f"text {i} " * (1 + i % 40)) for i in range(2000)]
+    folder = f"file://{tmp_path}/repeated"
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 8, folder).collect()
+    first, second, loads = _by_hand(spark, rows, got, folder, 8)
+    assert max(loads) - min(loads) <= 0.01 * sum(loads) / 8
+    # An edit, not a new deal: most slots stay where they were.
+    assert 0 < sum(first[s] != second[s] for s in first) < len(first) / 4
+
+
+def test_the_next_edit_starts_from_the_stored_map(spark, tmp_path):
+    folder = f"file://{tmp_path}/edits"
+    rows = [(i, f"text {i} " * (1 + i % 7)) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sharding.shard_documents(docs, 4, folder).count()
+    # Nothing changed, nothing moves.
+    sharding.shard_documents(docs, 4, folder, version=2).count()
+    assert sharding.read_map(spark, folder, 3) == sharding.read_map(spark, folder, 2)
+
+
 def _sizes(n):
     return {s: (100 + 37 * s % 101, 1) for s in range(n)}
 
