@@ -10,9 +10,12 @@ rejected.
 The estimate is found on all rows by concentration steps run as aggregates:
 distances under the current estimate, the bound that holds the share ``H`` of
 a group (from a histogram of distances in fixed bins), and the mean and
-scatter of the rows within it.  A step never raises the determinant; steps end
-when no group's determinant falls any more.  Only sums per group move, so a
-group of any size is spread over all tasks.
+scatter of the rows within it.  Each group steps until its determinant no
+longer falls by ``LEAST_FALL`` of its logarithm and keeps the lowest; as the
+least variances bound it from below, every group ends, however many steps it
+takes.  Ties: rows of one bin of distances are all in or all out, so equal
+vectors never part.  Only sums per group move, so a group of any size is spread
+over all tasks.
 
 A group of language and source with fewer than ``MIN_ROWS`` rows takes the
 estimate of its language, a small language that of the whole table, and a
@@ -26,7 +29,8 @@ times the words or a mean word length a quarter off.
 
 Defined cases: a null text has no words and fails the base rules; null
 language or source is a group of its own; repeated rows count as often as they
-occur; an empty table gives no rows.
+occur; an empty table gives no rows; a text of any length is counted whole, one
+text in memory at a time; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -50,11 +54,12 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 # Share of a group that an estimate is drawn from, smallest group with its own
-# estimate, rejected tail of the chi-square distribution, most steps.
+# estimate, rejected tail of the chi-square distribution, fall of a determinant's
+# logarithm that makes another step.
 H = 0.75
 MIN_ROWS = 50
 TAIL = 0.001
-STEPS = 12
+LEAST_FALL = 1e-3
 # Names of the transformed statistics with their least standard deviations, and
 # the share of its own variances that is added to an estimate.
 FLOORS = {"x_words": 0.25, "x_length": 0.05, "x_symbols": 0.25, "x_lines": 0.5, "x_repeats": 0.45}
@@ -249,12 +254,18 @@ def _concentrate(rows: DataFrame, fit: DataFrame) -> DataFrame:
 def robust_estimates(rows: DataFrame) -> DataFrame:
     """g, centre, precision, log_det of every group of ``rows`` (g and the
     statistics of NAMES)."""
-    fit = _start(rows)
-    for _ in range(STEPS):
-        last, fit = fit, _concentrate(rows, fit)
-        old = last.select("g", F.col("log_det").alias("old"))
-        if _ and fit.join(old, "g").where(F.col("log_det") < F.col("old") - 1e-3).isEmpty():
+    fit, settled = _concentrate(rows, _start(rows)), None
+    while True:
+        # Only groups that still fall are joined, so a step reads no other rows.
+        after = _concentrate(rows, fit).select("g", F.struct("centre", "precision", "log_det").alias("_after"))
+        falls = F.coalesce(F.col("_after.log_det") < F.col("log_det") - LEAST_FALL, F.lit(False))
+        step = materialize(fit.join(after, "g", "left").withColumn("_falls", falls), "mcd-step")
+        ended = step.where("not _falls").select(fit.columns)
+        settled = ended if settled is None else settled.unionByName(ended)
+        fit = step.where("_falls").select("g", "_after.*")
+        if fit.isEmpty():
             break
+    fit = materialize(settled, "mcd-raw")
     # Reweighting: all rows within the 97.5 % bound of the raw estimate.
     inner = _measured(rows, fit).where(F.col("d2") <= chi2_quantile(0.975, P))
     return _fit(inner, 0.975)

@@ -99,6 +99,68 @@ def test_estimate_is_that_of_plain_steps(spark):
     assert (d2[:80] > 100).all() and np.median(d2[80:]) < 6
 
 
+def _regular(x, share):
+    """Centre, precision and log determinant of a subset, regularised as documented."""
+    least = np.array(list(q.FLOORS.values())) ** 2
+    factor = share / q.chi2_cdf(q.chi2_quantile(share, q.P), q.P + 2)
+    scatter = np.cov(x.T, bias=True) * factor
+    own = scatter.diagonal()
+    scatter = scatter + np.diag(q.RIDGE * own + np.maximum(least - own, 0))
+    return x.mean(0), np.linalg.inv(scatter), np.linalg.slogdet(scatter)[1]
+
+
+def _fast_mcd(x, starts=60, seed=5):
+    """Random starts, concentration to the end, the lowest determinant, reweighted once."""
+    rng, best = np.random.default_rng(seed), None
+    distances = lambda f: np.einsum("ij,jk,ik->i", x - f[0], f[1], x - f[0])
+    for _ in range(starts):
+        fit = _regular(x[rng.choice(len(x), q.P + 2, replace=False)], q.H)
+        while True:
+            after = _regular(x[np.argsort(distances(fit), kind="stable")[:int(np.ceil(q.H * len(x)))]], q.H)
+            if abs(after[2] - fit[2]) < 1e-9:
+                break
+            fit = after
+        best = min(best or fit, fit, key=lambda f: f[2])
+    return distances(_regular(x[distances(best) <= q.chi2_quantile(0.975, q.P)], 0.975))
+
+
+def test_verdicts_are_those_of_many_random_starts(spark):
+    """Three groups with a fifth of shifted rows each; the verdicts of plain
+    FAST-MCD, but for rows as near to the bound as one bin of distances."""
+    rng, bound, groups = np.random.default_rng(2), q.chi2_quantile(1 - q.TAIL, q.P), {}
+    for g, shift in enumerate([3.0, 6.0, 20.0]):
+        mixing = rng.normal(size=(q.P, q.P)) + 2 * np.eye(q.P)
+        x = rng.normal(size=(500, q.P)) @ mixing
+        x[:100] += shift * rng.choice([-1, 1], q.P) * 4
+        groups[f"g{g}"] = x
+    rows = spark.createDataFrame([(g, *map(float, r)) for g, x in groups.items() for r in x],
+                                 "g string, " + ", ".join(f"{n} double" for n in q.NAMES))
+    fits = {r.g: r for r in q.robust_estimates(rows).collect()}
+    for g, x in groups.items():
+        off, precision = x - np.array(fits[g].centre), np.array(fits[g].precision).reshape(q.P, q.P)
+        got, want = np.einsum("ij,jk,ik->i", off, precision, off), _fast_mcd(x)
+        clear = np.abs(want / bound - 1) > 0.1
+        assert ((got > bound) == (want > bound))[clear].all() and clear.mean() > 0.9, g
+        assert (got[:100] > bound).mean() > 0.9
+
+
+def test_steps_run_to_the_end(spark, monkeypatch):
+    """More steps than any fixed small number when the start is far off, and no step left over."""
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(600, q.P)) + np.linspace(0, 40, 600)[:, None], rng.normal(size=(40, q.P))])
+    rows = spark.createDataFrame([("g", *map(float, r)) for r in x], "g string, " + ", ".join(f"{n} double" for n in q.NAMES))
+    dets, plain = [], q._concentrate
+
+    def seen(rows, fit):
+        got = plain(rows, fit)
+        dets.extend(r.log_det for r in got.collect())
+        return got
+
+    monkeypatch.setattr(q, "_concentrate", seen)
+    q.robust_estimates(rows).collect()
+    assert all(b < a - q.LEAST_FALL for a, b in zip(dets[:-2], dets[1:-1])) and dets[-1] >= dets[-2] - q.LEAST_FALL
+
+
 def test_odd_documents(odd_docs, no_docs):
     got = q.judge(odd_docs)
     assert got.count() == odd_docs.count()
