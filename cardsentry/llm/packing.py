@@ -11,8 +11,11 @@ room for another is the tightest.  The plan maps ranks within a length to
 windows, and each piece finds its window by its rank: one counted exchange,
 no sequential pass over the data, one packing for the whole corpus.
 
-Defined cases: a null or empty text is the end id alone; repeated rows are
-pieces of their own; a null doc_id is kept; an empty table gives no pieces.
+Defined cases: a null or empty text is the end id alone; a text of any length is
+encoded whole and cut into full windows; repeated rows are pieces of their own;
+pieces of equal length may change places, and the windows' fill stays the same;
+a null doc_id is kept; an empty table gives no pieces; only key and text are
+read, so other columns' names do not matter.
 """
 
 from __future__ import annotations

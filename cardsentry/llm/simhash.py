@@ -22,7 +22,9 @@ cost one partial aggregate.
 
 Defined cases: a text without words (null, empty) has fingerprint zero and
 links like any other; repeated rows share a component; a null doc_id is never
-the smallest unless all are null; an empty table gives no rows.
+the smallest unless all are null; a bit set in exactly half the hashes is 0; a
+text of any length is hashed whole, with eight bytes a shingle in memory; an
+empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -19,8 +19,10 @@ folder may be any store pyarrow reaches.
 
 Defined cases: a null or empty text is the end id alone; a repeated key keeps
 all its records, found as one run; rows with a null key come first, are
-written and read back, and are not in the index; an empty table gives an empty
-manifest.
+written and read back, and are not in the index; records of one key follow each
+other in any order; a text of any length is one record; an empty table gives an
+empty manifest; only key and text are read, so other columns' names do not
+matter.
 """
 
 from __future__ import annotations
