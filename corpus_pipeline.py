@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir); its result is written as Parquet into
 the shared folder and read again as the next stage's docs.  All stages but the
-last return the columns of ``documents``.
+last return the columns of ``documents``.  Once a stage's result is written, its
+intermediates and its input's copy are removed, so one copy of the corpus lies
+in the shared folder at a time, two while a stage runs.
 """
 
 from __future__ import annotations
@@ -12,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardsentry.llm import decontaminate, langid, packing, pii, simhash
-from cardsentry.llm.common import materialize, read_table
+from cardsentry.llm.common import read_table, scratch_path
 from cardsentry.llm.queries import SURROGATE_KEY
+from cardsentry.session import delete_path, scratch_scope
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +60,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply every stage to ``documents`` and return the last one's rows."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with scratch_scope(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        if before is not None:
+            delete_path(spark, before)
+        docs, before = spark.read.schema(result.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
