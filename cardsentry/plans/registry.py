@@ -317,8 +317,8 @@ def ingest_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     each cut day, every entry dated up to that day."""
     w = set_e(spark, sf_dir)
     landing = scratch_path(spark, "landing-blacklist")
-    days = w.snapshots.select(F.col("as_of").alias("_day")).distinct()
-    listed = w.blacklist.join(days, F.col("date") <= F.col("_day"))
+    days = F.array(*[ts_literal(d) for d in w.snapshot_days])
+    listed = w.blacklist.withColumn("_day", F.explode(F.filter(days, lambda d: d >= F.col("date"))))
     delimited.write_drop(listed.select("passport", F.date_format("date", "dd.MM.yyyy").alias("date"), "_day"),
                          landing, "passport_blacklist", F.col("_day"))
     return delimited.read_blacklist(spark, landing).good.select(_as_of(F.col("load_date")), "date", "passport")
