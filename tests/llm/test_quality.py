@@ -145,7 +145,7 @@ def test_verdicts_are_those_of_many_random_starts(spark):
 
 
 def test_steps_run_to_the_end(spark, monkeypatch):
-    """More steps than any fixed small number when the start is far off, and no step left over."""
+    """Every step but the last lowers the determinant, and the last one does not."""
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.normal(size=(600, q.P)) + np.linspace(0, 40, 600)[:, None], rng.normal(size=(40, q.P))])
     rows = spark.createDataFrame([("g", *map(float, r)) for r in x], "g string, " + ", ".join(f"{n} double" for n in q.NAMES))
