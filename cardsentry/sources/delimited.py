@@ -39,6 +39,8 @@ TX_NAMES = tuple(f.name for f in TRANSACTIONS_RAW.fields)
 MAX_COLUMNS = 1000
 # Why a row is in quarantine.
 FAULT_HEADER, FAULT_QUOTES, FAULT_FIELDS, FAULT_VALUES = "header", "quotes", "fields", "values"
+# What the CSV parser trims around a field.
+_WHITE = "".join(map(chr, range(1, 33)))
 QUARANTINE_COLUMNS = ("source_file", "load_date", "row_text", "reason")
 
 
@@ -73,11 +75,15 @@ def _n_fields(bare: Column, sep: str) -> Column:
 
 
 def _cells(value: Column, sep: str, width: int) -> Column:
-    """The first ``width`` fields of a record, trimmed outside their quotes."""
+    """The first ``width`` fields of a record, trimmed outside their quotes.  A
+    record without a quote is only cut at its separators."""
     options = {"sep": sep, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true",
                "maxCharsPerColumn": "-1", "maxColumns": str(width + 1)}
     record = F.from_csv(value, ", ".join(f"c{i} string" for i in range(width)), options)
-    return F.transform(F.array(*[record[f"c{i}"] for i in range(width)]), lambda c: F.coalesce(c, F.lit("")))
+    # Through a lambda, so that a record is parsed once and not once a field.
+    quoted = F.transform(F.array(record), lambda r: F.array(*[F.coalesce(r[f"c{i}"], F.lit("")) for i in range(width)]))[0]
+    plain = F.transform(F.slice(F.split(value, F.lit(re.escape(sep)), -1), 1, width), lambda c: F.btrim(c, F.lit(_WHITE)))
+    return F.when(F.contains(value, F.lit('"')), quoted).otherwise(plain)
 
 
 def bind_columns(lines: DataFrame, columns: Sequence[str], sep: str = ";", strict: bool = True) -> DataFrame:
@@ -93,23 +99,23 @@ def bind_columns(lines: DataFrame, columns: Sequence[str], sep: str = ";", stric
     files = materialize(lines.select("source_file", F.when(names_it & (width <= MAX_COLUMNS), F.col("value")).alias("head")).distinct(), "files")
     heads = files.where("head is not null")
     widest = heads.agg(F.max(_n_fields(_outside_quotes(F.col("head")), sep))).first()[0] or 1
-    heads = heads.select("source_file", F.slice(_cells(F.col("head"), sep, widest), 1, _n_fields(_outside_quotes(F.col("head")), sep)).alias("header"))
+    heads = heads.select("source_file", "head", F.slice(_cells(F.col("head"), sep, widest), 1, _n_fields(_outside_quotes(F.col("head")), sep)).alias("header"))
     for c in columns:
         heads = heads.where(F.array_contains("header", c))
-    headers = heads.groupBy("source_file").agg(F.collect_set("header").alias("found")).where(F.size("found") == 1).select(
-        "source_file", F.col("found")[0].alias("header"))
+    headers = heads.groupBy("source_file").agg(F.collect_set("header").alias("found"), F.collect_set("head").alias("head_texts")).where(
+        F.size("found") == 1).select("source_file", F.col("found")[0].alias("header"), "head_texts")
     if strict:
         bad = files.join(headers, "source_file", "left_anti").select("source_file").distinct().limit(5).collect()
         if bad:
             raise ValueError(f"no single header with the columns {list(columns)} in {[r.source_file for r in bad]}")
     bare = _outside_quotes(F.col("value"))
-    parsed = lines.join(headers, "source_file", "left").select(
-        "source_file", "value", "header", _cells(F.col("value"), sep, widest).alias("cells"), bare.alias("bare"))
+    # A header's cells stand in no other text than those it was found by.
+    body = lines.join(headers, "source_file", "left").where(F.col("header").isNull() | ~F.array_contains("head_texts", F.col("value")))
+    parsed = body.select("source_file", "value", "header", _cells(F.col("value"), sep, widest).alias("cells"), bare.alias("bare"))
     fault = (F.when(F.col("header").isNull(), FAULT_HEADER)
              .when(F.col("bare").rlike('(^|' + re.escape(sep) + r')\s*"'), FAULT_QUOTES)
              .when(_n_fields(F.col("bare"), sep) != F.size("header"), FAULT_FIELDS))
-    body = parsed.where(F.col("header").isNull() | (F.slice("cells", 1, F.size("header")) != F.col("header")))
-    return body.select(
+    return parsed.select(
         *[F.get(F.col("cells"), F.array_position("header", c).cast("int") - 1).alias(c) for c in columns],
         "source_file", F.col("value").alias("row_text"), fault.alias("fault"))
 

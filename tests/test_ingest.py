@@ -225,3 +225,16 @@ def test_many_quotes_in_one_line(spark):
     parsed = delimited.read_terminals(spark, folder)
     assert [len(r.terminal_city) for r in parsed.good.collect()] == [400_000]
     assert parsed.quarantine.count() == 1
+
+
+def test_quoted_and_plain_records_have_the_same_fields(spark):
+    folder = _write(spark, "terminals_01032021.txt", (
+        " terminal_id ;\tterminal_type;terminal_city;terminal_address\n"
+        "T1; POS\t;;  a b \n"
+        '"T2"; POS\t;;  a b \n'
+        ' "T3" ;"POS";"";"a b"\n'
+        "T4; POS\n"))
+    parsed = delimited.read_terminals(spark, folder)
+    good = sorted((r.terminal_id, r.terminal_type, r.terminal_city, r.terminal_address) for r in parsed.good.collect())
+    assert good == [(t, "POS", "", "a b") for t in ("T1", "T2", "T3")]
+    assert [(r.row_text, r.reason) for r in parsed.quarantine.collect()] == [("T4; POS", delimited.FAULT_FIELDS)]
