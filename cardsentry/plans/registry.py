@@ -152,7 +152,7 @@ def terminals_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _asof(transactions: DataFrame, hist: DataFrame) -> DataFrame:
-    return join_terminal_asof(transactions, hist, how="left", method="sweep").select(
+    return join_terminal_asof(transactions, hist, how="left").select(
         "trans_id", "transaction_date", "terminal", "terminal_city",
         F.coalesce(F.col("deleted_flg") == 1, F.lit(False)).alias("tombstone"),
         "effective_from", "known",
