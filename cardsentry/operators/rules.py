@@ -129,20 +129,24 @@ def invalid_agreement(enriched: DataFrame, report_dt) -> DataFrame:
     return report_rows(enriched.where(invalid_agreement_flag()), EVENT_INVALID_AGREEMENT, report_dt)
 
 
-def _exploded(flagged: DataFrame, events: dict[str, Column], report_dt) -> DataFrame:
-    """One report row per (row, flag that holds): explode, no union."""
-    named = F.array(*[F.when(_true(flag), F.lit(e)) for e, flag in events.items()])
-    hits = flagged.withColumn("_event", F.explode(F.filter(named, lambda e: e.isNotNull())))
+def _exploded(flagged: DataFrame, events: dict[str, Column], report_dt, *given: Column) -> DataFrame:
+    """One report row per (row, flag that holds): explode, no union.  ``given``
+    columns hold events found before, or null."""
+    named = F.array(*[F.when(_true(flag), F.lit(e)) for e, flag in events.items()], *given)
+    hits = flagged.withColumn("_event", F.explode(named)).where("_event is not null")
     return report_rows(hits, F.col("_event"), report_dt)
 
 
+ROW_EVENTS = {
+    EVENT_EXPIRED_PASSPORT: expired_passport_flag,
+    EVENT_BLOCKED_PASSPORT: blocked_flag,
+    EVENT_INVALID_AGREEMENT: invalid_agreement_flag,
+}
+
+
 def row_rules(enriched: DataFrame, blacklist: DataFrame | None, report_dt) -> DataFrame:
     """Rules 1_1, 1_2 and 2 in one pass over the enriched rows."""
-    return _exploded(_with_blocked_since(enriched, blacklist), {
-        EVENT_EXPIRED_PASSPORT: expired_passport_flag(),
-        EVENT_BLOCKED_PASSPORT: blocked_flag(),
-        EVENT_INVALID_AGREEMENT: invalid_agreement_flag(),
-    }, report_dt)
+    return _exploded(_with_blocked_since(enriched, blacklist), {e: flag() for e, flag in ROW_EVENTS.items()}, report_dt)
 
 
 def known_sequence(transactions: DataFrame, hist: DataFrame, dim_mode: str = "point_in_time",
@@ -166,17 +170,24 @@ def known_sequence(transactions: DataFrame, hist: DataFrame, dim_mode: str = "po
 SEQUENCE_EVENTS = {EVENT_CITY_HOP: city_hop_flag, EVENT_AMOUNT_PROBE: amount_probe_flag}
 
 
-def sequence_rules(transactions: DataFrame, owners: DataFrame, hist: DataFrame, report_dt,
-                   events: tuple[str, ...] = tuple(SEQUENCE_EVENTS),
-                   dim_mode: str = "point_in_time", context: str | None = None, longest: int = LONGEST_IN_TASK) -> DataFrame:
-    """Rules 3 and 4 over one sequence.  ``context`` names a boolean column of
-    rows that take part in the sequences and are not reported themselves."""
+def sequence_hits(transactions: DataFrame, hist: DataFrame, events: tuple[str, ...] = tuple(SEQUENCE_EVENTS),
+                  dim_mode: str = "point_in_time", context: str | None = None, longest: int = LONGEST_IN_TASK) -> DataFrame:
+    """Card, time and event of every hit of rules 3 and 4 over one sequence.
+    ``context`` names a boolean column of rows that take part in the sequences
+    and are not reported themselves."""
     carry = (context,) if context else ()
     seq = known_sequence(transactions, hist, dim_mode, carry, longest)
     if context:
         seq = seq.where(~F.col(context))
     named = F.array(*[F.when(_true(SEQUENCE_EVENTS[e]()), F.lit(e)) for e in events])
-    hits = seq.select("card_num", TS, F.explode(F.filter(named, lambda e: e.isNotNull())).alias("_event"))
+    return seq.select("card_num", TS, F.explode(named).alias("_event")).where("_event is not null")
+
+
+def sequence_rules(transactions: DataFrame, owners: DataFrame, hist: DataFrame, report_dt,
+                   events: tuple[str, ...] = tuple(SEQUENCE_EVENTS),
+                   dim_mode: str = "point_in_time", context: str | None = None, longest: int = LONGEST_IN_TASK) -> DataFrame:
+    """Rules 3 and 4, their hits joined to the owners."""
+    hits = sequence_hits(transactions, hist, events, dim_mode, context, longest)
     return report_rows(hits.join(owners, "card_num"), F.col("_event"), report_dt)
 
 
@@ -194,11 +205,13 @@ def amount_probe(transactions: DataFrame, owners: DataFrame, hist: DataFrame, re
 
 def fraud_mart(transactions: DataFrame, owners: DataFrame, hist: DataFrame, report_dt,
                blacklist: DataFrame | None = None, context: str | None = None, longest: int = LONGEST_IN_TASK) -> DataFrame:
-    """All five rules: the row rules over the fact joined to its owners, the
-    sequence rules over the narrow sequence; two legs that share no shuffle.
+    """All five rules: the fact and the hits of the narrow sequence, as cards and
+    times, meet the owners in one join; the row rules run on its rows.
 
     ``owners`` is the stored owner table, with ``blocked_since`` or else with
     ``blacklist`` given beside it."""
     own = transactions.where(~F.col(context)) if context else transactions
-    return row_rules(own.join(owners, "card_num"), blacklist, report_dt).unionByName(
-        sequence_rules(transactions, owners, hist, report_dt, context=context, longest=longest))
+    hits = sequence_hits(transactions, hist, context=context, longest=longest)
+    both = own.select("card_num", TS, F.lit(None).cast("string").alias("_hit")).unionByName(hits.withColumnRenamed("_event", "_hit"))
+    events = {e: F.col("_hit").isNull() & flag() for e, flag in ROW_EVENTS.items()}
+    return _exploded(_with_blocked_since(both.join(owners, "card_num"), blacklist), events, report_dt, F.col("_hit"))

@@ -245,9 +245,9 @@ def show_table(spark: SparkSession, store: Store, name: str, n: int = 20, order_
 
 def _owner_load(ts: Column, days: list[dt.date]) -> Column:
     """Day (as text) of the load a transaction belongs to."""
-    texts = F.array(*[F.lit(d.isoformat()) for d in sorted(days)])
-    begun = F.filter(texts, lambda d: d <= F.date_format(ts, "yyyy-MM-dd"))
-    return F.when(F.size(begun) > 0, F.element_at(begun, -1)).otherwise(texts[0])
+    days = sorted(days)
+    begun = [F.when(ts >= ts_literal(d), F.lit(d.isoformat())) for d in reversed(days)]
+    return F.coalesce(*begun, F.lit(days[0].isoformat()))
 
 
 def require_unique(df: DataFrame, key: str, what: str) -> None:
@@ -356,7 +356,7 @@ def _prepare(spark: SparkSession, store: Store, state: dict[dt.date, Load], days
         if d in redo:
             load = replace(load, report_dt=report_dt(d) if callable(report_dt) else report_dt, source=source, report=_ref(run, d))
             load = _inherit(load, before)
-            load = _with_owners(spark, store, load, before, run)
+            load = _with_owners(spark, store, load, (before, before_all.get(d)), run)
             state[d] = load
             _make_report(spark, store, state, load, lookback)
         state[d] = before = load
@@ -365,7 +365,7 @@ def _prepare(spark: SparkSession, store: Store, state: dict[dt.date, Load], days
 
 def _masters_by_content(spark: SparkSession, store: Store, state: Mapping[dt.date, Load], masters: Masters, run: str) -> tuple[str, str]:
     """Folder and digest of the masters: an older one if it holds equal tables."""
-    found = "+".join(dimension.content_digest(t) for t in masters)
+    found = "+".join(dimension.content_digests(*masters))
     for load in state.values():
         if load.masters and load.masters_digest == found:
             return load.masters, found
@@ -396,11 +396,12 @@ def _inherit(load: Load, before: Load | None) -> Load:
     return load
 
 
-def _with_owners(spark: SparkSession, store: Store, load: Load, before: Load | None, run: str) -> Load:
-    """The owner table of the load's masters and blacklist: the one of the load
-    before if both are the same."""
-    if before is not None and before.owners and (before.masters, before.blacklist_digest) == (load.masters, load.blacklist_digest):
-        return replace(load, owners=before.owners)
+def _with_owners(spark: SparkSession, store: Store, load: Load, known: Iterable[Load | None], run: str) -> Load:
+    """The owner table of the load's masters and blacklist: that of a ``known``
+    load (the one before, or this one as published) if both are the same."""
+    for other in known:
+        if other is not None and other.owners and (other.masters, other.blacklist_digest) == (load.masters, load.blacklist_digest):
+            return replace(load, owners=other.owners)
     listed = (spark.createDataFrame([], "date timestamp_ntz, passport string") if load.blacklist is None
               else spark.read.parquet(store.path(FACT_BLACKLIST, load.blacklist)))
     ref = _ref(run, load.day)

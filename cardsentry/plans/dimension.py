@@ -14,6 +14,7 @@ of the old side is exchanged for what did not change.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,16 +39,24 @@ class Bucket(NamedTuple):
 
 
 def digest(columns: list[str]) -> Column:
-    """Aggregate that tells contents apart whatever their order: number of rows
-    and two independent 64-bit sums over them."""
-    row = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    plus = F.sum(F.xxhash64(row).cast("decimal(38,0)")).cast("string")
-    return F.concat_ws("/", F.count(F.lit(1)).cast("string"), F.coalesce(plus, F.lit("0")),
-                       F.coalesce(F.bit_xor(F.xxhash64(F.lit("second"), row)), F.lit(0)).cast("string"))
+    """Aggregate that tells contents apart whatever their order: number of rows,
+    sums over both halves of one 64-bit hash and the parity of another.  A null
+    is told from any value by a flag of its own."""
+    row = [F.lit(",".join(columns)), *[x for c in columns for x in (F.col(c).isNull(), F.col(c))]]
+    h = F.xxhash64(*row)
+    sums = [F.coalesce(F.try_sum(half), F.lit(0)).cast("string") for half in (F.shiftright(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    return F.concat_ws("/", F.count(F.lit(1)).cast("string"), *sums,
+                       F.coalesce(F.bit_xor(F.xxhash64(F.lit("second"), *row)), F.lit(0)).cast("string"))
+
+
+def content_digests(*tables: DataFrame) -> list[str]:
+    """Digest of each table, all in one job: one row a table."""
+    each = [df.agg(F.lit(i).alias("i"), digest(df.columns).alias("d")) for i, df in enumerate(tables)]
+    return [r.d for r in sorted(reduce(DataFrame.unionByName, each).collect())]
 
 
 def content_digest(df: DataFrame) -> str:
-    return df.agg(digest(df.columns)).first()[0]
+    return content_digests(df)[0]
 
 
 def bucket_of(n_buckets: int) -> Column:

@@ -69,3 +69,12 @@ def test_shuffle_join_fallback_gives_the_same_rows(spark):
             else:
                 spark.conf.set(k, v)
     assert got == want
+
+
+def test_mart_reads_the_owners_once(spark):
+    """Row rules and hits meet the owners in one join."""
+    w = set_e(spark, SF_SMALL)
+    owners = owners_of(w.cards, w.accounts, w.clients, w.blacklist)
+    hist = history_from_cuts(w.snapshots, days=w.snapshot_days)
+    plan = _formatted_plan(rules.fraud_mart(w.transactions, owners, hist, w.report_dt))
+    assert len(re.findall(r"\(\d+\) Scan parquet[^\n]*\nOutput \[\d+\]: [^\n]*\n(?:[^\n]+\n)*?Location: [^\n]*card-owners", plan)) == 1

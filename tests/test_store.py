@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cardsentry.plans import daily, dimension
 from cardsentry.plans.log import CHECKPOINT_EVERY, Log
-from cardsentry.schemas import ACCOUNTS, BLACKLIST, CARDS, CLIENTS, REPORT
+from cardsentry.schemas import ACCOUNTS, BLACKLIST, CARDS, CLIENTS, EVENT_INVALID_AGREEMENT, REPORT
 from cardsentry.session import scratch_path
 from cardsentry.sources.masters import Masters
 from conftest import ts
@@ -181,3 +181,36 @@ def test_facts_of_merged_and_later_parts(spark, masters):
     assert sorted(r.trans_id for r in daily.facts(spark, store, [loads[D[0]]]).collect()) == ["a", "c", "d"]
     assert sorted(r.trans_id for r in daily.facts(spark, store, loads.values()).collect()) == ["a", "b", "c", "d"]
     assert daily.report(spark, store).count() == 4
+
+
+def test_a_second_file_of_the_first_day_keeps_its_owners(spark, masters):
+    store = daily.Store.fresh(spark, "owners")
+    listed = spark.createDataFrame([(ts("2021-03-01 09:00:00"), "P3")], BLACKLIST)
+    daily.deliver(spark, store, [D[0]], _tx(spark, ("a", "2021-03-01 10:00:00")), {D[0]: _cut(spark, 3)}, {D[0]: listed}, masters, _midnight)
+    first = daily.loads(spark, store)[D[0]]
+    daily.deliver(spark, store, [D[0]], _tx(spark, ("b", "2021-03-01 11:00:00")), report_dt=_midnight)
+    second = daily.loads(spark, store)[D[0]]
+    assert second.owners == first.owners and second.report != first.report and len(second.facts) == 2
+    # another list makes them anew
+    none = spark.createDataFrame([], BLACKLIST)
+    daily.deliver(spark, store, [D[0]], None, None, {D[0]: none}, report_dt=_midnight)
+    assert daily.loads(spark, store)[D[0]].owners != first.owners
+    assert {r.event_type for r in daily.report(spark, store).collect()} == {EVENT_INVALID_AGREEMENT}
+
+
+def test_digests_are_plain_sums_and_tell_nulls_and_names(spark):
+    ddl = "a string, b string"
+    tables = [spark.createDataFrame(rows, d) for rows, d in (
+        ([("x", None), ("y", "z")], ddl), ([("y", "z"), ("x", None)], ddl), ([(None, "x"), ("y", "z")], ddl), ([("x", None), ("y", "z")], "a string, c string"),
+        ([("x", None), ("x", None), ("y", "z")], ddl), ([], ddl), ([("x", ""), ("y", "z")], ddl))]
+    found = dimension.content_digests(*tables)
+    assert found[0] == found[1] == dimension.content_digest(tables[0]) and len(set(found)) == len(tables) - 1
+    plan = tables[0].agg(dimension.digest(["a", "b"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in plan and "decimal" not in plan.lower()
+
+
+def test_load_of_a_transaction_by_its_time(spark):
+    rows = [("2021-02-01 00:00:00",), ("2021-03-01 00:00:00",), ("2021-03-02 23:59:59.999",), ("2021-03-03 00:00:00",), ("2022-01-01 00:00:00",)]
+    df = spark.createDataFrame([(ts(t),) for t, in rows] + [(None,)], "t timestamp_ntz")
+    got = [r[0] for r in df.select(daily._owner_load(F.col("t"), [D[2], D[0]])).collect()]
+    assert got == ["2021-03-01", "2021-03-01", "2021-03-01", "2021-03-03", "2021-03-03", "2021-03-01"]
