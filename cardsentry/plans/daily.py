@@ -450,9 +450,11 @@ def _merge(spark: SparkSession, store: Store, name: str, parts: list[tuple[Load,
     out = found[0]
     for df in found[1:]:
         out = out.unionByName(df)
-    # Sorted by load, so the files' statistics lead a reader of one load to its rows.
+    # Sorted by load, so the files' statistics lead a reader of one load to its
+    # rows; a load has many ranges, dealt by the rows' time and hash.
+    order = ["load_date", *[f.name for f in out.schema if isinstance(f.dataType, T.TimestampNTZType)][:1]]
     ref = f"run={run}/{MERGED}"
-    out.repartitionByRange("load_date").sortWithinPartitions("load_date").write.parquet(store.path(name, ref))
+    out.repartitionByRange(*order, F.xxhash64(*columns)).sortWithinPartitions(*order).write.parquet(store.path(name, ref))
     return {load.load_date: ref for load, _ in parts}
 
 

@@ -214,3 +214,23 @@ def test_load_of_a_transaction_by_its_time(spark):
     df = spark.createDataFrame([(ts(t),) for t, in rows] + [(None,)], "t timestamp_ntz")
     got = [r[0] for r in df.select(daily._owner_load(F.col("t"), [D[2], D[0]])).collect()]
     assert got == ["2021-03-01", "2021-03-01", "2021-03-01", "2021-03-03", "2021-03-03", "2021-03-01"]
+
+
+def test_compaction_deals_one_load_to_many_tasks(spark, masters):
+    """A load's rows are merged by more than one task, each row once."""
+    store = daily.Store.fresh(spark, "spread")
+    none = spark.createDataFrame([], BLACKLIST)
+    rows = [[(f"{k}-{i}", f"2021-03-01 10:{i // 60 + 20 * k:02d}:{i % 60:02d}") for i in range(400)] for k in range(2)]
+    daily.deliver(spark, store, [D[0]], _tx(spark, *rows[0]), {D[0]: _cut(spark, 3)}, {D[0]: none}, masters, _midnight)
+    daily.deliver(spark, store, [D[0]], _tx(spark, *rows[1]), report_dt=_midnight)
+    before = _rows(daily.facts(spark, store, daily.loads(spark, store).values()))
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        assert daily.compact(spark, store) == 2
+    finally:
+        spark.conf.set(coalesce, "true")
+    load = daily.loads(spark, store)[D[0]]
+    assert _rows(daily.facts(spark, store, [load])) == before and len(before) == 800
+    files = [f for f in os.listdir(_local(store.path(daily.FACT_TX, load.facts[0]))) if f.endswith(".parquet")]
+    assert len(files) > 3
