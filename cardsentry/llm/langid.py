@@ -288,7 +288,8 @@ def fit(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text",
     drawn = F.pmod(F.xxhash64("k", "h", F.lit("langid")), F.lit(1 << 20)) < rate[F.col("l")] * (1 << 20)
     counts = labelled.where(drawn).dropDuplicates(["k", "l", "h"]).select("l", "t").mapInArrow(_word_rows, "lang string, word string, n long")
     counts = counts.where(F.length("word") <= SHORT).groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts = materialize(counts, "langid-words")
+    # The sample is bounded, so are its words: a few files, not one a shuffle partition.
+    counts = materialize(counts.coalesce(docs.sparkSession.sparkContext.defaultParallelism), "langid-words")
     n_pieces = len(pieces(path)[0]) + 1
     prob = np.full((n_pieces, len(langs)), 1.0 / n_pieces)
     for _ in range(EM_STEPS):

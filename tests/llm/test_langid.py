@@ -110,3 +110,21 @@ def test_long_words_and_texts(spark):
     scorer = langid.Scorer(model.log_prob, PATH)
     scorer.texts([langid.words_of(t) for t in long])
     assert max(map(len, scorer.index)) <= langid.SHORT
+
+
+def test_the_sample_lies_in_a_few_files(spark):
+    """However many partitions the session shuffles to, the fit writes and reads
+    its words by as many tasks as there are cores at most."""
+    df = spark.createDataFrame([(i, f"the word{chr(97 + i % 26)}{chr(97 + i // 26)} is here", "en") for i in range(500)], "doc_id long, text string, lang string")
+    conf = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        langid.fit(df, PATH)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    newest = max(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/cardsentry/langid-words-*"), key=os.path.getmtime)
+    assert 0 < len(glob.glob(f"{newest}/*.parquet")) <= spark.sparkContext.defaultParallelism < 97
+    assert spark.read.parquet(newest).groupBy("lang").sum("n").first()[1] == 4 * 500
